@@ -87,10 +87,16 @@ def compare_samples(a: DataFrame, b: DataFrame, keys: str | Sequence[str], n: in
     whole class; the three branches share the join's shuffle.
     """
     ks = as_keys(keys)
+    c = compare(a, b, ks)
+    fields = c.schema["b"].dataType.fields
+    # Every branch reads both sides, so all three plan the same join inputs
+    # and the side shuffles are done once (ReusedExchange).
+    row = F.when(F.col("change") == REMOVED, F.col("a")).otherwise(F.col("b")).alias("_row")
+    c = c.select(*_kcols(ks), "change", row)
     parts = []
     for cls in (REMOVED, ADDED, MODIFIED):
-        rows = compare_rows(a, b, ks, cls).orderBy(*ks).limit(n)
-        parts.append(rows.select(F.lit(cls).alias("change"), "*"))
+        top = c.filter(F.col("change") == cls).orderBy(*ks).limit(n)
+        parts.append(top.select("change", *_kcols(ks), *[F.col("_row").getField(f.name).alias(f.name) for f in fields]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -51,6 +51,13 @@ def first_change(log: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     return log.groupBy(*ks).agg(first).select(*_kcols(ks), "_c.op", "_c.before", "_c.day")
 
 
+def _changed_keys(changes: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys of a (per-key reduced) change set. The ``op`` test is always
+    true; it keeps this branch reading the same aggregate as the image
+    branch, so the change set is shuffled once and reused by both."""
+    return changes.filter(F.col("op").isNotNull()).select(*_kcols(keys))
+
+
 def _ordered(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in columns])
 
@@ -69,7 +76,7 @@ def apply_changes(
     fields = _image_fields(changes)
     if many_days:
         changes = last_change(changes, ks)
-    kept = snapshot.join(changes.select(*ks), on=ks, how="left_anti")
+    kept = snapshot.join(_changed_keys(changes, ks), on=ks, how="left_anti")
     added = _rows(changes.filter(F.col("op") != DELETE), ks, "after", fields)
     return _ordered(kept.unionByName(added), snapshot.columns)
 
@@ -112,7 +119,7 @@ def undo_to(latest: DataFrame, log: DataFrame, day, keys: str | Sequence[str]) -
     ks = as_keys(keys)
     fields = _image_fields(log)
     first = first_change(log.filter(F.col("day") > F.lit(to_day(day))), ks)
-    kept = latest.join(first.select(*ks), on=ks, how="left_anti")
+    kept = latest.join(_changed_keys(first, ks), on=ks, how="left_anti")
     restored = _rows(first.filter(F.col("op") != INSERT), ks, "before", fields)
     return _ordered(kept.unionByName(restored), latest.columns)
 

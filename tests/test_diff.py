@@ -1,0 +1,159 @@
+"""Snapshot diff (A01, A02, J01) on the derived daily snapshots and on traps."""
+
+import datetime as dt
+
+import pytest
+from conftest import SF01, rows
+from pyspark.sql import functions as F
+
+from daybook import (
+    DELETE,
+    INSERT,
+    UPDATE,
+    change_counts,
+    classify,
+    first_load,
+    flatten_changes,
+    snapshot_diff,
+)
+from daybook.plans.fixtures import KEY, day_of, snapshots
+
+# Golden counts at sf0.01 (rows, INSERT, UPDATE, DELETE per day).
+GOLDEN = {
+    0: (13500, 13500, 0, 0),
+    1: (13875, 375, 0, 0),
+    2: (12336, 324, 2597, 1863),
+    3: (13232, 1511, 688, 615),
+    4: (12857, 322, 2571, 697),
+}
+D = dt.date(2025, 1, 2)
+
+
+@pytest.fixture(scope="module")
+def snaps(spark):
+    return snapshots(spark, SF01)
+
+
+def counts(changes):
+    c = dict(rows(change_counts(changes)))
+    return c.get(INSERT, 0), c.get(UPDATE, 0), c.get(DELETE, 0)
+
+
+@pytest.mark.parametrize("strategy", ["struct", "hash"])
+def test_golden_counts_and_sizes(spark, snaps, strategy):
+    assert counts(first_load(snaps[0][1], KEY, day_of(0))) == GOLDEN[0][1:]
+    for d in range(1, 5):
+        ch = snapshot_diff(snaps[d - 1][1], snaps[d][1], KEY, day_of(d), strategy=strategy)
+        ins, upd, dele = counts(ch)
+        assert (ins, upd, dele) == GOLDEN[d][1:], d
+        # rows(d) = rows(d-1) + INSERT - DELETE
+        assert snaps[d][1].count() == GOLDEN[d][0] == GOLDEN[d - 1][0] + ins - dele
+
+
+def test_images(spark, snaps):
+    ch = snapshot_diff(snaps[2][1], snaps[3][1], KEY, day_of(3))
+    bad = ch.filter(
+        ((F.col("op") == INSERT) & (F.col("before").isNotNull() | F.col("after").isNull()))
+        | ((F.col("op") == DELETE) & (F.col("after").isNotNull() | F.col("before").isNull()))
+        | ((F.col("op") == UPDATE) & (F.col("after").isNull() | F.col("before").isNull()))
+    )
+    assert bad.isEmpty()
+    assert ch.select(F.min("day"), F.max("day")).first() == (day_of(3), day_of(3))
+
+
+def test_struct_and_hash_agree(spark, snaps):
+    a = flatten_changes(snapshot_diff(snaps[3][1], snaps[4][1], KEY, day_of(4)), KEY)
+    b = flatten_changes(snapshot_diff(snaps[3][1], snaps[4][1], KEY, day_of(4), strategy="hash"), KEY)
+    assert rows(a) == rows(b)
+
+
+def test_classify_keeps_unchanged(spark, snaps):
+    c = classify(snaps[3][1], snaps[4][1], KEY)
+    n_union = snaps[3][1].select(KEY).union(snaps[4][1].select(KEY)).distinct().count()
+    assert c.count() == n_union
+    assert c.filter(F.col("op").isNull()).count() > 0
+
+
+def _diff(spark, before, after, schema, strategy="struct"):
+    p = spark.createDataFrame(before, schema)
+    n = spark.createDataFrame(after, schema)
+    return {r["k"]: r["op"] for r in snapshot_diff(p, n, "k", D, strategy=strategy).collect()}
+
+
+@pytest.mark.parametrize("strategy", ["struct", "hash"])
+def test_null_transitions_are_updates(spark, strategy):
+    got = _diff(spark, [("a", None), ("b", 1), ("c", None)], [("a", 1), ("b", None), ("c", None)], "k string, v int", strategy)
+    assert got == {"a": UPDATE, "b": UPDATE}
+
+
+@pytest.mark.parametrize("strategy", ["struct", "hash"])
+def test_all_null_content_is_not_absent(spark, strategy):
+    got = _diff(spark, [("a", None)], [("a", None), ("b", None)], "k string, v int", strategy)
+    assert got == {"b": INSERT}
+    got = _diff(spark, [("a", None), ("b", None)], [("b", None)], "k string, v int", strategy)
+    assert got == {"a": DELETE}
+
+
+@pytest.mark.parametrize("strategy", ["struct", "hash"])
+def test_null_swap_is_seen(spark, strategy):
+    got = _diff(spark, [("a", None, 1)], [("a", 1, None)], "k string, a int, b int", strategy)
+    assert got == {"a": UPDATE}
+
+
+@pytest.mark.parametrize("strategy", ["struct", "hash"])
+def test_microseconds_are_seen(spark, strategy):
+    t1 = dt.datetime(2025, 1, 1, 0, 0, 0, 123456)
+    t2 = dt.datetime(2025, 1, 1, 0, 0, 0, 123999)
+    got = _diff(spark, [("a", t1), ("b", t1)], [("a", t2), ("b", t1)], "k string, t timestamp", strategy)
+    assert got == {"a": UPDATE}
+
+
+@pytest.mark.parametrize("strategy", ["struct", "hash"])
+def test_float_zero_and_nan(spark, strategy):
+    nan = float("nan")
+    got = _diff(spark, [("a", -0.0), ("b", nan), ("c", 1.0)], [("a", 0.0), ("b", nan), ("c", 1.5)], "k string, x double", strategy)
+    assert got == {"c": UPDATE}
+
+
+@pytest.mark.parametrize("strategy", ["struct", "hash"])
+def test_map_order_is_irrelevant(spark, strategy):
+    schema = "k string, m map<string,int>"
+    p = spark.createDataFrame([("a", {"x": 1, "y": 2}), ("b", {"x": 1})], schema)
+    n = spark.createDataFrame([("a", {"y": 2, "x": 1}), ("b", {"x": 2})], schema)
+    # build the reordered map on the JVM side so the entry order really differs
+    n = n.withColumn("m", F.when(F.col("k") == "a", F.map_from_arrays(F.array(F.lit("y"), F.lit("x")), F.array(F.lit(2), F.lit(1)))).otherwise(F.col("m")))
+    got = {r["k"]: r["op"] for r in snapshot_diff(p, n, "k", D, strategy=strategy).collect()}
+    assert got == {"b": UPDATE}
+
+
+def test_schema_change_alignment(spark):
+    p = spark.createDataFrame([("a", 1, 10)], "k string, a int, b int")
+    n = spark.createDataFrame([("a", 1, 5)], "k string, a int, c int")
+    ch = snapshot_diff(p, n, "k", D).collect()
+    # b is dropped (parity), c is new: null -> 5 is an update
+    assert len(ch) == 1 and ch[0]["op"] == UPDATE
+    assert ch[0]["before"].asDict() == {"a": 1, "c": None}
+    with pytest.raises(ValueError):
+        snapshot_diff(p, n, "k", D, on_extra="error")
+
+
+def test_type_conflict_raises_unless_cast(spark):
+    p = spark.createDataFrame([("a", 6)], "k string, code int")
+    n = spark.createDataFrame([("a", "06")], "k string, code string")
+    with pytest.raises(TypeError):
+        snapshot_diff(p, n, "k", D)
+    got = snapshot_diff(p, n, "k", D, cast=True).collect()
+    assert [r["op"] for r in got] == [UPDATE]  # "6" vs "06" really differ
+
+
+def test_composite_key(spark):
+    schema = "k1 string, k2 int, v int"
+    p = spark.createDataFrame([("a", 1, 1), ("a", 2, 1)], schema)
+    n = spark.createDataFrame([("a", 1, 2), ("b", 2, 1)], schema)
+    got = {(r["k1"], r["k2"]): r["op"] for r in snapshot_diff(p, n, ["k1", "k2"], D).collect()}
+    assert got == {("a", 1): UPDATE, ("a", 2): DELETE, ("b", 2): INSERT}
+
+
+def test_bad_day_raises(spark, snaps):
+    with pytest.raises(ValueError):
+        snapshot_diff(snaps[0][1], snaps[1][1], KEY, "2025-02-30")
