@@ -91,5 +91,16 @@ def content_hash(fields: list[T.StructField], source: str | None = None) -> Colu
 
 
 def content_digest(fields: list[T.StructField], source: str | None = None) -> Column:
-    """F01 as 32 raw bytes: half the shuffle width of the hex form."""
-    return F.unhex(content_hash(fields, source))
+    """A 96-bit change-detection digest for shuffling instead of whole rows.
+
+    ``xxhash64`` and ``murmur3`` (two independent hashes, fully codegen'd)
+    over the normalized columns *and* one null flag per column: Spark's hash
+    functions skip nulls, so without the flags ``(null, 1)`` and ``(1, null)``
+    would hash alike. ``-0.0``/``0.0`` and map entry order are normalized
+    first, as for equality. Returned as ``struct<x long, m int>``.
+    """
+    prefix = f"{source}." if source else ""
+    cols = [_normalize(F.col(f"{prefix}`{f.name}`"), f.dataType, for_hash=True) for f in fields]
+    flags = [F.col(f"{prefix}`{f.name}`").isNull() for f in fields]
+    parts = cols + flags
+    return F.struct(F.xxhash64(*parts).alias("x"), F.hash(*parts).alias("m"))

@@ -102,8 +102,8 @@ def snapshot_diff(
 
     ``strategy="struct"`` (default) shuffles each side once, whole rows, into
     one full outer join and classifies with one CASE. ``strategy="hash"``
-    shuffles only ``(key, 32-byte digest)`` into that join, then fetches the
-    images of the changed keys alone; cheaper for wide rows and low change
+    shuffles only ``(key, 12-byte digest)`` into that join, then classifies the
+    rows of the changed keys alone; cheaper for wide rows and low change
     rates (AQE broadcasts the changed-key set when it is small).
     """
     ks = as_keys(keys)
@@ -116,25 +116,55 @@ def snapshot_diff(
     raise ValueError(f"strategy must be 'struct' or 'hash', not {strategy!r}")
 
 
+_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+
+
+def _broadcast_limit(spark) -> int:
+    """Bytes a broadcast side may hold: the session's broadcast threshold."""
+    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
+    digits = raw.rstrip("kmgb")
+    return int(digits) * _UNITS.get(raw[len(digits):] or "b", 1)
+
+
+def _key_bytes(df: DataFrame, ks: list[str]) -> Column:
+    """An upper bound of the hashed-relation bytes of one row's keys."""
+    total = F.lit(16).cast("bigint")  # per-row overhead of the hashed relation
+    for f in df.select(*_kcols(ks)).schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + 8
+        else:
+            total = total + F.lit(16)
+    return total
+
+
 def _diff_by_digest(prev: DataFrame, new: DataFrame, ks: list[str], day) -> DataFrame:
+    """Phase 1 joins ``(key, digest)`` only and keeps the keys whose digest
+    differs or is missing on a side; that key set is checkpointed (shared
+    checkpoint dir) and measured exactly. Phase 2 classifies only those keys:
+    if the set fits the broadcast threshold both sides are semi-joined
+    against its broadcast (no shuffle of whole rows but the changed ones);
+    otherwise the change rate is high and phase 2 is the plain one-join
+    classification of the full sides."""
+    from ..session import shared_root
+
+    spark = prev.sparkSession
     fields = content_fields(new, ks)
     ph = prev.select(*_kcols(ks), content_digest(fields).alias("_hp"))
     nh = new.select(*_kcols(ks), content_digest(fields).alias("_hn"))
-    hp, hn = F.col("_hp"), F.col("_hn")
-    op = (
-        F.when(hp.isNull(), F.lit(INSERT))
-        .when(hn.isNull(), F.lit(DELETE))
-        .when(hp != hn, F.lit(UPDATE))
-    )
-    ops = ph.join(nh, on=ks, how="full_outer").select(*_kcols(ks), op.alias("op")).filter(F.col("op").isNotNull())
-    before = prev.join(ops.filter(F.col("op") != INSERT).select(*ks), on=ks, how="left_semi").select(
-        *_kcols(ks), content_struct(fields).alias("before")
-    )
-    after = new.join(ops.filter(F.col("op") != DELETE).select(*ks), on=ks, how="left_semi").select(
-        *_kcols(ks), content_struct(fields).alias("after")
+    changed = (
+        ph.join(nh, on=ks, how="full_outer")
+        .filter(~F.col("_hp").eqNullSafe(F.col("_hn")))
+        .select(*_kcols(ks))
     )
-    out = ops.join(before, on=ks, how="left").join(after, on=ks, how="left")
-    return out.select(*_kcols(ks), "op", "before", "after", day_lit(day).alias("day"))
+    shared_root(spark)  # the checkpoint dir must be the shared one
+    changed = changed.checkpoint(eager=True)
+    size = changed.agg(F.coalesce(F.sum(_key_bytes(changed, ks)), F.lit(0))).first()[0]
+    if size <= _broadcast_limit(spark):
+        keyset = F.broadcast(changed)
+        prev = prev.join(keyset, on=ks, how="left_semi")
+        new = new.join(keyset, on=ks, how="left_semi")
+    out = classify(prev, new, ks).filter(F.col("op").isNotNull())
+    return out.withColumn("day", day_lit(day))
 
 
 def flatten_changes(log: DataFrame, keys: str | Sequence[str]) -> DataFrame:
