@@ -71,8 +71,10 @@ class Store:
         root: str,
         keys: str | Sequence[str],
         keep_snapshot_every: int | None = None,
+        strategy: str = "struct",
     ):
         self.spark = spark
+        self.strategy = strategy
         self.root = root.rstrip("/")
         self.keys = as_keys(keys)
         self.keep_snapshot_every = keep_snapshot_every
@@ -116,30 +118,41 @@ class Store:
         dump: DataFrame,
         day,
         validate: bool = True,
-        strategy: str = "struct",
+        strategy: str | None = None,
         on_extra: str = "drop",
         cast: bool = False,
     ) -> dict:
         """Record ``dump`` as the table on ``day``.
 
-        Writes ``snapshot/day=D`` from the dump, then diffs it against the
-        newest complete snapshot before ``D`` and writes ``changes/day=D``.
+        1. writes ``snapshot/day=D`` from the dump (one scan of the dump);
+        2. checks the key contract on that Parquet copy, reading the key
+           columns only (a bad day's snapshot is removed and the call raises);
+        3. diffs it against the newest complete snapshot before ``D`` and
+           writes ``changes/day=D``.
         Returns the day's counts, observed during the writes (no extra pass).
         """
         d = to_day(day)
-        if validate:
-            require_valid_key(dump, self.keys, f"dump of {d}")
-        base = [b for b in self.complete_days() if b < d]
-        later = [b for b in self.complete_days() if b > d]
+        complete = self.complete_days()
+        later = [b for b in complete if b > d]
         if later:
             raise ValueError(f"{d} is before already integrated day {later[0]}; rebuild from there instead")
+        base = [b for b in complete if b < d]
 
+        snap_dir = day_dir(self.snapshot_root, d)
         snap_obs = Observation("snapshot")
-        write_parquet(dump.observe(snap_obs, F.count(F.lit(1)).alias("rows")), day_dir(self.snapshot_root, d))
-        new = self.spark.read.parquet(day_dir(self.snapshot_root, d))
+        write_parquet(dump.observe(snap_obs, F.count(F.lit(1)).alias("rows")), snap_dir)
+        new = self.spark.read.parquet(snap_dir)
+        if validate:
+            try:
+                require_valid_key(new, self.keys, f"dump of {d}")
+            except Exception:
+                self._fs.delete(snap_dir)
+                raise
         if base:
             prev = self.spark.read.parquet(day_dir(self.snapshot_root, base[-1]))
-            changes = snapshot_diff(prev, new, self.keys, d, on_extra=on_extra, cast=cast, strategy=strategy)
+            changes = snapshot_diff(
+                prev, new, self.keys, d, on_extra=on_extra, cast=cast, strategy=strategy or self.strategy
+            )
         else:
             changes = first_load(new, self.keys, d)
 
@@ -151,7 +164,9 @@ class Store:
             F.count_if(op == UPDATE).alias("updates"),
             F.count_if(op == DELETE).alias("deletes"),
         )
-        write_parquet(observed.drop("day"), day_dir(self.change_root, d))
+        # A day's changes are a small slice of the table: rebalance them into
+        # right-sized files instead of one file per shuffle partition.
+        write_parquet(observed.drop("day").hint("rebalance"), day_dir(self.change_root, d))
         counts = {k: int(v or 0) for k, v in chg_obs.get.items()}
         if base:
             self._prune(base[-1])
@@ -169,7 +184,7 @@ class Store:
         before it, rolled forward over the changes in between; or, if none
         exists before it, the nearest later version rolled back."""
         t = to_day(day)
-        versions = self.snapshot_days()
+        versions = self.complete_days()
         earlier = [v for v in versions if v <= t]
         if earlier and earlier[-1] == t:
             return self.read_snapshot(t)
