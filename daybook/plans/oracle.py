@@ -161,4 +161,5 @@ FROM n""",
     "asof_roundtrip": _plain(3),
     "integrate_days": full_log(),
     "store_as_of": _plain(2),
+    "store_backfill": full_log(),
 }

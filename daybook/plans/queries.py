@@ -257,6 +257,12 @@ def q_integrate_days(spark, sf):
     return flatten_changes(store.read_log(), KEY)
 
 
+def q_store_backfill(spark, sf):
+    store = Store(spark, scratch_path(spark, "store"), KEY)
+    store.backfill(snapshots(spark, sf), chunk_days=2)
+    return flatten_changes(store.read_log(), KEY)
+
+
 def q_store_as_of(spark, sf):
     store = Store(spark, scratch_path(spark, "store"), KEY, keep_snapshot_every=7)
     for d, dump in snapshots(spark, sf):
@@ -311,4 +317,5 @@ QUERIES: dict[str, Query] = {
     "asof_roundtrip": q_asof_roundtrip,
     "integrate_days": q_integrate_days,
     "store_as_of": q_store_as_of,
+    "store_backfill": q_store_backfill,
 }

@@ -25,9 +25,10 @@ from pyspark.sql import types as T
 from ..functions.dates import to_day
 from ..operators.diff import DELETE, INSERT, UPDATE, change_log_schema, first_load, snapshot_diff
 from ..operators.keys import require_valid_key
-from ..operators.replay import as_of, undo_to
+from ..operators.keys import KeyContractError, key_problems
+from ..operators.replay import as_of, build_change_log, stack_dumps, undo_to
 from ..operators.schema import as_keys
-from .io import day_dir, empty_frame, read_change_log, write_parquet
+from .io import day_dir, empty_frame, read_change_log, write_change_days, write_parquet
 
 
 class _Fs:
@@ -61,6 +62,12 @@ class _Fs:
         path, fs = self._path(p)
         fs.delete(path, True)
 
+    def mark_done(self, directory: str) -> None:
+        """Create ``directory/_SUCCESS`` (and the directory if it is new)."""
+        path, fs = self._path(directory)
+        fs.mkdirs(path)
+        fs.create(self._jvm.org.apache.hadoop.fs.Path(f"{directory}/_SUCCESS"), True).close()
+
 
 class Store:
     """A keyed table kept as daily snapshots and changes under ``root``."""
@@ -178,6 +185,46 @@ class Store:
         if n and (day.toordinal() % n) != 0:
             self._fs.delete(day_dir(self.snapshot_root, day))
 
+    # -- many days at once -------------------------------------------------
+    def backfill(self, dumps: Sequence[tuple[object, DataFrame]], chunk_days: int = 31, validate: bool = True) -> list[dt.date]:
+        """A05 into the store: integrate many dated dumps, ``chunk_days`` per pass.
+
+        Each chunk is one window pass (:func:`build_change_log`) seeded with
+        the newest stored snapshot, written with one dynamic partition
+        overwrite; only the chunk's last day is stored as a snapshot version
+        (earlier days are reached by replay). Chunking bounds what one job
+        shuffles -- 30 years of full dumps never go through one exchange.
+        Days must all be later than the store's latest day.
+        """
+        items = sorted(((to_day(d), df) for d, df in dumps), key=lambda x: x[0])
+        days = [d for d, _ in items]
+        if len(set(days)) != len(days):
+            raise ValueError("two dumps for the same day")
+        done = sorted(set(self.change_days()) | set(self.complete_days()))
+        if done and days and days[0] <= done[-1]:
+            raise ValueError(f"backfill must start after the latest stored day {done[-1]}")
+        written = []
+        for start in range(0, len(items), max(1, chunk_days)):
+            chunk = items[start : start + chunk_days]
+            stacked = stack_dumps(chunk, "_day")
+            if validate:
+                bad = key_problems(stacked, self.keys + ["_day"]).first()
+                if bad["null_keys"] or bad["duplicate_keys"]:
+                    raise KeyContractError(
+                        f"dumps {chunk[0][0]}..{chunk[-1][0]}: {bad['null_keys']} null key(s), "
+                        f"{bad['duplicate_keys']} duplicated key(s)"
+                    )
+            latest = self.latest_day()
+            base = self.read_snapshot(latest) if latest else None
+            log = build_change_log(stacked, self.keys, days=[d for d, _ in chunk], base=base, day_col="_day")
+            write_change_days(log, self.change_root)
+            for d, _ in chunk:  # days without change get an empty, marked folder
+                self._fs.mark_done(day_dir(self.change_root, d))
+            last_day, last_dump = chunk[-1]
+            write_parquet(last_dump, day_dir(self.snapshot_root, last_day))
+            written += [d for d, _ in chunk]
+        return written
+
     # -- time travel -------------------------------------------------------
     def as_of(self, day) -> DataFrame:
         """The table at the end of ``day``: the nearest snapshot version at or

@@ -116,3 +116,25 @@ def test_change_days_write_keeps_other_days(spark, snaps, tmp_path):
     io.write_change_days(lg.filter(lg.day == day_of(4)), root)
     names = sorted(n for n in os.listdir(root) if n.startswith("day="))
     assert names == [f"day={day_of(d)}" for d in range(N_DAYS)]
+
+
+def test_backfill_in_chunks_then_integrate(spark, snaps, store):
+    from daybook import build_change_log
+
+    assert store.backfill(snaps[:3], chunk_days=2) == [day_of(d) for d in range(3)]
+    for d, dump in snaps[3:]:
+        store.integrate(dump, d)
+    assert store.change_days() == [day_of(d) for d in range(N_DAYS)]
+    want = flatten_changes(build_change_log(snaps, KEY), KEY)
+    assert rows(flatten_changes(store.read_log(), KEY)) == rows(want)
+    for t in range(N_DAYS):
+        assert same_bag(store.as_of(day_of(t)), snaps[t][1])
+
+
+def test_backfill_refuses_overlap_and_bad_keys(spark, snaps, store):
+    store.backfill(snaps[:2])
+    with pytest.raises(ValueError):
+        store.backfill(snaps[1:3])
+    dup = snaps[2][1].unionByName(snaps[2][1].limit(1))
+    with pytest.raises(KeyContractError):
+        store.backfill([(day_of(2), dup)])
