@@ -170,7 +170,12 @@ def build_change_log(
     rows = dumps.select(
         *_kcols(ks),
         content_struct(fields).alias("_row"),
-        (F.array_position(day_array, F.col(day_col)) - 1).cast("int").alias("_i"),
+        F.when(
+            F.array_position(day_array, F.col(day_col)) > 0,
+            (F.array_position(day_array, F.col(day_col)) - 1).cast("int"),
+        )
+        .otherwise(F.raise_error(F.concat(F.lit("dump day not in the day list: "), F.col(day_col).cast("string"))))
+        .alias("_i"),
     )
     if base is not None:
         rows = base.select(*_kcols(ks), content_struct(fields).alias("_row"), F.lit(-1).alias("_i")).unionByName(

@@ -46,16 +46,18 @@ class _Fs:
         path, fs = self._path(p)
         return bool(fs.exists(path))
 
-    def days(self, root: str) -> list[dt.date]:
-        """Days ``D`` with a complete ``root/day=D`` (``_SUCCESS`` present)."""
+    def days(self, root: str, marked: bool = True) -> list[dt.date]:
+        """Days ``D`` with a folder ``root/day=D``; with ``marked`` only those
+        carrying a ``_SUCCESS`` marker (committed)."""
         path, fs = self._path(root)
         if not fs.exists(path):
             return []
         out = []
         for st in fs.listStatus(path):
             name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("day=") and self.exists(f"{root}/{name}/_SUCCESS"):
-                out.append(dt.date.fromisoformat(name[4:]))
+            if st.isDirectory() and name.startswith("day="):
+                if not marked or self.exists(f"{root}/{name}/_SUCCESS"):
+                    out.append(dt.date.fromisoformat(name[4:]))
         return sorted(out)
 
     def delete(self, p: str) -> None:
@@ -116,8 +118,13 @@ class Store:
         return change_log_schema(self.read_snapshot(), self.keys)
 
     def read_log(self, after=None, until=None) -> DataFrame:
-        """The change log (explicit schema, day folders pruned)."""
-        return read_change_log(self.spark, self.change_root, self.log_schema(), after=after, until=until)
+        """The change log (explicit schema, day folders pruned). Day
+        folders without a commit marker (an interrupted write) are skipped."""
+        log = read_change_log(self.spark, self.change_root, self.log_schema(), after=after, until=until)
+        uncommitted = sorted(set(self._fs.days(self.change_root, marked=False)) - set(self.change_days()))
+        if uncommitted:
+            log = log.filter(~F.col("day").isin(uncommitted))
+        return log
 
     # -- daily integration -------------------------------------------------
     def integrate(
@@ -144,6 +151,10 @@ class Store:
         if later:
             raise ValueError(f"{d} is before already integrated day {later[0]}; rebuild from there instead")
         base = [b for b in complete if b < d]
+        folders = self._fs.days(self.change_root, marked=False)
+        dangling = [c for c in folders if c < d and c not in complete and (not base or c > base[-1])]
+        if dangling:
+            raise ValueError(f"days {dangling} were not completed; rerun them before {d}")
 
         snap_dir = day_dir(self.snapshot_root, d)
         snap_obs = Observation("snapshot")
@@ -200,9 +211,9 @@ class Store:
         days = [d for d, _ in items]
         if len(set(days)) != len(days):
             raise ValueError("two dumps for the same day")
-        done = sorted(set(self.change_days()) | set(self.complete_days()))
+        done = self.complete_days()
         if done and days and days[0] <= done[-1]:
-            raise ValueError(f"backfill must start after the latest stored day {done[-1]}")
+            raise ValueError(f"backfill must start after the latest complete day {done[-1]}")
         written = []
         for start in range(0, len(items), max(1, chunk_days)):
             chunk = items[start : start + chunk_days]
@@ -217,6 +228,8 @@ class Store:
             latest = self.latest_day()
             base = self.read_snapshot(latest) if latest else None
             log = build_change_log(stacked, self.keys, days=[d for d, _ in chunk], base=base, day_col="_day")
+            for d, _ in chunk:  # leftovers of an interrupted run of this chunk (our own output, not an input)
+                self._fs.delete(day_dir(self.change_root, d))
             write_change_days(log, self.change_root)
             for d, _ in chunk:  # days without change get an empty, marked folder
                 self._fs.mark_done(day_dir(self.change_root, d))

@@ -98,3 +98,10 @@ def test_hand_made_history(spark):
     for i, r in enumerate(days):
         assert rows(as_of(lg, dt.date(2025, 1, 1 + i), "k")) == sorted(r)
         assert rows(undo_to(dumps[-1][1], lg, dt.date(2025, 1, 1 + i), "k")) == sorted(r)
+
+
+def test_unknown_day_raises(spark, snaps):
+    from pyspark.errors import PySparkException
+
+    with pytest.raises(Exception):
+        build_change_log(snaps, KEY, days=[day_of(0), day_of(1)]).collect()

@@ -138,3 +138,21 @@ def test_backfill_refuses_overlap_and_bad_keys(spark, snaps, store):
     dup = snaps[2][1].unionByName(snaps[2][1].limit(1))
     with pytest.raises(KeyContractError):
         store.backfill([(day_of(2), dup)])
+
+
+def test_interrupted_backfill_chunk_can_be_rerun(spark, snaps, store):
+    from daybook import build_change_log
+
+    store.backfill(snaps[:2])
+    # simulate a crash after the change folders of days 2-3 were written but
+    # before the chunk's snapshot: write a wrong log for those days by hand
+    bogus = build_change_log(snaps[2:4], KEY)  # all INSERTs: wrong for days 2-3
+    from daybook.sources.io import write_change_days
+
+    write_change_days(bogus, store.change_root)
+    with pytest.raises(ValueError):
+        store.integrate(snaps[4][1], day_of(4))  # refuses to build on a dangling range
+    store.backfill(snaps[2:4])
+    store.integrate(snaps[4][1], day_of(4))
+    want = flatten_changes(build_change_log(snaps, KEY), KEY)
+    assert rows(flatten_changes(store.read_log(), KEY)) == rows(want)
