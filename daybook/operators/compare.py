@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.equality import same_content
+from ..functions.equality import content_digest, same_content
 from .diff import _kcols, _paired
 from .schema import as_keys, common_columns, content_fields, require_columns
 
@@ -22,11 +22,13 @@ REMOVED, ADDED, MODIFIED, UNCHANGED = "REMOVED", "ADDED", "MODIFIED", "UNCHANGED
 CLASSES = (REMOVED, ADDED, MODIFIED, UNCHANGED)
 
 
-def compare(a: DataFrame, b: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+def compare(a: DataFrame, b: DataFrame, keys: str | Sequence[str], strategy: str = "struct") -> DataFrame:
     """``<keys>, change, a, b`` for every key of either dump.
 
     Content is compared over the columns both dumps share (B's order).
     ``a``/``b`` are the row structs of each side (null where absent).
+    ``strategy="hash"`` joins ``(key, digest)`` only and returns ``a``/``b``
+    as the digests: for counting, a fraction of the shuffle of whole rows.
     """
     ks = as_keys(keys)
     require_columns(a, ks, "dump A")
@@ -34,13 +36,22 @@ def compare(a: DataFrame, b: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     common = common_columns(a, b)
     a, b = a.select(*[F.col(f"`{c}`") for c in common]), b.select(*[F.col(f"`{c}`") for c in common])
     fields = content_fields(b, ks, ignore=())
-    dtype = T.StructType(fields)
-    j = _paired(a, b, ks, fields)
+    if strategy == "struct":
+        dtype = T.StructType(fields)
+        j = _paired(a, b, ks, fields)
+        same = same_content(F.col("_p"), F.col("_n"), dtype)
+    elif strategy == "hash":
+        pa = a.select(*_kcols(ks), content_digest(fields).alias("_p"))
+        pb = b.select(*_kcols(ks), content_digest(fields).alias("_n"))
+        j = pa.join(pb, on=ks, how="full_outer")
+        same = F.col("_p") == F.col("_n")
+    else:
+        raise ValueError(f"strategy must be 'struct' or 'hash', not {strategy!r}")
     pa, pb = F.col("_p"), F.col("_n")
     change = (
         F.when(pb.isNull(), F.lit(REMOVED))
         .when(pa.isNull(), F.lit(ADDED))
-        .when(same_content(pa, pb, dtype), F.lit(UNCHANGED))
+        .when(same, F.lit(UNCHANGED))
         .otherwise(F.lit(MODIFIED))
     )
     return j.select(*_kcols(ks), change.alias("change"), pa.alias("a"), pb.alias("b"))
@@ -53,17 +64,18 @@ def compare_rows(a: DataFrame, b: DataFrame, keys: str | Sequence[str], change:
     return compare(a, b, ks).filter(F.col("change") == change).select(*_kcols(ks), f"{side}.*")
 
 
-def compare_summary(a: DataFrame, b: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+def compare_summary(a: DataFrame, b: DataFrame, keys: str | Sequence[str], strategy: str = "hash") -> DataFrame:
     """One row of counts, total changes and change rate (% of A).
 
-    ``change_rate`` is null when A is empty; rounded to 2 decimals.
+    ``change_rate`` is null when A is empty; rounded to 2 decimals. Only
+    counts are needed, so by default only ``(key, digest)`` is shuffled.
     """
     c = F.col("change")
 
     def n(cls: str):
         return F.count_if(c == cls).cast("bigint")
 
-    counts = compare(a, b, keys).agg(*[n(cls).alias(cls.lower()) for cls in CLASSES])
+    counts = compare(a, b, keys, strategy).agg(*[n(cls).alias(cls.lower()) for cls in CLASSES])
     rows_a = F.col("removed") + F.col("modified") + F.col("unchanged")
     rows_b = F.col("added") + F.col("modified") + F.col("unchanged")
     total = F.col("removed") + F.col("added") + F.col("modified")

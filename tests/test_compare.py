@@ -50,3 +50,15 @@ def test_rows_and_samples(spark, snaps):
     for c, keys in per.items():
         want = [r[KEY] for r in compare_rows(a, b, KEY, c).orderBy(KEY).limit(5).collect()]
         assert keys == want
+
+
+@pytest.mark.parametrize("strategy", ["struct", "hash"])
+def test_summary_strategies_agree_on_traps(spark, strategy):
+    import datetime as dt
+
+    t1, t2 = dt.datetime(2025, 1, 1, 0, 0, 0, 123456), dt.datetime(2025, 1, 1, 0, 0, 0, 123999)
+    schema = "k string, a int, b int, x double, t timestamp"
+    a = spark.createDataFrame([("s", None, 1, -0.0, t1), ("n", 1, None, 1.0, t1), ("m", 1, 1, 1.0, t1), ("r", 1, 1, 1.0, t1)], schema)
+    b = spark.createDataFrame([("s", None, 1, 0.0, t1), ("n", None, 1, 1.0, t1), ("m", 1, 1, 1.0, t2), ("d", 1, 1, 1.0, t1)], schema)
+    s = compare_summary(a, b, "k", strategy=strategy).first().asDict()
+    assert (s["removed"], s["added"], s["modified"], s["unchanged"]) == (1, 1, 2, 1)
