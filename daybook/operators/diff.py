@@ -94,6 +94,7 @@ def snapshot_diff(
     on_extra: str = "drop",
     cast: bool = False,
     strategy: str = "struct",
+    broadcast_limit: int | None = None,
 ) -> DataFrame:
     """The changes that turn ``prev`` into ``new``, dated ``day``.
 
@@ -104,7 +105,11 @@ def snapshot_diff(
     one full outer join and classifies with one CASE. ``strategy="hash"``
     shuffles only ``(key, 12-byte digest)`` into that join, then classifies the
     rows of the changed keys alone; cheaper for wide rows and low change
-    rates (AQE broadcasts the changed-key set when it is small).
+    rates. Its changed-key set is broadcast only when its measured size is
+    at most ``broadcast_limit`` bytes (default: the session's
+    ``spark.sql.autoBroadcastJoinThreshold``); at 100 TB with ~1% daily
+    change that set is gigabytes, so raise the limit together with driver
+    memory, or keep ``struct``.
     """
     ks = as_keys(keys)
     prev = align_columns(prev, new.schema, on_extra=on_extra, cast=cast)
@@ -112,7 +117,7 @@ def snapshot_diff(
         changes = classify(prev, new, ks).filter(F.col("op").isNotNull())
         return changes.withColumn("day", day_lit(day))
     if strategy == "hash":
-        return _diff_by_digest(prev, new, ks, day)
+        return _diff_by_digest(prev, new, ks, day, broadcast_limit)
     raise ValueError(f"strategy must be 'struct' or 'hash', not {strategy!r}")
 
 
@@ -137,7 +142,7 @@ def _key_bytes(df: DataFrame, ks: list[str]) -> Column:
     return total
 
 
-def _diff_by_digest(prev: DataFrame, new: DataFrame, ks: list[str], day) -> DataFrame:
+def _diff_by_digest(prev: DataFrame, new: DataFrame, ks: list[str], day, broadcast_limit: int | None = None) -> DataFrame:
     """Phase 1 joins ``(key, digest)`` only and keeps the keys whose digest
     differs or is missing on a side; that key set is checkpointed (shared
     checkpoint dir) and measured exactly. Phase 2 classifies only those keys:
@@ -159,7 +164,7 @@ def _diff_by_digest(prev: DataFrame, new: DataFrame, ks: list[str], day) -> Data
     shared_root(spark)  # the checkpoint dir must be the shared one
     changed = changed.checkpoint(eager=True)
     size = changed.agg(F.coalesce(F.sum(_key_bytes(changed, ks)), F.lit(0))).first()[0]
-    if size <= _broadcast_limit(spark):
+    if size <= (broadcast_limit if broadcast_limit is not None else _broadcast_limit(spark)):
         keyset = F.broadcast(changed)
         prev = prev.join(keyset, on=ks, how="left_semi")
         new = new.join(keyset, on=ks, how="left_semi")

@@ -46,19 +46,29 @@ class _Fs:
         path, fs = self._path(p)
         return bool(fs.exists(path))
 
-    def days(self, root: str, marked: bool = True) -> list[dt.date]:
-        """Days ``D`` with a folder ``root/day=D``; with ``marked`` only those
-        carrying a ``_SUCCESS`` marker (committed)."""
+    def day_folders(self, root: str) -> tuple[list[dt.date], list[dt.date]]:
+        """``(all, committed)`` days with a folder ``root/day=D``; committed
+        ones carry a ``_SUCCESS`` marker. One recursive listing (a flat,
+        paginated LIST on object stores), not one request per day."""
         path, fs = self._path(root)
         if not fs.exists(path):
-            return []
-        out = []
-        for st in fs.listStatus(path):
+            return [], []
+        folders, marked = set(), set()
+        for st in fs.listStatus(path):  # day folders (also empty ones)
             name = st.getPath().getName()
             if st.isDirectory() and name.startswith("day="):
-                if not marked or self.exists(f"{root}/{name}/_SUCCESS"):
-                    out.append(dt.date.fromisoformat(name[4:]))
-        return sorted(out)
+                folders.add(dt.date.fromisoformat(name[4:]))
+        files = fs.listFiles(path, True)
+        while files.hasNext():
+            p = files.next().getPath()
+            parent = p.getParent().getName()
+            if p.getName() == "_SUCCESS" and parent.startswith("day="):
+                marked.add(dt.date.fromisoformat(parent[4:]))
+        return sorted(folders), sorted(marked & folders)
+
+    def days(self, root: str, marked: bool = True) -> list[dt.date]:
+        everything, committed = self.day_folders(root)
+        return committed if marked else everything
 
     def delete(self, p: str) -> None:
         path, fs = self._path(p)
@@ -81,9 +91,11 @@ class Store:
         keys: str | Sequence[str],
         keep_snapshot_every: int | None = None,
         strategy: str = "struct",
+        broadcast_limit: int | None = None,
     ):
         self.spark = spark
         self.strategy = strategy
+        self.broadcast_limit = broadcast_limit
         self.root = root.rstrip("/")
         self.keys = as_keys(keys)
         self.keep_snapshot_every = keep_snapshot_every
@@ -92,36 +104,44 @@ class Store:
         self._fs = _Fs(spark)
 
     # -- listing ---------------------------------------------------------
+    def listing(self) -> "Listing":
+        """What is stored, from one listing of each root."""
+        _, snaps = self._fs.day_folders(self.snapshot_root)
+        folders, changes = self._fs.day_folders(self.change_root)
+        return Listing(snaps, changes, folders)
+
     def snapshot_days(self) -> list[dt.date]:
-        return self._fs.days(self.snapshot_root)
+        return self.listing().snapshots
 
     def change_days(self) -> list[dt.date]:
-        return self._fs.days(self.change_root)
+        return self.listing().changes
 
     def complete_days(self) -> list[dt.date]:
         """Days whose snapshot *and* changes were both written."""
-        return sorted(set(self.snapshot_days()) & set(self.change_days()))
+        return self.listing().complete
 
     def latest_day(self) -> dt.date | None:
         days = self.complete_days()
         return days[-1] if days else None
 
     # -- reads -------------------------------------------------------------
-    def read_snapshot(self, day=None) -> DataFrame:
-        """The snapshot version of ``day`` (default: the latest)."""
-        d = to_day(day) if day is not None else self.latest_day()
-        if d is None or d not in self.snapshot_days():
+    def read_snapshot(self, day=None, listing: "Listing | None" = None) -> DataFrame:
+        """The snapshot version of ``day`` (default: the latest complete one)."""
+        ls = listing or self.listing()
+        d = to_day(day) if day is not None else (ls.complete[-1] if ls.complete else None)
+        if d is None or d not in ls.snapshots:
             raise FileNotFoundError(f"no snapshot version for {d} under {self.snapshot_root}")
         return self.spark.read.parquet(day_dir(self.snapshot_root, d))
 
-    def log_schema(self) -> T.StructType:
-        return change_log_schema(self.read_snapshot(), self.keys)
+    def log_schema(self, listing: "Listing | None" = None) -> T.StructType:
+        return change_log_schema(self.read_snapshot(listing=listing), self.keys)
 
-    def read_log(self, after=None, until=None) -> DataFrame:
+    def read_log(self, after=None, until=None, listing: "Listing | None" = None) -> DataFrame:
         """The change log (explicit schema, day folders pruned). Day
         folders without a commit marker (an interrupted write) are skipped."""
-        log = read_change_log(self.spark, self.change_root, self.log_schema(), after=after, until=until)
-        uncommitted = sorted(set(self._fs.days(self.change_root, marked=False)) - set(self.change_days()))
+        ls = listing or self.listing()
+        log = read_change_log(self.spark, self.change_root, self.log_schema(ls), after=after, until=until)
+        uncommitted = sorted(set(ls.change_folders) - set(ls.changes))
         if uncommitted:
             log = log.filter(~F.col("day").isin(uncommitted))
         return log
@@ -146,13 +166,13 @@ class Store:
         Returns the day's counts, observed during the writes (no extra pass).
         """
         d = to_day(day)
-        complete = self.complete_days()
+        ls = self.listing()
+        complete = ls.complete
         later = [b for b in complete if b > d]
         if later:
             raise ValueError(f"{d} is before already integrated day {later[0]}; rebuild from there instead")
         base = [b for b in complete if b < d]
-        folders = self._fs.days(self.change_root, marked=False)
-        dangling = [c for c in folders if c < d and c not in complete and (not base or c > base[-1])]
+        dangling = [c for c in ls.change_folders if c < d and c not in complete and (not base or c > base[-1])]
         if dangling:
             raise ValueError(f"days {dangling} were not completed; rerun them before {d}")
 
@@ -169,7 +189,14 @@ class Store:
         if base:
             prev = self.spark.read.parquet(day_dir(self.snapshot_root, base[-1]))
             changes = snapshot_diff(
-                prev, new, self.keys, d, on_extra=on_extra, cast=cast, strategy=strategy or self.strategy
+                prev,
+                new,
+                self.keys,
+                d,
+                on_extra=on_extra,
+                cast=cast,
+                strategy=strategy or self.strategy,
+                broadcast_limit=self.broadcast_limit,
             )
         else:
             changes = first_load(new, self.keys, d)
@@ -197,7 +224,7 @@ class Store:
             self._fs.delete(day_dir(self.snapshot_root, day))
 
     # -- many days at once -------------------------------------------------
-    def backfill(self, dumps: Sequence[tuple[object, DataFrame]], chunk_days: int = 31, validate: bool = True) -> list[dt.date]:
+    def backfill(self, dumps: Sequence[tuple[object, DataFrame]], chunk_days: int = 7, validate: bool = True) -> list[dt.date]:
         """A05 into the store: integrate many dated dumps, ``chunk_days`` per pass.
 
         Each chunk is one window pass (:func:`build_change_log`) seeded with
@@ -211,7 +238,7 @@ class Store:
         days = [d for d, _ in items]
         if len(set(days)) != len(days):
             raise ValueError("two dumps for the same day")
-        done = self.complete_days()
+        done = self.listing().complete
         if done and days and days[0] <= done[-1]:
             raise ValueError(f"backfill must start after the latest complete day {done[-1]}")
         written = []
@@ -225,8 +252,8 @@ class Store:
                         f"dumps {chunk[0][0]}..{chunk[-1][0]}: {bad['null_keys']} null key(s), "
                         f"{bad['duplicate_keys']} duplicated key(s)"
                     )
-            latest = self.latest_day()
-            base = self.read_snapshot(latest) if latest else None
+            ls = self.listing()
+            base = self.read_snapshot(listing=ls) if ls.complete else None
             log = build_change_log(stacked, self.keys, days=[d for d, _ in chunk], base=base, day_col="_day")
             for d, _ in chunk:  # leftovers of an interrupted run of this chunk (our own output, not an input)
                 self._fs.delete(day_dir(self.change_root, d))
@@ -244,21 +271,33 @@ class Store:
         before it, rolled forward over the changes in between; or, if none
         exists before it, the nearest later version rolled back."""
         t = to_day(day)
-        versions = self.complete_days()
+        ls = self.listing()
+        versions = ls.complete
         earlier = [v for v in versions if v <= t]
         if earlier and earlier[-1] == t:
-            return self.read_snapshot(t)
+            return self.read_snapshot(t, ls)
         if earlier:
             b = earlier[-1]
-            log = self.read_log(after=b, until=t)
-            return as_of(log, t, self.keys, base=self.read_snapshot(b), base_day=b)
+            log = self.read_log(after=b, until=t, listing=ls)
+            return as_of(log, t, self.keys, base=self.read_snapshot(b, ls), base_day=b)
         later = [v for v in versions if v > t]
         if not later:
             raise FileNotFoundError(f"nothing stored under {self.root}")
-        if t < self.change_days()[0]:  # before the first load: the table didn't exist
-            return empty_frame(self.spark, self.read_snapshot(later[0]).schema)
-        return undo_to(self.read_snapshot(later[0]), self.read_log(after=t, until=later[0]), t, self.keys)
+        if t < ls.changes[0]:  # before the first load: the table didn't exist
+            return empty_frame(self.spark, self.read_snapshot(later[0], ls).schema)
+        return undo_to(self.read_snapshot(later[0], ls), self.read_log(after=t, until=later[0], listing=ls), t, self.keys)
 
     def undo_to(self, day) -> DataFrame:
         """Reverse replay from the latest snapshot."""
-        return undo_to(self.read_snapshot(), self.read_log(after=day), day, self.keys)
+        ls = self.listing()
+        return undo_to(self.read_snapshot(listing=ls), self.read_log(after=day, listing=ls), day, self.keys)
+
+
+class Listing:
+    """Committed snapshot days, committed change days and all change folders."""
+
+    def __init__(self, snapshots: list[dt.date], changes: list[dt.date], change_folders: list[dt.date]):
+        self.snapshots = snapshots
+        self.changes = changes
+        self.change_folders = change_folders
+        self.complete = sorted(set(snapshots) & set(changes))
