@@ -42,9 +42,11 @@ def main() -> None:
 
     store = Store(spark, scratch_path(spark, "bench-store"), KEY)
 
+    day_rows: list[int] = []
+
     def integrate_all():
         for d, dump in snapshots(spark, sf_dir):
-            store.integrate(dump, d)
+            day_rows.append(store.integrate(dump, d)["rows"])
 
     timed("daily_integration_5d", integrate_all)
     timed("diff_one_day", lambda: run(snapshot_diff(snapshot(spark, sf_dir, 2), snapshot(spark, sf_dir, 3), KEY, day_of(3))))
@@ -76,6 +78,8 @@ def main() -> None:
                 "unit": "sec",
                 "queries": times,
                 "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
+                "integration_sec_per_day": round(times["daily_integration_5d"] / N_DAYS, 3),
+                "integration_rows_per_day": round(sum(day_rows) / len(day_rows)),
             }
         )
     )
