@@ -164,23 +164,39 @@ def build_change_log(
         raise ValueError("no dump days")
     fields = content_fields(dumps, ks, ignore=(day_col, "op", "before", "after"))
     dtype = T.StructType(fields)
-    day_array = F.array(*[F.lit(d) for d in days])
-    last_i = len(days) - 1
 
-    rows = dumps.select(
+    # The dump calendar: day -> (index, next dump day). One row per dump day,
+    # so broadcasting it is bounded by the number of days; the lookup is a
+    # hash probe per row, not a scan of the day list.
+    calendar = dumps.sparkSession.createDataFrame(
+        [(d, i, days[i + 1] if i + 1 < len(days) else None) for i, d in enumerate(days)],
+        T.StructType(
+            [
+                T.StructField("_day", T.DateType(), False),
+                T.StructField("_i", T.IntegerType(), False),
+                T.StructField("_next", T.DateType(), True),
+            ]
+        ),
+    )
+    dated = dumps.select(*_kcols(ks), content_struct(fields).alias("_row"), F.col(day_col).cast("date").alias("_day"))
+    dated = dated.join(F.broadcast(calendar), on="_day", how="left")
+    unknown = F.raise_error(F.concat(F.lit("dump day not in the day list: "), F.col("_day").cast("string")))
+    rows = dated.select(
         *_kcols(ks),
-        content_struct(fields).alias("_row"),
-        F.when(
-            F.array_position(day_array, F.col(day_col)) > 0,
-            (F.array_position(day_array, F.col(day_col)) - 1).cast("int"),
-        )
-        .otherwise(F.raise_error(F.concat(F.lit("dump day not in the day list: "), F.col(day_col).cast("string"))))
-        .alias("_i"),
+        "_row",
+        "_day",
+        "_next",
+        F.when(F.col("_i").isNotNull(), F.col("_i")).otherwise(unknown.cast("int")).alias("_i"),
     )
     if base is not None:
-        rows = base.select(*_kcols(ks), content_struct(fields).alias("_row"), F.lit(-1).alias("_i")).unionByName(
-            rows
-        )
+        first = F.lit(days[0])
+        rows = base.select(
+            *_kcols(ks),
+            content_struct(fields).alias("_row"),
+            F.lit(None).cast("date").alias("_day"),
+            first.alias("_next"),
+            F.lit(-1).alias("_i"),
+        ).unionByName(rows)
 
     w = Window.partitionBy(*ks).orderBy("_i")
     rows = rows.select(
@@ -196,15 +212,14 @@ def build_change_log(
     def event(op: str, before: Column, after: Column, day: Column) -> Column:
         return F.struct(F.lit(op).alias("op"), before.alias("before"), after.alias("after"), day.alias("day"))
 
-    today = F.element_at(day_array, i + 1)
-    tomorrow = F.element_at(day_array, i + 2)
+    today, tomorrow = F.col("_day"), F.col("_next")
     appears = (
         F.when(i < 0, F.lit(None))
         .when(prev_i.isNull() | (prev_i < i - 1), event(INSERT, no_image, row, today))
         .when(~same_content(prev_row, row, dtype), event(UPDATE, prev_row, row, today))
     )
     vanishes = F.when(
-        (next_i.isNull() & (i < last_i)) | (next_i > i + 1),
+        (next_i.isNull() & tomorrow.isNotNull()) | (next_i > i + 1),
         event(DELETE, row, no_image, tomorrow),
     )
     events = F.filter(F.array(appears, vanishes), lambda e: e.isNotNull())
