@@ -66,3 +66,26 @@ FROM orders
 WHERE (o_orderkey % 10 <> 1 OR {d} >= 1 + CAST(floor(o_orderkey/10) AS BIGINT) % 4)
   AND (o_orderkey % 7 <> 0 OR {d} < 2 + CAST(floor(o_orderkey/7) AS BIGINT) % 3)
   AND NOT (o_orderkey % 11 = 0 AND {d} = 2)"""
+
+
+# -- a wide table: documents (long texts), two dump days --------------------------
+DOC_KEY = "doc_id"
+DOC_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def document_day(documents: DataFrame, d: int) -> DataFrame:
+    """Day 0: every document but the late ones (``doc_id % 89 = 0``).
+    Day 1: late ones arrive, ``doc_id % 97 = 0`` are withdrawn and every
+    50th text is revised (a suffix is appended; the whole text changes)."""
+    k = F.col("doc_id")
+    if d == 0:
+        return documents.filter(k % 89 != 0).select(*DOC_COLUMNS)
+    text = F.when(k % 50 == 0, F.concat(F.col("text"), F.lit(" [rev]"))).otherwise(F.col("text"))
+    return documents.filter(k % 97 != 0).select("doc_id", text.alias("text"), "lang", "source", "n_chars")
+
+
+def document_sql(d: int) -> str:
+    if d == 0:
+        return "SELECT doc_id, text, lang, source, n_chars FROM documents WHERE doc_id % 89 <> 0"
+    return """SELECT doc_id, CASE WHEN doc_id % 50 = 0 THEN concat(text, ' [rev]') ELSE text END AS text,
+       lang, source, n_chars FROM documents WHERE doc_id % 97 <> 0"""

@@ -7,7 +7,7 @@ snapshot fixture text. Output column names equal the DataFrame queries'.
 
 from __future__ import annotations
 
-from .fixtures import N_DAYS, day_of, snapshot_sql
+from .fixtures import N_DAYS, day_of, document_sql, snapshot_sql
 
 KEY = "o_orderkey"
 # Content columns of the derived snapshots and their SQL types (fixed values).
@@ -48,6 +48,23 @@ FROM {snap(a)} p FULL OUTER JOIN {snap(b)} n ON p.{KEY} = n.{KEY}
 WHERE {_changed('p', 'n')}"""
 
 
+# Content columns of the documents fixture and their SQL types (fixed values).
+DOC_CONTENT = {"text": "VARCHAR", "lang": "VARCHAR", "source": "VARCHAR", "n_chars": "BIGINT"}
+
+
+def documents_diff() -> str:
+    """Flattened change rows from documents day 0 to day 1 (whole texts)."""
+    imgs = ", ".join(
+        [f"p.{c} AS before_{c}" for c in DOC_CONTENT] + [f"n.{c} AS after_{c}" for c in DOC_CONTENT]
+    )
+    changed = " OR ".join(["p.doc_id IS NULL", "n.doc_id IS NULL"] + [f"p.{c} IS DISTINCT FROM n.{c}" for c in DOC_CONTENT])
+    return f"""SELECT coalesce(p.doc_id, n.doc_id) AS doc_id,
+       CASE WHEN p.doc_id IS NULL THEN 'INSERT' WHEN n.doc_id IS NULL THEN 'DELETE' ELSE 'UPDATE' END AS op,
+       {imgs}, {_date(1)} AS day
+FROM ({document_sql(0)}) p FULL OUTER JOIN ({document_sql(1)}) n ON p.doc_id = n.doc_id
+WHERE {changed}"""
+
+
 def first_load(d: int) -> str:
     return f"SELECT n.{KEY} AS {KEY}, 'INSERT' AS op, {_images(None, 'n')}, {_date(d)} AS day FROM {snap(d)} n"
 
@@ -162,4 +179,6 @@ FROM n""",
     "integrate_days": full_log(),
     "store_as_of": _plain(2),
     "store_backfill": full_log(),
+    "documents_change_log": documents_diff(),
+    "documents_change_counts": f"SELECT op, count(*) AS count FROM ({documents_diff()}) d GROUP BY op",
 }

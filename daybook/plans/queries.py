@@ -47,7 +47,7 @@ from ..operators.schema import content_fields
 from ..session import scratch_path
 from ..sources import io
 from ..sources.store import Store
-from .fixtures import KEY, day_of, read_table, snapshot, snapshots
+from .fixtures import DOC_KEY, KEY, day_of, document_day, read_table, snapshot, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -270,6 +270,20 @@ def q_store_as_of(spark, sf):
     return store.as_of(day_of(2))
 
 
+# -- a wide table: whole long texts through the digest strategy --------------------
+def _documents_diff(spark, sf, strategy: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents")
+    return snapshot_diff(document_day(docs, 0), document_day(docs, 1), DOC_KEY, day_of(1), strategy=strategy)
+
+
+def q_documents_change_log(spark, sf):
+    return flatten_changes(_documents_diff(spark, sf, "hash"), DOC_KEY)
+
+
+def q_documents_change_counts(spark, sf):
+    return change_counts(_documents_diff(spark, sf, "struct"))
+
+
 QUERIES: dict[str, Query] = {
     "change_counts": q_change_counts,
     "first_load": q_first_load,
@@ -318,4 +332,6 @@ QUERIES: dict[str, Query] = {
     "integrate_days": q_integrate_days,
     "store_as_of": q_store_as_of,
     "store_backfill": q_store_backfill,
+    "documents_change_log": q_documents_change_log,
+    "documents_change_counts": q_documents_change_counts,
 }
