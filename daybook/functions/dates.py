@@ -7,8 +7,6 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DayLike = "dt.date | dt.datetime | str"
-
 
 def to_day(value) -> dt.date:
     """Strict ``yyyy-MM-dd`` parse; ``2025-02-30`` raises ``ValueError``."""

@@ -19,7 +19,6 @@ from ..functions.equality import content_digest, content_struct, same_content
 from .schema import align_columns, as_keys, content_fields, require_columns
 
 INSERT, UPDATE, DELETE = "INSERT", "UPDATE", "DELETE"
-OPS = (INSERT, UPDATE, DELETE)
 
 
 def _kcols(keys: Sequence[str]) -> list[Column]:

@@ -101,7 +101,6 @@ def test_hand_made_history(spark):
 
 
 def test_unknown_day_raises(spark, snaps):
-    from pyspark.errors import PySparkException
 
     with pytest.raises(Exception):
         build_change_log(snaps, KEY, days=[day_of(0), day_of(1)]).collect()

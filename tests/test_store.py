@@ -1,11 +1,9 @@
 """The stored table: daily integration, reruns, time travel, sources."""
 
-import datetime as dt
 import os
 
 import pytest
 from conftest import SF001, rows, same_bag
-from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 
 from daybook import KeyContractError, flatten_changes
