@@ -27,7 +27,7 @@ from ..operators.diff import DELETE, INSERT, UPDATE, change_log_schema, first_lo
 from ..operators.keys import normalize_key, require_valid_key
 from ..operators.keys import KeyContractError, key_problems
 from ..operators.replay import as_of, build_change_log, stack_dumps, undo_to
-from ..operators.schema import as_keys
+from ..operators.schema import align_columns, as_keys
 from .io import day_dir, empty_frame, read_change_log, write_change_days, write_parquet
 
 
@@ -268,26 +268,33 @@ class Store:
         return written
 
     # -- time travel -------------------------------------------------------
+    def _current(self, df: DataFrame, ls: "Listing") -> DataFrame:
+        """``df`` in the store's current schema (the latest snapshot's): a
+        column dropped since is dropped, one added since is null (P04)."""
+        return align_columns(df, self.read_snapshot(listing=ls).schema, on_extra="drop", cast=True)
+
     def as_of(self, day) -> DataFrame:
-        """The table at the end of ``day``: the nearest snapshot version at or
-        before it, rolled forward over the changes in between; or, if none
-        exists before it, the nearest later version rolled back."""
+        """The table at the end of ``day``, in the store's current schema: the
+        nearest snapshot version at or before it, rolled forward over the
+        changes in between; or, if none exists before it, the nearest later
+        version rolled back."""
         t = to_day(day)
         ls = self.listing()
         versions = ls.complete
         earlier = [v for v in versions if v <= t]
         if earlier and earlier[-1] == t:
-            return self.read_snapshot(t, ls)
+            return self._current(self.read_snapshot(t, ls), ls)
         if earlier:
             b = earlier[-1]
             log = self.read_log(after=b, until=t, listing=ls)
-            return as_of(log, t, self.keys, base=self.read_snapshot(b, ls), base_day=b)
+            return as_of(log, t, self.keys, base=self._current(self.read_snapshot(b, ls), ls), base_day=b)
         later = [v for v in versions if v > t]
         if not later:
             raise FileNotFoundError(f"nothing stored under {self.root}")
+        latest = self._current(self.read_snapshot(later[0], ls), ls)
         if t < ls.changes[0]:  # before the first load: the table didn't exist
-            return empty_frame(self.spark, self.read_snapshot(later[0], ls).schema)
-        return undo_to(self.read_snapshot(later[0], ls), self.read_log(after=t, until=later[0], listing=ls), t, self.keys)
+            return empty_frame(self.spark, latest.schema)
+        return undo_to(latest, self.read_log(after=t, until=later[0], listing=ls), t, self.keys)
 
     def undo_to(self, day) -> DataFrame:
         """Reverse replay from the latest snapshot."""
