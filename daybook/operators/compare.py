@@ -16,23 +16,31 @@ from pyspark.sql import types as T
 
 from ..functions.equality import content_digest, same_content
 from .diff import _kcols, _paired
+from .keys import require_valid_keys
 from .schema import as_keys, common_columns, content_fields, require_columns
 
 REMOVED, ADDED, MODIFIED, UNCHANGED = "REMOVED", "ADDED", "MODIFIED", "UNCHANGED"
 CLASSES = (REMOVED, ADDED, MODIFIED, UNCHANGED)
 
 
-def compare(a: DataFrame, b: DataFrame, keys: str | Sequence[str], strategy: str = "struct") -> DataFrame:
+def compare(
+    a: DataFrame, b: DataFrame, keys: str | Sequence[str], strategy: str = "struct", validate: bool = True
+) -> DataFrame:
     """``<keys>, change, a, b`` for every key of either dump.
 
     Content is compared over the columns both dumps share (B's order).
     ``a``/``b`` are the row structs of each side (null where absent).
     ``strategy="hash"`` joins ``(key, digest)`` only and returns ``a``/``b``
     as the digests: for counting, a fraction of the shuffle of whole rows.
+    Keys must be non-null and unique in each dump; ``validate`` (default)
+    checks that first in one key-only job (a duplicated key would otherwise
+    pair all its copies in the join).
     """
     ks = as_keys(keys)
     require_columns(a, ks, "dump A")
     require_columns(b, ks, "dump B")
+    if validate:
+        require_valid_keys({"dump A": a, "dump B": b}, ks)
     common = common_columns(a, b)
     a, b = a.select(*[F.col(f"`{c}`") for c in common]), b.select(*[F.col(f"`{c}`") for c in common])
     fields = content_fields(b, ks, ignore=())
@@ -57,14 +65,18 @@ def compare(a: DataFrame, b: DataFrame, keys: str | Sequence[str], strategy: str
     return j.select(*_kcols(ks), change.alias("change"), pa.alias("a"), pb.alias("b"))
 
 
-def compare_rows(a: DataFrame, b: DataFrame, keys: str | Sequence[str], change: str) -> DataFrame:
+def compare_rows(
+    a: DataFrame, b: DataFrame, keys: str | Sequence[str], change: str, validate: bool = True
+) -> DataFrame:
     """Plain rows of one class: A's version for REMOVED, B's otherwise."""
     ks = as_keys(keys)
     side = "a" if change == REMOVED else "b"
-    return compare(a, b, ks).filter(F.col("change") == change).select(*_kcols(ks), f"{side}.*")
+    return compare(a, b, ks, validate=validate).filter(F.col("change") == change).select(*_kcols(ks), f"{side}.*")
 
 
-def compare_summary(a: DataFrame, b: DataFrame, keys: str | Sequence[str], strategy: str = "hash") -> DataFrame:
+def compare_summary(
+    a: DataFrame, b: DataFrame, keys: str | Sequence[str], strategy: str = "hash", validate: bool = True
+) -> DataFrame:
     """One row of counts, total changes and change rate (% of A).
 
     ``change_rate`` is null when A is empty; rounded to 2 decimals. Only
@@ -75,7 +87,7 @@ def compare_summary(a: DataFrame, b: DataFrame, keys: str | Sequence[str], strat
     def n(cls: str):
         return F.count_if(c == cls).cast("bigint")
 
-    counts = compare(a, b, keys, strategy).agg(*[n(cls).alias(cls.lower()) for cls in CLASSES])
+    counts = compare(a, b, keys, strategy, validate).agg(*[n(cls).alias(cls.lower()) for cls in CLASSES])
     rows_a = F.col("removed") + F.col("modified") + F.col("unchanged")
     rows_b = F.col("added") + F.col("modified") + F.col("unchanged")
     total = F.col("removed") + F.col("added") + F.col("modified")
@@ -92,14 +104,16 @@ def compare_summary(a: DataFrame, b: DataFrame, keys: str | Sequence[str], strat
     )
 
 
-def compare_samples(a: DataFrame, b: DataFrame, keys: str | Sequence[str], n: int = 5) -> DataFrame:
+def compare_samples(
+    a: DataFrame, b: DataFrame, keys: str | Sequence[str], n: int = 5, validate: bool = True
+) -> DataFrame:
     """Up to ``n`` rows (smallest keys) of REMOVED, ADDED and MODIFIED.
 
     Each class is its own top-k (bounded per task), never a window over a
     whole class; the three branches share the join's shuffle.
     """
     ks = as_keys(keys)
-    c = compare(a, b, ks)
+    c = compare(a, b, ks, validate=validate)
     fields = c.schema["b"].dataType.fields
     # Every branch reads both sides, so all three plan the same join inputs
     # and the side shuffles are done once (ReusedExchange).

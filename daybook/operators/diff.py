@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.dates import day_lit
 from ..functions.equality import content_digest, content_struct, same_content
+from .keys import require_valid_keys
 from .schema import align_columns, as_keys, content_fields, require_columns
 
 INSERT, UPDATE, DELETE = "INSERT", "UPDATE", "DELETE"
@@ -94,11 +95,14 @@ def snapshot_diff(
     cast: bool = False,
     strategy: str = "struct",
     broadcast_limit: int | None = None,
+    validate: bool = True,
 ) -> DataFrame:
     """The changes that turn ``prev`` into ``new``, dated ``day``.
 
     ``prev`` is first aligned to ``new``'s columns (P04). Keys must be
-    non-null and unique on both sides (see ``keys.require_valid_key``).
+    non-null and unique on both sides: with ``validate`` (default) that is
+    checked first, in one key-only job, and a violation raises
+    ``KeyContractError`` (pass ``False`` for inputs already checked).
 
     ``strategy="struct"`` (default) shuffles each side once, whole rows, into
     one full outer join and classifies with one CASE. ``strategy="hash"``
@@ -112,6 +116,8 @@ def snapshot_diff(
     """
     ks = as_keys(keys)
     prev = align_columns(prev, new.schema, on_extra=on_extra, cast=cast)
+    if validate:
+        require_valid_keys({"previous snapshot": prev, "new dump": new}, ks)
     if strategy == "struct":
         changes = classify(prev, new, ks).filter(F.col("op").isNotNull())
         return changes.withColumn("day", day_lit(day))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,9 +45,36 @@ def key_problems(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
 
 def require_valid_key(df: DataFrame, keys: str | Sequence[str], what: str = "dump") -> None:
     """Raise :class:`KeyContractError` if any key is null or duplicated."""
-    row = key_problems(df, keys).first()
-    if row["null_keys"] or row["duplicate_keys"]:
-        raise KeyContractError(
-            f"{what}: {row['null_keys']} row(s) with a null key and "
-            f"{row['duplicate_keys']} duplicated key(s) for {as_keys(keys)}"
+    require_valid_keys({what: df}, keys)
+
+
+def require_valid_keys(
+    frames: Mapping[str, DataFrame], keys: str | Sequence[str], within: Sequence[str] = ()
+) -> None:
+    """The key contract for several frames at once, in one job: the key
+    columns of all frames, tagged by frame, counted per key (combined
+    map-side, so a key repeated across a third of the rows collapses before
+    the shuffle), then summarized per frame. ``within`` columns (e.g. the
+    dump day) scope uniqueness without being null-checked. Runs before any
+    join on the key, so a bad input never reaches a join that would pair
+    its copies."""
+    ks, scope = as_keys(keys), list(within)
+    names = list(frames)
+    tagged = [
+        frames[n].select(F.lit(i).alias("_frame"), *[F.col(f"`{c}`") for c in scope + ks]) for i, n in enumerate(names)
+    ]
+    stacked = functools.reduce(lambda a, b: a.unionByName(b), tagged)
+    any_null = functools.reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in ks])
+    per_key = stacked.groupBy("_frame", *scope, *ks).agg(F.count(F.lit(1)).alias("_n"))
+    summary = (
+        per_key.groupBy("_frame")
+        .agg(
+            F.sum(F.when(any_null, F.col("_n")).otherwise(0)).alias("null_keys"),
+            F.sum(F.when(~any_null & (F.col("_n") > 1), 1).otherwise(0)).alias("duplicate_keys"),
         )
+        .filter((F.col("null_keys") > 0) | (F.col("duplicate_keys") > 0))
+        .collect()  # at most one row per frame
+    )
+    if summary:
+        parts = [f"{names[r['_frame']]}: {r['null_keys']} row(s) with a null key, {r['duplicate_keys']} duplicated key(s)" for r in summary]
+        raise KeyContractError(f"key {ks} must be non-null and unique; " + "; ".join(parts))

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from ..functions.dates import day_lit, to_day
 from ..functions.equality import content_struct, same_content
 from .diff import DELETE, INSERT, UPDATE
+from .keys import require_valid_keys
 from .schema import as_keys, content_fields, require_columns
 
 
@@ -136,6 +137,7 @@ def build_change_log(
     days: Sequence | None = None,
     base: DataFrame | None = None,
     day_col: str = "day",
+    validate: bool = True,
 ) -> DataFrame:
     """The change log of many consecutive dumps in one pass.
 
@@ -149,7 +151,9 @@ def build_change_log(
     (``lag``) gives INSERT (absent the day before) or UPDATE (content
     changed); the next appearance (``lead``) gives a DELETE on the day after
     the last day the key was seen. One hash exchange on the keys; a key has
-    at most one row per dump, so no window group outgrows the number of days.
+    at most one row per dump, so no window group outgrows the number of days
+    -- which ``validate`` (default) checks first: keys non-null and unique
+    per day (and in ``base``), in one key-only job.
     """
     ks = as_keys(keys)
     if not isinstance(dumps, DataFrame):
@@ -164,6 +168,11 @@ def build_change_log(
         raise ValueError("no dump days")
     fields = content_fields(dumps, ks, ignore=(day_col, "op", "before", "after"))
     dtype = T.StructType(fields)
+    if validate:
+        frames = {"dumps": dumps.select(*_kcols(ks), F.col(day_col).cast("date").alias("_d"))}
+        if base is not None:
+            frames["base"] = base.select(*_kcols(ks), F.lit(None).cast("date").alias("_d"))
+        require_valid_keys(frames, ks, within=["_d"])
 
     # The dump calendar: day -> (index, next dump day). One row per dump day,
     # so broadcasting it is bounded by the number of days; the lookup is a

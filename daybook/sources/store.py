@@ -199,6 +199,7 @@ class Store:
                 cast=cast,
                 strategy=strategy or self.strategy,
                 broadcast_limit=self.broadcast_limit,
+                validate=False,  # new: checked above; prev: checked on its own day
             )
         else:
             changes = first_load(new, self.keys, d)
@@ -256,7 +257,9 @@ class Store:
                     )
             ls = self.listing()
             base = self.read_snapshot(listing=ls) if ls.complete else None
-            log = build_change_log(stacked, self.keys, days=[d for d, _ in chunk], base=base, day_col="_day")
+            log = build_change_log(
+                stacked, self.keys, days=[d for d, _ in chunk], base=base, day_col="_day", validate=False
+            )
             for d, _ in chunk:  # leftovers of an interrupted run of this chunk (our own output, not an input)
                 self._fs.delete(day_dir(self.change_root, d))
             write_change_days(log, self.change_root)

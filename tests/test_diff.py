@@ -157,3 +157,20 @@ def test_composite_key(spark):
 def test_bad_day_raises(spark, snaps):
     with pytest.raises(ValueError):
         snapshot_diff(snaps[0][1], snaps[1][1], KEY, "2025-02-30")
+
+
+def test_hot_duplicate_key_is_refused_before_any_join(spark, snaps):
+    """A third of the rows share one key: the one key-only job (combined
+    map-side) raises; no join pairs the copies."""
+    from daybook import KeyContractError, build_change_log, compare_summary
+
+    hot = snaps[1][1].withColumn(KEY, F.when(F.col(KEY) % 3 == 0, F.lit(-1)).otherwise(F.col(KEY)))
+    with pytest.raises(KeyContractError, match="new dump"):
+        snapshot_diff(snaps[0][1], hot, KEY, day_of(1))
+    with pytest.raises(KeyContractError, match="dump B"):
+        compare_summary(snaps[0][1], hot, KEY)
+    with pytest.raises(KeyContractError):
+        build_change_log([(day_of(0), snaps[0][1]), (day_of(1), hot)], KEY)
+    nulls = snaps[1][1].withColumn(KEY, F.when(F.col(KEY) % 3 == 0, F.lit(None)).otherwise(F.col(KEY)))
+    with pytest.raises(KeyContractError, match="null key"):
+        snapshot_diff(nulls, snaps[1][1], KEY, day_of(1))
