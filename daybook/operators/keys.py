@@ -66,6 +66,8 @@ def require_valid_keys(
     stacked = functools.reduce(lambda a, b: a.unionByName(b), tagged)
     any_null = functools.reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in ks])
     per_key = stacked.groupBy("_frame", *scope, *ks).agg(F.count(F.lit(1)).alias("_n"))
+    if per_key.filter(any_null | (F.col("_n") > 1)).isEmpty():  # the common case: one probe
+        return
     summary = (
         per_key.groupBy("_frame")
         .agg(
