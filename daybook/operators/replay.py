@@ -177,15 +177,12 @@ def build_change_log(
     # The dump calendar: day -> (index, next dump day). One row per dump day,
     # so broadcasting it is bounded by the number of days; the lookup is a
     # hash probe per row, not a scan of the day list.
-    calendar = dumps.sparkSession.createDataFrame(
-        [(d, i, days[i + 1] if i + 1 < len(days) else None) for i, d in enumerate(days)],
-        T.StructType(
-            [
-                T.StructField("_day", T.DateType(), False),
-                T.StructField("_i", T.IntegerType(), False),
-                T.StructField("_next", T.DateType(), True),
-            ]
-        ),
+    day_array = F.array(*[F.lit(d) for d in days])
+    idx = F.col("id").cast("int")
+    calendar = dumps.sparkSession.range(len(days), numPartitions=1).select(
+        F.element_at(day_array, idx + 1).alias("_day"),
+        idx.alias("_i"),
+        F.when(idx + 1 < len(days), F.element_at(day_array, F.least(idx + 2, F.lit(len(days))))).alias("_next"),
     )
     dated = dumps.select(*_kcols(ks), content_struct(fields).alias("_row"), F.col(day_col).cast("date").alias("_day"))
     dated = dated.join(F.broadcast(calendar), on="_day", how="left")
@@ -231,6 +228,6 @@ def build_change_log(
         (next_i.isNull() & tomorrow.isNotNull()) | (next_i > i + 1),
         event(DELETE, row, no_image, tomorrow),
     )
-    events = F.filter(F.array(appears, vanishes), lambda e: e.isNotNull())
+    events = F.array_compact(F.array(appears, vanishes))
     out = rows.select(*_kcols(ks), F.explode(events).alias("_e"))
     return out.select(*_kcols(ks), "_e.op", "_e.before", "_e.after", "_e.day")
