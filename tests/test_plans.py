@@ -34,3 +34,18 @@ def test_store_reads_prune_days(spark, tmp_path):
         st.integrate(dump, d)
     text = st.read_log(after=day_of(2)).select(KEY)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[isnotnull\(day#\d+\), \(day#\d+ > 2025-01-03\)\]", text), text
+
+
+def test_replay_reads_the_change_window_once(spark, tmp_path):
+    st = Store(spark, str(tmp_path / "s"), KEY)
+    st.backfill(snapshots(spark, "/root/testdata/sf0.001"), chunk_days=5)
+    for df in (st.undo_to(day_of(1)), st.as_of(day_of(2))):
+        df.collect()  # runs this frame's own plan, so the AQE final plan is shown (sf0.001)
+        text = plan(df)
+        assert text.count("ReusedExchange") == 1, text
+        assert len(re.findall(r"FileScan parquet [^\n]*changes", text)) <= 1, text
+        lines = text.splitlines()
+        for i, line in enumerate(lines):  # no map-side partial aggregate below a shuffle
+            if "Exchange hashpartitioning" in line:
+                below = next((lines[i:j] for j in range(i, len(lines)) if "FileScan" in lines[j]), lines[i:])
+                assert not any("partial_" in b for b in below), text
