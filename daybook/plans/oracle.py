@@ -179,6 +179,7 @@ FROM n""",
     "integrate_days": full_log(),
     "store_as_of": _plain(2),
     "store_backfill": full_log(),
+    "store_bucketed": full_log(),
     "documents_change_log": documents_diff(),
     "documents_change_counts": f"SELECT op, count(*) AS count FROM ({documents_diff()}) d GROUP BY op",
 }

@@ -257,6 +257,14 @@ def q_integrate_days(spark, sf):
     return flatten_changes(store.read_log(), KEY)
 
 
+def q_store_bucketed(spark, sf):
+    """A04 with bucketed snapshot versions: diffs and key checks without shuffle."""
+    store = Store(spark, scratch_path(spark, "store"), KEY, buckets=8)
+    for d, dump in snapshots(spark, sf):
+        store.integrate(dump, d)
+    return flatten_changes(store.read_log(), KEY)
+
+
 def q_store_backfill(spark, sf):
     store = Store(spark, scratch_path(spark, "store"), KEY)
     store.backfill(snapshots(spark, sf), chunk_days=2)
@@ -332,6 +340,7 @@ QUERIES: dict[str, Query] = {
     "integrate_days": q_integrate_days,
     "store_as_of": q_store_as_of,
     "store_backfill": q_store_backfill,
+    "store_bucketed": q_store_bucketed,
     "documents_change_log": q_documents_change_log,
     "documents_change_counts": q_documents_change_counts,
 }

@@ -11,11 +11,20 @@ before ``D``, so rerunning a day is idempotent and a crash between the two
 writes is repaired by rerunning that day. Nothing ever overwrites a path it
 reads from: a new snapshot is a new folder, and old versions are pruned only
 after the next day is complete (``keep_snapshot_every``).
+
+With ``buckets=N`` every snapshot version is written bucketed by the key
+into ``N`` files (and a ``_BUCKETS_N`` marker). Two bucketed versions then
+diff with no shuffle at all, and the key check is a per-bucket aggregate:
+each day shuffles only its own dump, once, while writing it -- the previous
+snapshot is never shuffled again. Unique keys hash evenly, so buckets don't
+skew; pick ``N`` so that one bucket of the snapshot is a few hundred MB.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -31,6 +40,16 @@ from ..operators.schema import align_columns, as_keys
 from .io import day_dir, empty_frame, read_change_log, write_change_days, write_parquet
 
 
+# Fixed value: the marker file naming a bucketed snapshot's bucket count. It
+# starts with "_" and has no "=", so Spark's file listing never reads it.
+BUCKET_MARK = re.compile(r"_BUCKETS_(\d+)")
+
+
+def _catalog_name(path: str) -> str:
+    """A name for the transient catalog entry of a bucketed snapshot folder."""
+    return "daybook_snapshot_" + hashlib.sha1(path.encode()).hexdigest()[:24]
+
+
 class _Fs:
     """Directory listing and markers through the session's Hadoop FileSystem."""
 
@@ -48,12 +67,19 @@ class _Fs:
 
     def day_folders(self, root: str) -> tuple[list[dt.date], list[dt.date]]:
         """``(all, committed)`` days with a folder ``root/day=D``; committed
-        ones carry a ``_SUCCESS`` marker. One recursive listing (a flat,
-        paginated LIST on object stores), not one request per day."""
+        ones carry a ``_SUCCESS`` marker."""
+        folders, committed, _ = self.scan(root)
+        return folders, committed
+
+    def scan(self, root: str) -> tuple[list[dt.date], list[dt.date], dict[dt.date, int]]:
+        """``(all, committed, buckets)`` for the day folders under ``root``:
+        ``buckets`` maps a day to the bucket count its ``_BUCKETS_N`` marker
+        names. One recursive listing (a flat, paginated LIST on object
+        stores), not one request per day."""
         path, fs = self._path(root)
         if not fs.exists(path):
-            return [], []
-        folders, marked = set(), set()
+            return [], [], {}
+        folders, marked, buckets = set(), set(), {}
         for st in fs.listStatus(path):  # day folders (also empty ones)
             name = st.getPath().getName()
             if st.isDirectory() and name.startswith("day="):
@@ -62,9 +88,13 @@ class _Fs:
         while files.hasNext():
             p = files.next().getPath()
             parent = p.getParent().getName()
-            if p.getName() == "_SUCCESS" and parent.startswith("day="):
+            if not parent.startswith("day="):
+                continue
+            if p.getName() == "_SUCCESS":
                 marked.add(dt.date.fromisoformat(parent[4:]))
-        return sorted(folders), sorted(marked & folders)
+            elif m := BUCKET_MARK.fullmatch(p.getName()):
+                buckets[dt.date.fromisoformat(parent[4:])] = int(m.group(1))
+        return sorted(folders), sorted(marked & folders), buckets
 
     def days(self, root: str, marked: bool = True) -> list[dt.date]:
         everything, committed = self.day_folders(root)
@@ -74,6 +104,10 @@ class _Fs:
         path, fs = self._path(p)
         fs.delete(path, True)
 
+    def touch(self, file: str) -> None:
+        path, fs = self._path(file)
+        fs.create(path, True).close()
+
     def mark_done(self, directory: str) -> None:
         """Create ``directory/_SUCCESS`` (and the directory if it is new)."""
         path, fs = self._path(directory)
@@ -92,8 +126,12 @@ class Store:
         keep_snapshot_every: int | None = None,
         strategy: str = "struct",
         broadcast_limit: int | None = None,
+        buckets: int | None = None,
     ):
+        if buckets is not None and buckets < 1:
+            raise ValueError("buckets must be a positive number")
         self.spark = spark
+        self.buckets = buckets
         self.strategy = strategy
         self.broadcast_limit = broadcast_limit
         self.root = root.rstrip("/")
@@ -106,9 +144,9 @@ class Store:
     # -- listing ---------------------------------------------------------
     def listing(self) -> "Listing":
         """What is stored, from one listing of each root."""
-        _, snaps = self._fs.day_folders(self.snapshot_root)
+        _, snaps, buckets = self._fs.scan(self.snapshot_root)
         folders, changes = self._fs.day_folders(self.change_root)
-        return Listing(snaps, changes, folders)
+        return Listing(snaps, changes, folders, buckets)
 
     def snapshot_days(self) -> list[dt.date]:
         return self.listing().snapshots
@@ -131,7 +169,58 @@ class Store:
         d = to_day(day) if day is not None else (ls.complete[-1] if ls.complete else None)
         if d is None or d not in ls.snapshots:
             raise FileNotFoundError(f"no snapshot version for {d} under {self.snapshot_root}")
-        return self.spark.read.parquet(day_dir(self.snapshot_root, d))
+        return self._snapshot_frame(day_dir(self.snapshot_root, d), ls.buckets.get(d))
+
+    def _snapshot_frame(self, path: str, buckets: int | None) -> DataFrame:
+        """One snapshot folder; a bucketed one is read as a bucketed relation
+        (so joins and groupings on the key need no shuffle). Its catalog
+        entry is transient: registered, resolved, dropped -- the frame keeps
+        the relation, the catalog keeps nothing, the files stay."""
+        if not buckets:
+            return self.spark.read.parquet(path)
+        schema = self.spark.read.parquet(path).schema  # footer of one file
+        name = _catalog_name(path)
+        self._forget(name)
+        keys = ", ".join(f"`{k}`" for k in self.keys)
+        location = path.replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(
+            f"CREATE TABLE {name} ({schema.toDDL()}) USING parquet "
+            f"CLUSTERED BY ({keys}) INTO {int(buckets)} BUCKETS LOCATION '{location}'"
+        )
+        try:
+            return self.spark.table(name)
+        finally:
+            self._forget(name)
+
+    def _forget(self, name: str) -> None:
+        """Drop a transient catalog entry (external: its files are kept)."""
+        if self.spark.catalog.tableExists(name):
+            kind = self.spark.catalog.getTable(name).tableType
+            if kind != "EXTERNAL":
+                raise RuntimeError(f"catalog table {name} is {kind}, not a snapshot registration")
+            self.spark.sql(f"DROP TABLE {name}")
+
+    def _write_snapshot(self, df: DataFrame, day) -> str:
+        """Write the snapshot version of ``day``; bucketed by the key
+        into ``buckets`` files when the store is bucketed (one shuffle of
+        ``df``, which later diffs and key checks then never repeat)."""
+        path = day_dir(self.snapshot_root, day)
+        if not self.buckets:
+            write_parquet(df, path)
+            return path
+        self._fs.delete(path)  # an earlier run of this same day: our own output, never an input
+        name = _catalog_name(path)
+        self._forget(name)
+        (
+            df.repartition(self.buckets, *[F.col(f"`{k}`") for k in self.keys])
+            .write.bucketBy(self.buckets, *self.keys)
+            .sortBy(*self.keys)
+            .option("path", path)
+            .saveAsTable(name)
+        )
+        self._forget(name)
+        self._fs.touch(f"{path}/_BUCKETS_{self.buckets}")
+        return path
 
     def log_schema(self, listing: "Listing | None" = None) -> T.StructType:
         return change_log_schema(self.read_snapshot(listing=listing), self.keys)
@@ -178,10 +267,12 @@ class Store:
         if dangling:
             raise ValueError(f"days {dangling} were not completed; rerun them before {d}")
 
-        snap_dir = day_dir(self.snapshot_root, d)
         snap_obs = Observation("snapshot")
-        write_parquet(dump.observe(snap_obs, F.count(F.lit(1)).alias("rows")), snap_dir)
-        new = self.spark.read.schema(dump.schema).parquet(snap_dir)  # schema known: no footer job
+        snap_dir = self._write_snapshot(dump.observe(snap_obs, F.count(F.lit(1)).alias("rows")), d)
+        if self.buckets:
+            new = self._snapshot_frame(snap_dir, self.buckets)
+        else:
+            new = self.spark.read.schema(dump.schema).parquet(snap_dir)  # schema known: no footer job
         if validate:
             try:
                 require_valid_key(new, self.keys, f"dump of {d}")
@@ -189,7 +280,7 @@ class Store:
                 self._fs.delete(snap_dir)
                 raise
         if base:
-            prev = self.spark.read.parquet(day_dir(self.snapshot_root, base[-1]))
+            prev = self.read_snapshot(base[-1], ls)
             changes = snapshot_diff(
                 prev,
                 new,
@@ -266,7 +357,7 @@ class Store:
             for d, _ in chunk:  # days without change get an empty, marked folder
                 self._fs.mark_done(day_dir(self.change_root, d))
             last_day, last_dump = chunk[-1]
-            write_parquet(last_dump, day_dir(self.snapshot_root, last_day))
+            self._write_snapshot(last_dump, last_day)
             written += [d for d, _ in chunk]
         return written
 
@@ -308,8 +399,15 @@ class Store:
 class Listing:
     """Committed snapshot days, committed change days and all change folders."""
 
-    def __init__(self, snapshots: list[dt.date], changes: list[dt.date], change_folders: list[dt.date]):
+    def __init__(
+        self,
+        snapshots: list[dt.date],
+        changes: list[dt.date],
+        change_folders: list[dt.date],
+        buckets: dict[dt.date, int] | None = None,
+    ):
         self.snapshots = snapshots
         self.changes = changes
         self.change_folders = change_folders
+        self.buckets = buckets or {}
         self.complete = sorted(set(snapshots) & set(changes))
