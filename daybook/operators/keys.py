@@ -48,25 +48,43 @@ def require_valid_key(df: DataFrame, keys: str | Sequence[str], what: str = "dum
     require_valid_keys({what: df}, keys)
 
 
-def require_valid_keys(
+def _any_null(ks: Sequence[str]):
+    return functools.reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in ks])
+
+
+def offending_keys(
     frames: Mapping[str, DataFrame], keys: str | Sequence[str], within: Sequence[str] = ()
-) -> None:
-    """The key contract for several frames at once, in one job: the key
-    columns of all frames, tagged by frame, counted per key (combined
-    map-side, so a key repeated across a third of the rows collapses before
-    the shuffle), then summarized per frame. ``within`` columns (e.g. the
-    dump day) scope uniqueness without being null-checked. Runs before any
-    join on the key, so a bad input never reaches a join that would pair
-    its copies."""
+) -> DataFrame:
+    """``_frame, <keys>, _n`` for every null or repeated key of each frame
+    (``_frame`` is the frame's position in ``frames``). Each frame is
+    counted on its own, so its partitioning is kept (see below)."""
     ks, scope = as_keys(keys), list(within)
-    names = list(frames)
-    tagged = [
-        frames[n].select(F.lit(i).alias("_frame"), *[F.col(f"`{c}`") for c in scope + ks]) for i, n in enumerate(names)
+    any_null = _any_null(ks)
+    offending = [
+        df.groupBy(*[F.col(f"`{c}`") for c in scope + ks])
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(any_null | (F.col("_n") > 1))
+        .select(F.lit(i).alias("_frame"), *[F.col(f"`{k}`") for k in ks], "_n")
+        for i, df in enumerate(frames.values())
     ]
-    stacked = functools.reduce(lambda a, b: a.unionByName(b), tagged)
-    any_null = functools.reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in ks])
-    per_key = stacked.groupBy("_frame", *scope, *ks).agg(F.count(F.lit(1)).alias("_n"))
-    if per_key.filter(any_null | (F.col("_n") > 1)).isEmpty():  # the common case: one probe
+    return functools.reduce(lambda a, b: a.unionByName(b), offending)
+
+
+def require_valid_keys(
+    frames: Mapping[str, DataFrame], keys: str | Sequence[str], within: Sequence[str] = ()
+) -> None:
+    """The key contract for several frames at once, in one job: each
+    frame's key columns counted per key (combined map-side, so a key
+    repeated across a third of the rows collapses before the shuffle; no
+    shuffle at all for a frame already partitioned by the key, such as a
+    bucketed snapshot), then only the offending keys of all frames, tagged
+    by frame, summarized. ``within`` columns (e.g. the dump day) scope
+    uniqueness without being null-checked. Runs before any join on the key,
+    so a bad input never reaches a join that would pair its copies."""
+    ks, names = as_keys(keys), list(frames)
+    any_null = _any_null(ks)
+    per_key = offending_keys(frames, ks, within)
+    if per_key.isEmpty():  # the common case: one probe
         return
     summary = (
         per_key.groupBy("_frame")

@@ -207,7 +207,8 @@ def test_bucketed_store_equals_plain_store(spark, snaps, tmp_path):
 
 
 def test_bucketed_versions_diff_and_check_keys_without_shuffle(spark, snaps, tmp_path):
-    from daybook import key_problems, snapshot_diff
+    from daybook import compare, key_problems, snapshot_diff
+    from daybook.operators.keys import offending_keys
 
     st = Store(spark, str(tmp_path / "b"), KEY, buckets=4)
     for d, dump in snaps[:2]:
@@ -218,6 +219,10 @@ def test_bucketed_versions_diff_and_check_keys_without_shuffle(spark, snaps, tmp
     assert "Exchange" not in diff and diff.count("Bucketed: true") == 2, diff
     check = _plan(key_problems(new, KEY))
     assert "hashpartitioning" not in check, check
+    both = _plan(offending_keys({"previous": prev, "new": new}, KEY))  # the check before a diff/compare
+    assert "hashpartitioning" not in both, both
+    cmp = _plan(compare(prev, new, KEY, strategy="hash", validate=False))
+    assert "Exchange" not in cmp, cmp
 
 
 def test_bucketed_backfill_and_bad_keys(spark, snaps, tmp_path):
