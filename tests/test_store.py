@@ -248,3 +248,24 @@ def test_unmarked_folder_is_read_plain(spark, snaps, tmp_path):
     df = st.read_snapshot()
     assert "Bucketed: true" not in _plan(df)
     assert same_bag(df, snaps[0][1])
+
+
+def test_bucketed_store_with_a_composite_key(spark, snaps, tmp_path):
+    from pyspark.sql import functions as F
+
+    from daybook import snapshot_diff
+
+    def split(df):  # the order key as (k1, k2)
+        k = F.col(KEY)
+        return df.select((k % 7).alias("k1"), (k / 7).cast("bigint").alias("k2"), *[c for c in df.columns if c != KEY])
+
+    plain, bucketed = Store(spark, str(tmp_path / "p"), ["k1", "k2"]), Store(spark, str(tmp_path / "b"), ["k1", "k2"], buckets=3)
+    for d, dump in snaps[:4]:
+        assert plain.integrate(split(dump), d) == bucketed.integrate(split(dump), d)
+    assert same_bag(plain.read_log(), bucketed.read_log())
+    assert same_bag(bucketed.as_of(day_of(1)), split(snaps[1][1]))
+    assert "Exchange" not in _plan(
+        snapshot_diff(
+            bucketed.read_snapshot(day_of(2)), bucketed.read_snapshot(day_of(3)), ["k1", "k2"], day_of(3), validate=False
+        )
+    )
