@@ -1,20 +1,27 @@
 """Daily integration driven by Structured Streaming (A04 over arriving dumps).
 
 The reference integrates each day's dump by launching a job per file from a
-shell loop. Here a file-source stream watches the dump folder and hands
-each new file to :meth:`Store.integrate` in ``foreachBatch``; the stream's
-checkpoint (under the store root, i.e. on shared storage) records which
-files are done, so a restarted or re-run ingestion continues where it
-stopped. A replayed batch re-integrates its day, which the store makes
-idempotent.
+shell loop. Here a file-source stream watches the dump folder and, for each
+micro-batch of newly arrived files, integrates the days they belong to with
+:meth:`Store.integrate`. The stream carries file metadata only (the
+``binaryFile`` source with its ``content`` column pruned, so no file is read
+by the stream itself); each day is read as one batch from *all* of its files
+in the folder. A dump split into several part files therefore gives the
+same result whether its parts arrive together or in different batches: a
+late part re-integrates its day from every part, which the store makes
+idempotent. The stream's checkpoint (under the store root, i.e. on shared
+storage) records which files are done, so a restarted or re-run ingestion
+continues where it stopped.
 
-Files are taken one per micro-batch in arrival order; the day comes from
-the file name (``dump-YYYY-MM-DD.csv`` by default). A file older than an
-already integrated day makes the store refuse it, stopping the stream.
+The day comes from the file name (``dump-YYYY-MM-DD.csv`` by default). A file
+of a day older than an already integrated day makes the store refuse it,
+stopping the stream; a file with no day in its name stops it as well.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,28 +30,48 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.keys import normalize_key
 from ..sources.store import Store
 
-# Fixed value: the date inside a dump's file name.
+# The date inside a dump's file name, and the default file names.
 DAY_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
+DUMP_FILES = "dump-*.csv"
+# The binaryFile source's own schema (a stream must state it).
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def dump_stream(
+def arriving_dumps(
+    spark: SparkSession, source_dir: str, name_glob: str = DUMP_FILES, files_per_batch: int = 16
+) -> DataFrame:
+    """A stream of ``path, day`` for dump files as they arrive (no content read)."""
+    files = (
+        spark.readStream.format("binaryFile")
+        .schema(FILE_SCHEMA)
+        .option("pathGlobFilter", name_glob)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(source_dir)
+    )
+    found = F.regexp_extract(F.element_at(F.split(F.col("path"), "/"), -1), DAY_IN_NAME, 1)
+    return files.select("path", F.when(found != "", F.to_date(found)).alias("day"))
+
+
+def read_day(
     spark: SparkSession,
     source_dir: str,
+    day: dt.date,
     schema: T.StructType,
+    name_glob: str = DUMP_FILES,
     sep: str = ",",
-    files_per_batch: int = 1,
 ) -> DataFrame:
-    """A streaming frame of CSV dumps with the dump day from the file name."""
-    rows = (
-        spark.readStream.schema(schema)
+    """Every dump file of ``day`` in ``source_dir`` as one frame."""
+    pattern = f"{source_dir.rstrip('/')}/*{day.isoformat()}*"
+    return (
+        spark.read.schema(schema)
         .option("header", True)
         .option("sep", sep)
+        .option("encoding", "UTF-8")
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(source_dir)
+        .option("pathGlobFilter", name_glob)
+        .csv(pattern)
     )
-    return rows.withColumn("_dump_day", F.to_date(F.regexp_extract(F.col("_metadata.file_name"), DAY_IN_NAME, 1)))
 
 
 def ingest_dumps(
@@ -56,21 +83,26 @@ def ingest_dumps(
     checkpoint: str | None = None,
     available_now: bool = True,
     sep: str = ",",
+    name_glob: str = DUMP_FILES,
+    files_per_batch: int = 16,
 ) -> StreamingQuery:
     """Start the ingestion; ``available_now`` processes what is there and stops."""
     key = store.keys[0] if len(store.keys) == 1 else None
 
     def integrate_batch(batch: DataFrame, epoch_id: int) -> None:
-        # One file per batch, so this is one day (the list has one element).
-        days = sorted(r[0] for r in batch.select("_dump_day").distinct().collect() if r[0] is not None)
-        for day in days:
-            dump = batch.filter(F.col("_dump_day") == F.lit(day)).drop("_dump_day")
+        # File names of this batch only (at most files_per_batch rows).
+        arrived = batch.collect()
+        unnamed = [r["path"] for r in arrived if r["day"] is None]
+        if unnamed:
+            raise ValueError(f"no day (YYYY-MM-DD) in the name of {unnamed}")
+        for day in sorted({r["day"] for r in arrived}):
+            dump = read_day(spark, source_dir, day, schema, name_glob, sep)
             if key:
                 dump = normalize_key(dump, key, key_aliases)
             store.integrate(dump, day)
 
     writer = (
-        dump_stream(spark, source_dir, schema, sep=sep)
+        arriving_dumps(spark, source_dir, name_glob, files_per_batch)
         .writeStream.foreachBatch(integrate_batch)
         .option("checkpointLocation", checkpoint or f"{store.root}/_ingest_checkpoint")
     )

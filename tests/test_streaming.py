@@ -32,3 +32,29 @@ def test_stream_of_dumps_builds_the_log(spark, tmp_path):
     q2 = ingest_dumps(spark, store, str(src), schema)
     q2.awaitTermination(600)
     assert rows(flatten_changes(store.read_log(), KEY)) == rows(want)
+
+
+def test_a_day_split_over_batches_is_integrated_whole(spark, tmp_path):
+    snaps = snapshots(spark, SF001)[:3]
+    src = tmp_path / "2024-12-31-inbox"  # a date in a folder name must not count
+    src.mkdir()
+    files = []
+    for d, df in snaps:
+        pdf = df.toPandas().rename(columns={KEY: "id"}).sort_values("id")
+        if d == day_of(1):  # day 1 arrives as two part files, in two batches
+            half = len(pdf) // 2
+            files += [(f"dump-{d.isoformat()}-part1.csv", pdf[:half]), (f"dump-{d.isoformat()}-part2.csv", pdf[half:])]
+        else:
+            files.append((f"dump-{d.isoformat()}.csv", pdf))
+    for i, (name, pdf) in enumerate(files):
+        pdf.to_csv(src / name, index=False)
+        os.utime(src / name, (1_700_000_000 + i * 86400, 1_700_000_000 + i * 86400))
+    schema = snaps[0][1].withColumnRenamed(KEY, "id").schema
+    store = Store(spark, str(tmp_path / "store"), KEY)
+    q = ingest_dumps(spark, store, str(src), schema, files_per_batch=1)
+    q.awaitTermination(600)
+    assert q.exception() is None
+    assert store.change_days() == [d for d, _ in snaps]
+    want = flatten_changes(build_change_log(snaps, KEY), KEY)
+    assert rows(flatten_changes(store.read_log(), KEY)) == rows(want)
+    assert same_bag(store.as_of(day_of(1)), snaps[1][1])
