@@ -2,13 +2,15 @@
 
 import os
 
+import pytest
 from conftest import SF001, rows, same_bag
 
 from daybook import jobs
 from daybook.plans.fixtures import KEY, day_of, snapshots
 
 
-def test_four_jobs_end_to_end(spark, tmp_path):
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_four_jobs_end_to_end(spark, tmp_path, buckets):
     snaps = snapshots(spark, SF001)
     inbox = tmp_path / "inbox"
     inbox.mkdir()
@@ -17,7 +19,7 @@ def test_four_jobs_end_to_end(spark, tmp_path):
     for d, df in snaps:
         path = inbox / f"dump-{d}.csv"
         df.toPandas().rename(columns={KEY: "id"}).to_csv(path, index=False)
-        counts = jobs.daily_integration(spark, root, str(path), d, schema, KEY)
+        counts = jobs.daily_integration(spark, root, str(path), d, schema, KEY, buckets=buckets)
         assert counts["rows"] == df.count()
     a = jobs.recompute_at_date(spark, root, day_of(1), KEY, str(tmp_path / "a"))
     b = jobs.recompute_at_date(spark, root, day_of(3), KEY, str(tmp_path / "b"))
