@@ -399,9 +399,14 @@ class Store:
         return undo_to(latest, self.read_log(after=t, until=later[0], listing=ls), t, self.keys)
 
     def undo_to(self, day) -> DataFrame:
-        """Reverse replay from the latest snapshot."""
+        """Reverse replay from the latest snapshot (reads only the change
+        days between ``day`` and that snapshot's day)."""
         ls = self.listing()
-        return undo_to(self.read_snapshot(listing=ls), self.read_log(after=day, listing=ls), day, self.keys)
+        if not ls.complete:
+            raise FileNotFoundError(f"nothing stored under {self.root}")
+        latest = ls.complete[-1]
+        log = self.read_log(after=day, until=latest, listing=ls)
+        return undo_to(self.read_snapshot(latest, ls), log, day, self.keys)
 
 
 class Listing:

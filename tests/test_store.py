@@ -269,3 +269,18 @@ def test_bucketed_store_with_a_composite_key(spark, snaps, tmp_path):
             bucketed.read_snapshot(day_of(2)), bucketed.read_snapshot(day_of(3)), ["k1", "k2"], day_of(3), validate=False
         )
     )
+
+
+def test_undo_ignores_changes_newer_than_its_snapshot(spark, snaps, tmp_path):
+    import shutil
+
+    st = Store(spark, str(tmp_path / "s"), KEY)
+    st.backfill(snaps[:2], chunk_days=2)
+    st.backfill(snaps[2:], chunk_days=3)
+    # a crash after the second chunk's change days were committed, before its
+    # snapshot: travel from the older snapshot stays exact
+    shutil.rmtree(tmp_path / "s" / "snapshot" / f"day={day_of(N_DAYS - 1).isoformat()}")
+    assert st.latest_day() == day_of(1)
+    for t in range(2):
+        assert same_bag(st.undo_to(day_of(t)), snaps[t][1])
+        assert same_bag(st.as_of(day_of(t)), snaps[t][1])
