@@ -140,6 +140,7 @@ class Store:
         self.snapshot_root = f"{self.root}/snapshot"
         self.change_root = f"{self.root}/changes"
         self._fs = _Fs(spark)
+        self._written: dict[str, T.StructType] = {}  # schemas of versions this object wrote
 
     # -- listing ---------------------------------------------------------
     def listing(self) -> "Listing":
@@ -176,9 +177,10 @@ class Store:
         (so joins and groupings on the key need no shuffle). Its catalog
         entry is transient: registered, resolved, dropped -- the frame keeps
         the relation, the catalog keeps nothing, the files stay."""
+        known = self._written.get(path)  # a version written here: no footer-reading job
         if not buckets:
-            return self.spark.read.parquet(path)
-        schema = self.spark.read.parquet(path).schema  # footer of one file
+            return self.spark.read.schema(known).parquet(path) if known else self.spark.read.parquet(path)
+        schema = known or self.spark.read.parquet(path).schema  # footer of one file
         name = _catalog_name(path)
         self._forget(name)
         keys = ", ".join(f"`{k}`" for k in self.keys)
@@ -205,8 +207,10 @@ class Store:
         into ``buckets`` files when the store is bucketed (one shuffle of
         ``df``, which later diffs and key checks then never repeat)."""
         path = day_dir(self.snapshot_root, day)
+        self._written.pop(path, None)
         if not self.buckets:
             write_parquet(df, path)
+            self._written[path] = df.schema
             return path
         self._fs.delete(path)  # an earlier run of this same day: our own output, never an input
         name = _catalog_name(path)
@@ -220,6 +224,7 @@ class Store:
         )
         self._forget(name)
         self._fs.touch(f"{path}/_BUCKETS_{self.buckets}")
+        self._written[path] = df.schema
         return path
 
     def log_schema(self, listing: "Listing | None" = None) -> T.StructType:
@@ -275,16 +280,14 @@ class Store:
             require_valid_key(dump, self.keys, f"dump of {d}")
         snap_obs = Observation("snapshot")
         snap_dir = self._write_snapshot(dump.observe(snap_obs, F.count(F.lit(1)).alias("rows")), d)
-        if self.buckets:
-            new = self._snapshot_frame(snap_dir, self.buckets)
-        else:
-            new = self.spark.read.schema(dump.schema).parquet(snap_dir)  # schema known: no footer job
+        new = self._snapshot_frame(snap_dir, self.buckets)  # schema known: no footer job
         if validate and not self.buckets:
             # The plain write has no shuffle, so the check reads the key
             # columns of the Parquet copy instead of parsing the dump twice.
             try:
                 require_valid_key(new, self.keys, f"dump of {d}")
             except Exception:
+                self._written.pop(snap_dir, None)
                 self._fs.delete(snap_dir)
                 raise
         if base:
@@ -323,7 +326,9 @@ class Store:
         """Drop the previous snapshot version unless it is a kept base."""
         n = self.keep_snapshot_every
         if n and (day.toordinal() % n) != 0:
-            self._fs.delete(day_dir(self.snapshot_root, day))
+            path = day_dir(self.snapshot_root, day)
+            self._written.pop(path, None)
+            self._fs.delete(path)
 
     # -- many days at once -------------------------------------------------
     def backfill(self, dumps: Sequence[tuple[object, DataFrame]], chunk_days: int = 7, validate: bool = True) -> list[dt.date]:
