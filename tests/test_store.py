@@ -284,3 +284,11 @@ def test_undo_ignores_changes_newer_than_its_snapshot(spark, snaps, tmp_path):
     for t in range(2):
         assert same_bag(st.undo_to(day_of(t)), snaps[t][1])
         assert same_bag(st.as_of(day_of(t)), snaps[t][1])
+
+
+def test_bucketed_store_with_the_digest_strategy(spark, snaps, tmp_path):
+    plain = Store(spark, str(tmp_path / "p"), KEY)
+    hashed = Store(spark, str(tmp_path / "h"), KEY, buckets=3, strategy="hash")
+    for d, dump in snaps:
+        assert plain.integrate(dump, d) == hashed.integrate(dump, d)
+    assert same_bag(plain.read_log(), hashed.read_log())
