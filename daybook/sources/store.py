@@ -181,6 +181,8 @@ class Store:
         if not buckets:
             return self.spark.read.schema(known).parquet(path) if known else self.spark.read.parquet(path)
         schema = known or self.spark.read.parquet(path).schema  # footer of one file
+        # As a file source reads it: nullable (no NOT NULL in the table DDL).
+        schema = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
         name = _catalog_name(path)
         self._forget(name)
         keys = ", ".join(f"`{k}`" for k in self.keys)
