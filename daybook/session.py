@@ -37,12 +37,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf) -
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only when the session has none (local runs, tests) is a fresh temporary
-    folder created and registered as the checkpoint dir.
+    Only when the session has none *and runs in local mode* (local runs,
+    tests) is a fresh temporary folder created and registered as the
+    checkpoint dir; on a cluster a machine-local folder would not be shared,
+    so an unset dir is an error there.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder on shared storage "
+                "(reliable checkpoints and scratch tables are written there)"
+            )
         root = tempfile.mkdtemp(prefix="daybook-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
