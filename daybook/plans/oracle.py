@@ -172,6 +172,11 @@ FROM n""",
     "top10_by_brand": _top("part", "p_brand", 10),
     "top10_by_source": _top("documents", "source", 10),
     "sample_snapshot": f"SELECT * FROM {snap(4)} s ORDER BY {KEY} LIMIT 5",
+    # DuckDB describes the same derived snapshot; its type names mapped to Spark's.
+    "schema_listing": f"""SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name AS "column",
+       CASE column_type WHEN 'VARCHAR' THEN 'string' ELSE lower(column_type) END AS type,
+       "null" = 'YES' AS nullable
+FROM (DESCRIBE SELECT * FROM {snap(4)} s)""",
     "csv_roundtrip": _plain(3),
     "snapshot_roundtrip": _plain(4),
     "changelog_roundtrip": f"SELECT * FROM ({full_log()}) l WHERE day > {_date(1)}",
