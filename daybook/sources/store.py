@@ -5,7 +5,16 @@ Layout under ``root`` (any Hadoop-compatible shared path)::
     snapshot/day=YYYY-MM-DD/   full table as of that day (Parquet)
     changes/day=YYYY-MM-DD/    that day's change rows (keys, op, before, after)
 
-A day is *complete* when both of its folders carry a ``_SUCCESS`` marker.
+    snapshot/_COMMITTED_YYYY-MM-DD, changes/_COMMITTED_YYYY-MM-DD
+                               commit markers, next to the day folders
+
+A day is *complete* when both of its folders are committed. The markers sit
+at the roots (names start with "_" and have no "=", so Spark's file listing
+never reads them): one non-recursive listing per root tells every day's
+state, never a listing of the part files inside the day folders, which at
+100 TB number tens of thousands per version. A day's marker is removed
+before its folder is rewritten and created after the write, so an
+interrupted write leaves the day uncommitted.
 Day ``D`` is always diffed against the newest complete snapshot strictly
 before ``D``, so rerunning a day is idempotent and a crash between the two
 writes is repaired by rerunning that day. Nothing ever overwrites a path it
@@ -13,7 +22,8 @@ reads from: a new snapshot is a new folder, and old versions are pruned only
 after the next day is complete (``keep_snapshot_every``).
 
 With ``buckets=N`` every snapshot version is written bucketed by the key
-into ``N`` files (and a ``_BUCKETS_N`` marker). Two bucketed versions then
+into ``N`` files (marker ``snapshot/_BUCKETS_YYYY-MM-DD_N``, written before
+the commit marker). Two bucketed versions then
 diff with no shuffle at all, and the key check is a per-bucket aggregate:
 each day shuffles only its own dump, once, while writing it -- the previous
 snapshot is never shuffled again. Unique keys hash evenly, so buckets don't
@@ -40,9 +50,19 @@ from ..operators.schema import align_columns, as_keys
 from .io import day_dir, empty_frame, read_change_log, write_change_days, write_parquet
 
 
-# Fixed value: the marker file naming a bucketed snapshot's bucket count. It
-# starts with "_" and has no "=", so Spark's file listing never reads it.
-BUCKET_MARK = re.compile(r"_BUCKETS_(\d+)")
+# The root-level marker files of a committed day and of a
+# bucketed snapshot version. They start with "_" and have no "=", so Spark's
+# file listing never reads them as data or partitions.
+COMMIT_MARK = re.compile(r"_COMMITTED_(\d{4}-\d{2}-\d{2})")
+BUCKET_MARK = re.compile(r"_BUCKETS_(\d{4}-\d{2}-\d{2})_(\d+)")
+
+
+def commit_marker(root: str, day) -> str:
+    return f"{root.rstrip('/')}/_COMMITTED_{to_day(day).isoformat()}"
+
+
+def bucket_marker(root: str, day, buckets: int) -> str:
+    return f"{root.rstrip('/')}/_BUCKETS_{to_day(day).isoformat()}_{int(buckets)}"
 
 
 def _catalog_name(path: str) -> str:
@@ -66,39 +86,32 @@ class _Fs:
         return bool(fs.exists(path))
 
     def day_folders(self, root: str) -> tuple[list[dt.date], list[dt.date]]:
-        """``(all, committed)`` days with a folder ``root/day=D``; committed
-        ones carry a ``_SUCCESS`` marker."""
+        """``(all, committed)`` days with a folder ``root/day=D``."""
         folders, committed, _ = self.scan(root)
         return folders, committed
 
     def scan(self, root: str) -> tuple[list[dt.date], list[dt.date], dict[dt.date, int]]:
         """``(all, committed, buckets)`` for the day folders under ``root``:
-        ``buckets`` maps a day to the bucket count its ``_BUCKETS_N`` marker
-        names. One recursive listing (a flat, paginated LIST on object
-        stores), not one request per day."""
+        a day is committed when its folder and its commit marker exist;
+        ``buckets`` maps a committed day to the bucket count its marker
+        names. One non-recursive listing of ``root`` (a paginated LIST of
+        about two entries per day on object stores); nothing inside the day
+        folders is listed."""
         path, fs = self._path(root)
         if not fs.exists(path):
             return [], [], {}
         folders, marked, buckets = set(), set(), {}
-        for st in fs.listStatus(path):  # day folders (also empty ones)
+        for st in fs.listStatus(path):
             name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("day="):
-                folders.add(dt.date.fromisoformat(name[4:]))
-        files = fs.listFiles(path, True)
-        while files.hasNext():
-            p = files.next().getPath()
-            parent = p.getParent().getName()
-            if not parent.startswith("day="):
-                continue
-            if p.getName() == "_SUCCESS":
-                marked.add(dt.date.fromisoformat(parent[4:]))
-            elif m := BUCKET_MARK.fullmatch(p.getName()):
-                buckets[dt.date.fromisoformat(parent[4:])] = int(m.group(1))
-        return sorted(folders), sorted(marked & folders), buckets
-
-    def days(self, root: str, marked: bool = True) -> list[dt.date]:
-        everything, committed = self.day_folders(root)
-        return committed if marked else everything
+            if st.isDirectory():
+                if name.startswith("day="):
+                    folders.add(dt.date.fromisoformat(name[4:]))
+            elif m := COMMIT_MARK.fullmatch(name):
+                marked.add(dt.date.fromisoformat(m.group(1)))
+            elif m := BUCKET_MARK.fullmatch(name):
+                buckets[dt.date.fromisoformat(m.group(1))] = int(m.group(2))
+        committed = marked & folders
+        return sorted(folders), sorted(committed), {d: n for d, n in buckets.items() if d in committed}
 
     def delete(self, p: str) -> None:
         path, fs = self._path(p)
@@ -108,11 +121,19 @@ class _Fs:
         path, fs = self._path(file)
         fs.create(path, True).close()
 
-    def mark_done(self, directory: str) -> None:
-        """Create ``directory/_SUCCESS`` (and the directory if it is new)."""
-        path, fs = self._path(directory)
+    def commit(self, root: str, day) -> None:
+        """Mark ``root/day=D`` committed (creating the folder if it is new,
+        e.g. a day without changes)."""
+        path, fs = self._path(day_dir(root, day))
         fs.mkdirs(path)
-        fs.create(self._jvm.org.apache.hadoop.fs.Path(f"{directory}/_SUCCESS"), True).close()
+        self.touch(commit_marker(root, day))
+
+    def uncommit(self, root: str, day) -> None:
+        """Remove the day's commit and bucket markers (before a rewrite)."""
+        self.delete(commit_marker(root, day))
+        pattern, fs = self._path(f"{root.rstrip('/')}/_BUCKETS_{to_day(day).isoformat()}_*")
+        for st in fs.globStatus(pattern) or []:
+            fs.delete(st.getPath(), False)
 
 
 class Store:
@@ -210,9 +231,11 @@ class Store:
         ``df``, which later diffs and key checks then never repeat)."""
         path = day_dir(self.snapshot_root, day)
         self._written.pop(path, None)
+        self._fs.uncommit(self.snapshot_root, day)
         if not self.buckets:
             write_parquet(df, path)
             self._written[path] = df.schema
+            self._fs.commit(self.snapshot_root, day)
             return path
         self._fs.delete(path)  # an earlier run of this same day: our own output, never an input
         name = _catalog_name(path)
@@ -225,8 +248,9 @@ class Store:
             .saveAsTable(name)
         )
         self._forget(name)
-        self._fs.touch(f"{path}/_BUCKETS_{self.buckets}")
+        self._fs.touch(bucket_marker(self.snapshot_root, day, self.buckets))  # before the commit marker
         self._written[path] = df.schema
+        self._fs.commit(self.snapshot_root, day)
         return path
 
     def log_schema(self, listing: "Listing | None" = None) -> T.StructType:
@@ -290,6 +314,7 @@ class Store:
                 require_valid_key(new, self.keys, f"dump of {d}")
             except Exception:
                 self._written.pop(snap_dir, None)
+                self._fs.uncommit(self.snapshot_root, d)
                 self._fs.delete(snap_dir)
                 raise
         if base:
@@ -318,7 +343,9 @@ class Store:
         )
         # A day's changes are a small slice of the table: rebalance them into
         # right-sized files instead of one file per shuffle partition.
+        self._fs.uncommit(self.change_root, d)
         write_parquet(observed.drop("day").hint("rebalance"), day_dir(self.change_root, d))
+        self._fs.commit(self.change_root, d)
         counts = {k: int(v or 0) for k, v in chg_obs.get.items()}
         if base:
             self._prune(base[-1])
@@ -330,6 +357,7 @@ class Store:
         if n and (day.toordinal() % n) != 0:
             path = day_dir(self.snapshot_root, day)
             self._written.pop(path, None)
+            self._fs.uncommit(self.snapshot_root, day)
             self._fs.delete(path)
 
     # -- many days at once -------------------------------------------------
@@ -367,10 +395,11 @@ class Store:
                 stacked, self.keys, days=[d for d, _ in chunk], base=base, day_col="_day", validate=False
             )
             for d, _ in chunk:  # leftovers of an interrupted run of this chunk (our own output, not an input)
+                self._fs.uncommit(self.change_root, d)
                 self._fs.delete(day_dir(self.change_root, d))
             write_change_days(log, self.change_root)
-            for d, _ in chunk:  # days without change get an empty, marked folder
-                self._fs.mark_done(day_dir(self.change_root, d))
+            for d, _ in chunk:  # days without change get an empty, committed folder
+                self._fs.commit(self.change_root, d)
             last_day, last_dump = chunk[-1]
             self._write_snapshot(last_dump, last_day)
             written += [d for d, _ in chunk]

@@ -242,8 +242,8 @@ def test_bucketed_backfill_and_bad_keys(spark, snaps, tmp_path):
 def test_unmarked_folder_is_read_plain(spark, snaps, tmp_path):
     st = Store(spark, str(tmp_path / "b"), KEY, buckets=2)
     st.integrate(snaps[0][1], day_of(0))
-    marker = tmp_path / "b" / "snapshot" / "day=2025-01-01" / "_BUCKETS_2"
-    os.remove(marker)  # e.g. a crash between the data commit and the marker
+    marker = tmp_path / "b" / "snapshot" / "_BUCKETS_2025-01-01_2"
+    os.remove(marker)  # e.g. a version written by a plain store
     assert st.listing().buckets == {}
     df = st.read_snapshot()
     assert "Bucketed: true" not in _plan(df)
@@ -292,3 +292,19 @@ def test_bucketed_store_with_the_digest_strategy(spark, snaps, tmp_path):
     for d, dump in snaps:
         assert plain.integrate(dump, d) == hashed.integrate(dump, d)
     assert same_bag(plain.read_log(), hashed.read_log())
+
+
+def test_listing_never_looks_inside_day_folders(spark, snaps, tmp_path):
+    st = Store(spark, str(tmp_path / "s"), KEY)
+    for d, dump in snaps[:2]:
+        st.integrate(dump, d)
+    # part files and Spark's own _SUCCESS don't decide anything; root markers do
+    for sub in ("snapshot", "changes"):
+        os.remove(tmp_path / "s" / sub / f"day={day_of(1).isoformat()}" / "_SUCCESS")
+    assert st.complete_days() == [day_of(0), day_of(1)]
+    os.remove(tmp_path / "s" / "changes" / f"_COMMITTED_{day_of(1).isoformat()}")
+    assert st.complete_days() == [day_of(0)]
+    assert st.listing().change_folders == [day_of(0), day_of(1)]  # day 1 is uncommitted
+    assert st.read_log().filter("day > DATE'2025-01-01'").isEmpty()
+    st.integrate(snaps[1][1], day_of(1))  # rerunning the day commits it again
+    assert st.complete_days() == [day_of(0), day_of(1)]
