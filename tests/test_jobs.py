@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from conftest import SF001, rows, same_bag
+from conftest import SF001, same_bag
 
 from daybook import jobs
 from daybook.plans.fixtures import KEY, day_of, snapshots
