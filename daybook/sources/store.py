@@ -128,9 +128,13 @@ class _Fs:
         fs.mkdirs(path)
         self.touch(commit_marker(root, day))
 
-    def uncommit(self, root: str, day) -> None:
-        """Remove the day's commit and bucket markers (before a rewrite)."""
+    def uncommit(self, root: str, day, bucket_markers: bool = True) -> None:
+        """Remove the day's commit marker and, where a root can hold them,
+        every bucket marker of the day whatever its count (before a
+        rewrite; the glob lists the root, so the change root skips it)."""
         self.delete(commit_marker(root, day))
+        if not bucket_markers:
+            return
         pattern, fs = self._path(f"{root.rstrip('/')}/_BUCKETS_{to_day(day).isoformat()}_*")
         for st in fs.globStatus(pattern) or []:
             fs.delete(st.getPath(), False)
@@ -343,7 +347,7 @@ class Store:
         )
         # A day's changes are a small slice of the table: rebalance them into
         # right-sized files instead of one file per shuffle partition.
-        self._fs.uncommit(self.change_root, d)
+        self._fs.uncommit(self.change_root, d, bucket_markers=False)
         write_parquet(observed.drop("day").hint("rebalance"), day_dir(self.change_root, d))
         self._fs.commit(self.change_root, d)
         counts = {k: int(v or 0) for k, v in chg_obs.get.items()}
@@ -395,7 +399,7 @@ class Store:
                 stacked, self.keys, days=[d for d, _ in chunk], base=base, day_col="_day", validate=False
             )
             for d, _ in chunk:  # leftovers of an interrupted run of this chunk (our own output, not an input)
-                self._fs.uncommit(self.change_root, d)
+                self._fs.uncommit(self.change_root, d, bucket_markers=False)
                 self._fs.delete(day_dir(self.change_root, d))
             write_change_days(log, self.change_root)
             for d, _ in chunk:  # days without change get an empty, committed folder

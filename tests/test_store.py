@@ -308,3 +308,14 @@ def test_listing_never_looks_inside_day_folders(spark, snaps, tmp_path):
     assert st.read_log().filter("day > DATE'2025-01-01'").isEmpty()
     st.integrate(snaps[1][1], day_of(1))  # rerunning the day commits it again
     assert st.complete_days() == [day_of(0), day_of(1)]
+
+
+def test_a_plain_rewrite_drops_the_days_bucket_marker(spark, snaps, tmp_path):
+    root = str(tmp_path / "s")
+    Store(spark, root, KEY, buckets=2).integrate(snaps[0][1], day_of(0))
+    plain = Store(spark, root, KEY)
+    assert plain.listing().buckets == {day_of(0): 2}
+    plain.integrate(snaps[0][1], day_of(0))  # rerun of the day, written plain
+    assert plain.listing().buckets == {}
+    assert "Bucketed: true" not in _plan(plain.read_snapshot())
+    assert same_bag(plain.read_snapshot(), snaps[0][1])
