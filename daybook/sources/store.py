@@ -43,8 +43,7 @@ from pyspark.sql import types as T
 
 from ..functions.dates import to_day
 from ..operators.diff import DELETE, INSERT, UPDATE, change_log_schema, first_load, snapshot_diff
-from ..operators.keys import normalize_key, require_valid_key
-from ..operators.keys import KeyContractError, key_problems
+from ..operators.keys import normalize_key, require_valid_key, require_valid_keys
 from ..operators.replay import as_of, build_change_log, stack_dumps, undo_to
 from ..operators.schema import align_columns, as_keys
 from .io import day_dir, empty_frame, read_change_log, write_change_days, write_parquet
@@ -386,13 +385,8 @@ class Store:
         for start in range(0, len(items), max(1, chunk_days)):
             chunk = items[start : start + chunk_days]
             stacked = stack_dumps(chunk, "_day")
-            if validate:
-                bad = key_problems(stacked, self.keys + ["_day"]).first()
-                if bad["null_keys"] or bad["duplicate_keys"]:
-                    raise KeyContractError(
-                        f"dumps {chunk[0][0]}..{chunk[-1][0]}: {bad['null_keys']} null key(s), "
-                        f"{bad['duplicate_keys']} duplicated key(s)"
-                    )
+            if validate:  # unique per day; the stored base was checked on its own day
+                require_valid_keys({f"dumps {chunk[0][0]}..{chunk[-1][0]}": stacked}, self.keys, within=["_day"])
             ls = self.listing()
             base = self.read_snapshot(listing=ls) if ls.complete else None
             log = build_change_log(
