@@ -4,20 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash, substring
+from . import packing, records, simhash, substring
 from .common import table
+from .tokens import vocabulary_path
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.kept_digest(substring.substring_dedup(table(spark, sf_dir, "documents"), window=13))
 
 
+def op5_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.round_trip(spark, table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"), end_id=1)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), max_length=1024, end_id=0))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
 
 QUERIES = {
     "op3_substring_dedup": op3_substring_dedup,
+    "op5_binary_records": op5_binary_records,
+    "op7_packing": op7_packing,
     "op10_simhash": op10_simhash,
 }
 
