@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, records, simhash, substring
+from . import packing, records, simhash, substring, toxicity
 from .common import table
 from .tokens import vocabulary_path
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.kept_digest(substring.substring_dedup(table(spark, sf_dir, "documents"), window=13))
 
@@ -26,6 +30,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op3_substring_dedup": op3_substring_dedup,
     "op5_binary_records": op5_binary_records,
     "op7_packing": op7_packing,
