@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, records, simhash, substring, toxicity
+from . import knn, packing, records, simhash, substring, toxicity
 from .common import table
 from .tokens import vocabulary_path
 
@@ -17,6 +18,13 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.kept_digest(substring.substring_dedup(table(spark, sf_dir, "documents"), window=13))
 
 
+def op4_knn_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    steps = F.transform("embedding", lambda x: F.floor(x.cast("double") * 64))
+    vectors = table(spark, sf_dir, "embeddings").where(whole).select("vec_id", steps.alias("vector"))
+    return knn.knn_join(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op5_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.round_trip(spark, table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"), end_id=1)
 
@@ -32,10 +40,26 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_knn_join": op4_knn_join,
     "op5_binary_records": op5_binary_records,
     "op7_packing": op7_packing,
     "op10_simhash": op10_simhash,
 }
 
 #: DuckDB SQL where it can express the operator.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_knn_join": """
+        WITH v AS (
+            SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT)) AS e
+            FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                   CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+        ), r AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank" FROM s
+        )
+        SELECT query_id, "rank", vec_id, score FROM r WHERE "rank" <= 20
+    """,
+}
