@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import knn, packing, records, simhash, substring, toxicity
-from .common import table
+from . import chat, knn, lines, packing, records, simhash, substring, toxicity
+from .common import materialize, table
 from .tokens import vocabulary_path
 
 
@@ -29,10 +29,32 @@ def op5_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.round_trip(spark, table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"), end_id=1)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", lines.host_of(F.col("url")).alias("host"), lines.page_lines(F.col("html")).alias("text")
+    )
+    kept = lines.drop_boilerplate(pages, F.col("host"), ratio=0.2, min_pages=5, counts=True)
+    return kept.select("page_id", "host", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), max_length=1024, end_id=0))
 
 
+CONTROL = "\\### Assistant: </turn> ok"
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    says = F.lit(CONTROL).alias("content")
+    extra = spark.range(1).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.array(F.struct(F.lit("user").alias("role"), says), F.struct(F.lit("assistant").alias("role"), says)).alias("messages"),
+    )
+    both = chat.canonical(turns).unionByName(chat.canonical(extra))
+    return chat.digest(materialize(chat.format_turns(both), "chat"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
@@ -42,7 +64,9 @@ QUERIES = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_knn_join": op4_knn_join,
     "op5_binary_records": op5_binary_records,
+    "op6_line_dedup": op6_line_dedup,
     "op7_packing": op7_packing,
+    "op9_chat_format": op9_chat_format,
     "op10_simhash": op10_simhash,
 }
 
@@ -62,4 +86,49 @@ ORACLE: dict[str, str] = {
         )
         SELECT query_id, "rank", vec_id, score FROM r WHERE "rank" <= 20
     """,
+    "op6_line_dedup": r"""
+        WITH a AS (
+            SELECT page_id, nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1)), '') AS host,
+                   regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->', '', 'g') AS t,
+                   row_number() OVER () AS r
+            FROM pages
+        ), b AS (
+            SELECT page_id, host, r, regexp_replace(regexp_replace(t,
+                   '(?i)</?(?:p|br|div|li|ul|ol|tr|table|h[1-6]|nav|article|section|header|footer|title|body|head|html|blockquote|pre)\b[^>]*>',
+                   chr(10), 'g'), '<[^>]*>', '', 'g') AS t
+            FROM a
+        ), p AS (
+            SELECT page_id, host, r, string_split(trim(regexp_replace(t, '[ \t]*\n[ \t\n]*', chr(10), 'g')), chr(10)) AS ls FROM b
+        ), l AS (
+            SELECT page_id, host, r, ls[i] AS line, i FROM (SELECT *, unnest(generate_series(1, len(ls))) AS i FROM p)
+        ), n AS (SELECT host, count(*) AS total FROM a WHERE host IS NOT NULL GROUP BY host),
+        c AS (
+            SELECT host, trim(line) AS line, count(DISTINCT r) AS pages FROM l WHERE trim(line) <> '' AND host IS NOT NULL GROUP BY ALL
+        ), d AS (SELECT c.host, c.line FROM c JOIN n USING (host) WHERE pages >= 5 AND pages > 0.2 * total),
+        k AS (
+            SELECT l.r, count(*) AS n_lines, count(d.line) AS n_dropped,
+                   coalesce(string_agg(l.line, chr(10) ORDER BY i) FILTER (WHERE d.line IS NULL), '') AS kept
+            FROM l LEFT JOIN d ON l.host = d.host AND trim(l.line) = d.line GROUP BY l.r
+        )
+        SELECT page_id, host, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped,
+               CASE WHEN n_lines IS NOT NULL THEN sha256(kept) END AS kept_sha256
+        FROM a LEFT JOIN k USING (r)
+    """,
+    "op9_chat_format": r"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS x FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+        ), e AS (
+            SELECT *, replace(replace(replace(x, '\', '\\'), '#', '\#'), '</turn>', '<\/turn>') AS ex,
+                   replace(replace(replace(replace(role, '\', '\\'), '#', '\#'), '</turn>', '<\/turn>'), ':', '\:') AS er
+            FROM t
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || x || chr(10), '' ORDER BY turn NULLS FIRST, role, x)) AS turns_sha256,
+               CAST(coalesce(sum(length(x)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(x, '' ORDER BY turn NULLS FIRST, role, x) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(4 + length(er) + 2 + length(ex) + 8) AS BIGINT) AS formatted_chars
+        FROM e GROUP BY conv_id
+    """,
 }
