@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, knn, lines, packing, records, simhash, substring, toxicity
+from . import chat, decontaminate, knn, lines, packing, pii, records, simhash, substring, toxicity
 from .common import materialize, table
 from .tokens import vocabulary_path
 
@@ -14,6 +14,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.detect(table(spark, sf_dir, "documents")))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.kept_digest(substring.substring_dedup(table(spark, sf_dir, "documents"), window=13))
 
@@ -41,6 +45,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), max_length=1024, end_id=0))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), shingle=5, threshold=0.8)
+    share = F.round(F.col("matched") / F.col("n_shingles"), 6)
+    return found.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "matched", "n_shingles", share.alias("containment"))
+
+
 CONTROL = "\\### Assistant: </turn> ok"
 
 
@@ -61,11 +71,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_pii": op2_pii,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_knn_join": op4_knn_join,
     "op5_binary_records": op5_binary_records,
     "op6_line_dedup": op6_line_dedup,
     "op7_packing": op7_packing,
+    "op8_decontaminate": op8_decontaminate,
     "op9_chat_format": op9_chat_format,
     "op10_simhash": op10_simhash,
 }
@@ -114,6 +126,20 @@ ORACLE: dict[str, str] = {
                CASE WHEN n_lines IS NOT NULL THEN sha256(kept) END AS kept_sha256
         FROM a LEFT JOIN k USING (r)
     """,
+    "op8_decontaminate": r"""
+        WITH i AS (
+            SELECT DISTINCT item_id, array_to_string(w[k:k+4], ' ') AS s
+            FROM (SELECT item_id, w, unnest(generate_series(1, len(w) - 4)) AS k
+                  FROM (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark))
+        ), n AS (SELECT item_id, count(*) AS n_shingles FROM i GROUP BY item_id),
+        d AS (
+            SELECT DISTINCT doc_id, text, array_to_string(w[k:k+4], ' ') AS s
+            FROM (SELECT doc_id, text, w, unnest(generate_series(1, len(w) - 4)) AS k
+                  FROM (SELECT doc_id, text, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents))
+        ), m AS (SELECT doc_id, text, item_id, count(*) AS matched FROM d JOIN i USING (s) GROUP BY ALL)
+        SELECT doc_id, item_id, matched, n_shingles, round(matched / n_shingles, 6) AS containment
+        FROM m JOIN n USING (item_id) WHERE matched * 10 >= n_shingles * 8
+    """,
     "op9_chat_format": r"""
         WITH t AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS x FROM conversations
