@@ -1,0 +1,190 @@
+"""Plain versions of the operators, for comparison on small fixtures."""
+
+import hashlib
+import math
+import re
+from collections import Counter
+
+import regex
+import xxhash
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+# ------------------------------------------------------------------ substring
+
+
+def substring(docs, size=13):
+    texts = [words(t) for _, t in docs]
+    least = {}
+    for (d, _), w in zip(docs, texts):
+        if d is not None:
+            for i in range(len(w) - size + 1):
+                key = tuple(w[i : i + size])
+                least[key] = min(least.get(key, d), d)
+    out = []
+    for (d, _), w in zip(docs, texts):
+        gone = [False] * len(w)
+        if d is not None:
+            for i in range(len(w) - size + 1):
+                if least[tuple(w[i : i + size])] < d:
+                    gone[i : i + size] = [True] * size
+        kept = " ".join(x for x, g in zip(w, gone) if not g)
+        out.append((d, len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+# ------------------------------------------------------------------ simhash
+
+
+def fingerprint(text, k=4):
+    w = words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not w:
+        return 0
+    shingles = [" ".join(w[i : i + k]) for i in range(len(w) - k + 1)] if len(w) >= k else [" ".join(w)]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def simhash(docs, radius=4):
+    prints = [fingerprint(t) for _, t in docs]
+    up = list(range(len(docs)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i in range(len(docs)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= radius:
+                up[root(i)] = root(j)
+    least = {}
+    for i, (d, _) in enumerate(docs):
+        if d is not None:
+            least[root(i)] = min(least.get(root(i), d), d)
+    return sorted(((d, f"{prints[i]:016x}", least.get(root(i))) for i, (d, _) in enumerate(docs)), key=repr)
+
+
+# ------------------------------------------------------------------ personal data
+
+KINDS = ["email", "ip", "card", "phone", "generalised", "removed"]
+PATTERNS = [
+    r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    r"[0-9]([\x20-]?[0-9])+",
+    r"\+[0-9][\x20().0-9-]+[0-9]",
+]
+TERM = regex.compile(r"(?<![\p{L}\p{N}@._%+-])\p{L}{3,}+(?!\.?[\p{L}\p{N}@_%+-])")
+
+
+def _luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        n = int(c) * (2 if i % 2 else 1)
+        total += n - 9 if n > 9 else n
+    return total % 10 == 0
+
+
+def _valid(kind, value):
+    digits = re.sub("[^0-9]", "", value)
+    if kind == 1:
+        return all(int(x) <= 255 for x in value.split("."))
+    if kind == 2:
+        return 12 <= len(digits) <= 19 and _luhn(digits)
+    return kind != 3 or 9 <= len(digits) <= 15
+
+
+def pii(docs, window=64, support=3, generalise=0.6, remove=0.9):
+    total, joint, holders, seen, found = len(docs), Counter(), Counter(), Counter(), []
+    for d, text in docs:
+        text = text or ""
+        base, near = [], set()
+        for kind, pattern in enumerate(PATTERNS):
+            raw = list(re.finditer(pattern, text, re.A))
+            for i, m in enumerate(raw):
+                if not _valid(kind, m[0]):
+                    continue
+                base.append((m.start(), kind, m.end(), m[0]))
+                left = text[raw[i - 1].end() if i else 0 : m.start()]
+                right = text[m.end() : raw[i + 1].start() if i + 1 < len(raw) else len(text)]
+                if len(left) > window:
+                    left = re.sub(r"^[^ \t\n\x0b\f\r]+", "", left[-window:])
+                if len(right) > window:
+                    right = re.sub(r"[^ \t\n\x0b\f\r]+$", "", right[:window])
+                entity = f"{kind}:{m[0].lower()}"
+                for side, at in ((left, m.start() - len(left)), (right, m.end())):
+                    near |= {(entity, t[0].lower(), at + t.start(), at + t.end()) for t in TERM.finditer(side)}
+        joint.update({(e, t) for e, t, _, _ in near})
+        holders.update({f"{k}:{v.lower()}" for _, k, _, v in base})
+        seen.update({t[0] for t in TERM.finditer(text.lower())})
+        found.append((d, sorted(base), near))
+    told = {}
+    for (e, t), n in joint.items():
+        if n >= support and holders[e] < total:
+            share = math.log2(total * n / (holders[e] * seen[t])) / math.log2(total / holders[e])
+            if share >= generalise - 1e-9:
+                told[e, t] = 5 if share >= remove - 1e-9 else 4
+    out = []
+    for d, base, near in found:
+        terms = {}
+        for e, t, a, b in near:
+            if (e, t) in told:
+                terms[a, b] = max(terms.get((a, b), 0), told[e, t])
+        write = lambda spans: ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
+        entities = [(a, k, b) for a, k, b, _ in base]
+        spans = sorted(entities + [(a, k, b) for (a, b), k in terms.items()])
+        n = Counter(k for _, k, _ in entities)
+        out.append((d, n[0], n[1], n[2], n[3], hashlib.sha256(write(entities).encode()).hexdigest(), write(spans)))
+    return sorted(out, key=repr)
+
+
+# ------------------------------------------------------------------ search, lines, benchmark
+
+
+def knn(vectors, k=20, every=20):
+    kept = {(i, tuple(v)) for i, v in vectors if i is not None and v is not None and None not in v}
+    width = max((len(v) for _, v in kept), default=0)
+    full = [(i, list(v) + [0] * (width - len(v))) for i, v in kept]
+    out = []
+    for a, (i, v) in enumerate(full):
+        if i % every == 0:
+            best = sorted((-sum(x * y for x, y in zip(v, w)), j) for b, (j, w) in enumerate(full) if b != a)[:k]
+            out += [(i, n + 1, j, -s) for n, (s, j) in enumerate(best)]
+    return sorted(out)
+
+
+def lines(pages, ratio=0.2, min_pages=5):
+    total, held = Counter(), Counter()
+    for _, host, text in pages:
+        if host is not None:
+            total[host] += 1
+            held.update({(host, x.strip(" ")) for x in (text or "").split("\n") if x.strip(" ")})
+    drop = {k for k, n in held.items() if n >= min_pages and n > ratio * total[k[0]]}
+    out = []
+    for i, host, text in pages:
+        if text is not None:
+            text = "\n".join(x for x in text.split("\n") if (host, x.strip(" ")) not in drop)
+        out.append((i, host, text))
+    return sorted(out, key=repr)
+
+
+def contained(docs, items, size=5, threshold=0.8):
+    def shingles(text):
+        w = regex.findall(r"[\p{L}\p{N}]+", (text or "").lower())
+        return {" ".join(w[i : i + size]) for i in range(len(w) - size + 1)}
+
+    tests = [(i, shingles(t)) for i, t in items]
+    out = set()
+    for d, text in docs:
+        mine = shingles(text)
+        for i, s in tests:
+            if s and len(s & mine) >= math.ceil(threshold * len(s) - 1e-9):
+                out.add((d, i, len(s & mine), len(s)))
+    return sorted(out, key=repr)
