@@ -93,14 +93,21 @@ def content_hash(fields: list[T.StructField], source: str | None = None) -> Colu
 def content_digest(fields: list[T.StructField], source: str | None = None) -> Column:
     """A 96-bit change-detection digest for shuffling instead of whole rows.
 
-    ``xxhash64`` and ``murmur3`` (two independent hashes, fully codegen'd)
-    over the normalized columns *and* one null flag per column: Spark's hash
-    functions skip nulls, so without the flags ``(null, 1)`` and ``(1, null)``
-    would hash alike. ``-0.0``/``0.0`` and map entry order are normalized
-    first, as for equality. Returned as ``struct<x long, m int>``.
+    ``xxhash64`` and ``murmur3`` (two independent hashes) over a lossless form
+    of the content. Spark's hash functions skip nulls and the bounds of nested
+    values, so a flat column comes with a null flag, and a nested one (struct,
+    array, map) as its canonical JSON, which keeps nulls, lengths and levels
+    apart: ``(null, 1)`` and ``(1, null)``, ``[1]`` and ``[1, null]``, or
+    ``[[1],[2]]`` and ``[[1,2],[]]`` differ. ``-0.0``/``0.0`` and map entry
+    order are normalized first, as for equality. Returned as
+    ``struct<x long, m int>``.
     """
     prefix = f"{source}." if source else ""
-    cols = [_normalize(F.col(f"{prefix}`{f.name}`"), f.dataType, for_hash=True) for f in fields]
-    flags = [F.col(f"{prefix}`{f.name}`").isNull() for f in fields]
-    parts = cols + flags
+    parts = []
+    for f in fields:
+        c = F.col(f"{prefix}`{f.name}`")
+        if _has(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            parts.append(content_json([f], source))
+        else:
+            parts += [_normalize(c, f.dataType, for_hash=True), c.isNull()]
     return F.struct(F.xxhash64(*parts).alias("x"), F.hash(*parts).alias("m"))

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from .operators.compare import compare_samples, compare_summary
+from .operators.compare import compare_report
 from .operators.report import sample_rows, schema_of, top_n, total_rows
 from .operators.schema import as_keys
 from .sources.io import read_dump_csv, read_parquet, write_parquet
@@ -56,8 +56,7 @@ def diff_between_dumps(
     spark: SparkSession, dir_a: str, dir_b: str, keys: str | Sequence[str], samples: int = 5
 ) -> tuple[DataFrame, DataFrame]:
     """Compare two Parquet dumps: ``(summary row, samples per class)``."""
-    a, b = read_parquet(spark, dir_a), read_parquet(spark, dir_b)
-    return compare_summary(a, b, keys), compare_samples(a, b, keys, samples)
+    return compare_report(read_parquet(spark, dir_a), read_parquet(spark, dir_b), keys, samples)
 
 
 def report(

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.equality import content_digest, same_content
+from ..session import scratch_path
 from .diff import _kcols, _paired
 from .keys import require_valid_keys
 from .schema import as_keys, common_columns, content_fields, require_columns
@@ -68,10 +69,21 @@ def compare(
 def compare_rows(
     a: DataFrame, b: DataFrame, keys: str | Sequence[str], change: str, validate: bool = True
 ) -> DataFrame:
-    """Plain rows of one class: A's version for REMOVED, B's otherwise."""
+    """Plain rows of one class: A's version for REMOVED, B's otherwise.
+
+    REMOVED and ADDED are anti joins (J03): the other side shuffles its keys only.
+    """
     ks = as_keys(keys)
-    side = "a" if change == REMOVED else "b"
-    return compare(a, b, ks, validate=validate).filter(F.col("change") == change).select(*_kcols(ks), f"{side}.*")
+    if change not in (REMOVED, ADDED):
+        return compare(a, b, ks, validate=validate).filter(F.col("change") == change).select(*_kcols(ks), "b.*")
+    require_columns(a, ks, "dump A")
+    require_columns(b, ks, "dump B")
+    if validate:
+        require_valid_keys({"dump A": a, "dump B": b}, ks)
+    rest = [c for c in common_columns(a, b) if c not in ks]
+    mine, other = (a, b) if change == REMOVED else (b, a)
+    rows = mine.select(*_kcols(ks), *[F.col(f"`{c}`") for c in rest])
+    return rows.join(other.select(*_kcols(ks)), on=ks, how="left_anti")
 
 
 def compare_summary(
@@ -87,7 +99,11 @@ def compare_summary(
     def n(cls: str):
         return F.count_if(c == cls).cast("bigint")
 
-    counts = compare(a, b, keys, strategy, validate).agg(*[n(cls).alias(cls.lower()) for cls in CLASSES])
+    return _rates(compare(a, b, keys, strategy, validate).agg(*[n(cls).alias(cls.lower()) for cls in CLASSES]))
+
+
+def _rates(counts: DataFrame) -> DataFrame:
+    """The summary row of the four class counts."""
     rows_a = F.col("removed") + F.col("modified") + F.col("unchanged")
     rows_b = F.col("added") + F.col("modified") + F.col("unchanged")
     total = F.col("removed") + F.col("added") + F.col("modified")
@@ -109,21 +125,45 @@ def compare_samples(
 ) -> DataFrame:
     """Up to ``n`` rows (smallest keys) of REMOVED, ADDED and MODIFIED.
 
-    Each class is its own top-k (bounded per task), never a window over a
-    whole class; the three branches share the join's shuffle.
+    One join of ``(key, digest)``; of each class the ``n`` smallest keys
+    (limited in every task before the shuffle); then these at most ``3 n``
+    keys are looked up in the dumps, whose rows are never shuffled.
     """
     ks = as_keys(keys)
-    c = compare(a, b, ks, validate=validate)
-    fields = c.schema["b"].dataType.fields
-    # Every branch reads both sides, so all three plan the same join inputs
-    # and the side shuffles are done once (ReusedExchange).
-    row = F.when(F.col("change") == REMOVED, F.col("a")).otherwise(F.col("b")).alias("_row")
-    c = c.select(*_kcols(ks), "change", row)
-    parts = []
-    for cls in (REMOVED, ADDED, MODIFIED):
-        top = c.filter(F.col("change") == cls).orderBy(*ks).limit(n)
-        parts.append(top.select("change", *_kcols(ks), *[F.col("_row").getField(f.name).alias(f.name) for f in fields]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _sample_rows(a, b, ks, compare(a, b, ks, "hash", validate).select(*_kcols(ks), "change"), n)
+
+
+def _sample_rows(a: DataFrame, b: DataFrame, ks: list[str], classes: DataFrame, n: int) -> DataFrame:
+    """Rows of the ``n`` smallest keys of each changed class of ``classes`` (``<keys>, change``)."""
+    order = Window.partitionBy("change").orderBy(*_kcols(ks))
+    few = classes.filter(F.col("change") != UNCHANGED).withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= n).drop("_n")
+    common = [F.col(f"`{c}`") for c in common_columns(a, b)]
+    rest = [F.col(f"`{c}`") for c in common_columns(a, b) if c not in ks]
+    removed = F.col("change") == REMOVED
+    parts = [
+        side.select(*common).join(F.broadcast(few.filter(mine)), on=ks).select("change", *_kcols(ks), *rest)  # 3 n keys at most
+        for side, mine in ((a, removed), (b, ~removed))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def compare_report(
+    a: DataFrame, b: DataFrame, keys: str | Sequence[str], n: int = 5
+) -> tuple[DataFrame, DataFrame]:
+    """C02 and C03 together: ``(summary row, samples)`` from one join of the dumps.
+
+    The changed keys are written to the shared folder while the classes are
+    counted, so neither result joins the dumps again; keys are checked once.
+    """
+    ks = as_keys(keys)
+    spark = a.sparkSession
+    counted = Observation("classes")
+    c = F.col("change")
+    classes = compare(a, b, ks, "hash").select(*_kcols(ks), "change")
+    path = scratch_path(spark, "compare")
+    observed = classes.observe(counted, *[F.count_if(c == cls).cast("bigint").alias(cls.lower()) for cls in CLASSES])
+    observed.filter(c != UNCHANGED).write.parquet(path)
+    counts = {cls.lower(): int(counted.get[cls.lower()] or 0) for cls in CLASSES}
+    row = spark.range(1).select(*[F.lit(v).cast("bigint").alias(k) for k, v in counts.items()])
+    changed = spark.read.schema(classes.schema).parquet(path)
+    return _rates(row), _sample_rows(a, b, ks, changed, n)

@@ -99,7 +99,9 @@ def snapshot_diff(
 ) -> DataFrame:
     """The changes that turn ``prev`` into ``new``, dated ``day``.
 
-    ``prev`` is first aligned to ``new``'s columns (P04). Keys must be
+    ``prev`` is first aligned to ``new``'s columns (P04); with
+    ``on_extra="keep"`` a column that only ``prev`` has stays in the images
+    (null in ``new``), so its loss is a change like any other. Keys must be
     non-null and unique on both sides: with ``validate`` (default) that is
     checked first, in one key-only job, and a violation raises
     ``KeyContractError`` (pass ``False`` for inputs already checked).
@@ -110,12 +112,14 @@ def snapshot_diff(
     rows of the changed keys alone; cheaper for wide rows and low change
     rates. Its changed-key set is broadcast only when its measured size is
     at most ``broadcast_limit`` bytes (default: the session's
-    ``spark.sql.autoBroadcastJoinThreshold``); at 100 TB with ~1% daily
-    change that set is gigabytes, so raise the limit together with driver
-    memory, or keep ``struct``.
+    ``spark.sql.autoBroadcastJoinThreshold``; never over 1 GiB). A larger set
+    is not broadcast: both sides then go through the ``struct`` join, with the
+    same result.
     """
     ks = as_keys(keys)
     prev = align_columns(prev, new.schema, on_extra=on_extra, cast=cast)
+    if on_extra == "keep":
+        new = align_columns(new, prev.schema)
     if validate:
         require_valid_keys({"previous snapshot": prev, "new dump": new}, ks)
     if strategy == "struct":
@@ -126,6 +130,9 @@ def snapshot_diff(
     raise ValueError(f"strategy must be 'struct' or 'hash', not {strategy!r}")
 
 
+# No changed-key set above this is broadcast, whatever the limit given.
+MAX_BROADCAST = 1 << 30
+
 _UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
 
 
@@ -169,7 +176,8 @@ def _diff_by_digest(prev: DataFrame, new: DataFrame, ks: list[str], day, broadca
     shared_root(spark)  # the checkpoint dir must be the shared one
     changed = changed.checkpoint(eager=True)
     size = changed.agg(F.coalesce(F.sum(_key_bytes(changed, ks)), F.lit(0))).first()[0]
-    if size <= (broadcast_limit if broadcast_limit is not None else _broadcast_limit(spark)):
+    limit = broadcast_limit if broadcast_limit is not None else _broadcast_limit(spark)
+    if size <= min(limit, MAX_BROADCAST):
         keyset = F.broadcast(changed)
         prev = prev.join(keyset, on=ks, how="left_semi")
         new = new.join(keyset, on=ks, how="left_semi")

@@ -3,8 +3,8 @@
 Per-key order is what makes replay exact: the state of a key at day ``t`` is
 the ``after`` image of its *last* change on or before ``t`` (forward), or the
 ``before`` image of its *first* change after ``t`` (reverse). Both are one
-grouped ``max_by``/``min_by`` on ``day`` -- combined map-side, then one
-shuffle of the changes only; the (large) snapshot side is never aggregated,
+grouped ``max_by``/``min_by`` on ``day`` after one shuffle of the changes
+only (see ``_by_key``); the (large) snapshot side is never aggregated,
 it only passes through an anti join that AQE turns into a broadcast when the
 change set turns out small.
 """
@@ -142,6 +142,9 @@ def undo_to(latest: DataFrame, log: DataFrame, day, keys: str | Sequence[str]) -
 
 def stack_dumps(dumps: Sequence[tuple[object, DataFrame]], day_col: str = "day") -> DataFrame:
     """Dated dumps (same columns) as one frame with a ``day`` column."""
+    taken = [d for d, df in dumps if day_col in df.columns]
+    if taken:
+        raise ValueError(f"dumps of {taken} have a column {day_col!r}; name another day column")
     frames = [df.withColumn(day_col, day_lit(d)) for d, df in dumps]
     return functools.reduce(lambda a, b: a.unionByName(b), frames)
 
@@ -174,6 +177,7 @@ def build_change_log(
     if not isinstance(dumps, DataFrame):
         if days is None:
             days = [d for d, _ in dumps]
+        day_col = "_dump_day"  # a content column may be called day
         dumps = stack_dumps(dumps, day_col)
     require_columns(dumps, ks + [day_col], "dumps")
     if days is None:
@@ -181,7 +185,7 @@ def build_change_log(
     days = sorted({to_day(d) for d in days})
     if not days:
         raise ValueError("no dump days")
-    fields = content_fields(dumps, ks, ignore=(day_col, "op", "before", "after"))
+    fields = content_fields(dumps, ks, ignore=(day_col,))
     dtype = T.StructType(fields)
     if validate:
         frames = {"dumps": dumps.select(*_kcols(ks), F.col(day_col).cast("date").alias("_d"))}

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Bookkeeping columns of a change log; never part of a row's content.
+# Bookkeeping columns of a change log. Content lives in its structs, so content
+# columns may have these names; key columns may not.
 LOG_COLUMNS = ("op", "before", "after", "day")
 
 
@@ -16,6 +17,9 @@ def as_keys(keys: str | Sequence[str]) -> list[str]:
     ks = [keys] if isinstance(keys, str) else list(keys)
     if not ks:
         raise ValueError("at least one key column is required")
+    reserved = [k for k in ks if k in LOG_COLUMNS]
+    if reserved:
+        raise ValueError(f"key column(s) {reserved} have the names of change-log columns; rename them first")
     return ks
 
 
@@ -36,13 +40,13 @@ def common_columns(a: DataFrame, b: DataFrame) -> list[str]:
     return [c for c in b.columns if c in in_a]
 
 
-def content_fields(df: DataFrame, keys: Sequence[str], ignore: Sequence[str] = LOG_COLUMNS) -> list[T.StructField]:
-    """All fields except the keys and bookkeeping columns, in frame order."""
+def content_fields(df: DataFrame, keys: Sequence[str], ignore: Sequence[str] = ()) -> list[T.StructField]:
+    """All fields except the keys (and ``ignore``), in frame order."""
     skip = set(keys) | set(ignore)
     return [f for f in df.schema.fields if f.name not in skip]
 
 
-def content_columns(df: DataFrame, keys: Sequence[str], ignore: Sequence[str] = LOG_COLUMNS) -> list[str]:
+def content_columns(df: DataFrame, keys: Sequence[str], ignore: Sequence[str] = ()) -> list[str]:
     return [f.name for f in content_fields(df, keys, ignore)]
 
 

@@ -8,6 +8,7 @@ cluster names) and is only invented locally when that setting is unset.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -45,7 +46,7 @@ def shared_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):  # local-cluster has executors of its own
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: name a folder on shared storage "
                 "(reliable checkpoints and scratch tables are written there)"
