@@ -50,6 +50,17 @@ def content_columns(df: DataFrame, keys: Sequence[str], ignore: Sequence[str] =
     return [f.name for f in content_fields(df, keys, ignore)]
 
 
+def nullable(dtype: T.DataType) -> T.DataType:
+    """``dtype`` with every nested value nullable, as a file source reads it."""
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, nullable(f.dataType), True) for f in dtype.fields])
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(nullable(dtype.elementType), True)
+    if isinstance(dtype, T.MapType):
+        return T.MapType(nullable(dtype.keyType), nullable(dtype.valueType), True)
+    return dtype
+
+
 def align_columns(
     df: DataFrame,
     target: T.StructType | DataFrame,
@@ -74,7 +85,7 @@ def align_columns(
     for f in schema.fields:
         if f.name not in have:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-        elif have[f.name] != f.dataType:
+        elif nullable(have[f.name]) != nullable(f.dataType):
             if not cast:
                 raise TypeError(
                     f"column {f.name!r} is {have[f.name].simpleString()} here but "

@@ -2,40 +2,51 @@
 
 Layout under ``root`` (any Hadoop-compatible shared path)::
 
-    snapshot/day=YYYY-MM-DD/   full table as of that day (Parquet)
-    changes/day=YYYY-MM-DD/    that day's change rows (keys, op, before, after)
-
-    snapshot/_COMMITTED_YYYY-MM-DD, changes/_COMMITTED_YYYY-MM-DD
-                               commit markers, next to the day folders
-
-A day is *complete* when both of its folders are committed. The markers sit
-at the roots (names start with "_" and have no "=", so Spark's file listing
-never reads them): one non-recursive listing per root tells every day's
-state, never a listing of the part files inside the day folders, which at
-100 TB number tens of thousands per version. A day's marker is removed
-before its folder is rewritten and created after the write, so an
-interrupted write leaves the day uncommitted.
-Day ``D`` is always diffed against the newest complete snapshot strictly
-before ``D``, so rerunning a day is idempotent and a crash between the two
-writes is repaired by rerunning that day. Nothing ever overwrites a path it
-reads from: a new snapshot is a new folder, and old versions are pruned only
-after the next day is complete (``keep_snapshot_every``).
-
-With ``buckets=N`` every snapshot version is written bucketed by the key
-into ``N`` files (marker ``snapshot/_BUCKETS_YYYY-MM-DD_N``, written before
-the commit marker). Two bucketed versions then
-diff with no shuffle at all, and the key check is a per-bucket aggregate:
-each day shuffles only its own dump, once, while writing it -- the previous
-snapshot is never shuffled again. Unique keys hash evenly, so buckets don't
-skew; pick ``N`` so that one bucket of the snapshot is a few hundred MB.
+    snapshot/day=YYYY-MM-DD/v=A/   full table as of that day (Parquet)
+    changes/day=YYYY-MM-DD/v=A/    that day's change rows (keys, op, before, after)
+    commits/YYYY-MM-DD_A_KIND_S    one empty file per committed day
+    schemas/S.json                 the table's schema on the days that name it
+
+Every run of a day writes an *attempt* ``A`` of its own. The day is switched to
+it by one marker that names both folders, created last; until then readers see
+the previous attempt, whole, and a run that fails at any step (key check, type
+conflict, diff, write) leaves the day as it was. Of several markers of a day
+the highest attempt counts; the others and their folders are removed after the
+switch. ``KIND`` is ``sN`` while the snapshot version is kept (bucketed into N
+files, 0: plain) and ``log`` once it is pruned or where none was written.
+
+One non-recursive listing of ``commits`` tells every day's state, never a
+listing of the part files, which at 100 TB number tens of thousands per version.
+
+Day ``D`` is always diffed against the newest committed day before it, from its
+snapshot or, if that is pruned, from the replayed table. A finished day prunes
+the versions before its base (``keep_snapshot_every`` days apart some are kept,
+and the last before each change of schema), so the newest day can be rerun.
+
+The columns may change from day to day. Each day's changes have the columns of
+that day's dump, time travel returns the columns of the day it travels to, and
+``read_log`` gives the union of all columns.
+
+With ``buckets=N`` every snapshot version is written bucketed by the key into
+``N`` files. Two bucketed versions then diff with no shuffle at all, and the
+key check is a per-bucket aggregate of the written attempt: each day reads and
+shuffles only its own dump, once, while writing it -- the previous snapshot is
+never shuffled again. Unique keys hash evenly, so buckets don't skew; pick
+``N`` so that one bucket of the snapshot is a few hundred MB. Bucketed versions
+are read and written through catalog entries that exist for one call, under a
+name of their own; the session's catalog must allow CREATE and DROP TABLE.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import hashlib
+import json
 import re
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -44,33 +55,42 @@ from pyspark.sql import types as T
 from ..functions.dates import to_day
 from ..operators.diff import DELETE, INSERT, UPDATE, change_log_schema, first_load, snapshot_diff
 from ..operators.keys import normalize_key, require_valid_key, require_valid_keys
-from ..operators.replay import as_of, build_change_log, stack_dumps, undo_to
-from ..operators.schema import align_columns, as_keys
-from .io import day_dir, empty_frame, read_change_log, write_change_days, write_parquet
+from ..operators.replay import apply_changes, build_change_log, stack_dumps, undo_to
+from ..operators.schema import align_columns, as_keys, nullable
+from .io import day_dir, empty_frame, write_parquet
 
+# Fixed form of a commit marker's name: day, attempt, kind, schema.
+COMMIT_MARK = re.compile(r"(\d{4}-\d{2}-\d{2})_(\d{6}-[0-9a-f]{8})_(log|s\d+)_([0-9a-f]{16})")
 
-# The root-level marker files of a committed day and of a
-# bucketed snapshot version. They start with "_" and have no "=", so Spark's
-# file listing never reads them as data or partitions.
-COMMIT_MARK = re.compile(r"_COMMITTED_(\d{4}-\d{2}-\d{2})")
-BUCKET_MARK = re.compile(r"_BUCKETS_(\d{4}-\d{2}-\d{2})_(\d+)")
 
+def schema_id(schema: T.StructType) -> str:
+    return hashlib.sha256(nullable(schema).json().encode()).hexdigest()[:16]
 
-def commit_marker(root: str, day) -> str:
-    return f"{root.rstrip('/')}/_COMMITTED_{to_day(day).isoformat()}"
 
+@dataclass(frozen=True)
+class Version:
+    """One committed day: its attempt, whether its snapshot is kept (and in how many buckets), its schema."""
 
-def bucket_marker(root: str, day, buckets: int) -> str:
-    return f"{root.rstrip('/')}/_BUCKETS_{to_day(day).isoformat()}_{int(buckets)}"
+    day: dt.date
+    attempt: str
+    kind: str
+    schema: str
 
+    @property
+    def marker(self) -> str:
+        return f"{self.day.isoformat()}_{self.attempt}_{self.kind}_{self.schema}"
 
-def _catalog_name(path: str) -> str:
-    """A name for the transient catalog entry of a bucketed snapshot folder."""
-    return "daybook_snapshot_" + hashlib.sha1(path.encode()).hexdigest()[:24]
+    @property
+    def kept(self) -> bool:
+        return self.kind != "log"
+
+    @property
+    def buckets(self) -> int:
+        return int(self.kind[1:]) if self.kept else 0
 
 
 class _Fs:
-    """Directory listing and markers through the session's Hadoop FileSystem."""
+    """Listing, markers and small files through the session's Hadoop FileSystem."""
 
     def __init__(self, spark: SparkSession):
         self._jvm = spark.sparkContext._jvm
@@ -80,80 +100,89 @@ class _Fs:
         path = self._jvm.org.apache.hadoop.fs.Path(p)
         return path, path.getFileSystem(self._conf)
 
+    def names(self, p: str) -> list[str]:
+        path, fs = self._path(p)
+        return [st.getPath().getName() for st in fs.listStatus(path)] if fs.exists(path) else []
+
     def exists(self, p: str) -> bool:
         path, fs = self._path(p)
         return bool(fs.exists(path))
 
-    def day_folders(self, root: str) -> tuple[list[dt.date], list[dt.date]]:
-        """``(all, committed)`` days with a folder ``root/day=D``."""
-        folders, committed, _ = self.scan(root)
-        return folders, committed
-
-    def scan(self, root: str) -> tuple[list[dt.date], list[dt.date], dict[dt.date, int]]:
-        """``(all, committed, buckets)`` for the day folders under ``root``:
-        a day is committed when its folder and its commit marker exist;
-        ``buckets`` maps a committed day to the bucket count its marker
-        names. One non-recursive listing of ``root`` (a paginated LIST of
-        about two entries per day on object stores); nothing inside the day
-        folders is listed."""
-        path, fs = self._path(root)
-        if not fs.exists(path):
-            return [], [], {}
-        folders, marked, buckets = set(), set(), {}
-        for st in fs.listStatus(path):
-            name = st.getPath().getName()
-            if st.isDirectory():
-                if name.startswith("day="):
-                    folders.add(dt.date.fromisoformat(name[4:]))
-            elif m := COMMIT_MARK.fullmatch(name):
-                marked.add(dt.date.fromisoformat(m.group(1)))
-            elif m := BUCKET_MARK.fullmatch(name):
-                buckets[dt.date.fromisoformat(m.group(1))] = int(m.group(2))
-        committed = marked & folders
-        return sorted(folders), sorted(committed), {d: n for d, n in buckets.items() if d in committed}
+    def mkdirs(self, p: str) -> None:
+        path, fs = self._path(p)
+        fs.mkdirs(path)
 
     def delete(self, p: str) -> None:
         path, fs = self._path(p)
         fs.delete(path, True)
 
-    def touch(self, file: str) -> None:
+    def put(self, file: str, text: str = "") -> None:
         path, fs = self._path(file)
-        fs.create(path, True).close()
+        out = fs.create(path, True)
+        try:
+            if text:
+                out.write(bytearray(text.encode()))
+        finally:
+            out.close()
 
-    def commit(self, root: str, day) -> None:
-        """Mark ``root/day=D`` committed (creating the folder if it is new,
-        e.g. a day without changes)."""
-        path, fs = self._path(day_dir(root, day))
-        fs.mkdirs(path)
-        self.touch(commit_marker(root, day))
-
-    def uncommit(self, root: str, day, bucket_markers: bool = True) -> None:
-        """Remove the day's commit marker and, where a root can hold them,
-        every bucket marker of the day whatever its count (before a
-        rewrite; the glob lists the root, so the change root skips it)."""
-        self.delete(commit_marker(root, day))
-        if not bucket_markers:
-            return
-        pattern, fs = self._path(f"{root.rstrip('/')}/_BUCKETS_{to_day(day).isoformat()}_*")
-        for st in fs.globStatus(pattern) or []:
-            fs.delete(st.getPath(), False)
+
+class Listing:
+    """The committed days, each in its newest attempt."""
+
+    def __init__(self, versions: dict[dt.date, Version], superseded: list[Version]):
+        self.versions = dict(sorted(versions.items()))
+        self.superseded = superseded
+
+    @property
+    def changes(self) -> list[dt.date]:
+        return list(self.versions)
+
+    @property
+    def snapshots(self) -> list[dt.date]:
+        return [d for d, v in self.versions.items() if v.kept]
+
+    complete = snapshots
+
+    @property
+    def buckets(self) -> dict[dt.date, int]:
+        return {d: v.buckets for d, v in self.versions.items() if v.buckets}
+
+    def before(self, day: dt.date) -> Version | None:
+        """The newest committed day before ``day``."""
+        return next((self.versions[d] for d in reversed(self.versions) if d < day), None)
+
+    def epochs(self) -> list[list[Version]]:
+        """The committed days in runs of one schema."""
+        out: list[list[Version]] = []
+        for v in self.versions.values():
+            if not out or out[-1][-1].schema != v.schema:
+                out.append([])
+            out[-1].append(v)
+        return out
 
 
 class Store:
-    """A keyed table kept as daily snapshots and changes under ``root``."""
+    """A keyed table kept as daily snapshots and changes under ``root``.
+
+    ``keep_snapshot_every``: of the snapshot versions older than the newest
+    day's base, those of every n-th calendar day are kept (default 7; None keeps
+    all, a full copy a day).
+    """
 
     def __init__(
         self,
         spark: SparkSession,
         root: str,
         keys: str | Sequence[str],
-        keep_snapshot_every: int | None = None,
+        keep_snapshot_every: int | None = 7,
         strategy: str = "struct",
         broadcast_limit: int | None = None,
         buckets: int | None = None,
     ):
         if buckets is not None and buckets < 1:
             raise ValueError("buckets must be a positive number")
+        if keep_snapshot_every is not None and keep_snapshot_every < 1:
+            raise ValueError("keep_snapshot_every must be a positive number of days or None")
         self.spark = spark
         self.buckets = buckets
         self.strategy = strategy
@@ -163,15 +192,24 @@ class Store:
         self.keep_snapshot_every = keep_snapshot_every
         self.snapshot_root = f"{self.root}/snapshot"
         self.change_root = f"{self.root}/changes"
+        self.commit_root = f"{self.root}/commits"
         self._fs = _Fs(spark)
-        self._written: dict[str, T.StructType] = {}  # schemas of versions this object wrote
+        self._schemas: dict[str, T.StructType] = {}
 
     # -- listing ---------------------------------------------------------
-    def listing(self) -> "Listing":
-        """What is stored, from one listing of each root."""
-        _, snaps, buckets = self._fs.scan(self.snapshot_root)
-        folders, changes = self._fs.day_folders(self.change_root)
-        return Listing(snaps, changes, folders, buckets)
+    def listing(self) -> Listing:
+        """What is stored, from one listing of the markers."""
+        found: dict[tuple[dt.date, str], Version] = {}
+        for name in self._fs.names(self.commit_root):
+            if m := COMMIT_MARK.fullmatch(name):
+                v = Version(dt.date.fromisoformat(m[1]), m[2], m[3], m[4])
+                same = found.get((v.day, v.attempt))
+                if same is None or same.kept:  # beside "log" a kept marker is what a prune left
+                    found[v.day, v.attempt] = v
+        newest: dict[dt.date, Version] = {}
+        for v in sorted(found.values(), key=lambda v: v.attempt):
+            newest[v.day] = v
+        return Listing(newest, [v for v in found.values() if newest[v.day] is not v])
 
     def snapshot_days(self) -> list[dt.date]:
         return self.listing().snapshots
@@ -180,35 +218,74 @@ class Store:
         return self.listing().changes
 
     def complete_days(self) -> list[dt.date]:
-        """Days whose snapshot *and* changes were both written."""
+        """Days whose changes are committed and whose snapshot version is kept."""
         return self.listing().complete
 
     def latest_day(self) -> dt.date | None:
-        days = self.complete_days()
+        """The newest committed day."""
+        days = self.change_days()
         return days[-1] if days else None
 
+    # -- schemas -----------------------------------------------------------
+    def _schema(self, sid: str) -> T.StructType:
+        if sid not in self._schemas:
+            text = self.spark.read.text(f"{self.root}/schemas/{sid}.json", wholetext=True).first()[0]
+            self._schemas[sid] = T.StructType.fromJson(json.loads(text))
+        return self._schemas[sid]
+
+    def _record(self, schema: T.StructType) -> str:
+        sid = schema_id(schema)
+        file = f"{self.root}/schemas/{sid}.json"
+        if sid not in self._schemas and not self._fs.exists(file):
+            self._fs.put(file, nullable(schema).json())
+        self._schemas[sid] = nullable(schema)
+        return sid
+
+    # -- attempts ------------------------------------------------------------
+    def _attempt(self, ls: Listing, days: Sequence[dt.date]) -> str:
+        """A new attempt's name, above every committed attempt of ``days``."""
+        last = max((int(ls.versions[d].attempt[:6]) for d in days if d in ls.versions), default=0)
+        return f"{last + 1:06d}-{uuid.uuid4().hex[:8]}"
+
+    def _folder(self, root: str, day, attempt: str) -> str:
+        return f"{day_dir(root, day)}/v={attempt}"
+
+    def _commit(self, version: Version, replaced: Version | None) -> None:
+        """Switch the day to ``version``; then remove what it replaces."""
+        self._fs.put(f"{self.commit_root}/{version.marker}")
+        if replaced is not None:
+            self._remove(replaced)
+
+    def _remove(self, v: Version) -> None:
+        self._fs.delete(f"{self.commit_root}/{v.marker}")
+        for root in (self.snapshot_root, self.change_root):
+            self._fs.delete(self._folder(root, v.day, v.attempt))
+
     # -- reads -------------------------------------------------------------
-    def read_snapshot(self, day=None, listing: "Listing | None" = None) -> DataFrame:
-        """The snapshot version of ``day`` (default: the latest complete one)."""
+    def read_snapshot(self, day=None, listing: Listing | None = None) -> DataFrame:
+        """The snapshot version of ``day``; by default the table on the newest day."""
         ls = listing or self.listing()
-        d = to_day(day) if day is not None else (ls.complete[-1] if ls.complete else None)
-        if d is None or d not in ls.snapshots:
-            raise FileNotFoundError(f"no snapshot version for {d} under {self.snapshot_root}")
-        return self._snapshot_frame(day_dir(self.snapshot_root, d), ls.buckets.get(d))
-
-    def _snapshot_frame(self, path: str, buckets: int | None) -> DataFrame:
+        if day is None and ls.versions:
+            newest = ls.changes[-1]
+            return self._table(ls, newest)
+        v = ls.versions.get(to_day(day)) if day is not None else None
+        if v is None or not v.kept:
+            raise FileNotFoundError(f"no snapshot version for {day} under {self.snapshot_root}")
+        return self._version_frame(v)
+
+    def _version_frame(self, v: Version) -> DataFrame:
+        return self._snapshot_frame(self._folder(self.snapshot_root, v.day, v.attempt), self._schema(v.schema), v.buckets)
+
+    def _snapshot_frame(self, path: str, schema: T.StructType, buckets: int | None) -> DataFrame:
         """One snapshot folder; a bucketed one is read as a bucketed relation
         (so joins and groupings on the key need no shuffle). Its catalog
-        entry is transient: registered, resolved, dropped -- the frame keeps
-        the relation, the catalog keeps nothing, the files stay."""
-        known = self._written.get(path)  # a version written here: no footer-reading job
+        entry is transient and has a name of its own: registered, resolved,
+        dropped -- the frame keeps the relation, the catalog keeps nothing,
+        the files stay."""
+        schema = nullable(schema)
         if not buckets:
-            return self.spark.read.schema(known).parquet(path) if known else self.spark.read.parquet(path)
-        schema = known or self.spark.read.parquet(path).schema  # footer of one file
-        # As a file source reads it: nullable (no NOT NULL in the table DDL).
-        schema = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
-        name = _catalog_name(path)
-        self._forget(name)
+            return self.spark.read.schema(schema).parquet(path)
+        name = f"daybook_{uuid.uuid4().hex}"
         keys = ", ".join(f"`{k}`" for k in self.keys)
         location = path.replace("\\", "\\\\").replace("'", "\\'")
         self.spark.sql(
@@ -218,56 +295,74 @@ class Store:
         try:
             return self.spark.table(name)
         finally:
-            self._forget(name)
-
-    def _forget(self, name: str) -> None:
-        """Drop a transient catalog entry (external: its files are kept)."""
-        if self.spark.catalog.tableExists(name):
-            kind = self.spark.catalog.getTable(name).tableType
-            if kind != "EXTERNAL":
-                raise RuntimeError(f"catalog table {name} is {kind}, not a snapshot registration")
-            self.spark.sql(f"DROP TABLE {name}")
-
-    def _write_snapshot(self, df: DataFrame, day) -> str:
-        """Write the snapshot version of ``day``; bucketed by the key
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: its files are kept
+
+    def _write_snapshot(self, df: DataFrame, path: str) -> None:
+        """Write a snapshot version into a new folder; bucketed by the key
         into ``buckets`` files when the store is bucketed (one shuffle of
         ``df``, which later diffs and key checks then never repeat)."""
-        path = day_dir(self.snapshot_root, day)
-        self._written.pop(path, None)
-        self._fs.uncommit(self.snapshot_root, day)
         if not self.buckets:
             write_parquet(df, path)
-            self._written[path] = df.schema
-            self._fs.commit(self.snapshot_root, day)
-            return path
-        self._fs.delete(path)  # an earlier run of this same day: our own output, never an input
-        name = _catalog_name(path)
-        self._forget(name)
-        (
-            df.repartition(self.buckets, *[F.col(f"`{k}`") for k in self.keys])
-            .write.bucketBy(self.buckets, *self.keys)
-            .sortBy(*self.keys)
-            .option("path", path)
-            .saveAsTable(name)
-        )
-        self._forget(name)
-        self._fs.touch(bucket_marker(self.snapshot_root, day, self.buckets))  # before the commit marker
-        self._written[path] = df.schema
-        self._fs.commit(self.snapshot_root, day)
-        return path
-
-    def log_schema(self, listing: "Listing | None" = None) -> T.StructType:
-        return change_log_schema(self.read_snapshot(listing=listing), self.keys)
-
-    def read_log(self, after=None, until=None, listing: "Listing | None" = None) -> DataFrame:
-        """The change log (explicit schema, day folders pruned). Day
-        folders without a commit marker (an interrupted write) are skipped."""
+            return
+        name = f"daybook_{uuid.uuid4().hex}"
+        try:
+            (
+                df.repartition(self.buckets, *[F.col(f"`{k}`") for k in self.keys])
+                .write.bucketBy(self.buckets, *self.keys)
+                .sortBy(*self.keys)
+                .option("path", path)
+                .saveAsTable(name)
+            )
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: its files are kept
+
+    def log_schema(self, listing: Listing | None = None) -> T.StructType:
+        """The change log's schema on the newest day."""
         ls = listing or self.listing()
-        log = read_change_log(self.spark, self.change_root, self.log_schema(ls), after=after, until=until)
-        uncommitted = sorted(set(ls.change_folders) - set(ls.changes))
-        if uncommitted:
-            log = log.filter(~F.col("day").isin(uncommitted))
-        return log
+        if not ls.versions:
+            raise FileNotFoundError(f"nothing stored under {self.root}")
+        return change_log_schema(empty_frame(self.spark, self._schema(ls.versions[ls.changes[-1]].schema)), self.keys)
+
+    def _changes(self, versions: Sequence[Version]) -> DataFrame:
+        """The change rows of committed days of one schema, those days' folders only."""
+        log = change_log_schema(empty_frame(self.spark, self._schema(versions[0].schema)), self.keys)
+        schema = T.StructType([*nullable(log).fields, T.StructField("v", T.StringType())])
+        paths = [self._folder(self.change_root, v.day, v.attempt) for v in versions]
+        return self.spark.read.schema(schema).option("basePath", self.change_root).parquet(*paths).drop("v")
+
+    def read_log(self, after=None, until=None, listing: Listing | None = None) -> DataFrame:
+        """The change log of the committed days in ``(after, until]``.
+
+        Days of one schema are read with that schema; over several the images
+        have the union of the columns (the newest day's first, null where a day
+        lacks one; a column whose type changed is given as text).
+        """
+        ls = listing or self.listing()
+        lo, hi = (to_day(x) if x is not None else None for x in (after, until))
+        days = [v for d, v in ls.versions.items() if (lo is None or d > lo) and (hi is None or d <= hi)]
+        if not days:
+            return empty_frame(self.spark, self.log_schema(ls))
+        groups: dict[str, list[Version]] = {}
+        for v in reversed(days):  # the newest schema first
+            groups.setdefault(v.schema, []).append(v)
+        frames = [self._changes(vs) for vs in groups.values()]
+        if len(frames) == 1:
+            return frames[0]
+        fields: dict[str, T.DataType] = {}
+        for f in (f for df in frames for f in df.schema["after"].dataType.fields):
+            fields[f.name] = f.dataType if fields.get(f.name, f.dataType) == f.dataType else T.StringType()
+
+        def widened(df: DataFrame, image: str):
+            have = {f.name for f in df.schema[image].dataType.fields}
+            cols = [(F.col(image).getField(n) if n in have else F.lit(None)).cast(t).alias(n) for n, t in fields.items()]
+            return F.when(F.col(image).isNotNull(), F.struct(*cols)).alias(image)
+
+        kinds = {k: frames[0].schema[k].dataType for k in self.keys}
+        wide = [
+            df.select(*[F.col(f"`{k}`").cast(t).alias(k) for k, t in kinds.items()], "op", widened(df, "before"), widened(df, "after"), "day")
+            for df in frames
+        ]
+        return functools.reduce(lambda a, b: a.unionByName(b), wide)
 
     # -- daily integration -------------------------------------------------
     def integrate(
@@ -281,180 +376,201 @@ class Store:
     ) -> dict:
         """Record ``dump`` as the table on ``day``.
 
-        1. writes ``snapshot/day=D`` from the dump (one scan of the dump);
-        2. checks the key contract on that Parquet copy, reading the key
-           columns only (a bad day's snapshot is removed and the call raises);
-           a bucketed store checks the dump first instead, so a bad key
-           never reaches the bucketing shuffle;
-        3. diffs it against the newest complete snapshot before ``D`` and
-           writes ``changes/day=D``.
-        Returns the day's counts, observed during the writes (no extra pass).
+        1. refuses what can't be compared (column types) before writing anything;
+        2. writes the snapshot into a new attempt (one scan of the dump);
+        3. checks the key contract on that copy, reading the key columns only;
+        4. diffs it against the newest committed day before ``D``, writes the
+           attempt's changes, and switches the day to the attempt.
+        A run that fails in between removes its attempt and changes nothing.
+        A column that the dump lacks leaves the table (its values stay in the
+        kept snapshots), stays as nulls (``on_extra="keep"``) or is refused
+        (``"error"``). Returns the day's counts, observed during the writes (no
+        extra pass).
         """
         d = to_day(day)
         if len(self.keys) == 1:
             dump = normalize_key(dump, self.keys[0])  # P01: an ``id`` column becomes the key
         ls = self.listing()
-        complete = ls.complete
-        later = [b for b in complete if b > d]
+        later = [b for b in ls.changes if b > d]
         if later:
             raise ValueError(f"{d} is before already integrated day {later[0]}; rebuild from there instead")
-        base = [b for b in complete if b < d]
-        dangling = [c for c in ls.change_folders if c < d and c not in complete and (not base or c > base[-1])]
-        if dangling:
-            raise ValueError(f"days {dangling} were not completed; rerun them before {d}")
-
-        if validate and self.buckets:
-            # Before the bucketing shuffle: a duplicated hot key is refused by
-            # the map-side-combined key count, never routed whole to one bucket.
-            require_valid_key(dump, self.keys, f"dump of {d}")
-        snap_obs = Observation("snapshot")
-        snap_dir = self._write_snapshot(dump.observe(snap_obs, F.count(F.lit(1)).alias("rows")), d)
-        new = self._snapshot_frame(snap_dir, self.buckets)  # schema known: no footer job
-        if validate and not self.buckets:
-            # The plain write has no shuffle, so the check reads the key
-            # columns of the Parquet copy instead of parsing the dump twice.
-            try:
+        base = ls.before(d)
+        prev = self._table(ls, base.day) if base else None
+        if prev is not None:
+            aligned = align_columns(prev, dump.schema, on_extra=on_extra, cast=cast)
+            if on_extra == "keep":
+                dump = align_columns(dump, aligned.schema)
+            prev = align_columns(prev, dump.schema, cast=cast)
+        attempt = self._attempt(ls, [d])
+        snap_dir, change_dir = (self._folder(root, d, attempt) for root in (self.snapshot_root, self.change_root))
+        snap_obs, chg_obs, op = Observation("snapshot"), Observation("changes"), F.col("op")
+        try:
+            self._write_snapshot(dump.observe(snap_obs, F.count(F.lit(1)).alias("rows")), snap_dir)
+            new = self._snapshot_frame(snap_dir, dump.schema, self.buckets)  # schema known: no footer job
+            if validate:
                 require_valid_key(new, self.keys, f"dump of {d}")
-            except Exception:
-                self._written.pop(snap_dir, None)
-                self._fs.uncommit(self.snapshot_root, d)
-                self._fs.delete(snap_dir)
-                raise
-        if base:
-            prev = self.read_snapshot(base[-1], ls)
-            changes = snapshot_diff(
-                prev,
-                new,
-                self.keys,
-                d,
-                on_extra=on_extra,
-                cast=cast,
-                strategy=strategy or self.strategy,
-                broadcast_limit=self.broadcast_limit,
-                validate=False,  # new: checked above; prev: checked on its own day
+            if prev is not None:
+                changes = snapshot_diff(
+                    prev,
+                    new,
+                    self.keys,
+                    d,
+                    strategy=strategy or self.strategy,
+                    broadcast_limit=self.broadcast_limit,
+                    validate=False,  # new: checked above; prev: checked on its own day
+                )
+                # A day's changes are a small slice of the table: right-sized files
+                # instead of one file per shuffle partition.
+                changes = changes.hint("rebalance")
+            else:
+                changes = first_load(new, self.keys, d)  # all rows, one projection: no shuffle
+            observed = changes.observe(
+                chg_obs,
+                F.count_if(op == INSERT).alias("inserts"),
+                F.count_if(op == UPDATE).alias("updates"),
+                F.count_if(op == DELETE).alias("deletes"),
             )
-        else:
-            changes = first_load(new, self.keys, d)
-
-        op = F.col("op")
-        chg_obs = Observation("changes")
-        observed = changes.observe(
-            chg_obs,
-            F.count_if(op == INSERT).alias("inserts"),
-            F.count_if(op == UPDATE).alias("updates"),
-            F.count_if(op == DELETE).alias("deletes"),
-        )
-        # A day's changes are a small slice of the table: rebalance them into
-        # right-sized files instead of one file per shuffle partition.
-        self._fs.uncommit(self.change_root, d, bucket_markers=False)
-        write_parquet(observed.drop("day").hint("rebalance"), day_dir(self.change_root, d))
-        self._fs.commit(self.change_root, d)
+            write_parquet(observed.drop("day"), change_dir)
+            version = Version(d, attempt, f"s{self.buckets or 0}", self._record(dump.schema))
+        except BaseException:
+            for path in (snap_dir, change_dir):
+                self._fs.delete(path)
+            raise
+        self._commit(version, ls.versions.get(d))
+        for v in ls.superseded:  # left by a run that stopped between switch and removal
+            self._remove(v)
+        self._prune()
         counts = {k: int(v or 0) for k, v in chg_obs.get.items()}
-        if base:
-            self._prune(base[-1])
         return {"day": d, "rows": int(snap_obs.get["rows"]), **counts}
 
-    def _prune(self, day: dt.date) -> None:
-        """Drop the previous snapshot version unless it is a kept base."""
+    def _prune(self) -> None:
+        """Drop snapshot versions older than the newest day's base, but for
+        every ``keep_snapshot_every``-th day and the last day of each schema."""
         n = self.keep_snapshot_every
-        if n and (day.toordinal() % n) != 0:
-            path = day_dir(self.snapshot_root, day)
-            self._written.pop(path, None)
-            self._fs.uncommit(self.snapshot_root, day)
-            self._fs.delete(path)
+        ls = self.listing()
+        days = ls.changes
+        if n is None or len(days) < 3:
+            return
+        lasts = {epoch[-1].day for epoch in ls.epochs()}
+        for d in days[:-2]:
+            v = ls.versions[d]
+            if v.kept and d not in lasts and d.toordinal() % n != 0:
+                self._fs.put(f"{self.commit_root}/{Version(d, v.attempt, 'log', v.schema).marker}")
+                self._fs.delete(f"{self.commit_root}/{v.marker}")
+                self._fs.delete(self._folder(self.snapshot_root, d, v.attempt))
 
     # -- many days at once -------------------------------------------------
-    def backfill(self, dumps: Sequence[tuple[object, DataFrame]], chunk_days: int = 7, validate: bool = True) -> list[dt.date]:
+    def backfill(
+        self, dumps: Sequence[tuple[object, DataFrame]], chunk_days: int = 7, validate: bool = True, cast: bool = False
+    ) -> list[dt.date]:
         """A05 into the store: integrate many dated dumps, ``chunk_days`` per pass.
 
-        Each chunk is one window pass (:func:`build_change_log`) seeded with
-        the newest stored snapshot, written with one dynamic partition
-        overwrite; only the chunk's last day is stored as a snapshot version
-        (earlier days are reached by replay). Chunking bounds what one job
-        shuffles -- 30 years of full dumps never go through one exchange.
-        Days must all be later than the store's latest day.
+        Each chunk (of one schema) is one window pass (:func:`build_change_log`)
+        seeded with the table on the day before it, aligned to the chunk's
+        columns as :meth:`integrate` does; only the chunk's last day is stored
+        as a snapshot version (earlier days are reached by replay). Chunking
+        bounds what one job shuffles -- 30 years of full dumps never go through
+        one exchange. Days must all be later than the store's latest day.
         """
+        if chunk_days < 1:
+            raise ValueError("chunk_days must be at least 1")
         items = sorted(((to_day(d), df) for d, df in dumps), key=lambda x: x[0])
+        if len(self.keys) == 1:
+            items = [(d, normalize_key(df, self.keys[0])) for d, df in items]
         days = [d for d, _ in items]
         if len(set(days)) != len(days):
             raise ValueError("two dumps for the same day")
-        done = self.listing().complete
+        done = self.listing().changes
         if done and days and days[0] <= done[-1]:
             raise ValueError(f"backfill must start after the latest complete day {done[-1]}")
-        written = []
-        for start in range(0, len(items), max(1, chunk_days)):
-            chunk = items[start : start + chunk_days]
-            stacked = stack_dumps(chunk, "_day")
-            if validate:  # unique per day; the stored base was checked on its own day
-                require_valid_keys({f"dumps {chunk[0][0]}..{chunk[-1][0]}": stacked}, self.keys, within=["_day"])
-            ls = self.listing()
-            base = self.read_snapshot(listing=ls) if ls.complete else None
-            log = build_change_log(
-                stacked, self.keys, days=[d for d, _ in chunk], base=base, day_col="_day", validate=False
-            )
-            for d, _ in chunk:  # leftovers of an interrupted run of this chunk (our own output, not an input)
-                self._fs.uncommit(self.change_root, d, bucket_markers=False)
-                self._fs.delete(day_dir(self.change_root, d))
-            write_change_days(log, self.change_root)
-            for d, _ in chunk:  # days without change get an empty, committed folder
-                self._fs.commit(self.change_root, d)
-            last_day, last_dump = chunk[-1]
-            self._write_snapshot(last_dump, last_day)
-            written += [d for d, _ in chunk]
-        return written
+        chunks: list[list[tuple[dt.date, DataFrame]]] = []
+        for d, df in items:
+            if not chunks or len(chunks[-1]) == chunk_days or schema_id(chunks[-1][0][1].schema) != schema_id(df.schema):
+                chunks.append([])
+            chunks[-1].append((d, df))
+        for chunk in chunks:
+            self._backfill_chunk(chunk, validate, cast)
+        return days
+
+    def _backfill_chunk(self, chunk: list[tuple[dt.date, DataFrame]], validate: bool, cast: bool) -> None:
+        chunk_days = [d for d, _ in chunk]
+        stacked = stack_dumps(chunk, "_dump_day")
+        ls = self.listing()
+        before = ls.before(chunk_days[0])
+        base = align_columns(self._table(ls, before.day), chunk[0][1].schema, cast=cast) if before else None
+        if validate:  # unique per day; the stored base was checked on its own day
+            require_valid_keys({f"dumps {chunk_days[0]}..{chunk_days[-1]}": stacked}, self.keys, within=["_dump_day"])
+        log = build_change_log(stacked, self.keys, days=chunk_days, base=base, day_col="_dump_day", validate=False)
+        attempt = self._attempt(ls, chunk_days)
+        folders = [self._folder(root, d, attempt) for d in chunk_days for root in (self.snapshot_root, self.change_root)]
+        try:
+            # rebalanced by day: few right-sized files for each
+            log.withColumn("v", F.lit(attempt)).hint("rebalance", "day").write.mode("append").partitionBy("day", "v").parquet(self.change_root)
+            self._write_snapshot(chunk[-1][1], self._folder(self.snapshot_root, chunk_days[-1], attempt))
+            sid = self._record(chunk[0][1].schema)
+        except BaseException:
+            for path in folders:
+                self._fs.delete(path)
+            raise
+        for d in chunk_days:
+            self._fs.mkdirs(self._folder(self.change_root, d, attempt))  # a day without changes has no files
+            self._commit(Version(d, attempt, f"s{self.buckets or 0}" if d == chunk_days[-1] else "log", sid), None)
 
     # -- time travel -------------------------------------------------------
-    def _current(self, df: DataFrame, ls: "Listing") -> DataFrame:
-        """``df`` in the store's current schema (the latest snapshot's): a
-        column dropped since is dropped, one added since is null (P04)."""
-        return align_columns(df, self.read_snapshot(listing=ls).schema, on_extra="drop", cast=True)
+    def _table(self, ls: Listing, day: dt.date) -> DataFrame:
+        """The table at the end of the committed ``day``, in that day's columns.
 
-    def as_of(self, day) -> DataFrame:
-        """The table at the end of ``day``, in the store's current schema: the
-        nearest snapshot version at or before it, rolled forward over the
-        changes in between; or, if none exists before it, the nearest later
-        version rolled back."""
-        t = to_day(day)
-        ls = self.listing()
-        versions = ls.complete
-        earlier = [v for v in versions if v <= t]
-        if earlier and earlier[-1] == t:
-            return self._current(self.read_snapshot(t, ls), ls)
+        From the nearest kept version before it of the same schema, rolled
+        forward; else from the nearest later one of the same schema, rolled
+        back; else from the last kept version of an earlier schema, aligned and
+        rolled forward schema by schema, as the days were integrated.
+        """
+        epochs = ls.epochs()
+        at = next(i for i, e in enumerate(epochs) if e[0].day <= day <= e[-1].day)
+        same = epochs[at]
+        kept = [v for v in same if v.kept]
+        earlier, later = [v for v in kept if v.day <= day], [v for v in kept if v.day > day]
         if earlier:
-            b = earlier[-1]
-            log = self.read_log(after=b, until=t, listing=ls)
-            return as_of(log, t, self.keys, base=self._current(self.read_snapshot(b, ls), ls), base_day=b)
-        later = [v for v in versions if v > t]
-        if not later:
+            return self._forward(self._version_frame(earlier[-1]), [v for v in same if earlier[-1].day < v.day <= day])
+        if later:
+            days = [v for v in same if day < v.day <= later[0].day]
+            return undo_to(self._version_frame(later[0]), self._changes(days), day, self.keys)
+        start = max((i for i in range(at) if any(v.kept for v in epochs[i])), default=None)
+        if start is None:  # from the first load on
+            table, since, start = empty_frame(self.spark, self._schema(epochs[0][0].schema)), None, 0
+        else:
+            base = [v for v in epochs[start] if v.kept][-1]
+            table, since = self._version_frame(base), base.day
+        for epoch in epochs[start : at + 1]:
+            table = align_columns(table, self._schema(epoch[0].schema), cast=True)
+            table = self._forward(table, [v for v in epoch if (since is None or v.day > since) and v.day <= day])
+        return table
+
+    def _forward(self, table: DataFrame, days: Sequence[Version]) -> DataFrame:
+        return apply_changes(table, self._changes(days), self.keys, many_days=True) if days else table
+
+    def as_of(self, day) -> DataFrame:
+        """The table at the end of ``day``, with the columns it had then; empty
+        (with the first day's columns) before the first day."""
+        t, ls = to_day(day), self.listing()
+        if not ls.versions:
             raise FileNotFoundError(f"nothing stored under {self.root}")
-        latest = self._current(self.read_snapshot(later[0], ls), ls)
-        if t < ls.changes[0]:  # before the first load: the table didn't exist
-            return empty_frame(self.spark, latest.schema)
-        return undo_to(latest, self.read_log(after=t, until=later[0], listing=ls), t, self.keys)
+        days = [d for d in ls.changes if d <= t]
+        if not days:
+            return empty_frame(self.spark, self._schema(ls.versions[ls.changes[0]].schema))
+        return self._table(ls, days[-1])
 
     def undo_to(self, day) -> DataFrame:
-        """Reverse replay from the latest snapshot (reads only the change
-        days between ``day`` and that snapshot's day)."""
-        ls = self.listing()
-        if not ls.complete:
+        """Reverse replay from the newest snapshot (reads only the change
+        days between ``day`` and that snapshot's day); over a change of columns,
+        which can't be undone, the same table as :meth:`as_of`."""
+        t, ls = to_day(day), self.listing()
+        if not ls.versions:
             raise FileNotFoundError(f"nothing stored under {self.root}")
-        latest = ls.complete[-1]
-        log = self.read_log(after=day, until=latest, listing=ls)
-        return undo_to(self.read_snapshot(latest, ls), log, day, self.keys)
-
-
-class Listing:
-    """Committed snapshot days, committed change days and all change folders."""
-
-    def __init__(
-        self,
-        snapshots: list[dt.date],
-        changes: list[dt.date],
-        change_folders: list[dt.date],
-        buckets: dict[dt.date, int] | None = None,
-    ):
-        self.snapshots = snapshots
-        self.changes = changes
-        self.change_folders = change_folders
-        self.buckets = buckets or {}
-        self.complete = sorted(set(snapshots) & set(changes))
+        last = ls.epochs()[-1]
+        kept = [v for v in last if v.kept and v.day >= t]
+        if not kept or t < last[0].day:
+            return self.as_of(t)
+        days = [v for v in last if t < v.day <= kept[-1].day]
+        latest = self._version_frame(kept[-1])
+        return undo_to(latest, self._changes(days), t, self.keys) if days else latest

@@ -17,6 +17,10 @@ def snaps(spark):
     return snapshots(spark, SF001)
 
 
+def markers(store):
+    return sorted(n for n in os.listdir(store.commit_root) if not n.startswith("."))
+
+
 @pytest.fixture
 def store(spark, tmp_path):
     return Store(spark, str(tmp_path / "store"), KEY)
@@ -139,51 +143,162 @@ def test_backfill_refuses_overlap_and_bad_keys(spark, snaps, store):
 
 
 def test_interrupted_backfill_chunk_can_be_rerun(spark, snaps, store):
+    from pyspark.sql import functions as F
+
     from daybook import build_change_log
 
     store.backfill(snaps[:2])
-    # simulate a crash after the change folders of days 2-3 were written but
-    # before the chunk's snapshot: write a wrong log for those days by hand
-    bogus = build_change_log(snaps[2:4], KEY)  # all INSERTs: wrong for days 2-3
-    from daybook.sources.io import write_change_days
-
-    write_change_days(bogus, store.change_root)
-    with pytest.raises(ValueError):
-        store.integrate(snaps[4][1], day_of(4))  # refuses to build on a dangling range
+    # a crash after the change folders of days 2-3 were written, before their markers: a wrong log nobody sees
+    bogus = build_change_log(snaps[2:4], KEY).withColumn("v", F.lit("000001-deadbeef"))
+    bogus.write.mode("append").partitionBy("day", "v").parquet(store.change_root)
+    assert store.change_days() == [day_of(0), day_of(1)]
     store.backfill(snaps[2:4])
     store.integrate(snaps[4][1], day_of(4))
     want = flatten_changes(build_change_log(snaps, KEY), KEY)
     assert rows(flatten_changes(store.read_log(), KEY)) == rows(want)
 
 
-def test_schema_drift_across_days(spark, tmp_path):
-    """day 0 (k, a, b) -> day 1 (k, a, c) -> day 2 (k, a, c): the log stays
-    readable and time travel returns the latest column set (b dropped, c null
-    before it existed)."""
-    st = Store(spark, str(tmp_path / "drift"), "k", keep_snapshot_every=None)
-    d0 = spark.createDataFrame([("x", 1, 10), ("y", 2, 20)], "k string, a int, b int")
-    d1 = spark.createDataFrame([("x", 1, 5), ("z", 3, 7)], "k string, a int, c int")
-    d2 = spark.createDataFrame([("x", 9, 5), ("z", 3, 7)], "k string, a int, c int")
+DRIFT = [  # b dropped, c added; then a's type changes; then b is back
+    ("2025-01-01", [("x", 1, 10), ("y", 2, 20)], "k string, a int, b int"),
+    ("2025-01-02", [("x", 1, 5), ("z", 3, 7)], "k string, a int, c int"),
+    ("2025-01-03", [("x", 9, 5), ("z", 3, 7)], "k string, a int, c int"),
+    ("2025-01-04", [("x", "9", 5), ("z", "three", 7)], "k string, a string, c int"),
+    ("2025-01-05", [("x", "9", 10), ("w", None, 7)], "k string, a string, b int"),
+    ("2025-01-06", [("x", "8", 10), ("w", None, 7)], "k string, a string, b int"),
+]
+
+
+@pytest.mark.parametrize("how", ["all", "pruned", "bucketed", "backfill"])
+def test_every_day_keeps_its_own_columns(spark, tmp_path, how):
+    st = Store(spark, str(tmp_path / how), "k", keep_snapshot_every=None if how == "all" else 1000, buckets=2 if how == "bucketed" else None)
+    dumps = [(d, spark.createDataFrame(r, s)) for d, r, s in DRIFT]
+    if how == "backfill":
+        st.backfill(dumps, chunk_days=4, cast=True)
+    else:
+        for d, df in dumps:
+            st.integrate(df, d, cast=True)
+    for fresh in (st, Store(spark, st.root, "k")):
+        for d, df in dumps:
+            for got in (fresh.as_of(d), fresh.undo_to(d)):
+                assert got.columns == df.columns and got.dtypes == df.dtypes and rows(got) == rows(df)
+        log = fresh.read_log()
+        assert log.schema["after"].dataType.fieldNames() == ["a", "b", "c"]
+        # day 2: x loses b and gets c, y goes, z comes; day 4: types only, one text; day 5: x, z goes, w comes
+        assert {r.day.isoformat(): r["count"] for r in log.groupBy("day").count().collect()}["2025-01-01"] == 2
+        assert fresh.as_of("2024-12-31").columns == ["k", "a", "b"] and fresh.as_of("2024-12-31").isEmpty()
+
+
+def test_backfill_equals_integrate_under_drift(spark, tmp_path):
+    one, many = Store(spark, str(tmp_path / "i"), "k"), Store(spark, str(tmp_path / "b"), "k")
+    dumps = [(d, spark.createDataFrame(r, s).withColumnRenamed("k", "id")) for d, r, s in DRIFT]
+    for d, df in dumps:
+        one.integrate(df, d, cast=True)
+    many.backfill(dumps, chunk_days=3, cast=True)
+    assert same_bag(one.read_log(), many.read_log())
+    with pytest.raises(ValueError):
+        many.backfill([("2026-01-01", dumps[-1][1])], chunk_days=0)
+
+
+def test_drift_is_reached_over_pruned_versions(spark, tmp_path):
+    st = Store(spark, str(tmp_path / "d"), "k")
+    dumps = [(d, spark.createDataFrame(r, s)) for d, r, s in DRIFT]
+    for d, df in dumps:
+        st.integrate(df, d, cast=True)
+    ls = st.listing()
+    for d in ls.changes[1:]:  # by hand: only the first day's version is left
+        v = ls.versions[d]
+        if v.kept:
+            os.rename(f"{st.commit_root}/{v.marker}", f"{st.commit_root}/{v.marker.replace('_' + v.kind + '_', '_log_')}")
+    for d, df in dumps:
+        assert rows(st.as_of(d)) == rows(df)
+
+
+def test_keep_and_error_for_vanished_columns(spark, tmp_path):
+    d0 = spark.createDataFrame([("x", 1, 10), ("y", 2, None)], "k string, a int, b int")
+    d1 = spark.createDataFrame([("x", 1), ("y", 2)], "k string, a int")
+    st = Store(spark, str(tmp_path / "k"), "k")
     st.integrate(d0, "2025-01-01")
-    st.integrate(d1, "2025-01-02")
-    st.integrate(d2, "2025-01-03")
-    log = st.read_log()
-    assert log.count() == 2 + 3 + 1
-    assert rows(st.as_of("2025-01-02")) == [("x", 1, 5), ("z", 3, 7)]
-    assert rows(st.as_of("2025-01-01")) == [("x", 1, None), ("y", 2, None)]
-    assert rows(st.undo_to("2025-01-01")) == [("x", 1, None), ("y", 2, None)]
-
-
-def test_schema_drift_forward_from_old_base(spark, tmp_path):
-    st = Store(spark, str(tmp_path / "drift2"), "k")
-    d0 = spark.createDataFrame([("x", 1, 10), ("y", 2, 20)], "k string, a int, b int")
-    d1 = spark.createDataFrame([("x", 1, 5), ("z", 3, 7)], "k string, a int, c int")
-    d2 = spark.createDataFrame([("x", 9, 5), ("z", 3, 7)], "k string, a int, c int")
-    for i, d in enumerate((d0, d1, d2)):
-        st.integrate(d, f"2025-01-0{i + 1}")
-    # drop day 1's snapshot version so day 2 must be reached from day 0
-    st._fs.delete(f"{st.snapshot_root}/day=2025-01-02")
-    assert rows(st.as_of("2025-01-02")) == [("x", 1, 5), ("z", 3, 7)]
+    with pytest.raises(ValueError):
+        st.integrate(d1, "2025-01-02", on_extra="error")
+    assert st.integrate(d1, "2025-01-02", on_extra="keep")["updates"] == 1
+    change = st.read_log(after="2025-01-01").first()
+    assert (change.k, change.before.b, change.after.b) == ("x", 10, None)
+    assert rows(st.as_of("2025-01-02")) == [("x", 1, None), ("y", 2, None)]
+
+
+def test_last_day_reruns_on_a_pruned_store(spark, snaps, tmp_path):
+    from daybook import build_change_log
+
+    st = Store(spark, str(tmp_path / "p"), KEY, keep_snapshot_every=1000)
+    for d, dump in snaps[:4]:
+        st.integrate(dump, d)
+    assert len(st.snapshot_days()) == 2  # the newest day and its base
+    st.integrate(snaps[4][1], day_of(3))  # a wrong dump, then its correction
+    st.integrate(snaps[3][1], day_of(3))
+    st.integrate(snaps[4][1], day_of(4))
+    assert rows(st.read_log()) == rows(build_change_log(snaps, KEY))
+    bf = Store(spark, str(tmp_path / "b"), KEY)
+    bf.backfill(snaps[:3])  # one version, of the last day: its base is replayed
+    bf.integrate(snaps[4][1], day_of(2))
+    bf.integrate(snaps[2][1], day_of(2))
+    assert rows(bf.read_log()) == rows(build_change_log(snaps[:3], KEY))
+
+
+@pytest.mark.parametrize("buckets", [None, 2])
+@pytest.mark.parametrize("step", ["keys", "types", "diff", "write", "snapshot"])
+def test_a_failed_rerun_changes_nothing(spark, tmp_path, monkeypatch, step, buckets):
+    from daybook.sources import store as module
+
+    st = Store(spark, str(tmp_path / "s"), "k", buckets=buckets)
+    st.integrate(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), "2025-01-01")
+    st.integrate(spark.createDataFrame([(1, "c")], "k int, v string"), "2025-01-02")
+    log, before = rows(st.read_log()), markers(st)
+
+    def broken(*args, **kwargs):
+        raise RuntimeError(step)
+
+    bad = spark.createDataFrame([(1, "x")], "k int, v string")
+    if step == "keys":
+        bad = spark.createDataFrame([(1, "x"), (1, "y")], "k int, v string")
+    elif step == "types":
+        bad = spark.createDataFrame([(1, 5)], "k int, v int")
+    elif step == "diff":
+        monkeypatch.setattr(module, "snapshot_diff", broken)
+    elif step == "write":
+        writer = module.write_parquet
+        monkeypatch.setattr(module, "write_parquet", lambda df, path: broken() if "/changes/" in path else writer(df, path))
+    else:
+        monkeypatch.setattr(Store, "_write_snapshot", broken)
+    with pytest.raises(Exception):
+        st.integrate(bad, "2025-01-02")
+    monkeypatch.undo()
+    again = Store(spark, st.root, "k", buckets=buckets)
+    assert markers(st) == before
+    assert rows(again.read_log()) == log and rows(again.as_of("2025-01-02")) == [(1, "c")]
+    for sub in ("snapshot", "changes"):  # nothing of the failed attempt is left
+        assert len(os.listdir(f"{st.root}/{sub}/day=2025-01-02")) == 1
+
+
+def test_a_stop_between_switch_and_removal(spark, tmp_path, monkeypatch):
+    st = Store(spark, str(tmp_path / "s"), "k")
+    st.integrate(spark.createDataFrame([(1, "a")], "k int, v string"), "2025-01-01")
+    with monkeypatch.context() as m:
+        m.setattr(Store, "_remove", lambda self, v: (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            st.integrate(spark.createDataFrame([(1, "b")], "k int, v string"), "2025-01-01")
+    assert len(markers(st)) == 2
+    assert rows(st.as_of("2025-01-01")) == [(1, "b")] and st.read_log().count() == 1
+    st.integrate(spark.createDataFrame([(1, "c")], "k int, v string"), "2025-01-02")
+    assert st.read_log().count() == 2 and len(markers(st)) == 2
+
+
+def test_first_load_has_no_shuffle(spark, tmp_path, monkeypatch):
+    from daybook.sources import store as module
+
+    plans, writer = [], module.write_parquet
+    monkeypatch.setattr(module, "write_parquet", lambda df, path: (plans.append((path, _plan(df))), writer(df, path)))
+    Store(spark, str(tmp_path / "s"), "k").integrate(spark.range(100).selectExpr("id AS k", "id AS v"), "2025-01-01")
+    assert [p for path, p in plans if "/changes/" in path and "Exchange" in p] == []
 
 
 # -- bucketed snapshot versions ------------------------------------------------------
@@ -239,17 +354,6 @@ def test_bucketed_backfill_and_bad_keys(spark, snaps, tmp_path):
     assert bad.listing().snapshots == []
 
 
-def test_unmarked_folder_is_read_plain(spark, snaps, tmp_path):
-    st = Store(spark, str(tmp_path / "b"), KEY, buckets=2)
-    st.integrate(snaps[0][1], day_of(0))
-    marker = tmp_path / "b" / "snapshot" / "_BUCKETS_2025-01-01_2"
-    os.remove(marker)  # e.g. a version written by a plain store
-    assert st.listing().buckets == {}
-    df = st.read_snapshot()
-    assert "Bucketed: true" not in _plan(df)
-    assert same_bag(df, snaps[0][1])
-
-
 def test_bucketed_store_with_a_composite_key(spark, snaps, tmp_path):
     from pyspark.sql import functions as F
 
@@ -271,19 +375,18 @@ def test_bucketed_store_with_a_composite_key(spark, snaps, tmp_path):
     )
 
 
-def test_undo_ignores_changes_newer_than_its_snapshot(spark, snaps, tmp_path):
-    import shutil
-
+def test_days_committed_without_a_snapshot(spark, snaps, tmp_path):
     st = Store(spark, str(tmp_path / "s"), KEY)
     st.backfill(snaps[:2], chunk_days=2)
     st.backfill(snaps[2:], chunk_days=3)
-    # a crash after the second chunk's change days were committed, before its
-    # snapshot: travel from the older snapshot stays exact
-    shutil.rmtree(tmp_path / "s" / "snapshot" / f"day={day_of(N_DAYS - 1).isoformat()}")
-    assert st.latest_day() == day_of(1)
-    for t in range(2):
+    # a stop while the second chunk's days were being committed: its last day is missing
+    os.remove(f"{st.commit_root}/{st.listing().versions[day_of(N_DAYS - 1)].marker}")
+    assert st.latest_day() == day_of(N_DAYS - 2)
+    for t in range(N_DAYS - 1):
         assert same_bag(st.undo_to(day_of(t)), snaps[t][1])
         assert same_bag(st.as_of(day_of(t)), snaps[t][1])
+    st.integrate(snaps[-1][1], day_of(N_DAYS - 1))  # on the replayed table
+    assert same_bag(st.as_of(day_of(N_DAYS - 1)), snaps[-1][1])
 
 
 def test_bucketed_store_with_the_digest_strategy(spark, snaps, tmp_path):
@@ -294,17 +397,17 @@ def test_bucketed_store_with_the_digest_strategy(spark, snaps, tmp_path):
     assert same_bag(plain.read_log(), hashed.read_log())
 
 
-def test_listing_never_looks_inside_day_folders(spark, snaps, tmp_path):
+def test_markers_alone_decide(spark, snaps, tmp_path):
     st = Store(spark, str(tmp_path / "s"), KEY)
     for d, dump in snaps[:2]:
         st.integrate(dump, d)
-    # part files and Spark's own _SUCCESS don't decide anything; root markers do
-    for sub in ("snapshot", "changes"):
-        os.remove(tmp_path / "s" / sub / f"day={day_of(1).isoformat()}" / "_SUCCESS")
+    v = st.listing().versions[day_of(1)]
+    # part files and Spark's own _SUCCESS don't decide anything
+    for root in (st.snapshot_root, st.change_root):
+        os.remove(f"{root}/day={v.day}/v={v.attempt}/_SUCCESS")
     assert st.complete_days() == [day_of(0), day_of(1)]
-    os.remove(tmp_path / "s" / "changes" / f"_COMMITTED_{day_of(1).isoformat()}")
+    os.remove(f"{st.commit_root}/{v.marker}")
     assert st.complete_days() == [day_of(0)]
-    assert st.listing().change_folders == [day_of(0), day_of(1)]  # day 1 is uncommitted
     assert st.read_log().filter("day > DATE'2025-01-01'").isEmpty()
     st.integrate(snaps[1][1], day_of(1))  # rerunning the day commits it again
     assert st.complete_days() == [day_of(0), day_of(1)]
