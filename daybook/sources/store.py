@@ -226,6 +226,17 @@ class Store:
         days = self.change_days()
         return days[-1] if days else None
 
+    # -- done files of an ingestion -------------------------------------------
+    def file_names(self, folder: str) -> list[str]:
+        """Names in a folder (one listing)."""
+        return sorted(self._fs.names(folder))
+
+    def ingested(self) -> list[str]:
+        return self.file_names(f"{self.root}/ingested")
+
+    def record_ingested(self, name: str) -> None:
+        self._fs.put(f"{self.root}/ingested/{name}")
+
     # -- schemas -----------------------------------------------------------
     def _schema(self, sid: str) -> T.StructType:
         if sid not in self._schemas:

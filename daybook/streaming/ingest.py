@@ -1,55 +1,50 @@
 """Daily integration driven by Structured Streaming (A04 over arriving dumps).
 
-The reference integrates each day's dump by launching a job per file from a
-shell loop. Here a file-source stream watches the dump folder and, for each
-micro-batch of newly arrived files, integrates the days they belong to with
-:meth:`Store.integrate`. The stream carries file metadata only (the
-``binaryFile`` source with its ``content`` column pruned, so no file is read
-by the stream itself); each day is read as one batch from *all* of its files
-in the folder. A dump split into several part files therefore gives the
-same result whether its parts arrive together or in different batches: a
-late part re-integrates its day from every part, which the store makes
-idempotent. The stream's checkpoint (under the store root, i.e. on shared
-storage) records which files are done, so a restarted or re-run ingestion
-continues where it stopped.
-
-The day comes from the file name (``dump-YYYY-MM-DD.csv`` by default). A file
-of a day older than an already integrated day makes the store refuse it,
-stopping the stream; a file with no day in its name stops it as well.
+A dump may arrive as any number of part files over any time, so its parts say
+nothing about whether it is whole. Its *done file* does: once a day's parts are
+there, the sender writes ``dump-YYYY-MM-DD.done``. A file-source stream watches
+the done files and integrates each day they name, once, from all its part files,
+by :meth:`Store.integrate`; readers never see half a dump as mass deletions. The
+stream carries file metadata only (the ``binaryFile`` source with its
+``content`` column pruned). Which done files are dealt with is recorded under the
+store root, i.e. on shared storage, so a restarted ingestion continues where it
+stopped.
+
+A further done file of the newest day (``dump-YYYY-MM-DD.2.done``) integrates it
+anew, with whatever parts have arrived or been corrected since. One of an older
+day is late: what follows is built on that day already. It is skipped with a
+warning (``late="skip"``) or stops the stream (``"error"``). A done file with no
+day in its name stops the stream, and so does a day without part files.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import logging
+import re
+from fnmatch import fnmatch
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.keys import normalize_key
 from ..sources.store import Store
 
-# The date inside a dump's file name, and the default file names.
+log = logging.getLogger(__name__)
+
+# The date inside a file name, and the default file names.
 DAY_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
 DUMP_FILES = "dump-*.csv"
+DONE_FILES = "dump-*.done"
 # The binaryFile source's own schema (a stream must state it).
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def arriving_dumps(
-    spark: SparkSession, source_dir: str, name_glob: str = DUMP_FILES, files_per_batch: int = 16
-) -> DataFrame:
-    """A stream of ``path, day`` for dump files as they arrive (no content read)."""
-    files = (
-        spark.readStream.format("binaryFile")
-        .schema(FILE_SCHEMA)
-        .option("pathGlobFilter", name_glob)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .load(source_dir)
-    )
-    found = F.regexp_extract(F.element_at(F.split(F.col("path"), "/"), -1), DAY_IN_NAME, 1)
-    return files.select("path", F.when(found != "", F.to_date(found)).alias("day"))
+def done_files(spark: SparkSession, source_dir: str, done_glob: str = DONE_FILES) -> DataFrame:
+    """A stream that has a batch whenever done files arrive (no content read)."""
+    files = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", done_glob)
+    return files.load(source_dir).select("path")
 
 
 def read_day(
@@ -84,25 +79,42 @@ def ingest_dumps(
     available_now: bool = True,
     sep: str = ",",
     name_glob: str = DUMP_FILES,
-    files_per_batch: int = 16,
+    done_glob: str = DONE_FILES,
+    late: str = "skip",
 ) -> StreamingQuery:
     """Start the ingestion; ``available_now`` processes what is there and stops."""
+    if late not in ("skip", "error"):
+        raise ValueError(f"late must be skip or error, not {late!r}")
     key = store.keys[0] if len(store.keys) == 1 else None
 
     def integrate_batch(batch: DataFrame, epoch_id: int) -> None:
-        # File names of this batch only (at most files_per_batch rows).
-        arrived = batch.collect()
-        unnamed = [r["path"] for r in arrived if r["day"] is None]
+        # Spark's readers leave out empty files, as done files mostly are: the
+        # stream says that there are new ones, the folder's listing which.
+        handled = set(store.ingested())
+        names = [n for n in store.file_names(source_dir) if fnmatch(n, done_glob) and n not in handled]
+        found = [(re.search(DAY_IN_NAME, n), n) for n in names]
+        unnamed = [n for m, n in found if m is None]
         if unnamed:
             raise ValueError(f"no day (YYYY-MM-DD) in the name of {unnamed}")
-        for day in sorted({r["day"] for r in arrived}):
-            dump = read_day(spark, source_dir, day, schema, name_glob, sep)
-            if key:
-                dump = normalize_key(dump, key, key_aliases)
-            store.integrate(dump, day)
+        days: dict[dt.date, list[str]] = {}
+        for m, n in found:
+            days.setdefault(dt.date.fromisoformat(m[1]), []).append(n)
+        for day in sorted(days):
+            newest = store.latest_day()
+            if newest is not None and day < newest:
+                if late == "error":
+                    raise ValueError(f"done file of {day} after {newest} was integrated")
+                log.warning("skipped the done file of %s: %s is integrated already", day, newest)
+            else:
+                dump = read_day(spark, source_dir, day, schema, name_glob, sep)
+                if key:
+                    dump = normalize_key(dump, key, key_aliases)
+                store.integrate(dump, day)
+            for n in days[day]:
+                store.record_ingested(n)
 
     writer = (
-        arriving_dumps(spark, source_dir, name_glob, files_per_batch)
+        done_files(spark, source_dir, done_glob)
         .writeStream.foreachBatch(integrate_batch)
         .option("checkpointLocation", checkpoint or f"{store.root}/_ingest_checkpoint")
     )
