@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
-from .decontaminate import _once, _small
+from .decontaminate import _once
 
 #: Possessive forms of the patterns: the same matches, without backtracking and
 #: without a second look at a long run of characters.
@@ -164,7 +164,7 @@ def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
 
 
 def disclosing(
-    docs: DataFrame, found: DataFrame, text_col: str = "text", support: int = 3, generalise: float = 0.6, remove: float = 0.9, broadcast_rows: int = 1_000_000
+    docs: DataFrame, found: DataFrame, text_col: str = "text", support: int = 3, generalise: float = 0.6, remove: float = 0.9
 ) -> DataFrame:
     """(entity, term, disclosure, kind) of the pairs that reach a threshold."""
     total = found.count()
@@ -174,10 +174,10 @@ def disclosing(
     joint = materialize(joint, "joint")
     named = F.transform("spans", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"])))
     holders = found.select(F.explode(F.array_distinct(named)).alias("entity")).groupBy("entity").agg(F.count("*").alias("holders"))
-    wanted = _small(materialize(joint.select("term").distinct(), "terms"), broadcast_rows)
+    # every term's documents: the words of a corpus are summed like any word count
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TERM), F.lit(0)))
-    seen = docs.where(F.col(text_col).isNotNull()).select(F.explode(words).alias("term")).join(wanted, "term", "left_semi")
-    seen = seen.groupBy("term").agg(F.count("*").alias("seen"))
+    seen = docs.where(F.col(text_col).isNotNull()).select(F.explode(words).alias("term"))
+    seen = seen.groupBy("term").agg(F.count("*").alias("seen")).where(F.col("seen") >= support)
     counted = joint.join(materialize(holders.where(F.col("holders") >= support), "holders"), "entity").join(materialize(seen, "seen"), "term")
     information = F.log2(total / F.col("holders"))
     told = F.log2(total * F.col("joint") / (F.col("holders") * F.col("seen")))
