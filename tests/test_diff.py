@@ -174,3 +174,57 @@ def test_hot_duplicate_key_is_refused_before_any_join(spark, snaps):
     nulls = snaps[1][1].withColumn(KEY, F.when(F.col(KEY) % 3 == 0, F.lit(None)).otherwise(F.col(KEY)))
     with pytest.raises(KeyContractError, match="null key"):
         snapshot_diff(nulls, snaps[1][1], KEY, day_of(1))
+
+
+# -- nested traps: hashes that skip nulls and bounds see no change in these ---------
+NESTED = "k int, s struct<x:int,y:int>, a array<int>, n array<array<int>>, m map<int,int>"
+SAME = ((None, 1), [1, None], [[1], [2]], {1: None, 2: 5})
+CHANGED = [
+    ((1, None), *SAME[1:]),
+    (None, *SAME[1:]),
+    (SAME[0], [None, 1], *SAME[2:]),
+    (SAME[0], [1], *SAME[2:]),
+    (SAME[0], [1, None, None], *SAME[2:]),
+    (SAME[0], None, *SAME[2:]),
+    (*SAME[:2], [[1, 2], []], SAME[3]),
+    (*SAME[:2], [[1], None, [2]], SAME[3]),
+    (*SAME[:3], {1: 5, 2: None}),
+    (*SAME[:3], {}),
+    (*SAME[:3], None),
+]
+
+
+@pytest.mark.parametrize("options", [{"strategy": "struct"}, {"strategy": "hash", "broadcast_limit": 1 << 30}, {"strategy": "hash", "broadcast_limit": -1}])
+def test_nested_traps(spark, options):
+    from daybook import compare_summary
+
+    prev = spark.createDataFrame([(i, *SAME) for i in range(len(CHANGED) + 2)], NESTED)
+    new = spark.createDataFrame([(i, *c) for i, c in enumerate(CHANGED)] + [(len(CHANGED) + i, *SAME) for i in range(2)], NESTED)
+    got = snapshot_diff(prev, new, "k", "2025-01-02", **options)
+    assert sorted(r.k for r in got.collect()) == list(range(len(CHANGED)))
+    assert compare_summary(prev, new, "k", strategy=options["strategy"]).first().modified == len(CHANGED)
+
+
+def test_content_columns_of_any_name(spark):
+    schema = "k int, op string, day string, before string, after string"
+    prev = spark.createDataFrame([(1, "a", "b", "c", "d"), (2, "a", "b", "c", "d")], schema)
+    new = spark.createDataFrame([(1, "a", "x", "c", "d"), (2, "a", "b", "c", "d")], schema)
+    got = snapshot_diff(prev, new, "k", "2025-01-02").collect()
+    assert [(r.k, r.op, r.before.day, r.after.day) for r in got] == [(1, "UPDATE", "b", "x")]
+    with pytest.raises(ValueError):
+        snapshot_diff(prev, new, "op", "2025-01-02")
+
+
+def test_keep_shows_a_vanished_column(spark):
+    prev, new = spark.createDataFrame([(1, 5), (2, None)], "k int, b int"), spark.createDataFrame([(1,), (2,)], "k int")
+    got = snapshot_diff(prev, new, "k", "2025-01-02", on_extra="keep").collect()
+    assert [(r.k, r.before.b, r.after.b) for r in got] == [(1, 5, None)]
+
+
+def test_column_presence(spark):  # P08
+    from daybook.operators.schema import has_column, require_columns
+
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    assert has_column(df, "a") and not has_column(df, "c")
+    with pytest.raises(ValueError, match="c"):
+        require_columns(df, ["a", "c"])
