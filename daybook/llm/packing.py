@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices, utf8
-from .tokens import PieceEncoder
+from .tokens import encoder
 
 SLICE = 2 << 20
 
@@ -44,14 +44,14 @@ def pack(
         raise ValueError("max_length must be a power of two")
 
     def run(batches):
-        encoder, end = PieceEncoder(vocabulary, drops_space), np.array([end_id], "<u4").tobytes()
+        known, end = encoder(vocabulary, drops_space), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             buf, offs = utf8(batch.column(1))
             for lo, hi in slices(offs, SLICE):
                 raw = buf[offs[lo] : offs[hi]].tobytes()
                 ends = (offs[lo : hi + 1] - offs[lo]).tolist()
                 rows, starts, lengths, totals, ids = [], [], [], [], []
-                for k, doc in enumerate(encoder.ids([raw[a:b] for a, b in zip(ends[:-1], ends[1:])])):
+                for k, doc in enumerate(known.ids([raw[a:b] for a, b in zip(ends[:-1], ends[1:])])):
                     doc += end
                     n = len(doc) // 4
                     at = 0

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .common import slices, utf8
-from .tokens import PieceEncoder
+from .tokens import encoder
 
 _MASK = 0xA282EAD8
 _WIDE, _NO_ID = 1, 2
@@ -97,7 +97,7 @@ def write_records(
         store, root = _store(path)
         shard, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
         name = f"part-{shard:05d}"
-        encoder, end = PieceEncoder(vocabulary, drops_space), np.array([end_id], "<u4").tobytes()
+        known, end = encoder(vocabulary, drops_space), np.array([end_id], "<u4").tobytes()
         offset = records = tokens = 0
         store.create_dir(root, recursive=True)
         temp = f"{root}/_{name}-{attempt}"
@@ -109,7 +109,7 @@ def write_records(
                     raw = buf[offs[lo] : offs[hi]].tobytes()
                     ends = (offs[lo : hi + 1] - offs[lo]).tolist()
                     starts, framed = [], []
-                    for k, ids in enumerate(encoder.ids([raw[a:b] for a, b in zip(ends[:-1], ends[1:])])):
+                    for k, ids in enumerate(known.ids([raw[a:b] for a, b in zip(ends[:-1], ends[1:])])):
                         ids += end
                         framed.append(frame(pack_ids(doc_ids[lo + k], ids)))
                         starts.append(offset)

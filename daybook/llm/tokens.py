@@ -2,14 +2,19 @@
 
 Both vocabularies here cut a text at white space before anything else, so a text
 is encoded as the sequence of its pieces between cuts, and a piece met before is
-not encoded again. New pieces are encoded together: joined by a separator whose
-one id occurs nowhere else, so that one call encodes them all.
+not encoded again. New pieces are encoded many in a call: runs of letters in a
+row, as their tokens show where each ends, and the rest joined by a separator
+whose one id occurs nowhere else.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import re
+from functools import lru_cache
+from itertools import compress
+from unicodedata import normalize
 
 import numpy as np
 
@@ -23,52 +28,103 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: Punctuation that no pre-tokenizer here joins with letters.
+_POINTS = ".,;:!?"
+
+
 class PieceEncoder:
     """ids(texts): little-endian unsigned 32-bit ids of each text, as bytes.
 
     ``drops_space``: the vocabulary drops white space (pieces are the words);
     otherwise a piece is a run of other characters with the one space before it,
     or the white space left between those, as byte-level pre-tokenizers cut.
-    At most ``memory`` pieces are remembered.
+    About ``memory`` pieces are remembered.
     """
 
-    def __init__(self, path: str, drops_space: bool, memory: int = 300_000):
+    def __init__(self, path: str, drops_space: bool, memory: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.drops_space, self.memory, self.known = drops_space, memory, {}
+        self.drops_space, self.memory, self.known, self.units = drops_space, memory, {}, {}
         self.cut = None if drops_space else re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+").findall
         self.mark, self.glue = ("\x00", " \x00 ") if drops_space else ("\n", "\n")
         (self.mark_id,) = self._encode([self.mark])[0]
+        # where a run of letters ends (its last token says so) or starts (its first token holds the space)
+        vocabulary = self.tokenizer.get_vocab()
+        self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.edge[[i for t, i in vocabulary.items() if (t.endswith("</w>") if drops_space else t.startswith("\u0120"))]] = True
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list) -> None:
-        texts = [p.decode() for p in pieces] if self.drops_space else pieces
-        plain = [k for k, t in enumerate(texts) if self.mark not in t and (self.drops_space or not t[-1].isspace())]
-        odd = set(range(len(texts))) - set(plain)
+    def _encode_apart(self, texts: list[str]) -> dict[str, bytes]:
+        """Ids of any texts, joined by the separator where that is safe."""
+        out = {}
+        plain = [t for t in texts if self.mark not in t and (self.drops_space or not t[-1].isspace())]
         for lo in range(0, len(plain), 4096):
             some = plain[lo : lo + 4096]
-            ids = np.array(self._encode([self.glue.join(texts[k] for k in some)])[0], "<u4")
+            ids = np.array(self._encode([self.glue.join(some)])[0], "<u4")
             ends = np.flatnonzero(ids == self.mark_id)
-            if len(ends) != len(some) - 1:
-                odd.update(some)
+            if len(ends) == len(some) - 1:
+                bounds = [-1, *ends.tolist(), len(ids)]
+                out.update((t, ids[a + 1 : b].tobytes()) for t, a, b in zip(some, bounds[:-1], bounds[1:]))
+        rest = [t for t in texts if t not in out]
+        out.update((t, np.array(ids, "<u4").tobytes()) for t, ids in zip(rest, self._encode(rest)))
+        return out
+
+    def _encode_letters(self, runs: list[str]) -> dict[str, bytes]:
+        """Ids of runs of letters (with their space, if it is kept): one pre-token each, so their tokens show the cuts."""
+        out = {}
+        for lo in range(0, len(runs), 4096):
+            some = runs[lo : lo + 4096]
+            ids = np.array(self._encode([(" " if self.drops_space else "").join(some)])[0], "<u4")
+            at = np.flatnonzero(self.edge[ids])
+            if len(at) != len(some):  # a letter whose lower case is no letter
+                out.update(self._encode_apart(some))
                 continue
-            for k, part in zip(some, np.split(ids, ends)):
-                self.known[pieces[k]] = part.tobytes() if part.size == 0 or part[0] != self.mark_id else part[1:].tobytes()
-        odd = sorted(odd)
-        for k, ids in zip(odd, self._encode([texts[k] for k in odd])):
-            self.known[pieces[k]] = np.array(ids, "<u4").tobytes()
+            bounds = [0, *(at + 1).tolist()] if self.drops_space else [*at.tolist(), len(ids)]
+            raw = ids.tobytes()
+            out.update(zip(some, [raw[4 * a : 4 * b] for a, b in zip(bounds[:-1], bounds[1:])]))
+        return out
+
+    def _learn(self, pieces: list) -> None:
+        texts = [p.decode() for p in pieces] if self.drops_space else pieces
+        runs = [t.rstrip(_POINTS) for t in texts]
+        if self.drops_space:  # letters that are still letters when the vocabulary has normalised them
+            fine = [r.isalpha() and (r.isascii() or normalize("NFC", r).lower().isalpha()) for r in runs]
+        else:
+            fine = [r[:1] == " " and r[1:].isalpha() for r in runs]
+        if len(self.units) > self.memory:
+            self.units = {}
+        units = self.units
+        ends = [t[len(r) :] for t, r in zip(texts, runs)]
+        units.update(self._encode_letters([r for r in set(compress(runs, fine)) if r not in units]))
+        units.update(self._encode_apart([e for e in set(compress(ends, fine)) if e and e not in units]))
+        units[""] = b""
+        self.known.update(zip(compress(pieces, fine), [units[r] + units[e] if e else units[r] for r, e in compress(zip(runs, ends), fine)]))
+        odd = [k for k, f in enumerate(fine) if not f]
+        found = self._encode_apart([texts[k] for k in odd])
+        self.known.update((pieces[k], found[texts[k]]) for k in odd)
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        cut = [t.split() for t in texts] if self.drops_space else [self.cut(t.decode()) for t in texts]
-        if len(self.known) > self.memory:
-            self.known = {}
-        new = list({p for pieces in cut for p in pieces} - self.known.keys())
-        if new:
-            self._learn(new)
-        get = self.known.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in cut]
+        gc.disable()  # many strings are kept and none of them form cycles
+        try:
+            cut = [t.split() for t in texts] if self.drops_space else [self.cut(t.decode()) for t in texts]
+            if len(self.known) > self.memory:
+                self.known = {}
+            known = self.known
+            new = [p for p in set().union(*cut) if p not in known]
+            if new:
+                self._learn(new)
+            get = known.__getitem__
+            return [b"".join(map(get, pieces)) for pieces in cut]
+        finally:
+            gc.enable()
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str, drops_space: bool) -> PieceEncoder:
+    """The worker process's encoder: what one task has met the next one knows."""
+    return PieceEncoder(path, drops_space)
