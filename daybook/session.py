@@ -60,3 +60,12 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder (nothing is created)."""
     return os.path.join(shared_root(spark), "daybook", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete every scratch table and store that this application wrote.
+
+    For the end of a job: results that still read from them can't be read after.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.join(shared_root(spark), "daybook"))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -40,3 +40,14 @@ def test_local_mode_gets_a_fresh_folder():
     s = _Session("local[8]")
     root = shared_root(s)
     assert root and s.sparkContext.getCheckpointDir() == root
+
+
+def test_clear_scratch(spark):
+    from daybook.session import clear_scratch, scratch_path
+
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    clear_scratch(spark)
+    with pytest.raises(Exception):
+        spark.read.parquet(path)
