@@ -136,14 +136,14 @@ MAX_BROADCAST = 1 << 30
 _UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
 
 
-def _broadcast_limit(spark) -> int:
+def session_broadcast_limit(spark) -> int:
     """Bytes a broadcast side may hold: the session's broadcast threshold."""
     raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
     digits = raw.rstrip("kmgb")
     return int(digits) * _UNITS.get(raw[len(digits):] or "b", 1)
 
 
-def _key_bytes(df: DataFrame, ks: list[str]) -> Column:
+def key_bytes(df: DataFrame, ks: list[str]) -> Column:
     """An upper bound of the hashed-relation bytes of one row's keys."""
     total = F.lit(16).cast("bigint")  # per-row overhead of the hashed relation
     for f in df.select(*_kcols(ks)).schema.fields:
@@ -175,8 +175,8 @@ def _diff_by_digest(prev: DataFrame, new: DataFrame, ks: list[str], day, broadca
     )
     shared_root(spark)  # the checkpoint dir must be the shared one
     changed = changed.checkpoint(eager=True)
-    size = changed.agg(F.coalesce(F.sum(_key_bytes(changed, ks)), F.lit(0))).first()[0]
-    limit = broadcast_limit if broadcast_limit is not None else _broadcast_limit(spark)
+    size = changed.agg(F.coalesce(F.sum(key_bytes(changed, ks)), F.lit(0))).first()[0]
+    limit = broadcast_limit if broadcast_limit is not None else session_broadcast_limit(spark)
     if size <= min(limit, MAX_BROADCAST):
         keyset = F.broadcast(changed)
         prev = prev.join(keyset, on=ks, how="left_semi")

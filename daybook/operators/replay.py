@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import day_lit, to_day
-from ..functions.equality import content_struct, same_content
-from .diff import DELETE, INSERT, UPDATE
+from ..functions.equality import content_digest, content_struct, same_content
+from ..session import shared_root
+from .diff import DELETE, INSERT, MAX_BROADCAST, UPDATE, key_bytes, session_broadcast_limit
 from .keys import require_valid_keys
 from .schema import as_keys, content_fields, require_columns
 
@@ -156,6 +157,8 @@ def build_change_log(
     base: DataFrame | None = None,
     day_col: str = "day",
     validate: bool = True,
+    strategy: str = "struct",
+    broadcast_limit: int | None = None,
 ) -> DataFrame:
     """The change log of many consecutive dumps in one pass.
 
@@ -172,8 +175,17 @@ def build_change_log(
     at most one row per dump, so no window group outgrows the number of days
     -- which ``validate`` (default) checks first: keys non-null and unique
     per day (and in ``base``), in one key-only job.
+
+    ``strategy="hash"`` sends ``(key, day, digest)`` through the window instead
+    of whole rows, writes the events it finds to the shared checkpoint folder,
+    and then looks up the images of the changed rows only, by a broadcast of
+    their ``(key, day)`` if its measured size is at most ``broadcast_limit``
+    (as in ``snapshot_diff``); a larger set goes through the window of whole
+    rows, with the same result.
     """
     ks = as_keys(keys)
+    if strategy not in ("struct", "hash"):
+        raise ValueError(f"strategy must be 'struct' or 'hash', not {strategy!r}")
     if not isinstance(dumps, DataFrame):
         if days is None:
             days = [d for d, _ in dumps]
@@ -223,30 +235,64 @@ def build_change_log(
             F.lit(-1).alias("_i"),
         ).unionByName(rows)
 
+    if strategy == "hash":
+        out = _log_by_digest(rows, ks, fields, broadcast_limit)
+        if out is not None:
+            return out
+    no_image = F.lit(None).cast(dtype)
+    events = _events(
+        rows, ks, "_row", lambda before, after: ~same_content(before, after, dtype), before=lambda i, row: row, after=lambda i, row: row, none=no_image
+    )
+    return events.select(*_kcols(ks), "op", F.col("before"), F.col("after"), "day")
+
+
+def _events(rows: DataFrame, ks: list[str], value: str, differs, before, after, none: Column) -> DataFrame:
+    """``<keys>, op, before, after, day`` of rows ``<keys>, value, _day, _next, _i``.
+
+    ``differs`` compares two days' values; ``before`` and ``after`` make the
+    images from a day index and its value.
+    """
     w = Window.partitionBy(*ks).orderBy("_i")
     rows = rows.select(
         "*",
         F.lag("_i").over(w).alias("_prev_i"),
-        F.lag("_row").over(w).alias("_prev_row"),
+        F.lag(value).over(w).alias("_prev"),
         F.lead("_i").over(w).alias("_next_i"),
     )
-    i, row = F.col("_i"), F.col("_row")
-    prev_i, prev_row, next_i = F.col("_prev_i"), F.col("_prev_row"), F.col("_next_i")
-    no_image = F.lit(None).cast(dtype)
+    i, now = F.col("_i"), F.col(value)
+    prev_i, prev, next_i = F.col("_prev_i"), F.col("_prev"), F.col("_next_i")
 
-    def event(op: str, before: Column, after: Column, day: Column) -> Column:
-        return F.struct(F.lit(op).alias("op"), before.alias("before"), after.alias("after"), day.alias("day"))
+    def event(op: str, b: Column, a: Column, day: Column) -> Column:
+        return F.struct(F.lit(op).alias("op"), b.alias("before"), a.alias("after"), day.alias("day"))
 
     today, tomorrow = F.col("_day"), F.col("_next")
     appears = (
         F.when(i < 0, F.lit(None))
-        .when(prev_i.isNull() | (prev_i < i - 1), event(INSERT, no_image, row, today))
-        .when(~same_content(prev_row, row, dtype), event(UPDATE, prev_row, row, today))
+        .when(prev_i.isNull() | (prev_i < i - 1), event(INSERT, none, after(i, now), today))
+        .when(differs(prev, now), event(UPDATE, before(prev_i, prev), after(i, now), today))
     )
     vanishes = F.when(
         (next_i.isNull() & tomorrow.isNotNull()) | (next_i > i + 1),
-        event(DELETE, row, no_image, tomorrow),
+        event(DELETE, before(i, now), none, tomorrow),
     )
-    events = F.array_compact(F.array(appears, vanishes))
-    out = rows.select(*_kcols(ks), F.explode(events).alias("_e"))
+    out = rows.select(*_kcols(ks), F.explode(F.array_compact(F.array(appears, vanishes))).alias("_e"))
     return out.select(*_kcols(ks), "_e.op", "_e.before", "_e.after", "_e.day")
+
+
+def _log_by_digest(rows: DataFrame, ks: list[str], fields: list[T.StructField], limit: int | None) -> DataFrame | None:
+    """The log of ``rows`` from their digests; None if too many rows changed to look them up."""
+    spark = rows.sparkSession
+    narrow = rows.select(*_kcols(ks), content_digest(fields, "_row").alias("_d"), "_day", "_next", "_i")
+    nothing = F.lit(None).cast("int")
+    found = _events(narrow, ks, "_d", lambda a, b: a != b, before=lambda i, d: i, after=lambda i, d: i, none=nothing)
+    shared_root(spark)  # the checkpoint dir must be the shared one
+    found = found.checkpoint(eager=True)
+    wanted = found.select(*_kcols(ks), F.explode(F.array_compact(F.array("before", "after"))).alias("_i")).distinct()
+    size = wanted.agg(F.coalesce(F.sum(key_bytes(wanted, ks) + 16), F.lit(0))).first()[0]
+    if size > min(limit if limit is not None else session_broadcast_limit(spark), MAX_BROADCAST):
+        return None
+    images = rows.select(*_kcols(ks), "_i", "_row").join(F.broadcast(wanted), on=[*ks, "_i"])
+    for side in ("before", "after"):
+        mine = images.select(*_kcols(ks), F.col("_i").alias(side), F.col("_row").alias(f"_{side}"))
+        found = found.join(mine, on=[*ks, side], how="left")
+    return found.select(*_kcols(ks), "op", F.col("_before").alias("before"), F.col("_after").alias("after"), "day")

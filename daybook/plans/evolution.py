@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .. import jobs
 from ..operators.compare import compare_summary
 from ..operators.diff import first_load, flatten_changes, snapshot_diff
+from ..operators.replay import build_change_log
 from ..session import scratch_path
 from ..sources import io
 from ..sources.store import Store
@@ -268,6 +269,13 @@ def _report(part: str):
     return q
 
 
+def q_backfill_hash(spark, sf):
+    """Days 1-4 on top of day 0, from digests and the images of the changed rows."""
+    dumps = snapshots(spark, sf)
+    log = build_change_log(dumps[1:], KEY, base=dumps[0][1], strategy="hash", broadcast_limit=1 << 30)
+    return flatten_changes(log, KEY)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "diff_nested_struct": _nested_diff("struct"),
     "diff_nested_hash": _nested_diff("hash", 1 << 30),
@@ -276,6 +284,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "diff_reserved_names": q_diff_reserved_names,
     "store_drift_as_of": q_store_drift_as_of,
     "backfill_drift": q_backfill_drift,
+    "backfill_hash": q_backfill_hash,
     "store_rerun": q_store_rerun,
     "store_as_of_forward": q_store_as_of_forward,
     "optional_source": q_optional_source,
@@ -296,6 +305,7 @@ ORACLE: dict[str, str] = {
     "diff_reserved_names": f"SELECT {KEY}, op, {_RESERVED}, day FROM ({BASE['change_log_day']}) d",
     "store_drift_as_of": "\nUNION ALL\n".join(_drift_day(d) for d in range(N_DAYS)),
     "backfill_drift": "\nUNION ALL\n".join(_drift_changes(d) for d in range(N_DAYS)),
+    "backfill_hash": f"SELECT * FROM ({BASE['integrate_days']}) l WHERE day > DATE '{day_of(0)}'",
     "store_rerun": BASE["integrate_days"],
     "store_as_of_forward": BASE["apply_changes"],
     "optional_source": BASE["first_load"],

@@ -511,7 +511,11 @@ class Store:
         base = align_columns(self._table(ls, before.day), chunk[0][1].schema, cast=cast) if before else None
         if validate:  # unique per day; the stored base was checked on its own day
             require_valid_keys({f"dumps {chunk_days[0]}..{chunk_days[-1]}": stacked}, self.keys, within=["_dump_day"])
-        log = build_change_log(stacked, self.keys, days=chunk_days, base=base, day_col="_dump_day", validate=False)
+        log = build_change_log(
+            stacked, self.keys, days=chunk_days, base=base, day_col="_dump_day", validate=False,
+            strategy=self.strategy if base is not None else "struct",  # a first load changes every row
+            broadcast_limit=self.broadcast_limit,
+        )
         attempt = self._attempt(ls, chunk_days)
         folders = [self._folder(root, d, attempt) for d in chunk_days for root in (self.snapshot_root, self.change_root)]
         try:

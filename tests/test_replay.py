@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import SF01, rows, same_bag
+from conftest import SF001, SF01, rows, same_bag
 from pyspark.sql import functions as F
 
 from daybook import (
@@ -104,3 +104,18 @@ def test_unknown_day_raises(spark, snaps):
 
     with pytest.raises(Exception):
         build_change_log(snaps, KEY, days=[day_of(0), day_of(1)]).collect()
+
+
+@pytest.mark.parametrize("limit", [1 << 30, -1])
+def test_backfill_by_digest_equals_whole_rows(spark, limit):
+    dumps = snapshots(spark, SF001)
+    for base, rest in ((None, dumps), (dumps[0][1], dumps[1:])):
+        plain = build_change_log(rest, KEY, base=base)
+        assert same_bag(build_change_log(rest, KEY, base=base, strategy="hash", broadcast_limit=limit), plain)
+
+
+def test_backfill_by_digest_shuffles_no_whole_unchanged_rows(spark):
+    dumps = snapshots(spark, SF001)
+    log = build_change_log(dumps[1:], KEY, base=dumps[0][1], strategy="hash", broadcast_limit=1 << 30)
+    text = log._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text and "BroadcastHashJoin" in text, text
