@@ -82,11 +82,11 @@ def _covered(starts: np.ndarray, n: int, window: int) -> np.ndarray:
     return spread(starts, starts + window, n)
 
 
-def _runs(anchor: np.ndarray, source: np.ndarray, source_place: np.ndarray, doc: int, n: int, window: int) -> np.ndarray:
+def _runs(anchor: np.ndarray, source: np.ndarray, diagonal: np.ndarray, doc: int, n: int, window: int) -> np.ndarray:
     """Starts of the windows that verified runs against smaller documents cover."""
     size = window - PERIOD + 1
     good = source < doc
-    a, m, diagonal = anchor[good], source[good], source_place[good] - anchor[good]
+    a, m, diagonal = anchor[good], source[good], diagonal[good]
     verified = np.zeros(max(0, n - window + 1), bool)
     if len(a):
         order = np.lexsort((a, diagonal, m))
@@ -124,15 +124,13 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .drop("top"),
         "anchors",
     )
-    mine = materialize(
-        anchors.join(shared, "h").select(
-            "doc", F.shiftright("place", PLACE).alias("tag"),
-            F.col("place").bitwiseAND(F.lit((1 << PLACE) - 1).cast("long")).cast("int").alias("at"), "m", "m_place",
-        ),
-        "anchored",
+    at = F.col("place").bitwiseAND(F.lit((1 << PLACE) - 1).cast("long"))
+    mine = anchors.join(shared, "h").select(
+        "doc", F.shiftright("place", PLACE).alias("tag"),
+        F.struct(at.cast("int").alias("at"), "m", (F.col("m_place") - at).alias("diagonal")).alias("anchor"),
     )
-    # sets: no longer than the text, however often the row is repeated
-    lists = mine.groupBy("doc", "tag").agg(F.collect_set(F.struct("at", "m", "m_place")).alias("found"))
+    # sets: no longer than the text, however often the row is repeated; in order they are small when written
+    lists = materialize(mine.groupBy("doc", "tag").agg(F.sort_array(F.collect_set("anchor")).alias("found")), "anchored")
     tagged = slim.withColumn("tag", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
 
     def first(batches):
@@ -154,8 +152,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     if found[i].is_valid:
                         k, n = hashed.first[i - lo], int(hashed.count[i - lo])
                         rows = found[i].values
-                        anchor, m, place = (rows.field(c).to_numpy().astype(np.int64) for c in range(3))
-                        sure = _runs(anchor, m, place, ids[i].as_py(), n, window)
+                        anchor, m, diagonal = (rows.field(c).to_numpy().astype(np.int64) for c in range(3))
+                        sure = _runs(anchor, m, diagonal, ids[i].as_py(), n, window)
                         # windows that hold an anchor whole
                         holds = spread(np.maximum(anchor - PERIOD + 1, 0), np.minimum(anchor + 1, n - window + 1), len(sure))
                         more = np.flatnonzero(holds & ~sure)
