@@ -88,24 +88,28 @@ class _Forest:
             i = self.up[i]
         return i
 
-    def join(self, i: int, j: int) -> bool:
-        i, j = self.root(i), self.root(j)
-        if i != j:
-            self.up[max(i, j)] = min(i, j)
-        return i != j
+    def join(self, i: int, j: int) -> int | None:
+        """Join two trees; the root that is none any more, if they were two."""
+        i, j = sorted((self.root(i), self.root(j)))
+        if i == j:
+            return None
+        self.up[j] = i
+        return j
 
 
-def _tile_links(x: np.ndarray, y: np.ndarray | None, radius: int, block: int = 256) -> list[tuple[int, int]]:
+def _tile_links(x: np.ndarray, y: np.ndarray | None, radius: int, pairs: int = 1 << 21) -> list[tuple[int, int]]:
     """Spanning forest of the links between two tiles (``y`` None: within one).
 
     Positions in y follow those of x. Every pair is compared; a pair is only
-    looked at again while its two ends are in different trees.
+    looked at again while its two ends are in different trees. At most about
+    ``pairs`` pairs are held at a time.
     """
     nx = len(x)
     other = x if y is None else y
     base = 0 if y is None else nx
     forest, links = _Forest(nx + (0 if y is None else len(y))), []
     label = np.arange(len(forest.up))
+    block = max(1, pairs // max(1, len(other)))
     for lo in range(0, nx, block):
         part = x[lo : lo + block]
         near = np.bitwise_count(part[:, None] ^ other[None, :]) <= radius
@@ -117,19 +121,27 @@ def _tile_links(x: np.ndarray, y: np.ndarray | None, radius: int, block: int = 2
             if not len(rows):
                 break
             cross = near[rows] & (label[lo + rows][:, None] != label[base : base + len(other)][None, :])
-            open_rows = np.flatnonzero(cross.any(axis=1))
-            if not len(open_rows):
+            left, right = np.flatnonzero(cross.any(axis=1)), np.flatnonzero(cross.any(axis=0))
+            if not len(left):
                 break
-            firsts = cross[open_rows].argmax(axis=1)
-            for i, j in zip((lo + rows[open_rows]).tolist(), (base + firsts).tolist()):
-                if forest.join(i, j):
+            # the first open link of every row, and of every column
+            i = np.concatenate((rows[left], rows[cross[:, right].argmax(axis=0)])) + lo
+            j = np.concatenate((cross[left].argmax(axis=1), right)) + base
+            gone = []
+            for i, j in zip(i.tolist(), j.tolist()):
+                if (old := forest.join(i, j)) is not None:
                     links.append((i, j))
-            touched = np.unique(label)
-            label = np.array([forest.root(i) for i in touched.tolist()])[np.searchsorted(touched, label)]
+                    gone.append(old)
+            if len(gone) <= 32:
+                for old in gone:
+                    label[label == old] = forest.root(old)
+            else:
+                old = np.unique(label)
+                label = np.array([forest.root(i) for i in old.tolist()])[np.searchsorted(old, label)]
     return links
 
 
-def links(fps: DataFrame, radius: int = 4, tile_rows: int = 8192) -> DataFrame:
+def links(fps: DataFrame, radius: int = 4, tile_rows: int = 65_536) -> DataFrame:
     """(a, b): a spanning set of the links of the distinct fingerprints in ``fps`` (column fp).
 
     Tiles: cell (bits of the high half, bits of the low half), and in large
@@ -251,7 +263,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def simhash_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4, tile_rows: int = 8192
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4, tile_rows: int = 65_536
 ) -> DataFrame:
     """(id_col, fingerprint, component_id) for every row of ``docs``."""
     prints = materialize(fingerprints(docs, id_col, text_col, shingle), "prints")
