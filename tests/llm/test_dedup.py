@@ -52,7 +52,7 @@ def test_anchors_of_any_two_places_meet():
             assert any(D.COVER[(a + s) % D.PERIOD] and D.COVER[(b + s) % D.PERIOD] for s in range(D.PERIOD))
 
 
-@pytest.mark.parametrize("tile_rows", [8192, 3])
+@pytest.mark.parametrize("tile_rows", [65_536, 3])
 def test_simhash_equals_brute_force(spark, passages, tile_rows):
     vocabulary, base = passages
     r, docs = random.Random(9), []
