@@ -77,7 +77,7 @@ def host_of(url: Column) -> Column:
 
 def page_lines(html: Column) -> Column:
     """Visible text of a page with a line for each block element."""
-    text = F.regexp_replace(html, r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->", "")
+    text = F.regexp_replace(html, r"(?is)<(?:script\b.*?</script>|style\b.*?</style>|!--.*?-->)", "")
     text = F.regexp_replace(text, r"(?i)</?(?:p|br|div|li|ul|ol|tr|table|h[1-6]|nav|article|section|header|footer|title|body|head|html|blockquote|pre)\b[^>]*>", "\n")
     text = F.regexp_replace(text, r"<[^>]*>", "")
     return F.trim(F.regexp_replace(text, r"[ \t]*\n[ \t\n]*", "\n"))

@@ -37,6 +37,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select(
         "page_id", lines.host_of(F.col("url")).alias("host"), lines.page_lines(F.col("html")).alias("text")
     )
+    pages = materialize(pages, "pages")  # read twice: counted, then cleaned
     kept = lines.drop_boilerplate(pages, F.col("host"), ratio=0.2, min_pages=5, counts=True)
     return kept.select("page_id", "host", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
