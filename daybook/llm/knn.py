@@ -110,6 +110,7 @@ def knn_join(
     sample_rows: int = 4096,
     group_rows: int = 512,
     block_rows: int = 32_768,
+    least_blocks: int = 8,
 ) -> DataFrame:
     """(query_id, rank, id_col, score): the k best rows for every row that ``is_query`` holds for.
 
@@ -169,7 +170,8 @@ def knn_join(
     # ---- rows to groups, groups to blocks
     groups = _groups(sizes, at, group_rows)
     place = {int(c): i for i, c in enumerate(used)}
-    blocks = max(1, -(-n // block_rows))
+    # small tables are spread as well; each block answers each of its queries, so no more than that
+    blocks = max(-(-n // block_rows), min(least_blocks, n))
     homes: dict[int, list[int]] = {}
     for g, (members, _, _) in enumerate(groups):
         for c in members:
