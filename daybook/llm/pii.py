@@ -11,8 +11,9 @@ d(e, t) holding t within ``window`` characters of e:
     disclosure            PMI / IC, 1 if t alone gives e away
 
 A term that occurs near e in at least ``support`` documents and whose disclosure
-reaches ``generalise`` becomes a general word, and from ``remove`` on it goes.
-Entities themselves are always replaced.
+reaches ``generalise`` becomes a general word wherever it stands in a document
+that holds e. From ``remove`` on it gives e away alone and goes from every
+document of the corpus. Entities themselves are always replaced.
 
 A text's matches and the pieces between them have the same order, so positions
 are running sums of their lengths. Pairs are made distinct within a document and
@@ -126,29 +127,38 @@ def _spans(kind: str, window: int) -> Column:
     return F.when(F.size(m) > 0, _once(_starts(p, m), all_spans)).otherwise(none)
 
 
+def _terms(text: Column) -> Column:
+    """The terms of a text: (term, start, end)."""
+    matches = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
+    pieces = F.split(text, TERM, -1)
+    found = lambda m: F.transform(
+        F.arrays_zip(m.alias("m"), _starts(pieces, m).alias("at")),
+        lambda x: F.struct(F.lower(x["m"]).alias("term"), x["at"].alias("start"), (x["at"] + F.length(x["m"])).alias("end")),
+    )
+    none = F.array().cast("array<struct<term:string,start:int,end:int>>")
+    return _once(matches, lambda m: F.when(F.size(m) > 0, found(m)).otherwise(none))
+
+
 def _near(span: Column) -> Column:
     """Terms beside an entity: (entity, term, start, end)."""
     entity = F.concat_ws(":", span["kind"], F.lower(span["value"]))
 
     def side(text: Column, base: Column) -> Column:
-        matches = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
-        pieces = F.split(text, TERM, -1)
-        found = lambda m: F.transform(
-            F.arrays_zip(m.alias("m"), _starts(pieces, m).alias("at")),
-            lambda x: F.struct(
-                entity.alias("entity"), F.lower(x["m"]).alias("term"), (base + x["at"]).alias("start"), (base + x["at"] + F.length(x["m"])).alias("end")
-            ),
+        return F.transform(
+            _terms(text), lambda x: F.struct(entity.alias("entity"), x["term"], (base + x["start"]).alias("start"), (base + x["end"]).alias("end"))
         )
-        none = F.array().cast("array<struct<entity:string,term:string,start:int,end:int>>")
-        return _once(matches, lambda m: F.when(F.size(m) > 0, found(m)).otherwise(none))
 
     return F.concat(side(span["left"], span["start"] - F.length(span["left"])), side(span["right"], span["end"]))
 
 
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    rows = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return rows.withColumn("mark", F.xxhash64("text"))
+
+
 def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 64) -> DataFrame:
     """(doc, mark, spans, near) for every row: valid matches in order, and the terms around them."""
-    rows = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.withColumn("mark", F.xxhash64("text"))
+    rows = _rows(docs, id_col, text_col)
     none = F.array().cast("array<string>")
 
     def matches(kind: str) -> Column:
@@ -163,6 +173,10 @@ def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     return rows.select("doc", "mark", F.transform("spans", lambda s: s.dropFields("left", "right")).alias("spans"), near.alias("near"))
 
 
+def _named() -> Column:
+    return F.array_distinct(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"]))))
+
+
 def disclosing(
     docs: DataFrame, found: DataFrame, text_col: str = "text", support: int = 3, generalise: float = 0.6, remove: float = 0.9
 ) -> DataFrame:
@@ -172,8 +186,7 @@ def disclosing(
     pairs = found.select(F.explode(F.array_distinct(F.transform("near", lambda n: F.struct(n["entity"], n["term"])))).alias("p"))
     joint = pairs.groupBy("p.entity", "p.term").agg(F.count("*").alias("joint")).where(F.col("joint") >= support)
     joint = materialize(joint, "joint")
-    named = F.transform("spans", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"])))
-    holders = found.select(F.explode(F.array_distinct(named)).alias("entity")).groupBy("entity").agg(F.count("*").alias("holders"))
+    holders = found.select(F.explode(_named()).alias("entity")).groupBy("entity").agg(F.count("*").alias("holders"))
     # every term's documents: the words of a corpus are summed like any word count
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TERM), F.lit(0)))
     seen = docs.where(F.col(text_col).isNotNull()).select(F.explode(words).alias("term"))
@@ -186,6 +199,24 @@ def disclosing(
     return rated.where(F.col("disclosure") >= generalise - 1e-9).withColumn("kind", kind)
 
 
+def _everywhere(docs: DataFrame, found: DataFrame, told: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc, mark, start, end, kind) of all places of disclosing terms: removed ones in any row, others where their entity is."""
+    rows = _rows(docs, id_col, text_col)
+    words = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), lambda w: F.lower(w)))
+    kinds = told.groupBy("term").agg(F.max("kind").alias("kind"))
+    # only words that tell something of some entity go on
+    hits = materialize(rows.select("doc", "mark", F.explode(words).alias("term")).join(kinds, "term"), "hits")
+    removed = F.col("kind") == KINDS.index("removed")
+    held = found.select(F.col("doc").alias("tdoc"), F.col("mark").alias("tmark"), F.explode(_named()).alias("tentity"))
+    same = F.col("doc").eqNullSafe(F.col("tdoc")) & (F.col("mark") == F.col("tmark"))
+    beside = hits.where(~removed).join(told.select("term", "entity"), "term").join(held, same & (F.col("entity") == F.col("tentity")), "left_semi")
+    hits = hits.where(removed).unionByName(beside.drop("entity")).groupBy("doc", "mark").agg(F.collect_set(F.struct("term", "kind")).alias("kinds"))
+    hits = materialize(hits, "told").select(F.col("doc").alias("tdoc"), F.col("mark").alias("tmark"), F.map_from_entries("kinds").alias("kinds"))
+    placed = lambda x: F.struct(x["start"], x["end"], F.try_element_at("kinds", x["term"]).alias("kind"))
+    places = F.filter(F.transform(_terms(F.col("text")), placed), lambda x: x["kind"].isNotNull())
+    return rows.join(hits, same).select("doc", "mark", F.explode(places).alias("x")).select("doc", "mark", "x.*")
+
+
 def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 64, **thresholds) -> DataFrame:
     """(doc, mark, base, spans) for every row: the entities' spans, and these with the terms'.
 
@@ -194,7 +225,8 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
     found = materialize(entities(docs, id_col, text_col, window), "entities")
     told = materialize(disclosing(docs, found, text_col, **thresholds), "disclosing")
     near = found.select("doc", "mark", F.explode("near").alias("n")).select("doc", "mark", "n.*")
-    terms = near.join(told.select("entity", "term", "kind"), ["entity", "term"])
+    terms = near.join(told.select("entity", "term", "kind"), ["entity", "term"]).select("doc", "mark", "start", "end", "kind")
+    terms = terms.unionByName(_everywhere(docs, found, told, id_col, text_col))
     # a term near several entities counts by what tells most
     terms = terms.groupBy("doc", "mark", "start", "end").agg(F.max("kind").alias("kind"))
     terms = terms.groupBy("doc", "mark").agg(F.collect_set(F.struct("start", "kind", "end")).alias("terms"))
