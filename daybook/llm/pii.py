@@ -106,22 +106,34 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _spans(kind: str, window: int) -> Column:
-    """Valid matches of a kind in columns m_kind and p_kind: start, kind, end, value and the text on both sides."""
+def _part(at: Column, length: Column, block: int) -> Column:
+    """``length`` characters of the text from place ``at`` on, of column ``blocks``: no long text is walked for each match."""
+    first = F.floor(at / block).cast("int")
+    two = F.concat(*[F.coalesce(F.get("blocks", first + k), F.lit("")) for k in (0, 1)])
+    return F.substring(two, at - first * block + 1, length)
+
+
+def _spans(kind: str, window: int, block: int) -> Column:
+    """Valid matches of a kind in columns m_kind and p_kind: start, kind, end, value and the text on both sides.
+
+    Both sides are taken from the whole text, other matches included, with what
+    ``TERM`` looks at beyond the window (one character before, two after).
+    """
     m, p, number = F.col(f"m_{kind}"), F.col(f"p_{kind}"), KINDS.index(kind)
-    # a word cut by the window's edge is left out
-    left = lambda t: F.when(F.length(t) > window, F.regexp_replace(F.substring(t, F.lit(-window), F.lit(window)), r"^\S+", "")).otherwise(t)
-    right = lambda t: F.when(F.length(t) > window, F.regexp_replace(F.substring(t, F.lit(1), F.lit(window)), r"\S+$", "")).otherwise(t)
 
     def all_spans(starts: Column) -> Column:
         def one(value: Column, i: Column) -> Column:
             start = F.get(starts, i)
+            return F.struct(start.alias("start"), F.lit(number).alias("kind"), (start + F.length(value)).alias("end"), value.alias("value"))
+
+        def sides(s: Column) -> Column:
+            before = F.greatest(s["start"] - window - 1, F.lit(0))
             return F.struct(
-                start.alias("start"), F.lit(number).alias("kind"), (start + F.length(value)).alias("end"), value.alias("value"),
-                left(F.get(p, i)).alias("left"), right(F.get(p, i + 1)).alias("right"),
+                s["start"], s["kind"], s["end"], s["value"],
+                _part(before, s["start"] - before, block).alias("left"), _part(s["end"], F.lit(window + 2), block).alias("right"),
             )
 
-        return F.filter(F.transform(m, one), lambda s: _valid(kind, s["value"]))
+        return F.transform(F.filter(F.transform(m, one), lambda s: _valid(kind, s["value"])), sides)
 
     none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string,left:string,right:string>>")
     return F.when(F.size(m) > 0, _once(_starts(p, m), all_spans)).otherwise(none)
@@ -139,8 +151,8 @@ def _terms(text: Column) -> Column:
     return _once(matches, lambda m: F.when(F.size(m) > 0, found(m)).otherwise(none))
 
 
-def _near(span: Column) -> Column:
-    """Terms beside an entity: (entity, term, start, end)."""
+def _near(span: Column, window: int) -> Column:
+    """Terms beside an entity, whole within the window: (entity, term, start, end)."""
     entity = F.concat_ws(":", span["kind"], F.lower(span["value"]))
 
     def side(text: Column, base: Column) -> Column:
@@ -148,7 +160,8 @@ def _near(span: Column) -> Column:
             _terms(text), lambda x: F.struct(entity.alias("entity"), x["term"], (base + x["start"]).alias("start"), (base + x["end"]).alias("end"))
         )
 
-    return F.concat(side(span["left"], span["start"] - F.length(span["left"])), side(span["right"], span["end"]))
+    both = F.concat(side(span["left"], span["start"] - F.length(span["left"])), side(span["right"], span["end"]))
+    return F.filter(both, lambda x: (x["start"] >= span["start"] - window) & (x["end"] <= span["end"] + window))
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -167,9 +180,12 @@ def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
 
     rows = rows.select("doc", "mark", "text", *[matches(k).alias(f"m_{k}") for k in PATTERNS])
     pieces = [F.when(F.size(f"m_{k}") > 0, F.split("text", PATTERNS[k], -1)).otherwise(none).alias(f"p_{k}") for k in PATTERNS]
-    rows = rows.select("doc", "mark", *[f"m_{k}" for k in PATTERNS], *pieces)
-    rows = rows.select("doc", "mark", F.array_sort(F.concat(*[_spans(k, window) for k in PATTERNS])).alias("spans"))
-    near = F.array_distinct(F.flatten(F.transform("spans", _near)))
+    block = max(256, window + 2)
+    matched = F.greatest(*[F.size(f"m_{k}") for k in PATTERNS]) > 0
+    blocks = F.when(matched, F.regexp_extract_all("text", F.lit(f"(?s).{{1,{block}}}+"), F.lit(0))).otherwise(none)
+    rows = rows.select("doc", "mark", *[f"m_{k}" for k in PATTERNS], *pieces, blocks.alias("blocks"))
+    rows = rows.select("doc", "mark", F.array_sort(F.concat(*[_spans(k, window, block) for k in PATTERNS])).alias("spans"))
+    near = F.array_distinct(F.flatten(F.transform("spans", lambda s: _near(s, window))))
     return rows.select("doc", "mark", F.transform("spans", lambda s: s.dropFields("left", "right")).alias("spans"), near.alias("near"))
 
 

@@ -39,3 +39,18 @@ def test_terms_go_from_the_whole_text_and_corpus(spark):
     assert {s for s in got[20] if s[0] != "card"} == places(amber, "amber", "generalised") and got[30] == set()
     clean = {x.doc_id: x.text for x in pii.sanitise(spark.createDataFrame(docs, DOCS)).collect()}
     assert "falken" not in (clean[0] + clean[10] + clean[11]).lower() and clean[30] == "amber stone"
+
+
+def test_windows_hold_other_matches_and_whole_words(spark):
+    card, pad = "4111 1111 1111 1111", "x " * 40
+    docs = [(i, f"{pad} Falken 2024, 17, {card} in 1999 or 30: Amsel {pad}") for i in range(6)]
+    docs += [(10 + i, f"a@x.co, b@x.co; Zander {pad}") for i in range(6)]
+    # a word that ends with the window is whole, one that goes on isn't, and the blocks of a text don't matter
+    edge = "😀" * 251 + "o " + "a@edge.org " + "y " * 28 + "Kranich "
+    docs += [(20 + i, edge) for i in range(6)] + [(30 + i, edge.replace("y Kranich", "yy Kranich").replace("edge", "rand").replace("Kranich", "Drossel")) for i in range(6)]
+    docs += [(40 + i, "Lerche " + "y " * 28 + " 1.2.3.4") for i in range(6)] + [(50 + i, "Sperber " + "y " * 28 + " 8.8.8.8") for i in range(6)]
+    docs += [(100 + i, f"Nothing {pad} at all {i}") for i in range(200)]
+    got = spans(spark, docs)
+    marked = {term for found in got.values() for kind, _, term in found if kind in ("generalised", "removed")}
+    assert marked == {"Falken", "Amsel", "Zander", "Kranich", "Lerche"}
+    assert got[20] == {("email", 253, "a@edge.org"), *places(edge, "kranich")}
