@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, knn, lines, packing, pii, records, simhash, substring, toxicity
+from . import chat, clusters, decontaminate, knn, lines, packing, phrases, pii, records, simhash, substring, toxicity
 from .common import materialize, table
 from .tokens import vocabulary_path
 
@@ -70,6 +70,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=30, top=2000, covered=80)
+
+
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.clusters(clusters.grid(table(spark, sf_dir, "embeddings"), dims=64, scale=64), k=16, rounds=3)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_pii": op2_pii,
@@ -81,8 +89,51 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_chat_format": op9_chat_format,
     "op10_simhash": op10_simhash,
+    "op12_collocations": op12_collocations,
+    "op13_clusters": op13_clusters,
 }
 
+
+
+def _kmeans_sql(k: int, rounds: int) -> str:
+    """SQL of the rounds of op13: an assignment and an update each, one assignment more."""
+    steps = [
+        f"""
+        v AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, * FROM (
+                SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT)) AS e
+                FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) = 64
+                  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+        ), x AS MATERIALIZED (SELECT r, unnest(e) AS x, unnest(generate_series(1, 64)) AS p FROM v),
+        c0 AS MATERIALIZED (
+            SELECT j, unnest(e) AS x, unnest(generate_series(1, 64)) AS p FROM (
+                SELECT row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR)) NULLS LAST, e) - 1 AS j, e FROM v
+                QUALIFY j < {k}))"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""
+        a{i} AS MATERIALIZED (
+            SELECT r, j, d FROM (
+                SELECT r, j, CAST(sum((x.x - c.x) * (x.x - c.x)) AS BIGINT) AS d FROM x JOIN c{i} c USING (p) GROUP BY r, j)
+            QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, j) = 1)""")
+        if i < rounds:
+            steps.append(f"""
+        s{i} AS (SELECT j, p, sum(x) AS s, CAST(count(*) AS HUGEINT) AS n FROM a{i} JOIN x USING (r) GROUP BY j, p),
+        c{i + 1} AS MATERIALIZED (
+            SELECT j, p, CAST(CASE WHEN n IS NULL THEN c.x ELSE (s - ((s % n) + n) % n) // n END AS BIGINT) AS x
+            FROM c{i} c LEFT JOIN s{i} USING (j, p))""")
+    return (
+        "WITH"
+        + ",".join(steps)
+        + f""",
+        m AS (SELECT j, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p)) AS mark FROM c{rounds} GROUP BY j)
+        SELECT vec_id, CAST(j AS INTEGER) AS cluster, d AS distance,
+               CAST(sum(d) OVER (PARTITION BY j) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+               mark AS centroid_sha256
+        FROM a{rounds} JOIN v USING (r) JOIN m USING (j)"""
+    )
+
+
 #: DuckDB SQL where it can express the operator.
 ORACLE: dict[str, str] = {
     "op4_knn_join": """
@@ -158,4 +209,39 @@ ORACLE: dict[str, str] = {
                CAST(sum(4 + length(er) + 2 + length(ex) + 8) AS BIGINT) AS formatted_chars
         FROM e GROUP BY conv_id
     """,
+    "op12_collocations": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce(lang, 'und') AS lang,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+            FROM documents
+        ), p AS (SELECT r, doc_id, lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+        w AS MATERIALIZED (SELECT doc_id, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+        g AS (
+            SELECT doc_id, lang, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase
+            FROM (SELECT doc_id, lang, ws, m, unnest(generate_series(1, len(ws) - m + 1)) AS i
+                  FROM w, (SELECT unnest([1, 2, 3, 4]) AS m))
+        ), c AS MATERIALIZED (
+            SELECT lang, m, phrase, count(*) AS f, min(doc_id) AS first_doc FROM g GROUP BY ALL
+        ), n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM c WHERE m = 1 GROUP BY lang),
+        k AS (SELECT lang, m, phrase, f, first_doc, string_split(phrase, ' ') AS ws FROM c WHERE m > 1 AND f >= 30),
+        s AS (
+            SELECT lang, phrase, f, first_doc, i, array_to_string(ws[1:i], ' ') AS lp, array_to_string(ws[i + 1:], ' ') AS rp
+            FROM (SELECT *, unnest(generate_series(1, m - 1)) AS i FROM k)
+        ), o AS (
+            SELECT s.lang, s.phrase, s.f AS a, s.first_doc, x.f AS l, y.f AS r, i,
+                   CAST((CAST(2000000 AS HUGEINT) * s.f) // (x.f + y.f) AS BIGINT) AS score
+            FROM s JOIN c x ON x.lang = s.lang AND x.phrase = lp JOIN c y ON y.lang = s.lang AND y.phrase = rp
+            QUALIFY row_number() OVER (PARTITION BY s.lang, s.phrase ORDER BY score, i) = 1
+        ), u AS (
+            SELECT lang, array_to_string(ws[i:i + q - 1], ' ') AS phrase, max(f) AS longer
+            FROM (SELECT *, unnest(generate_series(1, m - q + 1)) AS i
+                  FROM k, (SELECT unnest([2, 3]) AS q) WHERE q < m)
+            GROUP BY ALL
+        ), z AS (
+            SELECT o.*, row_number() OVER (PARTITION BY o.lang ORDER BY score DESC, a DESC, o.phrase) AS "rank"
+            FROM o LEFT JOIN u USING (lang, phrase) WHERE longer IS NULL OR CAST(longer AS HUGEINT) * 100 < CAST(a AS HUGEINT) * 80
+        )
+        SELECT lang, "rank", phrase, a, l, r, n, score, first_doc FROM z JOIN n USING (lang) WHERE "rank" <= 2000
+    """,
+    "op13_clusters": _kmeans_sql(16, 3),
 }
