@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, clusters, decontaminate, knn, lines, packing, phrases, pii, records, simhash, substring, toxicity
+from . import chat, clusters, decontaminate, extract, knn, lines, packing, phrases, pii, records, simhash, substring, toxicity
 from .common import materialize, table
 from .tokens import vocabulary_path
 
@@ -70,6 +70,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
 
+def op11_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"), references_per_host=3, share=0.9, support=5)
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"), least=30, top=2000, covered=80)
 
@@ -89,6 +93,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_chat_format": op9_chat_format,
     "op10_simhash": op10_simhash,
+    "op11_extract": op11_extract,
     "op12_collocations": op12_collocations,
     "op13_clusters": op13_clusters,
 }
