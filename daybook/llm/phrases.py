@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, mix, slices, utf8
 
-SLICE = 4 << 20
+SLICE = 1 << 20
 LONGEST = 4
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -136,22 +136,18 @@ def _blocks(batches) -> Iterator[tuple[Block, np.ndarray, pa.Array, pa.Array]]:
 
 
 def _counts(docs: DataFrame, n: int, maps) -> DataFrame:
-    """(lang, print, n): how often each n-gram's fingerprint occurs, summed in each block."""
+    """(print, n): how often each n-gram's fingerprint occurs, summed in each block.
+
+    The language is in the fingerprint.
+    """
 
     def run(batches):
         held = {k: v.value for k, v in maps.items()}
-        for block, code, names, _ in _blocks(batches):
-            at, prints = block.grams(n, held)
-            lang = code[block.row[at]]
-            for j in np.unique(lang).tolist():
-                found, count = np.unique(prints[lang == j], return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([names[j].as_py()] * len(found), pa.string()), pa.array(found.view(np.int64)), pa.array(count)],
-                    names=["lang", "print", "n"],
-                )
+        for block, _, _, _ in _blocks(batches):
+            found, count = np.unique(block.grams(n, held)[1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(count)], names=["print", "n"])
 
-    parts = docs.mapInArrow(run, "lang string, print long, n long")
-    return parts.groupBy("lang", "print").agg(F.sum("n").alias("n"))
+    return docs.mapInArrow(run, "print long, n long").groupBy("print").agg(F.sum("n").alias("n"))
 
 
 def _bitmap(frequent: DataFrame, most_bits: int, part_bits: int = 1 << 19) -> np.ndarray:
@@ -182,14 +178,24 @@ def _bitmap(frequent: DataFrame, most_bits: int, part_bits: int = 1 << 19) -> np
 
 
 def _verified(docs: DataFrame, maps) -> DataFrame:
-    """(lang, size, phrase, f, first_doc) by text of what may be frequent, summed in each block."""
+    """(lang, size, phrase, f, first_doc) by text of what may be frequent, summed in each block.
+
+    Rows of size 0 hold the number of all words.
+    """
 
     def run(batches):
         held = {k: v.value for k, v in maps.items()}
+        names_of_all = ["lang", "size", "phrase", "f", "first_doc"]
         for block, code, names, ids in _blocks(batches):
-            for n in range(1, LONGEST + 1):
-                if n not in held:
-                    continue
+            lang, words = np.unique(code[block.row], return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    names.take(pa.array(lang)).cast(pa.string()), pa.array(np.zeros(len(lang), np.int32)),
+                    pa.array([""] * len(lang), pa.string()), pa.array(words), pa.nulls(len(lang), pa.int64()),
+                ],
+                names=names_of_all,
+            )
+            for n in held:
                 at, prints = block.grams(n, held)
                 at = at[may_hold(held[n], prints)]
                 if not len(at):
@@ -203,7 +209,7 @@ def _verified(docs: DataFrame, maps) -> DataFrame:
                             names.take(out.column("lang")).cast(pa.string()), pa.array(np.full(out.num_rows, n, np.int32)),
                             out.column("phrase").cast(pa.string()), out.column("count_all").cast(pa.int64()), out.column("doc_min"),
                         ],
-                        names=["lang", "size", "phrase", "f", "first_doc"],
+                        names=names_of_all,
                     )
 
     parts = docs.mapInArrow(run, "lang string, size int, phrase string, f long, first_doc long")
@@ -224,19 +230,13 @@ def frequent_phrases(
         F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.col(text_col).alias("text")
     )
     maps = {}
-    totals = None
     for n in range(1, LONGEST + 1):
-        counts = _counts(read, n, maps)
-        if n == 1:
-            counts = materialize(counts, "words")
-            totals = counts.groupBy("lang").agg(F.sum("n").alias("n"))
-        frequent = materialize(counts.where(F.col("n") >= least).select("print"), "prints")
+        frequent = materialize(_counts(read, n, maps).where(F.col("n") >= least).select("print"), "prints")
         if frequent.isEmpty():
             break
         maps[n] = spark.sparkContext.broadcast(_bitmap(frequent, most_bits))
-    if not maps:
-        return spark.createDataFrame([], "lang string, size int, phrase string, f long, first_doc long"), totals
-    return materialize(_verified(read, maps).where(F.col("f") >= least), "phrases"), totals
+    found = materialize(_verified(read, maps).where((F.col("f") >= least) | (F.col("size") == 0)), "phrases")
+    return found.where("size > 0"), found.where("size = 0").select("lang", F.col("f").alias("n"))
 
 
 def collocations(
