@@ -6,6 +6,8 @@ Layout under ``root`` (any Hadoop-compatible shared path)::
     changes/day=YYYY-MM-DD/v=A/    that day's change rows (keys, op, before, after)
     commits/YYYY-MM-DD_A_KIND_S    one empty file per committed day
     schemas/S.json                 the table's schema on the days that name it
+    merged/level=J/block=I/v=A/    net changes of 2**J days (compact_log)
+    ladder/I_J_A_M_S               one empty file per merged block
 
 Every run of a day writes an *attempt* ``A`` of its own. The day is switched to
 it by one marker that names both folders, created last; until then readers see
@@ -13,11 +15,20 @@ the previous attempt, whole, and a run that fails at any step (key check, type
 conflict, diff, write) leaves the day as it was. Of several markers of a day
 the highest attempt counts; the others and their folders are removed after the
 switch. ``KIND`` is ``sN`` while the snapshot version is kept (bucketed into N
-files, 0: plain) and ``log`` once it is pruned or where none was written.
+files, 0: plain) and ``log`` once it is pruned or where none was written; with
+``sN.B`` the day's version is that of its attempt ``B``.
+
+A day may come late, between committed days ``P`` and ``N``: its own changes
+follow ``P`` and those of ``N`` now follow it. Both are written as new attempts
+and both days are switched by one marker, whose name joins theirs with ``+``;
+``N`` keeps its snapshot version. The same corrects an older day.
 
 One non-recursive listing of ``commits`` tells every day's state, never a
 listing of the part files, which at 100 TB number tens of thousands per version.
 
+:meth:`Store.compact_log` adds merged blocks of 2, 4, 8, ... days (see
+``ladder``), which time travel then opens instead of single days.
+
 Day ``D`` is always diffed against the newest committed day before it, from its
 snapshot or, if that is pruned, from the replayed table. A finished day prunes
 the versions before its base (``keep_snapshot_every`` days apart some are kept,
@@ -53,14 +64,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import to_day
+from ..operators.compose import compose
 from ..operators.diff import DELETE, INSERT, UPDATE, change_log_schema, first_load, snapshot_diff
 from ..operators.keys import normalize_key, require_valid_key, require_valid_keys
 from ..operators.replay import apply_changes, build_change_log, stack_dumps, undo_to
 from ..operators.schema import align_columns, as_keys, nullable
+from . import ladder
 from .io import day_dir, empty_frame, write_parquet
+from .ladder import Block
 
 # Fixed form of a commit marker's name: day, attempt, kind, schema.
-COMMIT_MARK = re.compile(r"(\d{4}-\d{2}-\d{2})_(\d{6}-[0-9a-f]{8})_(log|s\d+)_([0-9a-f]{16})")
+COMMIT_MARK = re.compile(r"(\d{4}-\d{2}-\d{2})_(\d{6}-[0-9a-f]{8})_(log|s\d+(?:\.\d{6}-[0-9a-f]{8})?)_([0-9a-f]{16})")
 
 
 def schema_id(schema: T.StructType) -> str:
@@ -86,7 +100,12 @@ class Version:
 
     @property
     def buckets(self) -> int:
-        return int(self.kind[1:]) if self.kept else 0
+        return int(self.kind[1:].split(".")[0]) if self.kept else 0
+
+    @property
+    def snapshot(self) -> str:
+        """The attempt whose snapshot folder this version has."""
+        return self.kind.partition(".")[2] or self.attempt
 
 
 class _Fs:
@@ -129,9 +148,11 @@ class _Fs:
 class Listing:
     """The committed days, each in its newest attempt."""
 
-    def __init__(self, versions: dict[dt.date, Version], superseded: list[Version]):
+    def __init__(self, versions: dict[dt.date, Version], superseded: list[Version], joint: dict[str, list[Version]] | None = None):
         self.versions = dict(sorted(versions.items()))
         self.superseded = superseded
+        #: markers of two days at once, not yet replaced by markers of their own
+        self.joint = joint or {}
 
     @property
     def changes(self) -> list[dt.date]:
@@ -151,6 +172,10 @@ class Listing:
         """The newest committed day before ``day``."""
         return next((self.versions[d] for d in reversed(self.versions) if d < day), None)
 
+    def after(self, day: dt.date) -> Version | None:
+        """The first committed day after ``day``."""
+        return next((v for d, v in self.versions.items() if d > day), None)
+
     def epochs(self) -> list[list[Version]]:
         """The committed days in runs of one schema."""
         out: list[list[Version]] = []
@@ -193,6 +218,8 @@ class Store:
         self.snapshot_root = f"{self.root}/snapshot"
         self.change_root = f"{self.root}/changes"
         self.commit_root = f"{self.root}/commits"
+        self.merged_root = f"{self.root}/merged"
+        self.ladder_root = f"{self.root}/ladder"
         self._fs = _Fs(spark)
         self._schemas: dict[str, T.StructType] = {}
 
@@ -200,16 +227,22 @@ class Store:
     def listing(self) -> Listing:
         """What is stored, from one listing of the markers."""
         found: dict[tuple[dt.date, str], Version] = {}
+        joint: dict[str, list[Version]] = {}
         for name in self._fs.names(self.commit_root):
-            if m := COMMIT_MARK.fullmatch(name):
-                v = Version(dt.date.fromisoformat(m[1]), m[2], m[3], m[4])
+            parts = [COMMIT_MARK.fullmatch(part) for part in name.split("+")]
+            if not all(parts):
+                continue
+            versions = [Version(dt.date.fromisoformat(m[1]), m[2], m[3], m[4]) for m in parts]
+            if len(versions) > 1:
+                joint[name] = versions
+            for v in versions:
                 same = found.get((v.day, v.attempt))
                 if same is None or same.kept:  # beside "log" a kept marker is what a prune left
                     found[v.day, v.attempt] = v
         newest: dict[dt.date, Version] = {}
         for v in sorted(found.values(), key=lambda v: v.attempt):
             newest[v.day] = v
-        return Listing(newest, [v for v in found.values() if newest[v.day] is not v])
+        return Listing(newest, [v for v in found.values() if newest[v.day] is not v], joint)
 
     def snapshot_days(self) -> list[dt.date]:
         return self.listing().snapshots
@@ -267,10 +300,23 @@ class Store:
         if replaced is not None:
             self._remove(replaced)
 
-    def _remove(self, v: Version) -> None:
+    def _remove(self, v: Version, live: Version | None = None) -> None:
+        """Remove a replaced version, but not the snapshot that ``live`` has of it."""
         self._fs.delete(f"{self.commit_root}/{v.marker}")
-        for root in (self.snapshot_root, self.change_root):
-            self._fs.delete(self._folder(root, v.day, v.attempt))
+        if live is None or not live.kept or live.snapshot != v.snapshot:
+            self._fs.delete(self._folder(self.snapshot_root, v.day, v.snapshot))
+        self._fs.delete(self._folder(self.change_root, v.day, v.attempt))
+
+    def _tidy(self) -> None:
+        """What a switch leaves: joint markers become markers of each day, replaced versions go."""
+        ls = self.listing()
+        for name, versions in ls.joint.items():
+            for v in versions:
+                if ls.versions[v.day].attempt == v.attempt:
+                    self._fs.put(f"{self.commit_root}/{ls.versions[v.day].marker}")
+            self._fs.delete(f"{self.commit_root}/{name}")
+        for v in ls.superseded:
+            self._remove(v, ls.versions[v.day])
 
     # -- reads -------------------------------------------------------------
     def read_snapshot(self, day=None, listing: Listing | None = None) -> DataFrame:
@@ -285,7 +331,7 @@ class Store:
         return self._version_frame(v)
 
     def _version_frame(self, v: Version) -> DataFrame:
-        return self._snapshot_frame(self._folder(self.snapshot_root, v.day, v.attempt), self._schema(v.schema), v.buckets)
+        return self._snapshot_frame(self._folder(self.snapshot_root, v.day, v.snapshot), self._schema(v.schema), v.buckets)
 
     def _snapshot_frame(self, path: str, schema: T.StructType, buckets: int | None) -> DataFrame:
         """One snapshot folder; a bucketed one is read as a bucketed relation
@@ -384,6 +430,7 @@ class Store:
         strategy: str | None = None,
         on_extra: str = "drop",
         cast: bool = False,
+        late: str = "error",
     ) -> dict:
         """Record ``dump`` as the table on ``day``.
 
@@ -397,14 +444,22 @@ class Store:
         kept snapshots), stays as nulls (``on_extra="keep"``) or is refused
         (``"error"``). Returns the day's counts, observed during the writes (no
         extra pass).
+
+        A day before the newest one is refused (``late="error"``) or inserted
+        (``"insert"``): the changes of the next committed day are written anew,
+        as a diff of its table and this dump, and one marker switches both days;
+        the counts then name that day as ``next``. An older day that is stored
+        already is corrected so.
         """
+        if late not in ("error", "insert"):
+            raise ValueError(f"late must be error or insert, not {late!r}")
         d = to_day(day)
         if len(self.keys) == 1:
             dump = normalize_key(dump, self.keys[0])  # P01: an ``id`` column becomes the key
         ls = self.listing()
-        later = [b for b in ls.changes if b > d]
-        if later:
-            raise ValueError(f"{d} is before already integrated day {later[0]}; rebuild from there instead")
+        follower = ls.after(d)
+        if follower and late == "error":
+            raise ValueError(f"{d} is before already integrated day {follower.day}; insert it or rebuild from there instead")
         base = ls.before(d)
         prev = self._table(ls, base.day) if base else None
         if prev is not None:
@@ -412,47 +467,72 @@ class Store:
             if on_extra == "keep":
                 dump = align_columns(dump, aligned.schema)
             prev = align_columns(prev, dump.schema, cast=cast)
-        attempt = self._attempt(ls, [d])
+        following = self._table(ls, follower.day) if follower else None
+        if following is not None:
+            align_columns(dump, following.schema, cast=cast)  # refused here if it can't be compared
+        attempt = self._attempt(ls, [d, *([follower.day] if follower else [])])
         snap_dir, change_dir = (self._folder(root, d, attempt) for root in (self.snapshot_root, self.change_root))
-        snap_obs, chg_obs, op = Observation("snapshot"), Observation("changes"), F.col("op")
+        written = [snap_dir, change_dir]
+        snap_obs, chg_obs, next_obs = Observation("snapshot"), Observation("changes"), Observation("next")
         try:
             self._write_snapshot(dump.observe(snap_obs, F.count(F.lit(1)).alias("rows")), snap_dir)
             new = self._snapshot_frame(snap_dir, dump.schema, self.buckets)  # schema known: no footer job
             if validate:
                 require_valid_key(new, self.keys, f"dump of {d}")
-            if prev is not None:
-                changes = snapshot_diff(
-                    prev,
-                    new,
-                    self.keys,
-                    d,
-                    strategy=strategy or self.strategy,
-                    broadcast_limit=self.broadcast_limit,
-                    validate=False,  # new: checked above; prev: checked on its own day
-                )
-                # A day's changes are a small slice of the table: right-sized files
-                # instead of one file per shuffle partition.
-                changes = changes.hint("rebalance")
-            else:
-                changes = first_load(new, self.keys, d)  # all rows, one projection: no shuffle
-            observed = changes.observe(
-                chg_obs,
-                F.count_if(op == INSERT).alias("inserts"),
-                F.count_if(op == UPDATE).alias("updates"),
-                F.count_if(op == DELETE).alias("deletes"),
-            )
-            write_parquet(observed.drop("day"), change_dir)
-            version = Version(d, attempt, f"s{self.buckets or 0}", self._record(dump.schema))
+            self._write_changes(prev, new, d, change_dir, chg_obs, strategy)
+            versions = [Version(d, attempt, f"s{self.buckets or 0}", self._record(dump.schema))]
+            if follower:
+                next_dir = self._folder(self.change_root, follower.day, attempt)
+                written.append(next_dir)
+                self._write_changes(align_columns(new, following.schema, cast=cast), following, follower.day, next_dir, next_obs, strategy)
+                kind = f"s{follower.buckets}.{follower.snapshot}" if follower.kept else "log"
+                versions.append(Version(follower.day, attempt, kind, follower.schema))
         except BaseException:
-            for path in (snap_dir, change_dir):
+            for path in written:
                 self._fs.delete(path)
             raise
-        self._commit(version, ls.versions.get(d))
-        for v in ls.superseded:  # left by a run that stopped between switch and removal
-            self._remove(v)
+        if follower:
+            self._fs.put(f"{self.commit_root}/{'+'.join(v.marker for v in versions)}")
+            self._tidy()
+        else:
+            self._commit(versions[0], ls.versions.get(d))
+            if ls.superseded or ls.joint:  # left by a run that stopped between switch and removal
+                self._tidy()
         self._prune()
-        counts = {k: int(v or 0) for k, v in chg_obs.get.items()}
-        return {"day": d, "rows": int(snap_obs.get["rows"]), **counts}
+        counts = {"day": d, "rows": int(snap_obs.get["rows"]), **self._counts(chg_obs)}
+        if follower:
+            counts["next"] = {"day": follower.day, **self._counts(next_obs)}
+        return counts
+
+    def _write_changes(self, prev: DataFrame | None, new: DataFrame, day: dt.date, path: str, seen: Observation, strategy: str | None) -> None:
+        """The changes from ``prev`` (None: a first load) to ``new`` into a new folder."""
+        op = F.col("op")
+        if prev is not None:
+            changes = snapshot_diff(
+                prev,
+                new,
+                self.keys,
+                day,
+                strategy=strategy or self.strategy,
+                broadcast_limit=self.broadcast_limit,
+                validate=False,  # new: checked before; prev: checked on its own day
+            )
+            # A day's changes are a small slice of the table: right-sized files
+            # instead of one file per shuffle partition.
+            changes = changes.hint("rebalance")
+        else:
+            changes = first_load(new, self.keys, day)  # all rows, one projection: no shuffle
+        observed = changes.observe(
+            seen,
+            F.count_if(op == INSERT).alias("inserts"),
+            F.count_if(op == UPDATE).alias("updates"),
+            F.count_if(op == DELETE).alias("deletes"),
+        )
+        write_parquet(observed.drop("day"), path)
+
+    @staticmethod
+    def _counts(seen: Observation) -> dict[str, int]:
+        return {k: int(v or 0) for k, v in seen.get.items()}
 
     def _prune(self) -> None:
         """Drop snapshot versions older than the newest day's base, but for
@@ -468,7 +548,7 @@ class Store:
             if v.kept and d not in lasts and d.toordinal() % n != 0:
                 self._fs.put(f"{self.commit_root}/{Version(d, v.attempt, 'log', v.schema).marker}")
                 self._fs.delete(f"{self.commit_root}/{v.marker}")
-                self._fs.delete(self._folder(self.snapshot_root, d, v.attempt))
+                self._fs.delete(self._folder(self.snapshot_root, d, v.snapshot))
 
     # -- many days at once -------------------------------------------------
     def backfill(
@@ -546,10 +626,10 @@ class Store:
         kept = [v for v in same if v.kept]
         earlier, later = [v for v in kept if v.day <= day], [v for v in kept if v.day > day]
         if earlier:
-            return self._forward(self._version_frame(earlier[-1]), [v for v in same if earlier[-1].day < v.day <= day])
+            return self._forward(self._version_frame(earlier[-1]), [v for v in same if earlier[-1].day < v.day <= day], ls)
         if later:
             days = [v for v in same if day < v.day <= later[0].day]
-            return undo_to(self._version_frame(later[0]), self._changes(days), day, self.keys)
+            return undo_to(self._version_frame(later[0]), self._window(self._parts(ls, days)), day, self.keys)
         start = max((i for i in range(at) if any(v.kept for v in epochs[i])), default=None)
         if start is None:  # from the first load on
             table, since, start = empty_frame(self.spark, self._schema(epochs[0][0].schema)), None, 0
@@ -558,11 +638,68 @@ class Store:
             table, since = self._version_frame(base), base.day
         for epoch in epochs[start : at + 1]:
             table = align_columns(table, self._schema(epoch[0].schema), cast=True)
-            table = self._forward(table, [v for v in epoch if (since is None or v.day > since) and v.day <= day])
+            table = self._forward(table, [v for v in epoch if (since is None or v.day > since) and v.day <= day], ls)
         return table
 
-    def _forward(self, table: DataFrame, days: Sequence[Version]) -> DataFrame:
-        return apply_changes(table, self._changes(days), self.keys, many_days=True) if days else table
+    def _forward(self, table: DataFrame, days: Sequence[Version], ls: Listing) -> DataFrame:
+        if not days:
+            return table
+        parts = self._parts(ls, days)
+        # one folder holds one change per key: no reduction, so no shuffle of it
+        return apply_changes(table, self._window(parts), self.keys, many_days=len(parts) > 1)
+
+    # -- merged days -------------------------------------------------------
+    def _blocks(self, ls: Listing) -> tuple[dict[tuple[int, int], Block], list[Block]]:
+        return ladder.valid(self._fs.names(self.ladder_root), ls.versions)
+
+    def _parts(self, ls: Listing, days: Sequence[Version]) -> list[Version | Block]:
+        """The folders to open for a run of days: merged blocks where there are any."""
+        return ladder.cover(days, self._blocks(ls)[0]) if len(days) > 1 else list(days)
+
+    def _window(self, parts: Sequence[Version | Block]) -> DataFrame:
+        """The changes of single days and merged blocks of one schema; a merged
+        change is dated with the key's last change in its block."""
+        days = [p for p in parts if isinstance(p, Version)]
+        blocks = [p for p in parts if isinstance(p, Block)]
+        frames = [self._changes(days)] if days else []
+        if blocks:
+            log = change_log_schema(empty_frame(self.spark, self._schema(blocks[0].schema)), self.keys)
+            frames.append(self.spark.read.schema(nullable(log)).parquet(*[f"{self.merged_root}/{b.folder}" for b in blocks]))
+        return functools.reduce(lambda a, b: a.unionByName(b), frames)
+
+    def compact_log(self) -> list[tuple[dt.date, dt.date, int]]:
+        """Merge the log's days into blocks of 2, 4, 8, ... days that are over.
+
+        A block composes its two halves (two reads, one shuffle by key) and
+        counts once its marker is there; the days' own folders stay, as each is
+        a time to travel to. Blocks of days that were rerun or added to since
+        are built anew, and the old ones' folders go only after that. Returns
+        (first day, last day, level) of the blocks built. A run that fails
+        leaves what it finished, and the log as it was.
+        """
+        ls = self.listing()
+        if not ls.versions:
+            return []
+        blocks, stale = self._blocks(ls)
+        built = []
+        span = (max(ls.versions) - min(ls.versions)).days + 1
+        for level in range(1, min(ladder.LEVELS, span.bit_length() + 1) + 1):
+            for index, mine in list(ladder.missing(ls.versions, blocks, level)):
+                block = Block(index, level, uuid.uuid4().hex[:12], ladder.days_mark(mine), mine[0].schema, tuple(v.day for v in mine))
+                path = f"{self.merged_root}/{block.folder}"
+                try:
+                    net = compose(self._window(ladder.cover(mine, blocks)), self.keys)
+                    write_parquet(net.hint("rebalance"), path)
+                except BaseException:
+                    self._fs.delete(path)
+                    raise
+                self._fs.put(f"{self.ladder_root}/{block.marker}")
+                blocks[level, index] = block
+                built.append((block.days[0], block.days[-1], level))
+        for b in stale:
+            self._fs.delete(f"{self.ladder_root}/{b.marker}")
+            self._fs.delete(f"{self.merged_root}/{b.folder}")
+        return built
 
     def as_of(self, day) -> DataFrame:
         """The table at the end of ``day``, with the columns it had then; empty
@@ -588,4 +725,4 @@ class Store:
             return self.as_of(t)
         days = [v for v in last if t < v.day <= kept[-1].day]
         latest = self._version_frame(kept[-1])
-        return undo_to(latest, self._changes(days), t, self.keys) if days else latest
+        return undo_to(latest, self._window(self._parts(ls, days)), t, self.keys) if days else latest

@@ -12,15 +12,15 @@ stopped.
 
 A further done file of the newest day (``dump-YYYY-MM-DD.2.done``) integrates it
 anew, with whatever parts have arrived or been corrected since. One of an older
-day is late: what follows is built on that day already. It is skipped with a
-warning (``late="skip"``) or stops the stream (``"error"``). A done file with no
-day in its name stops the stream, and so does a day without part files.
+day is late: it is inserted between the days it belongs between, or corrects the
+day that is there (``late="insert"``), or it stops the stream (``"error"``). No
+done file is recorded before its day is read and stored. A done file with no day
+in its name stops the stream, and so does a day without part files.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import logging
 import re
 from fnmatch import fnmatch
 
@@ -31,8 +31,6 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.keys import normalize_key
 from ..sources.store import Store
 
-log = logging.getLogger(__name__)
-
 # The date inside a file name, and the default file names.
 DAY_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
 DUMP_FILES = "dump-*.csv"
@@ -80,11 +78,11 @@ def ingest_dumps(
     sep: str = ",",
     name_glob: str = DUMP_FILES,
     done_glob: str = DONE_FILES,
-    late: str = "skip",
+    late: str = "insert",
 ) -> StreamingQuery:
     """Start the ingestion; ``available_now`` processes what is there and stops."""
-    if late not in ("skip", "error"):
-        raise ValueError(f"late must be skip or error, not {late!r}")
+    if late not in ("insert", "error"):
+        raise ValueError(f"late must be insert or error, not {late!r}")
     key = store.keys[0] if len(store.keys) == 1 else None
 
     def integrate_batch(batch: DataFrame, epoch_id: int) -> None:
@@ -100,16 +98,10 @@ def ingest_dumps(
         for m, n in found:
             days.setdefault(dt.date.fromisoformat(m[1]), []).append(n)
         for day in sorted(days):
-            newest = store.latest_day()
-            if newest is not None and day < newest:
-                if late == "error":
-                    raise ValueError(f"done file of {day} after {newest} was integrated")
-                log.warning("skipped the done file of %s: %s is integrated already", day, newest)
-            else:
-                dump = read_day(spark, source_dir, day, schema, name_glob, sep)
-                if key:
-                    dump = normalize_key(dump, key, key_aliases)
-                store.integrate(dump, day)
+            dump = read_day(spark, source_dir, day, schema, name_glob, sep)
+            if key:
+                dump = normalize_key(dump, key, key_aliases)
+            store.integrate(dump, day, late=late)
             for n in days[day]:
                 store.record_ingested(n)
 

@@ -36,7 +36,7 @@ def ingest(spark, store, src, snaps, **options):
 
 def counted(store, monkeypatch):
     days, integrate = [], store.integrate
-    monkeypatch.setattr(store, "integrate", lambda dump, day: (days.append(day), integrate(dump, day)))
+    monkeypatch.setattr(store, "integrate", lambda dump, day, **how: (days.append(day), integrate(dump, day, **how)))
     return days
 
 
@@ -90,7 +90,8 @@ def test_late_parts(spark, snaps, tmp_path, monkeypatch):
     assert ingest(spark, store, src, snaps).exception() is None
     want = rows(build_change_log(snaps[:3], KEY))
     assert rows(store.read_log()) == want
-    # an older day is skipped, and the stream goes on with the next
+    # an older day is corrected, and the stream goes on with the next
+    put(src, f"dump-{day_of(0).isoformat()}-late.csv", frame(snaps[0][1])[:0])
     put(src, f"dump-{day_of(0).isoformat()}.2.done")
     put(src, f"dump-{day_of(3).isoformat()}.csv", frame(snaps[3][1]))
     put(src, f"dump-{day_of(3).isoformat()}.done")
