@@ -50,33 +50,43 @@ def compare_moved(a: DataFrame, b: DataFrame, keys: str | Sequence[str], validat
     classes. Content is compared over the columns both dumps share, as SHA-256
     of its canonical JSON. A table without content columns has no moves.
     """
-    ks = as_keys(keys)
+    names = as_keys(keys)
+    if {"change", "to"} & set(names):
+        raise ValueError("no key column may be called change or to")
     if validate:
-        require_valid_keys({"dump A": a, "dump B": b}, ks)
+        require_valid_keys({"dump A": a, "dump B": b}, names)
+    # the keys under names that meet no content column's
+    mark = "_"
+    while any(c.startswith(mark) for c in (*a.columns, *b.columns)):
+        mark += "_"
+    ks = [f"{mark}key{i}" for i in range(len(names))]
+    a, b = (df.withColumnsRenamed(dict(zip(names, ks))) for df in (a, b))
     spark = a.sparkSession
     common = common_columns(a, b)
     fields = content_fields(b.select(*[F.col(f"`{c}`") for c in common]), ks, ignore=())
     if not fields:  # keys alone: every common row is equal
-        a, b = (df.select(*_kcols(ks), F.lit(0).alias("_")) for df in (a, b))
+        a, b = (df.select(*_kcols(ks), F.lit(0).alias("only")) for df in (a, b))
     classes = compare(a, b, ks, strategy="hash", validate=False).select(*_kcols(ks), "change")
     path = scratch_path(spark, "classes")
     classes.write.parquet(path)
     classes = spark.read.schema(classes.schema).parquet(path)
-    none = F.lit(None).cast(b.select(F.struct(*_kcols(ks)).alias("to")).schema["to"].dataType)
+    target = F.struct(*[F.col(k).alias(n) for k, n in zip(ks, names)])
+    none = F.lit(None).cast(b.select(target.alias("to")).schema["to"].dataType)
+    given = [F.col(k).alias(n) for k, n in zip(ks, names)]
     if not fields:
-        return classes.select(*_kcols(ks), "change", none.alias("to"))
+        return classes.select(*given, "change", none.alias("to"))
 
     def side(df: DataFrame, change: str, name: str) -> DataFrame:
-        rows = df.join(classes.where(F.col("change") == change).select(*_kcols(ks)), ks, "left_semi")
-        return _ranked(rows.select(*_kcols(ks), F.unhex(content_hash(fields)).alias("_hash")), ks, name)
+        rows = df.join(classes.where(F.col("change") == change).select(*ks), ks, "left_semi")
+        return _ranked(rows.select(*ks, F.unhex(content_hash(fields)).alias("_hash")), ks, name)
 
-    gone = side(a, REMOVED, "removed").select(F.struct(*_kcols(ks)).alias("_from"), "_hash", "_rank")
-    come = side(b, ADDED, "added").select(F.struct(*_kcols(ks)).alias("_to"), "_hash", "_rank")
+    gone = side(a, REMOVED, "removed").select(target.alias("_from"), "_hash", "_rank")
+    come = side(b, ADDED, "added").select(target.alias("_to"), "_hash", "_rank")
     pairs = gone.join(come, ["_hash", "_rank"], "full_outer")
     change = F.when(F.col("_to").isNull(), F.lit(REMOVED)).when(F.col("_from").isNull(), F.lit(ADDED)).otherwise(F.lit(MOVED))
     key = F.coalesce("_from", "_to")
     moved = pairs.select(
-        *[key.getField(k).alias(k) for k in ks], change.alias("change"), F.when(F.col("_from").isNotNull(), F.col("_to")).alias("to")
+        *[key.getField(n).alias(n) for n in names], change.alias("change"), F.when(F.col("_from").isNotNull(), F.col("_to")).alias("to")
     )
-    rest = classes.where(F.col("change").isin(MODIFIED, UNCHANGED)).select(*_kcols(ks), "change", none.alias("to"))
+    rest = classes.where(F.col("change").isin(MODIFIED, UNCHANGED)).select(*given, "change", none.alias("to"))
     return rest.unionByName(moved)
