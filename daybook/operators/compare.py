@@ -99,10 +99,10 @@ def compare_summary(
     def n(cls: str):
         return F.count_if(c == cls).cast("bigint")
 
-    return _rates(compare(a, b, keys, strategy, validate).agg(*[n(cls).alias(cls.lower()) for cls in CLASSES]))
+    return rates(compare(a, b, keys, strategy, validate).agg(*[n(cls).alias(cls.lower()) for cls in CLASSES]))
 
 
-def _rates(counts: DataFrame) -> DataFrame:
+def rates(counts: DataFrame) -> DataFrame:
     """The summary row of the four class counts."""
     rows_a = F.col("removed") + F.col("modified") + F.col("unchanged")
     rows_b = F.col("added") + F.col("modified") + F.col("unchanged")
@@ -166,4 +166,4 @@ def compare_report(
     counts = {cls.lower(): int(counted.get[cls.lower()] or 0) for cls in CLASSES}
     row = spark.range(1).select(*[F.lit(v).cast("bigint").alias(k) for k, v in counts.items()])
     changed = spark.read.schema(classes.schema).parquet(path)
-    return _rates(row), _sample_rows(a, b, ks, changed, n)
+    return rates(row), _sample_rows(a, b, ks, changed, n)

@@ -172,6 +172,31 @@ SELECT a.{KEY}, CASE WHEN a.o_orderstatus IS NOT DISTINCT FROM b.o_orderstatus A
 FROM a JOIN b ON a.{KEY} = b.{KEY}"""
 
 
+# ------------------------------------------------------------------ comparison by checksums
+
+
+def q_compare_pruned(spark, sf):
+    """Two bucketed versions that differ in few keys: one revised, one gone, one new in some thousands."""
+    store = Store(spark, scratch_path(spark, "store"), KEY, buckets=64, keep_snapshot_every=None)
+    a = snapshot(spark, sf, 3)
+    k = F.col(KEY)
+    revised = F.when(k % 4001 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    b = a.where(k % 5003 != 0).withColumn("o_totalprice", revised).unionByName(a.where(k % 6007 == 0).withColumn(KEY, k + 100_000_000))
+    store.integrate(a, day_of(0))
+    store.integrate(b, day_of(1))
+    return store.compare(day_of(0), day_of(1))
+
+
+_PRUNED = f"""WITH a AS (SELECT * FROM ({snapshot_sql(3)}) s),
+n AS (SELECT count(*) AS rows_a, count(*) FILTER (WHERE {KEY} % 5003 = 0) AS removed,
+       (SELECT count(*) FROM a WHERE {KEY} % 6007 = 0) AS added,
+       count(*) FILTER (WHERE {KEY} % 5003 <> 0 AND {KEY} % 4001 = 0 AND o_totalprice IS NOT NULL) AS modified FROM a)
+SELECT rows_a, rows_a - removed + added AS rows_b, removed, added, modified, rows_a - removed - modified AS unchanged,
+       removed + added + modified AS total_changes,
+       CASE WHEN rows_a > 0 THEN round(CAST(removed + added + modified AS DOUBLE) * 100.0 / CAST(rows_a AS DOUBLE), 2) END AS change_rate
+FROM n"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "store_compacted_as_of": q_store_compacted_as_of,
     "compose_changes": q_compose_changes,
@@ -181,6 +206,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "changes_of_column": q_changes_of_column,
     "column_changes_nested": q_column_changes_nested,
     "compare_moved": q_compare_moved,
+    "compare_pruned": q_compare_pruned,
 }
 
 ORACLE: dict[str, str] = {
@@ -194,4 +220,5 @@ ORACLE: dict[str, str] = {
     "changes_of_column": f"SELECT {KEY}, day, before_o_orderpriority AS before, after_o_orderpriority AS after FROM ({_UPDATES}) u WHERE before_o_orderpriority IS DISTINCT FROM after_o_orderpriority",
     "column_changes_nested": _nested_counts(),
     "compare_moved": _MOVED,
+    "compare_pruned": _PRUNED,
 }

@@ -6,6 +6,7 @@ Layout under ``root`` (any Hadoop-compatible shared path)::
     changes/day=YYYY-MM-DD/v=A/    that day's change rows (keys, op, before, after)
     commits/YYYY-MM-DD_A_KIND_S    one empty file per committed day
     schemas/S.json                 the table's schema on the days that name it
+    sums/day=YYYY-MM-DD/v=A/n=N/   checksums of a kept version by key bucket (compare)
     merged/level=J/block=I/v=A/    net changes of 2**J days (compact_log)
     ladder/I_J_A_M_S               one empty file per merged block
 
@@ -59,11 +60,14 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import to_day
+from ..operators.checksums import SUMS, bucket_of, bucket_sums, unequal_buckets
+from ..operators.compare import CLASSES, compare, compare_summary, rates
 from ..operators.compose import compose
 from ..operators.diff import DELETE, INSERT, UPDATE, change_log_schema, first_load, snapshot_diff
 from ..operators.keys import normalize_key, require_valid_key, require_valid_keys
@@ -76,6 +80,11 @@ from .ladder import Block
 # Fixed form of a commit marker's name: day, attempt, kind, schema.
 COMMIT_MARK = re.compile(r"(\d{4}-\d{2}-\d{2})_(\d{6}-[0-9a-f]{8})_(log|s\d+(?:\.\d{6}-[0-9a-f]{8})?)_([0-9a-f]{16})")
 
+# Spark's name of a bucket's file ends in the bucket's number.
+BUCKET_FILE = re.compile(r"_(\d{5,})\.c\d+")
+#: Key buckets of the checksums of versions that aren't bucketed.
+SUM_BUCKETS = 1024
+
 
 def schema_id(schema: T.StructType) -> str:
     return hashlib.sha256(nullable(schema).json().encode()).hexdigest()[:16]
@@ -218,6 +227,7 @@ class Store:
         self.snapshot_root = f"{self.root}/snapshot"
         self.change_root = f"{self.root}/changes"
         self.commit_root = f"{self.root}/commits"
+        self.sums_root = f"{self.root}/sums"
         self.merged_root = f"{self.root}/merged"
         self.ladder_root = f"{self.root}/ladder"
         self._fs = _Fs(spark)
@@ -304,9 +314,13 @@ class Store:
         """Remove a replaced version, but not the snapshot that ``live`` has of it."""
         self._fs.delete(f"{self.commit_root}/{v.marker}")
         if live is None or not live.kept or live.snapshot != v.snapshot:
-            self._fs.delete(self._folder(self.snapshot_root, v.day, v.snapshot))
+            self._drop_snapshot(v)
         self._fs.delete(self._folder(self.change_root, v.day, v.attempt))
 
+    def _drop_snapshot(self, v: Version) -> None:
+        for root in (self.snapshot_root, self.sums_root):
+            self._fs.delete(self._folder(root, v.day, v.snapshot))
+
     def _tidy(self) -> None:
         """What a switch leaves: joint markers become markers of each day, replaced versions go."""
         ls = self.listing()
@@ -499,9 +513,10 @@ class Store:
             if ls.superseded or ls.joint:  # left by a run that stopped between switch and removal
                 self._tidy()
         self._prune()
-        counts = {"day": d, "rows": int(snap_obs.get["rows"]), **self._counts(chg_obs)}
+        none = {"inserts": 0, "updates": 0, "deletes": 0}
+        counts = {"day": d, "rows": 0, **self._counts(snap_obs), **none, **self._counts(chg_obs)}
         if follower:
-            counts["next"] = {"day": follower.day, **self._counts(next_obs)}
+            counts["next"] = {"day": follower.day, **none, **self._counts(next_obs)}
         return counts
 
     def _write_changes(self, prev: DataFrame | None, new: DataFrame, day: dt.date, path: str, seen: Observation, strategy: str | None) -> None:
@@ -532,7 +547,10 @@ class Store:
 
     @staticmethod
     def _counts(seen: Observation) -> dict[str, int]:
-        return {k: int(v or 0) for k, v in seen.get.items()}
+        try:
+            return {k: int(v or 0) for k, v in seen.get.items()}
+        except Py4JJavaError:  # an empty relation that the optimizer folded away has no metrics
+            return {}
 
     def _prune(self) -> None:
         """Drop snapshot versions older than the newest day's base, but for
@@ -548,7 +566,7 @@ class Store:
             if v.kept and d not in lasts and d.toordinal() % n != 0:
                 self._fs.put(f"{self.commit_root}/{Version(d, v.attempt, 'log', v.schema).marker}")
                 self._fs.delete(f"{self.commit_root}/{v.marker}")
-                self._fs.delete(self._folder(self.snapshot_root, d, v.snapshot))
+                self._drop_snapshot(v)
 
     # -- many days at once -------------------------------------------------
     def backfill(
@@ -648,6 +666,58 @@ class Store:
         # one folder holds one change per key: no reduction, so no shuffle of it
         return apply_changes(table, self._window(parts), self.keys, many_days=len(parts) > 1)
 
+    # -- comparison by checksums -------------------------------------------
+    def checksums(self, day, buckets: int | None = None) -> DataFrame:
+        """Checksums of the kept version of ``day`` by key bucket, stored beside it at first use."""
+        v = self.listing().versions.get(to_day(day))
+        if v is None or not v.kept:
+            raise FileNotFoundError(f"no snapshot version for {day} under {self.snapshot_root}")
+        return self._sums(v, buckets or v.buckets or SUM_BUCKETS)
+
+    def _sums(self, v: Version, buckets: int) -> DataFrame:
+        path = f"{self._folder(self.sums_root, v.day, v.snapshot)}/n={buckets}"
+        if not self._fs.exists(f"{path}/_SUCCESS"):  # never written whole
+            self._fs.delete(path)
+            bucket_sums(self._version_frame(v), self.keys, buckets).coalesce(1).write.parquet(path)
+        return self.spark.read.schema(SUMS).parquet(path)
+
+    def compare(self, day_a, day_b, fanout: int = 64) -> DataFrame:
+        """The summary of ``compare_summary`` for the tables of two days.
+
+        Two kept versions of one schema are compared by their checksums first:
+        only buckets of keys whose sums differ are read and joined (of versions
+        bucketed alike, only these buckets' files); the rows of the others count
+        as unchanged. Other days go through the whole comparison.
+        """
+        ls = self.listing()
+        a, b = (ls.versions.get(to_day(d)) for d in (day_a, day_b))
+        if not (a and b and a.kept and b.kept and a.schema == b.schema):
+            return compare_summary(self.as_of(day_a), self.as_of(day_b), self.keys, validate=False)
+        alike = a.buckets == b.buckets and a.buckets > 0
+        n = a.buckets if alike else SUM_BUCKETS
+        sums = [self._sums(v, n) for v in (a, b)]
+        differ = unequal_buckets(*sums, fanout)
+        sides = [self._bucket_rows(v, n, differ, files=alike) for v in (a, b)]
+        equal = sums[0].where(~F.col("bucket").isin(differ)) if differ else sums[0]
+        rest = equal.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("_equal"))  # one row
+        found = compare(*sides, self.keys, strategy="hash" if len(self._schema(a.schema)) > len(self.keys) else "struct", validate=False)
+        change = F.col("change")
+        counts = found.agg(*[F.count_if(change == c).cast("bigint").alias(c.lower()) for c in CLASSES])
+        whole = counts.crossJoin(rest).withColumn("unchanged", F.col("unchanged") + F.col("_equal")).drop("_equal")  # one row by one row
+        return rates(whole)
+
+    def _bucket_rows(self, v: Version, n: int, buckets: Sequence[int], files: bool) -> DataFrame:
+        """The rows of some key buckets of a kept version."""
+        schema = nullable(self._schema(v.schema))
+        if not buckets:
+            return empty_frame(self.spark, schema)
+        if not files:
+            return self._version_frame(v).where(bucket_of(self.keys, n).isin(list(buckets)))
+        folder, wanted = self._folder(self.snapshot_root, v.day, v.snapshot), set(buckets)
+        named = ((BUCKET_FILE.search(x), x) for x in self._fs.names(folder))
+        paths = [f"{folder}/{x}" for m, x in named if m and int(m[1]) in wanted]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else empty_frame(self.spark, schema)
+
     # -- merged days -------------------------------------------------------
     def _blocks(self, ls: Listing) -> tuple[dict[tuple[int, int], Block], list[Block]]:
         return ladder.valid(self._fs.names(self.ladder_root), ls.versions)
