@@ -3,8 +3,10 @@
 Tables of conversations come in many layouts. The nested field paths of a table
 (or of a row of JSON) that mappings know are sorted and hashed; the hash selects
 a declarative mapping, written as SQL expressions, that turns the layout into
-canonical turns: an array of (role, text). Fields that no mapping knows don't
-count, whatever they are called.
+canonical turns: an array of (role, text). A system text and a history of
+earlier turns belong to the layouts that may have them. Fields that no mapping
+knows don't count, whatever they are called, but are told (``unmapped_fields``,
+and a column for rows of JSON), so that no text is left out silently.
 
 The template writes each turn as
 
@@ -59,23 +61,50 @@ class Mapping:
 _ALIAS = "CASE lower({0}) WHEN 'human' THEN 'user' WHEN 'gpt' THEN 'assistant' WHEN 'bot' THEN 'assistant' WHEN 'model' THEN 'assistant' ELSE {0} END"
 _PAIR = "array(named_struct('role', 'user', 'text', {0}), named_struct('role', 'assistant', 'text', {1}))"
 _ASKED = "concat_ws('\\n\\n', instruction, nullif(input, ''))"
+_NO_TURNS = "CAST(array() AS array<struct<role:string,text:string>>)"
+#: A system text and earlier (question, answer) pairs come before the layout's own turns, if there are any.
+_SYSTEM = f"IF(coalesce(system, '') = '', {_NO_TURNS}, array(named_struct('role', 'system', 'text', system)))"
+_HISTORY = f"flatten(transform(coalesce(history, array()), h -> {_PAIR.format('get(h, 0)', 'get(h, 1)')}))"
+
+#: Layouts of one question and one answer: name, fields, SQL of both.
+_ASKING = [
+    ("prompt", ("prompt", "response"), "prompt", "response"),
+    ("completion", ("prompt", "completion"), "prompt", "completion"),
+    ("question", ("question", "answer"), "question", "answer"),
+    ("instruction", ("instruction", "output"), "instruction", "output"),
+    ("instruction with input", ("instruction", "input", "output"), _ASKED, "output"),
+]
+
+
+def _asking() -> list[Mapping]:
+    out = []
+    for name, fields, asked, said in _ASKING:
+        pair = _PAIR.format(asked, said)
+        out.append(Mapping(name, fields, pair))
+        out.append(Mapping(f"{name} with system", (*fields, "system"), f"concat({_SYSTEM}, {pair})"))
+        out.append(Mapping(f"{name} with history", (*fields, "history[][]"), f"concat({_HISTORY}, {pair})"))
+        out.append(Mapping(f"{name} with system and history", (*fields, "system", "history[][]"), f"concat({_SYSTEM}, {_HISTORY}, {pair})"))
+    return out
+
+
+def _listed(name: str, field: str, role: str, text: str) -> list[Mapping]:
+    turns = f"transform({field}, m -> named_struct('role', {_ALIAS.format('m.' + role) if role == 'from' else 'm.' + role}, 'text', m.{text}))"
+    paths = (f"{field}[].{role}", f"{field}[].{text}")
+    return [Mapping(name, paths, turns), Mapping(f"{name} with system", (*paths, "system"), f"concat({_SYSTEM}, {turns})")]
+
 
 MAPPINGS = [
     Mapping("turn rows", ("turn", "role", "text"), "named_struct('role', role, 'text', text)", order="turn"),
-    Mapping("messages", ("messages[].role", "messages[].content"), "transform(messages, m -> named_struct('role', m.role, 'text', m.content))"),
-    Mapping(
-        "conversations", ("conversations[].from", "conversations[].value"),
-        f"transform(conversations, m -> named_struct('role', {_ALIAS.format('m.from')}, 'text', m.value))",
-    ),
-    Mapping("prompt", ("prompt", "response"), _PAIR.format("prompt", "response")),
-    Mapping("completion", ("prompt", "completion"), _PAIR.format("prompt", "completion")),
-    Mapping("question", ("question", "answer"), _PAIR.format("question", "answer")),
-    Mapping("instruction", ("instruction", "output"), _PAIR.format("instruction", "output")),
-    Mapping("instruction with input", ("instruction", "input", "output"), _PAIR.format(_ASKED, "output")),
-]
+    *_listed("messages", "messages", "role", "content"),
+    *_listed("conversations", "conversations", "from", "value"),
+    *_asking(),
+]
 
 #: Types that the nested fields of JSON rows are read as; other fields are strings.
-JSON_TYPES = {"messages": "array<struct<role:string,content:string>>", "conversations": "array<struct<from:string,value:string>>"}
+JSON_TYPES = {"history": "array<array<string>>"}
+#: What a list of turns may be called in JSON, and the names of an element's role and text, whichever it has.
+JSON_LISTS = ("messages", "conversations")
+JSON_ROLES, JSON_TEXTS = ("role", "from"), ("content", "value", "text")
 
 KNOWN = sorted({p for m in MAPPINGS for p in m.paths})
 
@@ -115,21 +144,83 @@ def canonical(df: DataFrame, id_col: str = "conv_id") -> DataFrame:
     return rows.groupBy(id_col).agg(F.transform(sorted_rows, lambda t: F.struct(t["role"], t["text"])).cast(TURNS).alias("turns"))
 
 
+def _json_turns(items: Column) -> Column:
+    """Turns of a list of variants: each element by the names it has itself; null if one has no text."""
+
+    def one(m: Column) -> Column:
+        first = lambda names: F.coalesce(*[F.try_variant_get(m, f"$.{n}", "string") for n in names])
+        role = first(JSON_ROLES)
+        alias = F.create_map(*[F.lit(x) for x in ("human", "user", "gpt", "assistant", "bot", "assistant", "model", "assistant")])
+        return F.struct(F.coalesce(F.try_element_at(alias, F.lower(role)), role).alias("role"), first(JSON_TEXTS).alias("text"))
+
+    def named(m: Column, names) -> Column:
+        """The element has one of the names (its value may be null)."""
+        return F.arrays_overlap(_keys(m), F.array(*[F.lit(n) for n in names]))
+
+    good = F.forall(items, lambda m: F.coalesce(named(m, JSON_ROLES) & named(m, JSON_TEXTS), F.lit(False)))
+    return F.when(good, F.transform(items, one).cast(TURNS))
+
+
+def _keys(v: Column) -> Column:
+    return F.coalesce(F.map_keys(F.try_variant_get(v, "$", "map<string,variant>")), F.array().cast("array<string>"))
+
+
 def canonical_json(df: DataFrame, id_col: str = "conv_id", json_col: str = "record") -> DataFrame:
-    """(id_col, layout, turns) of rows of JSON text, each in its own layout (null: none known)."""
-    rows = df.select(F.col(id_col).alias("__id"), F.expr(f"try_parse_json(`{json_col}`)").alias("v"))
-    mappings = [m for m in MAPPINGS if m.order is None]
-    paths = sorted({p for m in mappings for p in m.paths})
-    at = lambda p, kind: f"try_variant_get(v, '$.{p.replace('[]', '[0]')}', '{kind}')"
-    found = F.concat_ws("\n", *[F.when(F.expr(at(p, "variant")).isNotNull(), F.lit(p)) for p in paths])
-    fields = sorted({p.split("[")[0] for p in paths})
-    rows = rows.select("__id", F.sha2(found, 256).alias("__print"), *[F.expr(at(f, JSON_TYPES.get(f, "string"))).alias(f) for f in fields])
-    layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
+    """(id_col, layout, turns, unmapped) of rows of JSON text, each in its own layout (null: none known).
+
+    The elements of a list of turns may name their roles and texts differently;
+    a list with an element that names no role or no text has no layout.
+    ``unmapped`` are the row's fields, and its elements' (``messages[].name``),
+    that aren't in the turns: all of them where there is no layout.
+    """
+    rows = df.select(F.col(f"`{id_col}`").alias("__id"), F.expr(f"try_parse_json(`{json_col}`)").alias("v"))
+    mappings = [m for m in MAPPINGS if m.order is None and not m.name.startswith(JSON_LISTS)]
+    fields = sorted({p.split("[")[0] for m in mappings for p in m.paths})
+    lists = [F.try_variant_get("v", f"$.{n}", "array<variant>").alias(f"__{n}") for n in JSON_LISTS]
+    rows = rows.select("__id", "v", _keys(F.col("v")).alias("__names"), *lists, *[F.try_variant_get("v", f"$.{f}", JSON_TYPES.get(f, "string")).alias(f) for f in fields])
+    has = lambda n: F.array_contains("__names", n)
+    known = F.array(*[F.lit(n) for n in (*fields, *JSON_LISTS)])
+    # the known fields a row has, as a mapping names them
+    present = F.array_sort(F.array_intersect("__names", known))
+    layout, turns, used = F.lit(None).cast("string"), F.lit(None).cast(TURNS), F.array().cast("array<string>")
+
+    def take(mine: Column, name: str, what: Column, names: list[str]) -> None:
+        nonlocal layout, turns, used
+        mine = F.coalesce(mine & what.isNotNull(), F.lit(False))
+        layout, turns = F.when(mine, F.lit(name)).otherwise(layout), F.when(mine, what).otherwise(turns)
+        used = F.when(mine, F.array(*[F.lit(n) for n in names])).otherwise(used)
+
     for m in mappings:
-        mine = F.col("__print") == fingerprint(m.paths)
-        layout = F.when(mine, F.lit(m.name)).otherwise(layout)
-        turns = F.when(mine, F.expr(m.turns).cast(TURNS)).otherwise(turns)
-    return rows.select(F.col("__id").alias(id_col), layout.alias("layout"), F.transform(turns, _clean).cast(TURNS).alias("turns"))
+        names = sorted({p.split("[")[0] for p in m.paths})
+        # a field of another type than the mapping's isn't read, so the row has no layout
+        whole = F.lit(True)
+        for n in names:
+            null = F.is_variant_null(F.try_variant_get("v", f"$.{n}", "variant"))
+            whole = whole & (F.col(n).isNotNull() | F.coalesce(null, F.lit(False)))
+        take((present == F.array(*[F.lit(n) for n in names])) & whole, m.name, F.expr(m.turns).cast(TURNS), names)
+    for n in JSON_LISTS:
+        own, system = _json_turns(F.col(f"__{n}")), F.expr(_SYSTEM).cast(TURNS)
+        take(present == F.array(F.lit(n)), n, own, [n])
+        text = F.col("system").isNotNull() | F.is_variant_null(F.try_variant_get("v", "$.system", "variant"))
+        take((present == F.array(*[F.lit(x) for x in sorted((n, "system"))])) & text, f"{n} with system", F.concat(system, own), [n, "system"])
+    rows = rows.select("*", layout.alias("__layout"), turns.alias("__turns"), used.alias("__used"))
+    inner = []
+    for n in JSON_LISTS:
+        extra = F.array_except(F.array_distinct(F.flatten(F.transform(f"__{n}", _keys))), F.array(*[F.lit(x) for x in (*JSON_ROLES, *JSON_TEXTS)]))
+        inner.append(F.when(F.array_contains("__used", n) & F.col(f"__{n}").isNotNull(), F.transform(extra, lambda x: F.concat(F.lit(f"{n}[]."), x))))
+    none = F.array().cast("array<string>")
+    unmapped = F.concat(F.array_except("__names", "__used"), *[F.coalesce(x, none) for x in inner])
+    return rows.select(
+        F.col("__id").alias(id_col), F.col("__layout").alias("layout"), F.transform("__turns", _clean).cast(TURNS).alias("turns"),
+        F.array_sort(unmapped).alias("unmapped"),
+    )
+
+
+def unmapped_fields(df: DataFrame) -> list[str]:
+    """The field paths of a table that its mapping leaves out of the turns."""
+    paths = field_paths(df.schema)
+    mapping = BY_FINGERPRINT.get(fingerprint(paths))
+    return [p for p in paths if mapping is None or p not in mapping.paths]
 
 
 # ------------------------------------------------------------------ template

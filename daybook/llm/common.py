@@ -43,6 +43,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names`` with as many underscores before them that no column of ``df`` is called so, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    mark = "__"
+    while any((mark + n).lower() in taken for n in names):
+        mark += "_"
+    return [mark + n for n in names]
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string column and the row offsets into them (null: empty)."""
     col = pc.fill_null(column.cast(pa.large_string()), "")

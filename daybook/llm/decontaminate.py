@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import fresh, materialize
 
 
 def _words(text: Column) -> Column:
@@ -107,7 +107,8 @@ def contaminations(
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the contaminated rows."""
-    found = contaminations(docs, items, id_col, text_col, **options).select(F.col("doc").alias("__doc"), F.col("mark").alias("__mark")).distinct()
+    doc, mark = fresh(docs, "doc", "mark")
+    found = contaminations(docs, items, id_col, text_col, **options).select(F.col("doc").alias(doc), F.col("mark").alias(mark)).distinct()
     found = materialize(found, "contaminated")
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__doc")) & (F.xxhash64(F.col(f"`{text_col}`")) == F.col("__mark"))
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col(doc)) & (F.xxhash64(F.col(f"`{text_col}`")) == F.col(mark))
     return docs.join(found, same, "left_anti")

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import fresh, materialize
 
 
 def _key(line: Column) -> Column:
@@ -37,7 +37,7 @@ def _lines(text: Column) -> Column:
 
 def boilerplate(pages: DataFrame, host: Column, text_col: str = "text", ratio: float = 0.2, min_pages: int = 5) -> DataFrame:
     """(host, keys): the boilerplate line keys of every host that has any."""
-    rows = pages.select(host.alias("host"), F.col(text_col).alias("text")).where("host is not null")
+    rows = pages.select(host.alias("host"), F.col(f"`{text_col}`").alias("text")).where("host is not null")
     filled = F.filter(_lines(F.col("text")), lambda x: F.trim(x) != "")
     held = rows.where("text is not null").select("host", F.explode(F.array_distinct(F.transform(filled, _key))).alias("key"))
     often = held.groupBy("host", "key").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
@@ -56,16 +56,17 @@ def drop_boilerplate(
 ) -> DataFrame:
     """``pages`` without boilerplate lines in ``text_col``; ``counts`` adds n_lines and n_dropped."""
     found = materialize(boilerplate(pages, host, text_col, ratio, min_pages), "boilerplate")
-    found = found.select(F.col("host").alias("__host"), F.col("keys").alias("__keys"))
-    rows = pages.withColumn("__site", host)
+    h, k, site = fresh(pages, "host", "keys", "site")
+    found = found.select(F.col("host").alias(h), F.col("keys").alias(k))
+    rows = pages.withColumn(site, host)
     lines = _lines(F.col(f"`{text_col}`"))
-    kept = F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains("__keys", _key(x)))
-    joined = rows.join(found, F.col("__site") == F.col("__host"), "left")
-    text = F.when(F.col("__keys").isNull(), F.col(f"`{text_col}`")).otherwise(F.array_join(kept, "\n"))
+    kept = F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains(k, _key(x)))
+    joined = rows.join(found, F.col(site) == F.col(h), "left")
+    text = F.when(F.col(k).isNull(), F.col(f"`{text_col}`")).otherwise(F.array_join(kept, "\n"))
     columns = [text.alias(c) if c == text_col else F.col(f"`{c}`") for c in pages.columns]
     if counts:
         n = F.when(F.col(f"`{text_col}`").isNull(), 0).otherwise(F.size(lines))
-        left = F.when(F.col("__keys").isNull() | F.col(f"`{text_col}`").isNull(), n).otherwise(F.size(kept))
+        left = F.when(F.col(k).isNull() | F.col(f"`{text_col}`").isNull(), n).otherwise(F.size(kept))
         columns += [n.cast("long").alias("n_lines"), (n - left).cast("long").alias("n_dropped")]
     return joined.select(*columns)
 

@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import fresh, materialize
 from .decontaminate import _once
 
 #: Possessive forms of the patterns: the same matches, without backtracking and
@@ -269,8 +269,9 @@ def digest(detected: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with entities and disclosing terms replaced in ``text_col`` (of overlapping spans the first counts)."""
-    spans = detect(docs, id_col, text_col, **options).select(F.col("doc").alias("__doc"), F.col("mark").alias("__mark"), F.col("spans").alias("__spans"))
-    spans = materialize(spans.where(F.size("__spans") > 0).dropDuplicates(["__doc", "__mark"]), "spans")
+    doc, mark, spans_col = fresh(docs, "doc", "mark", "spans")
+    spans = detect(docs, id_col, text_col, **options).select(F.col("doc").alias(doc), F.col("mark").alias(mark), F.col("spans").alias(spans_col))
+    spans = materialize(spans.where(F.size(spans_col) > 0).dropDuplicates([doc, mark]), "spans")
     text, labels = F.col(f"`{text_col}`"), F.array(*[F.lit(LABELS[k]) for k in KINDS])
 
     def put(done: Column, s: Column) -> Column:
@@ -279,8 +280,8 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
         return F.when(s["start"] >= done["at"], new).otherwise(done)
 
     zero = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    clean = F.aggregate("__spans", zero, put, lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__doc")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("__mark"))
+    clean = F.aggregate(spans_col, zero, put, lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col(doc)) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col(mark))
     joined = docs.join(spans, same, "left")
-    new = F.when(F.col("__spans").isNull(), text).otherwise(clean)
+    new = F.when(F.col(spans_col).isNull(), text).otherwise(clean)
     return joined.select(*[new.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])

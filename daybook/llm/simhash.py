@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
-from .common import materialize, utf8
+from .common import fresh, materialize, utf8
 
 SEED = 42
 CHUNK = 1 << 16
@@ -262,33 +262,49 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
 
 
+def _rooted(prints: DataFrame, least: str, radius: int, tile_rows: int) -> DataFrame:
+    """(fp, least, root): each distinct fingerprint with the smallest ``least`` and its component's smallest fingerprint."""
+    nodes = materialize(prints.groupBy("fp").agg(F.min(least).alias("least")), "nodes")
+    comps = components(links(nodes.select("fp"), radius, tile_rows))
+    linked = comps.unionAll(comps.select(F.col("root").alias("node"), "root").distinct())
+    return nodes.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4, tile_rows: int = 65_536
 ) -> DataFrame:
     """(id_col, fingerprint, component_id) for every row of ``docs``."""
-    prints = materialize(fingerprints(docs, id_col, text_col, shingle), "prints")
-    nodes = materialize(prints.groupBy("fp").agg(F.min(id_col).alias("least")), "nodes")
-    comps = components(links(nodes.select("fp"), radius, tile_rows))
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text"))
+    prints = materialize(fingerprints(rows, "doc", "text", shingle), "prints")
+    rooted = _rooted(prints, "doc", radius, tile_rows)
     # the root is the smallest fingerprint; the component's name is its smallest id
-    linked = comps.unionAll(comps.select(F.col("root").alias("node"), "root").distinct())
-    rooted = nodes.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "named")
     labels = materialize(rooted.join(named, "root").select("fp", "component_id"), "labels")
     return prints.join(labels, "fp").select(
-        id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        F.col("doc").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4) -> DataFrame:
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4, tile_rows: int = 65_536
+) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: the one with its smallest id.
 
-    Repeated rows of that id leave one (the smallest text); rows with a null id
-    are kept, as no group can be named by them.
+    A row is known by its id and a mark of its text, so an id that stands in
+    several groups, or twice in one, costs no group its row: each group keeps
+    the smallest (id, mark), and of rows equal in both the first by the other
+    columns. Rows with a null id are kept, as no group can be named by them.
     """
-    found = simhash_components(docs, id_col, text_col, shingle, radius)
-    keep = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__keep")).distinct()
-    kept = docs.join(keep, docs[id_col] == F.col("__keep"), "left_semi")
-    rest = [f.name for f in docs.schema if f.name not in (id_col, text_col) and isinstance(f.dataType, AtomicType)]
-    order = Window.partitionBy(id_col).orderBy(*[F.col(f"`{c}`") for c in (text_col, *rest)])
-    one = kept.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
-    return one.unionByName(docs.where(F.col(id_col).isNull()))
+    mark = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    doc = F.when(F.col(f"`{id_col}`").isNotNull(), F.struct(F.col(f"`{id_col}`").alias("id"), mark.alias("mark")))
+    rows = docs.select(doc.alias("doc"), F.col(f"`{text_col}`").alias("text"))
+    prints = materialize(fingerprints(rows, "doc", "text", shingle), "prints")
+    rooted = _rooted(prints, "doc", radius, tile_rows)
+    i, m, n = fresh(docs, "id", "mark", "n")
+    keep = rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.id").alias(i), F.col("least.mark").alias(m))
+    keep = materialize(keep.where(F.col(i).isNotNull()), "keep")
+    kept = docs.join(keep, (F.col(f"`{id_col}`") == F.col(i)) & (mark == F.col(m)), "left_semi")
+    rest = [f.name for f in docs.schema if f.name != id_col and isinstance(f.dataType, AtomicType)]
+    order = Window.partitionBy(F.col(f"`{id_col}`"), mark).orderBy(*[F.col(f"`{c}`") for c in (text_col, *[c for c in rest if c != text_col])])
+    one = kept.withColumn(n, F.row_number().over(order)).where(F.col(n) == 1).drop(n)
+    return one.unionByName(docs.where(F.col(f"`{id_col}`").isNull()))

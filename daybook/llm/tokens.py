@@ -5,6 +5,11 @@ is encoded as the sequence of its pieces between cuts, and a piece met before is
 not encoded again. New pieces are encoded many in a call: runs of letters in a
 row, as their tokens show where each ends, and the rest joined by a separator
 whose one id occurs nowhere else.
+
+The strings of the vocabulary's added tokens (such as an end of text) become
+their ids, as the library has it by default: a text that holds one is encoded
+whole by the library itself. With ``specials=False``
+these strings are ordinary text.
 """
 
 from __future__ import annotations
@@ -41,12 +46,15 @@ class PieceEncoder:
     About ``memory`` pieces are remembered.
     """
 
-    def __init__(self, path: str, drops_space: bool, memory: int = 600_000):
+    def __init__(self, path: str, drops_space: bool, memory: int = 600_000, specials: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.whole = Tokenizer.from_file(path)
+        added = [t.content for t in self.whole.get_added_tokens_decoder().values()] if specials else []
+        self.added = re.compile("|".join(map(re.escape, added)).encode()).search if added else lambda text: None
+        self.tokenizer.encode_special_tokens = True  # pieces hold none
         self.drops_space, self.memory, self.known, self.units = drops_space, memory, {}, {}
         self.cut = None if drops_space else re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+").findall
         self.mark, self.glue = ("\x00", " \x00 ") if drops_space else ("\n", "\n")
@@ -109,6 +117,15 @@ class PieceEncoder:
         self.known.update((pieces[k], found[texts[k]]) for k in odd)
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
+        held = [k for k, t in enumerate(texts) if self.added(t)]
+        if not held:
+            return self._ids(texts)
+        out = self._ids([b"" if self.added(t) else t for t in texts])
+        for k in held:
+            out[k] = np.array(self.whole.encode(texts[k].decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        return out
+
+    def _ids(self, texts: list[bytes]) -> list[bytes]:
         gc.disable()  # many strings are kept and none of them form cycles
         try:
             cut = [t.split() for t in texts] if self.drops_space else [self.cut(t.decode()) for t in texts]

@@ -75,6 +75,19 @@ def test_one_of_each_group_stays(spark, passages):
     assert S.drop_near_duplicates(frame(spark, docs).limit(0)).count() == 0
 
 
+def test_ids_shared_by_groups_cost_no_group_its_row(spark, passages):
+    _, base = passages
+    a, b, c = (" ".join(base[i]) for i in (0, 1, 2))
+    for docs, groups in (
+        ([(5, a), (5, b), (7, a), (8, b)], {a, b}),
+        ([(5, a), (5, b), (5, c)], {a, b, c}),
+        ([(5, a), (5, a), (6, a), (6, b)], {a, b}),
+        ([(1, a), (2, b), (1, b), (2, a), (1, c)], {a, b, c}),
+    ):
+        kept = [r.text for r in S.drop_near_duplicates(frame(spark, docs)).collect()]
+        assert sorted(kept) == sorted(groups)
+
+
 def test_components_of_chains_and_hubs(spark):
     chain = [(i, i + 1) for i in range(40)]
     hub = [(100, i) for i in range(101, 160)]

@@ -11,6 +11,8 @@ from brute import pii as plain_pii
 from brute import rows
 from pyspark.sql import functions as F
 
+from tokenizers import Tokenizer
+
 from daybook.llm import chat, packing, pii, records, toxicity
 from daybook.llm.tokens import PieceEncoder, vocabulary_path
 
@@ -94,16 +96,26 @@ def test_pii_equals_brute_force(spark):
 # ------------------------------------------------------------------ tokens
 
 
+def library(path):
+    """Ids of a text by a tokenizer of its own, as the library gives them."""
+    tokenizer = Tokenizer.from_file(path)
+    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("name,drops_space", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
 def test_pieces_encode_as_the_whole_text(name, drops_space):
     r = random.Random(4)
     bits = list("ab1 \n\t'’.,<|>é́\x85\xa0 　\x1c\x1dΣς한ᄒ가 's't'll\r\x0b\x0c#ǅİßÅ²½ªʰ")
     bits += ["<|endoftext|>", " ", " ", "  ", "foo", "Bar,", "don't", "\x00", " \n", "​", "﻿", "᠎", "क़"]
     texts = ["".join(r.choices(bits, k=r.randint(0, 30))) for _ in range(6000)]
-    own = PieceEncoder(vocabulary_path(name), drops_space, memory=2000)
+    own, plain = PieceEncoder(vocabulary_path(name), drops_space, memory=2000), PieceEncoder(vocabulary_path(name), drops_space, specials=False)
+    fresh = library(vocabulary_path(name))
+    texts += ["<|endoftext|>", "a<|endoftext|>b", "<|EndOfText|> x", "<|endoftext|><|endoftext|>", "<|endoftext"]
     for lo in range(0, len(texts), 300):
         part = texts[lo : lo + 300]
-        assert own.ids([t.encode() for t in part]) == [np.array(i, "<u4").tobytes() for i in own._encode(part)]
+        assert own.ids([t.encode() for t in part]) == [np.array(fresh(t), "<u4").tobytes() for t in part]
+        assert plain.ids([t.encode() for t in part]) == [np.array(i, "<u4").tobytes() for i in plain._encode(part)]
+    assert len(fresh("<|endoftext|>")) == 1 and len(plain._encode(["<|endoftext|>"])[0]) > 1
 
 
 TEXTS = [(10**6, None), (10**6 + 1, ""), (-5, "a\x00b \x00 c\n\n d <|endoftext|>"), (4, "x  y\n z\t q 's"), (None, "null id"), (-5, "dup id"), (4, "x  y\n z\t q 's"),
@@ -112,13 +124,13 @@ TEXTS = [(10**6, None), (10**6 + 1, ""), (-5, "a\x00b \x00 c\n\n d <|endoftext|>
 
 def test_records_round_trip(spark, tmp_path):
     path = vocabulary_path("word_bpe_49k.json")
-    whole = PieceEncoder(path, True)._encode
+    whole = library(path)
     df = frame(spark, TEXTS)
     manifest = records.write_records(df, f"file://{tmp_path}/r", path)
     got = records.read_records(manifest)
     start, want = 0, []
     for d, t in sorted(TEXTS, key=lambda d: (d[0] is not None, d[0] or 0, zlib.crc32((d[1] or "").encode()))):
-        ids = whole([t or ""])[0] + [1]
+        ids = whole(t or "") + [1]
         want.append((d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), ids))
         start += len(ids)
     assert rows(got) == sorted(want, key=repr)
@@ -140,15 +152,15 @@ def test_records_of_nothing(spark):
 
 def test_packing(spark, tmp_path):
     path = vocabulary_path("byte_bpe_50k.json")
-    whole = PieceEncoder(path, False)._encode
+    whole = library(path)
     packed = packing.pack(frame(spark, TEXTS), path)
     got = packed.collect()
     assert len({x.sequence_id for x in got}) == len(got)
     assert all(x.offset == 0 and x.length == x.bucket == len(x.ids) // 4 <= 1024 and x.length & (x.length - 1) == 0 for x in got)
-    want = sorted(((d, i) for d, t in TEXTS for i in whole([t or ""])[0] + [0]), key=repr)
+    want = sorted(((d, i) for d, t in TEXTS for i in whole(t or "") + [0]), key=repr)
     assert sorted(((x.doc_id, i) for x in got for i in np.frombuffer(x.ids, "<u4").tolist()), key=repr) == want
     long = sorted((x for x in got if x.doc_id == 11), key=lambda x: x.start)
-    assert [i for x in long for i in np.frombuffer(x.ids, "<u4").tolist()] == whole([TEXTS[7][1]])[0] + [0]
+    assert [i for x in long for i in np.frombuffer(x.ids, "<u4").tolist()] == whole(TEXTS[7][1]) + [0]
     assert [x.start for x in long] == [sum(y.length for y in long[:k]) for k in range(len(long))]
     packing.write_buckets(packed, f"{tmp_path}/b")
     assert spark.read.parquet(f"{tmp_path}/b").count() == len(got)
@@ -198,3 +210,34 @@ def test_layouts(spark):
     got = {x.conv_id: (x.layout, x.turns) for x in chat.canonical_json(spark.createDataFrame(raw, "conv_id long, record string")).collect()}
     assert [got[i][0] for i in range(9)] == ["messages", "prompt", "question", "instruction", "completion", None, None, None, None]
     assert got[0][1] == [("user", "hi"), ("assistant", "yo")] and got[3][1] == [("user", "i"), ("assistant", "o")] and got[5][1] is None
+
+
+def test_no_text_of_a_layout_is_lost(spark):
+    system = spark.sql("SELECT 1L AS conv_id, 's' AS system, 'p' AS prompt, 'r' AS response, 'z' AS other")
+    assert chat.canonical(system).first().turns == [("system", "s"), ("user", "p"), ("assistant", "r")]
+    assert chat.unmapped_fields(system) == ["conv_id", "other"]
+    history = "SELECT 1L AS conv_id, {0} AS history, {1} AS system, 'i' AS instruction, '' AS input, 'o' AS output"
+    got = [chat.canonical(spark.sql(history.format(h, s))).first().turns for h, s in (("array(array('q', 'a'))", "'s'"), ("CAST(NULL AS array<array<string>>)", "''"))]
+    assert got[0] == [("system", "s"), ("user", "q"), ("assistant", "a"), ("user", "i"), ("assistant", "o")] and got[1] == [("user", "i"), ("assistant", "o")]
+    with pytest.raises(ValueError):  # two layouts at once
+        chat.canonical(spark.sql("SELECT 1L AS conv_id, 'p' AS prompt, 'r' AS response, 'q' AS question"))
+    records_ = [
+        {"system": "s", "prompt": "p", "response": "r"},
+        {"messages": [{"role": "user", "content": "a"}, {"from": "gpt", "value": "b"}, {"role": "tool", "content": None, "name": "t"}], "lang": "en"},
+        {"system": "s", "instruction": "i", "output": "o", "history": [["q", "a"], ["q2", "a2"]]},
+        {"messages": [{"content": "no role"}, {"role": "user", "content": "x"}]},
+        {"conversations": [{"from": "human", "value": "x"}], "system": "s"},
+        {"prompt": "p", "response": "r", "question": "q"},
+        {"prompt": "p", "response": {"text": "r"}},
+        {"messages": [{"role": "user", "content": "a"}], "prompt": "p"},
+        {"messages": []}, {"prompt": None, "response": "r"}, {"messages": [{"role": "user", "content": "x"}, "stray"]}, [1], {"prompt": "p", "response": "r", "history": "odd"},
+    ]
+    raw = [(i, json.dumps(x)) for i, x in enumerate(records_)]
+    got = {x.conv_id: (x.layout, [tuple(t) for t in x.turns] if x.turns is not None else None, x.unmapped) for x in chat.canonical_json(spark.createDataFrame(raw, "conv_id long, record string")).collect()}
+    assert got[0] == ("prompt with system", [("system", "s"), ("user", "p"), ("assistant", "r")], [])
+    assert got[1] == ("messages", [("user", "a"), ("assistant", "b"), ("tool", "")], ["lang", "messages[].name"])
+    assert got[2] == ("instruction with system and history", [("system", "s"), ("user", "q"), ("assistant", "a"), ("user", "q2"), ("assistant", "a2"), ("user", "i"), ("assistant", "o")], [])
+    assert got[3] == (None, None, ["messages"]) and got[4] == ("conversations with system", [("system", "s"), ("user", "x")], [])
+    assert got[5] == (None, None, ["prompt", "question", "response"]) and got[6] == ("prompt", [("user", "p"), ("assistant", '{"text":"r"}')], [])
+    assert got[7] == (None, None, ["messages", "prompt"]) and got[8] == ("messages", [], []) and got[9][1] == [("user", ""), ("assistant", "r")]
+    assert got[10][0] is None and got[11] == (None, None, []) and got[12] == (None, None, ["history", "prompt", "response"])
