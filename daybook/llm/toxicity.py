@@ -80,27 +80,16 @@ def _feature_lists(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "key long, label int, features binary")
 
 
-def ftrl(
-    examples: list[tuple[np.ndarray, int]], epochs: int, alpha: float, beta: float, l1: float, l2: float, min_rows: int
-) -> tuple[np.ndarray, np.ndarray, float]:
-    """Weights other than zero after ``epochs`` passes over (distinct features, label) examples.
+def _passes(
+    places: list[np.ndarray], labels: list[int], size: int, epochs: int, alpha: float, beta: float, l1: float, l2: float
+) -> np.ndarray:
+    """Weights of ``size`` coordinates and the bias (the last one, without L1) after FTRL-proximal passes.
 
-    FTRL-proximal with a rate per coordinate: z collects gradients less the
-    pull of the weight, n their squares; a weight is zero while |z| <= l1.
-    Features of fewer than ``min_rows`` examples are left out.
+    Every coordinate has a rate of its own: z collects gradients less the pull
+    of the weight, n their squares; a weight is zero while |z| <= l1.
     """
-    everything = np.concatenate([f for f, _ in examples]) if examples else np.zeros(0, np.uint64)
-    names, counts = np.unique(everything, return_counts=True)
-    del everything
-    names = names[counts >= min_rows]
-    places = []
-    for f, _ in examples:
-        at = np.searchsorted(names, f)
-        at = at[at < len(names)] if len(names) else at[:0]
-        places.append(at[np.isin(names[at], f)])
-    # the bias is one more coordinate, without L1
-    z, n = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
-    penalty = np.full(len(names) + 1, l1)
+    z, n = np.zeros(size + 1), np.zeros(size + 1)
+    penalty = np.full(size + 1, l1)
     penalty[-1] = 0.0
 
     def weights(at):
@@ -108,14 +97,49 @@ def ftrl(
         return np.where(pull > 0, -np.sign(z[at]) * pull / ((beta + np.sqrt(n[at])) / alpha + l2), 0.0)
 
     for _ in range(epochs):
-        for at, (_, label) in zip(places, examples):
-            at = np.append(at, len(names))
+        for at, label in zip(places, labels):
+            at = np.append(at, size)
             w = weights(at)
             g = 1.0 / (1.0 + np.exp(-np.clip(w.sum(), -35, 35))) - label
             z[at] += g - (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / alpha * w
             n[at] += g * g
-    w = weights(np.arange(len(names) + 1))
+    return weights(np.arange(size + 1))
+
+
+def ftrl(
+    examples: list[tuple[np.ndarray, int]],
+    epochs: int,
+    alpha: float,
+    beta: float,
+    l1: float,
+    l2: float,
+    min_rows: int,
+    refit: bool = True,
+) -> tuple[np.ndarray, np.ndarray, float]:
+    """Weights other than zero after ``epochs`` passes over (distinct features, label) examples.
+
+    L1 chooses the features and, as it must, shrinks their weights, the more the
+    fewer examples there are; with ``refit`` as many passes without L1 over the
+    chosen features alone give these their full weights. Features of fewer than
+    ``min_rows`` examples are left out.
+    """
+    everything = np.concatenate([f for f, _ in examples]) if examples else np.zeros(0, np.uint64)
+    names, counts = np.unique(everything, return_counts=True)
+    del everything
+    names = names[counts >= min_rows]
+    places, labels = [], [label for _, label in examples]
+    for f, _ in examples:
+        at = np.searchsorted(names, f)
+        at = at[at < len(names)] if len(names) else at[:0]
+        places.append(at[np.isin(names[at], f)])
+    w = _passes(places, labels, len(names), epochs, alpha, beta, l1, l2)
     some = np.flatnonzero(w[:-1])
+    if refit and len(some):
+        number = np.full(len(names), -1)
+        number[some] = np.arange(len(some))
+        chosen = [number[at][number[at] >= 0] for at in places]
+        w = _passes(chosen, labels, len(some), epochs, alpha, beta, 0.0, l2)
+        names, some = names[some], np.flatnonzero(w[:-1])
     return names[some], w[some], float(w[-1])
 
 

@@ -107,36 +107,46 @@ def pii(docs, window=64, support=3, generalise=0.6, remove=0.9):
         text = text or ""
         base, near = [], set()
         for kind, pattern in enumerate(PATTERNS):
-            raw = list(re.finditer(pattern, text, re.A))
-            for i, m in enumerate(raw):
+            for m in re.finditer(pattern, text, re.A):
                 if not _valid(kind, m[0]):
                     continue
                 base.append((m.start(), kind, m.end(), m[0]))
-                left = text[raw[i - 1].end() if i else 0 : m.start()]
-                right = text[m.end() : raw[i + 1].start() if i + 1 < len(raw) else len(text)]
-                if len(left) > window:
-                    left = re.sub(r"^[^ \t\n\x0b\f\r]+", "", left[-window:])
-                if len(right) > window:
-                    right = re.sub(r"[^ \t\n\x0b\f\r]+$", "", right[:window])
                 entity = f"{kind}:{m[0].lower()}"
-                for side, at in ((left, m.start() - len(left)), (right, m.end())):
-                    near |= {(entity, t[0].lower(), at + t.start(), at + t.end()) for t in TERM.finditer(side)}
+                # the text on both sides, whatever it holds, and what a term looks at beyond the window
+                lo, hi = max(0, m.start() - window - 1), m.end() + window + 2
+                for side, at in ((text[lo : m.start()], lo), (text[m.end() : hi], m.end())):
+                    for t in TERM.finditer(side):
+                        a, b = at + t.start(), at + t.end()
+                        if a >= m.start() - window and b <= m.end() + window:
+                            near.add((entity, t[0].lower(), a, b))
         joint.update({(e, t) for e, t, _, _ in near})
         holders.update({f"{k}:{v.lower()}" for _, k, _, v in base})
         seen.update({t[0] for t in TERM.finditer(text.lower())})
-        found.append((d, sorted(base), near))
+        found.append((d, text, sorted(base), near))
     told = {}
     for (e, t), n in joint.items():
         if n >= support and holders[e] < total:
             share = math.log2(total * n / (holders[e] * seen[t])) / math.log2(total / holders[e])
             if share >= generalise - 1e-9:
                 told[e, t] = 5 if share >= remove - 1e-9 else 4
+    everywhere = {t for (_, t), kind in told.items() if kind == 5}
     out = []
-    for d, base, near in found:
+    for d, text, base, near in found:
         terms = {}
+
+        def mark(a, b, kind):
+            terms[a, b] = max(terms.get((a, b), 0), kind)
+
         for e, t, a, b in near:
             if (e, t) in told:
-                terms[a, b] = max(terms.get((a, b), 0), told[e, t])
+                mark(a, b, told[e, t])
+        here = {f"{k}:{v.lower()}" for _, k, _, v in base}
+        for m in TERM.finditer(text):  # the whole text: what tells all goes anywhere, the rest where its entity is
+            t = m[0].lower()
+            if t in everywhere:
+                mark(m.start(), m.end(), 5)
+            elif any((e, t) in told for e in here):
+                mark(m.start(), m.end(), 4)
         write = lambda spans: ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
         entities = [(a, k, b) for a, k, b, _ in base]
         spans = sorted(entities + [(a, k, b) for (a, b), k in terms.items()])
@@ -188,3 +198,35 @@ def contained(docs, items, size=5, threshold=0.8):
             if s and len(s & mine) >= math.ceil(threshold * len(s) - 1e-9):
                 out.add((d, i, len(s & mine), len(s)))
     return sorted(out, key=repr)
+
+
+# ------------------------------------------------------------------ toxicity
+
+
+def ftrl(examples, epochs, alpha, beta, l1, l2, min_rows, refit=True):
+    """{feature: weight} and bias, a coordinate at a time."""
+    counts = Counter(x for f, _ in examples for x in set(f))
+    chosen, penalty = {x for x, n in counts.items() if n >= min_rows}, l1
+    for _ in range(2 if refit else 1):
+        z, n = Counter(), Counter()
+
+        def weight(x):
+            least = 0.0 if x is None else penalty
+            if abs(z[x]) <= least:
+                return 0.0
+            return -math.copysign(abs(z[x]) - least, z[x]) / ((beta + math.sqrt(n[x])) / alpha + l2)
+
+        for _ in range(epochs):
+            for f, label in examples:
+                mine = [x for x in sorted(set(f)) if x in chosen] + [None]
+                w = {x: weight(x) for x in mine}
+                g = 1 / (1 + math.exp(-min(35, max(-35, sum(w.values()))))) - label
+                for x in mine:
+                    z[x] += g - (math.sqrt(n[x] + g * g) - math.sqrt(n[x])) / alpha * w[x]
+                    n[x] += g * g
+        found = {x: weight(x) for x in chosen if weight(x)}
+        bias, penalty = weight(None), 0.0
+        if not found:
+            break
+        chosen = set(found)
+    return found, bias

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from brute import ftrl as plain_ftrl
 from brute import pii as plain_pii
 from brute import rows
 from pyspark.sql import functions as F
@@ -71,6 +72,27 @@ def test_ftrl_is_sparse():
     assert 1000 in names and weights[list(names).index(1000)] > 1 and len(names) < 50 and bias < 0
 
 
+@pytest.mark.parametrize("refit", [False, True])
+@pytest.mark.parametrize("l1", [0.0, 0.7, 3.0, 500.0])
+def test_ftrl_equals_a_plain_one(l1, refit):
+    r = np.random.default_rng(3)
+    examples = [(np.unique(r.integers(0, 60, r.integers(0, 25)).astype(np.uint64)), int(r.random() < 0.3)) for _ in range(150)]
+    examples = [(np.append(x, np.uint64(99)) if y else x, y) for x, y in examples]
+    names, weights, bias = toxicity.ftrl(examples, 4, 1.5, 0.8, l1, 0.1, 3, refit)
+    found, plain_bias = plain_ftrl([(x.tolist(), y) for x, y in examples], 4, 1.5, 0.8, l1, 0.1, 3, refit)
+    assert dict(zip(names.tolist(), weights.tolist())) == pytest.approx(found, abs=1e-9) and bias == pytest.approx(plain_bias, abs=1e-9)
+    assert bool(found) == (l1 < 500)
+
+
+def test_held_out_recall_on_given_rows(spark):
+    """What the labels of sf0.1 give: most toxic documents, hardly a clean one."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    got = toxicity.scored(docs, labels).where("held_out").join(labels, "doc_id").groupBy("toxic", "predicted").count().collect()
+    n = {(r.toxic, r.predicted): r["count"] for r in got}
+    assert n[1, 1] >= 0.75 * (n[1, 1] + n.get((1, 0), 0)) and n.get((0, 1), 0) <= 0.005 * n[0, 0]
+
+
 # ------------------------------------------------------------------ personal data
 
 
@@ -93,6 +115,34 @@ def test_pii_equals_brute_force(spark):
     assert pii.sanitise(df.limit(0)).count() == 0 and pii.digest(pii.detect(df.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_pii_equals_brute_force_on_random_texts(spark, seed):
+    """Far repeats, several matches in a window, words at its edges, long texts."""
+    r = random.Random(seed)
+    names = ["Über", "stone", "river", "Lerche"]
+    things = ["4111 1111 1111 1111", "5500-0000-0000-0004", "a@x.co", "b@y.org", "1.2.3.4", "300.1.1.1", "+49 (30) 123-4567", "2024", "17"]
+    common = ["the", "of", "x", "in", "it is", "and"]
+    unique = ["Falken", "Amsel", "Zander", "Kranich", "Drossel", "Sperber", "Wiesel", "Marder", "Dachs"]
+    own = {t: (u, r.choice(["stone", "river"])) for t, u in zip(things, unique)}  # one of its own, one of several
+
+    def text():
+        parts = []
+        for _ in range(r.randrange(0, 9)):
+            t = r.choice(things)
+            gap = " ".join(r.choices(common, k=r.choice([0, 1, 2, 20, 25, 60])))
+            parts += [r.choice([*[own[t][0]] * 4, r.choice(names)]), r.choice(["", " ", ", ", "."]), t, r.choice([" ", ": ", ""]), r.choice([own[t][1], "it"]), " ", gap, " "]
+        if r.random() < 0.2:
+            parts += [" ".join(r.choices(common, k=600)), " ", r.choice(unique).upper(), "'s ", r.choice(names)]
+        return "".join(parts)
+
+    docs = [(i, text()) for i in range(90)] + [(200 + i, " ".join(r.choices(common + names[1:3], k=12))) for i in range(60)] + [(7, docs_text()) for docs_text in (text, text)]
+    docs += [(None, text()), (400, None), (401, "")]
+    got, want = rows(pii.digest(pii.detect(frame(spark, docs)))), plain_pii(docs)
+    assert got == sorted(want, key=repr)
+    spans = "".join(x[-1] for x in want)
+    assert "removed" in spans and "generalised" in spans
+
+
 # ------------------------------------------------------------------ tokens
 
 
