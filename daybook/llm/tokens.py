@@ -51,8 +51,7 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.whole = Tokenizer.from_file(path)
-        added = [t.content for t in self.whole.get_added_tokens_decoder().values()] if specials else []
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if specials else []
         self.added = re.compile("|".join(map(re.escape, added)).encode()).search if added else lambda text: None
         self.tokenizer.encode_special_tokens = True  # pieces hold none
         self.drops_space, self.memory, self.known, self.units = drops_space, memory, {}, {}
@@ -121,8 +120,12 @@ class PieceEncoder:
         if not held:
             return self._ids(texts)
         out = self._ids([b"" if self.added(t) else t for t in texts])
-        for k in held:
-            out[k] = np.array(self.whole.encode(texts[k].decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        self.tokenizer.encode_special_tokens = False
+        try:
+            for k, ids in zip(held, self._encode([texts[k].decode() for k in held])):
+                out[k] = np.array(ids, "<u4").tobytes()
+        finally:
+            self.tokenizer.encode_special_tokens = True
         return out
 
     def _ids(self, texts: list[bytes]) -> list[bytes]:

@@ -124,14 +124,15 @@ def ftrl(
     ``min_rows`` examples are left out.
     """
     everything = np.concatenate([f for f, _ in examples]) if examples else np.zeros(0, np.uint64)
-    names, counts = np.unique(everything, return_counts=True)
-    del everything
-    names = names[counts >= min_rows]
+    everything.sort()
+    starts = np.flatnonzero(np.concatenate(([True], everything[1:] != everything[:-1]))[: len(everything)])
+    names = everything[starts[np.diff(np.append(starts, len(everything))) >= min_rows]]
+    del everything, starts
     places, labels = [], [label for _, label in examples]
     for f, _ in examples:
         at = np.searchsorted(names, f)
         at = at[at < len(names)] if len(names) else at[:0]
-        places.append(at[np.isin(names[at], f)])
+        places.append(at[np.isin(names[at], f)].astype(np.int32))
     w = _passes(places, labels, len(names), epochs, alpha, beta, l1, l2)
     some = np.flatnonzero(w[:-1])
     if refit and len(some):
