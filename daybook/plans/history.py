@@ -197,6 +197,32 @@ SELECT rows_a, rows_a - removed + added AS rows_b, removed, added, modified, row
 FROM n"""
 
 
+# ------------------------------------------------------------------ reports from count deltas
+
+
+def q_top10_as_of(spark, sf):
+    """The ten largest groups of the priority and of the customer on each of five days, from count deltas."""
+    store = Store(spark, scratch_path(spark, "store"), KEY)
+    dumps = snapshots(spark, sf)
+    store.backfill(dumps[:3])
+    for day, dump in (dumps[4], dumps[3]):
+        store.integrate(dump, day, late="insert")
+    tops = [
+        store.top_n(c, 10, day).select(F.lit(day).alias("day"), F.lit(c).alias("column"), F.col(c).cast("string").alias("value"), "count")
+        for day, _ in dumps
+        for c in _TOP
+    ]
+    return functools.reduce(lambda a, b: a.unionByName(b), tops)
+
+
+_TOP = ("o_orderpriority", "o_custkey")
+
+
+def _top_as_of(d: int, c: str) -> str:
+    return f"""SELECT DATE '{day_of(d)}' AS day, '{c}' AS "column", CAST({c} AS VARCHAR) AS value, n AS "count" FROM (
+  SELECT {c}, count(*) AS n FROM ({snapshot_sql(d)}) s GROUP BY {c} ORDER BY n DESC, {c} ASC NULLS LAST LIMIT 10) t"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "store_compacted_as_of": q_store_compacted_as_of,
     "compose_changes": q_compose_changes,
@@ -207,6 +233,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "column_changes_nested": q_column_changes_nested,
     "compare_moved": q_compare_moved,
     "compare_pruned": q_compare_pruned,
+    "top10_as_of": q_top10_as_of,
 }
 
 ORACLE: dict[str, str] = {
@@ -221,4 +248,5 @@ ORACLE: dict[str, str] = {
     "column_changes_nested": _nested_counts(),
     "compare_moved": _MOVED,
     "compare_pruned": _PRUNED,
+    "top10_as_of": "\nUNION ALL\n".join(_top_as_of(d, c) for d in range(N_DAYS) for c in _TOP),
 }

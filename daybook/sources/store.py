@@ -7,6 +7,7 @@ Layout under ``root`` (any Hadoop-compatible shared path)::
     commits/YYYY-MM-DD_A_KIND_S    one empty file per committed day
     schemas/S.json                 the table's schema on the days that name it
     sums/day=YYYY-MM-DD/v=A/n=N/   checksums of a kept version by key bucket (compare)
+    counts/day=YYYY-MM-DD/v=A/c=C/ the day's count deltas of a reported column (group_count)
     merged/level=J/block=I/v=A/    net changes of 2**J days (compact_log)
     ladder/I_J_A_M_S               one empty file per merged block
 
@@ -69,6 +70,7 @@ from ..functions.dates import to_day
 from ..operators.checksums import SUMS, bucket_of, bucket_sums, unequal_buckets
 from ..operators.compare import CLASSES, compare, compare_summary, rates
 from ..operators.compose import compose
+from ..operators.counts import count_deltas, counts_from, top_n_from
 from ..operators.diff import DELETE, INSERT, UPDATE, change_log_schema, first_load, snapshot_diff
 from ..operators.keys import normalize_key, require_valid_key, require_valid_keys
 from ..operators.replay import apply_changes, build_change_log, stack_dumps, undo_to
@@ -228,6 +230,7 @@ class Store:
         self.change_root = f"{self.root}/changes"
         self.commit_root = f"{self.root}/commits"
         self.sums_root = f"{self.root}/sums"
+        self.counts_root = f"{self.root}/counts"
         self.merged_root = f"{self.root}/merged"
         self.ladder_root = f"{self.root}/ladder"
         self._fs = _Fs(spark)
@@ -315,7 +318,8 @@ class Store:
         self._fs.delete(f"{self.commit_root}/{v.marker}")
         if live is None or not live.kept or live.snapshot != v.snapshot:
             self._drop_snapshot(v)
-        self._fs.delete(self._folder(self.change_root, v.day, v.attempt))
+        for root in (self.change_root, self.counts_root):
+            self._fs.delete(self._folder(root, v.day, v.attempt))
 
     def _drop_snapshot(self, v: Version) -> None:
         for root in (self.snapshot_root, self.sums_root):
@@ -718,6 +722,68 @@ class Store:
         paths = [f"{folder}/{x}" for m, x in named if m and int(m[1]) in wanted]
         return self.spark.read.schema(schema).parquet(*paths) if paths else empty_frame(self.spark, schema)
 
+    # -- reports from count deltas -----------------------------------------
+    def _deltas(self, versions: Sequence[Version], column: str) -> DataFrame:
+        """``value, delta`` of days of one schema; days that lack them are counted from their changes, in one job."""
+        name = column.encode().hex()
+        kind = next(f.dataType for f in self._schema(versions[0].schema) if f.name == column)
+        schema = T.StructType([T.StructField("value", nullable(kind)), T.StructField("delta", T.LongType())])
+        paths = {v: f"{self._folder(self.counts_root, v.day, v.attempt)}/c={name}" for v in versions}
+        missing = [v for v, path in paths.items() if not self._fs.exists(f"{path}/_SUCCESS")]
+        if missing:
+            deltas = count_deltas(self._changes(missing), self.keys, column)
+            attempt = F.create_map(*[F.lit(x) for v in missing for x in (v.day, v.attempt)])[F.col("day")]
+            for v in missing:
+                self._fs.delete(paths[v])  # never written whole
+            named = deltas.withColumn("v", attempt).withColumn("c", F.lit(name)).hint("rebalance", "day")
+            named.write.mode("append").partitionBy("day", "v", "c").parquet(self.counts_root)
+            for v in missing:  # a day that moves nothing has no files
+                self._fs.put(f"{paths[v]}/_SUCCESS")
+        return self.spark.read.schema(schema).parquet(*paths.values())
+
+    def _count_state(self, column: str, day) -> DataFrame:
+        """``value, delta`` whose sums are the group counts of ``column`` at the end of ``day``.
+
+        Where the schema changes the table's rows are aligned to the new columns,
+        and so are their counts: of a column that left, all rows are one null group.
+        """
+        ls, d = self.listing(), to_day(day)
+        if not any(x <= d for x in ls.versions):
+            raise FileNotFoundError(f"no committed day up to {d} under {self.root}")
+        state: DataFrame | None = None
+        has = False
+        for epoch in ls.epochs():
+            days = [v for v in epoch if v.day <= d]
+            if not days:
+                break
+            fields = {f.name: f.dataType for f in self._schema(days[0].schema)}
+            has = column in fields
+            # without the column only the number of rows goes on, counted by the first key's deltas
+            deltas = self._deltas(days, column if has else self.keys[0])
+            value = F.col("value") if has else F.lit(None).cast("string")
+            parts = [deltas.select(value.alias("value"), "delta")]
+            if state is not None:
+                kind = fields[column] if has else T.StringType()
+                parts.append(state.select((F.col("value").cast(kind) if has else F.lit(None).cast("string")).alias("value"), "delta"))
+            state = functools.reduce(lambda a, b: a.unionAll(b), parts)
+        if not has:
+            raise ValueError(f"the table has no column {column!r} on {d}")
+        return state
+
+    def group_count(self, column: str, day) -> DataFrame:
+        """G02 on any committed day: ``<column>, count``, from the days' count deltas alone.
+
+        The deltas of a day are written beside it when a report first asks for
+        them (all days that lack them in one pass over their changes) and belong
+        to its attempt: a rerun or late day has its own. A column's first
+        deltas must find the first day's changes, which every store keeps.
+        """
+        return counts_from(self._count_state(column, day), column)
+
+    def top_n(self, column: str, n: int, day) -> DataFrame:
+        """T02/R02-R04 on any committed day, from count deltas alone."""
+        return top_n_from(self._count_state(column, day), column, n)
+
     # -- merged days -------------------------------------------------------
     def _blocks(self, ls: Listing) -> tuple[dict[tuple[int, int], Block], list[Block]]:
         return ladder.valid(self._fs.names(self.ladder_root), ls.versions)
