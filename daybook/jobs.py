@@ -17,6 +17,7 @@ from .operators.compare import compare_report
 from .operators.report import sample_rows, schema_of, top_n, total_rows
 from .operators.schema import as_keys
 from .sources.io import read_dump_csv, read_parquet, write_parquet
+from .sources.rejects import split_dump_csv
 from .sources.store import Store
 
 # The report's top-N sections (column, how many). A section
@@ -32,12 +33,27 @@ def daily_integration(
     schema: T.StructType,
     keys: str | Sequence[str],
     key_aliases=("id",),
+    max_rejects: float | None = None,
+    rejects_dir: str | None = None,
     **store_options,
 ) -> dict:
-    """Integrate one CSV dump as the table on ``day``; returns the day's counts."""
+    """Integrate one CSV dump as the table on ``day``; returns the day's counts.
+
+    A line that doesn't fit the schema fails the day, unless ``max_rejects``
+    allows a share of such lines: these are left out, counted (``rejected``, at
+    the cost of one more pass over the dump) and written to ``rejects_dir``, if
+    given, before the day is integrated. Over that share nothing is stored.
+    """
     ks = as_keys(keys)
-    dump = read_dump_csv(spark, csv_path, schema, key=ks[0] if len(ks) == 1 else None, key_aliases=key_aliases)
-    return Store(spark, store_root, ks, **store_options).integrate(dump, day)
+    key = ks[0] if len(ks) == 1 else None
+    store = Store(spark, store_root, ks, **store_options)
+    if max_rejects is None:
+        return store.integrate(read_dump_csv(spark, csv_path, schema, key=key, key_aliases=key_aliases), day)
+    split = split_dump_csv(spark, csv_path, schema, key=key, key_aliases=key_aliases)
+    _, rejected = split.require(max_rejects)
+    if rejects_dir is not None:
+        write_parquet(split.rejects, rejects_dir)
+    return {**store.integrate(split.accepted, day), "rejected": rejected}
 
 
 def recompute_at_date(

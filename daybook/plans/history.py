@@ -17,6 +17,7 @@ from ..operators.lookup import lookup
 from ..operators.moved import compare_moved
 from ..operators.replay import build_change_log
 from ..session import scratch_path
+from ..sources.rejects import split_dump_csv
 from ..sources.store import Store
 from .evolution import _NESTED_CLASSES, _PARTS, _nested
 from .fixtures import COLUMNS, KEY, N_DAYS, day_of, read_table, snapshot, snapshot_sql, snapshots
@@ -223,6 +224,42 @@ def _top_as_of(d: int, c: str) -> str:
   SELECT {c}, count(*) AS n FROM ({snapshot_sql(d)}) s GROUP BY {c} ORDER BY n DESC, {c} ASC NULLS LAST LIMIT 10) t"""
 
 
+# ------------------------------------------------------------------ CSV dumps with bad rows
+
+_LINE_COLUMNS = (KEY, "o_custkey", "o_orderstatus", "o_orderpriority")
+
+
+def _bad_lines(spark, sf):
+    """All orders as lines of a CSV dump, some with a customer that is no number, too few or too many columns."""
+    k = F.col(KEY)
+    customer = F.when(k % 31 == 0, F.concat(F.lit("c"), F.col("o_custkey"))).otherwise(F.col("o_custkey").cast("string"))
+    fields = [k.cast("string"), customer, F.col("o_orderstatus"), F.col("o_orderpriority")]
+    fields = [F.coalesce(f, F.lit("")) for f in fields]
+    line = F.when(k % 37 == 0, F.concat_ws(",", *fields[:2])).when(k % 41 == 0, F.concat_ws(",", *fields, F.lit("more")))
+    line = line.otherwise(F.concat_ws(",", *fields))
+    orders, path = read_table(spark, sf, "orders"), scratch_path(spark, "lines")
+    # a separator and a quote that no line holds: lines are written as they are, below the header
+    orders.select(line.alias(",".join(_LINE_COLUMNS))).write.option("header", True).option("sep", "\u0001").option("quote", "").csv(path)
+    return split_dump_csv(spark, path, orders.select(*_LINE_COLUMNS).schema)
+
+
+def q_csv_accepted(spark, sf):
+    return _bad_lines(spark, sf).accepted
+
+
+def q_csv_rejects(spark, sf):
+    why = lambda r: F.concat_ws(" ", r["column"], r["value"], r["type"])
+    return _bad_lines(spark, sf).rejects.select("raw", F.array_join(F.transform("reasons", why), "; ").alias("why"))
+
+
+_LINES = f"""SELECT {KEY}, o_custkey, o_orderstatus, o_orderpriority,
+       {KEY} || ',' || CASE WHEN {KEY} % 31 = 0 THEN coalesce('c' || o_custkey, '') ELSE coalesce(CAST(o_custkey AS VARCHAR), '') END AS two,
+       coalesce(o_orderstatus, '') || ',' || coalesce(o_orderpriority, '') AS rest FROM orders"""
+_REJECTS = f"""SELECT CASE WHEN {KEY} % 37 = 0 THEN two WHEN {KEY} % 41 = 0 THEN two || ',' || rest || ',more' ELSE two || ',' || rest END AS raw,
+       CASE WHEN {KEY} % 31 = 0 AND o_custkey IS NOT NULL THEN 'o_custkey c' || o_custkey || ' bigint' ELSE '4 columns' END AS why
+FROM ({_LINES}) l WHERE ({KEY} % 31 = 0 AND o_custkey IS NOT NULL) OR {KEY} % 37 = 0 OR {KEY} % 41 = 0"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "store_compacted_as_of": q_store_compacted_as_of,
     "compose_changes": q_compose_changes,
@@ -234,6 +271,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compare_moved": q_compare_moved,
     "compare_pruned": q_compare_pruned,
     "top10_as_of": q_top10_as_of,
+    "csv_accepted": q_csv_accepted,
+    "csv_rejects": q_csv_rejects,
 }
 
 ORACLE: dict[str, str] = {
@@ -249,4 +288,7 @@ ORACLE: dict[str, str] = {
     "compare_moved": _MOVED,
     "compare_pruned": _PRUNED,
     "top10_as_of": "\nUNION ALL\n".join(_top_as_of(d, c) for d in range(N_DAYS) for c in _TOP),
+    "csv_accepted": f"""SELECT {KEY}, o_custkey, nullif(o_orderstatus, '') AS o_orderstatus, nullif(o_orderpriority, '') AS o_orderpriority FROM orders
+WHERE ({KEY} % 31 <> 0 OR o_custkey IS NULL) AND {KEY} % 37 <> 0 AND {KEY} % 41 <> 0""",
+    "csv_rejects": _REJECTS,
 }

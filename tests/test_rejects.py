@@ -1,0 +1,79 @@
+"""CSV dumps with bad rows: the split is the strict read's rows and everything else."""
+
+import pytest
+from conftest import rows
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import types as T
+
+from daybook import jobs
+from daybook.sources.io import read_dump_csv
+from daybook.sources.rejects import TooManyRejects, split_dump_csv
+from daybook.sources.store import Store
+
+SCHEMA = T.StructType(
+    [
+        T.StructField("id", T.LongType(), False),
+        T.StructField("n", T.DecimalType(6, 2)),
+        T.StructField("bad", T.DateType()),  # a name of the splitter's own
+        T.StructField("c0", T.StringType()),
+    ]
+)
+GOOD = ['1,2.50,2024-01-01,"a, b"', "6,,,", "7,1,2024-02-29,with\u0001mark", "8,1,2024-01-01, é "]
+BAD = {
+    "2,x,2024-01-02,c": [("n", "x", "decimal(6,2)")],
+    "3,4": [(None, None, "4 columns")],
+    "4,5,2023-02-29,z": [("bad", "2023-02-29", "date")],
+    "5,6,2024-01-01,e,extra": [(None, None, "4 columns")],
+    "9,y,never,with\u0001mark": [("n", "y", "decimal(6,2)"), ("bad", "never", "date")],
+    "ten,1,2024-01-01,q": [("id", "ten", "bigint")],
+}
+
+
+def dump(path, name, lines, header="id,n,bad,c0"):
+    path.mkdir(exist_ok=True)
+    (path / name).write_text("\n".join([header, *lines]) + "\n")
+    return str(path)
+
+
+def test_split(spark, tmp_path):
+    mixed = dump(tmp_path / "m", "a.csv", [*GOOD[:2], "", *list(BAD)[:4]])
+    dump(tmp_path / "m", "b.csv", [*list(BAD)[4:], *GOOD[2:]])
+    strict = read_dump_csv(spark, dump(tmp_path / "g", "a.csv", GOOD), SCHEMA)
+    split = split_dump_csv(spark, mixed, SCHEMA)
+    assert split.accepted.columns == SCHEMA.names
+    assert rows(split.accepted) == rows(strict)
+    found = {r.raw: [tuple(x) for x in r.reasons] for r in split.rejects.collect()}
+    assert found == BAD
+    assert {r.raw: r.file.rsplit("/", 1)[1] for r in split.rejects.collect()} == {r: "a.csv" if i < 4 else "b.csv" for i, r in enumerate(BAD)}
+    assert split.require(0.6) == (10, 6)
+    with pytest.raises(TooManyRejects, match="6 of 10"):
+        split.require(0.59)
+    # the same lines, whichever columns are read
+    assert split.accepted.select("c0").count() == split.accepted.count() == len(GOOD) == split.accepted.select("id").distinct().count()
+
+
+def test_nothing_bad_and_nothing_at_all(spark, tmp_path):
+    split = split_dump_csv(spark, dump(tmp_path / "e", "a.csv", []), SCHEMA)
+    assert split.accepted.count() == 0 == split.rejects.count() and split.require(0.0) == (0, 0)
+    split = split_dump_csv(spark, dump(tmp_path / "g", "a.csv", GOOD), SCHEMA, key="key")
+    assert split.require(0.0) == (4, 0) and split.accepted.columns == ["key", *SCHEMA.names[1:]]
+
+
+def test_wrong_header_fails(spark, tmp_path):
+    path = dump(tmp_path / "h", "a.csv", GOOD, header="id,bad,n,c0")
+    with pytest.raises((PySparkException, Py4JJavaError), match="header"):
+        split_dump_csv(spark, path, SCHEMA).accepted.collect()
+
+
+def test_job_leaves_out_and_keeps_rejects(spark, tmp_path):
+    path, store = dump(tmp_path / "d", "a.csv", [*GOOD, *BAD]), str(tmp_path / "store")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        jobs.daily_integration(spark, store, path, "2024-01-01", SCHEMA, "id")
+    with pytest.raises(TooManyRejects):
+        jobs.daily_integration(spark, store, path, "2024-01-01", SCHEMA, "id", max_rejects=0.1)
+    assert Store(spark, store, "id").change_days() == []
+    counts = jobs.daily_integration(spark, store, path, "2024-01-01", SCHEMA, "id", max_rejects=0.6, rejects_dir=str(tmp_path / "r"))
+    assert (counts["rows"], counts["inserts"], counts["rejected"]) == (4, 4, 6)
+    assert spark.read.parquet(str(tmp_path / "r")).count() == 6
+    assert Store(spark, store, "id").as_of("2024-01-01").count() == 4
