@@ -2,12 +2,13 @@
 
 Every text gets a 64-bit SimHash over its word shingles. Equal fingerprints are
 merged first, so copies cost nothing further. The distinct fingerprints are cut
-into tiles by the population counts of their two 32-bit halves (large cells into
-several tiles); a pair of tiles is skipped when these counts alone differ by
-more than the radius, and every other pair is compared exactly with numpy
-exclusive-or and bit counts. A tile pair hands on a spanning forest of its links
-instead of all of them, and connected components of those follow by repeated
-star contraction.
+into tiles by the population counts of their two 32-bit halves or, where such
+cells would be many tiles each, of their four 16-bit parts; a pair of tiles is
+skipped when these counts alone differ by more than the radius in sum. Large
+tiles are refined once more inside their task, by parts of half the size. Every
+other pair is compared exactly with numpy exclusive-or and bit counts. A tile
+pair hands on a spanning forest of its links instead of all of them, and
+connected components of those follow by repeated star contraction.
 
 Defined cases: a text without words (empty, null) has fingerprint zero and links
 like any other; a text with fewer words than a shingle hashes its whole word
@@ -18,6 +19,8 @@ empty table gives an empty result; other input columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -25,10 +28,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
-from .common import fresh, materialize, utf8
+from .common import fresh, materialize, mix, utf8
 
 SEED = 42
 CHUNK = 1 << 16
+#: Pairs that are compared in the time it takes to choose a group's partners.
+GROUP_PAIRS = 1 << 17
 
 
 def fingerprint(text: bytes, shingle: int) -> int:
@@ -97,36 +102,68 @@ class _Forest:
         return j
 
 
-def _tile_links(x: np.ndarray, y: np.ndarray | None, radius: int, pairs: int = 1 << 21) -> list[tuple[int, int]]:
+def _refined(values: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of ``values`` by the bit counts of their parts, each group's counts, and where groups start (and the end)."""
+    counts = np.bitwise_count(np.ascontiguousarray(values).view(f"<u{8 // parts}").reshape(-1, parts))
+    code = counts.astype(np.int64) @ ((64 // parts + 1) ** np.arange(parts))
+    order = np.argsort(code, kind="stable")
+    cuts = np.flatnonzero(np.diff(code[order], prepend=-1))
+    return order, counts[order[cuts]].astype(np.int16), np.append(cuts, len(values))
+
+
+def _blocks(x: np.ndarray, y: np.ndarray | None, radius: int, parts: int, pairs: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions in x and in y (None: x) whose pairs hold every link, at most about ``pairs`` pairs at a time.
+
+    Large tiles are grouped by the bit counts of ``parts`` parts, and groups
+    whose counts differ by more than the radius in sum are left out.
+    """
+    other = x if y is None else y
+    order, mine, at = _refined(x, parts)
+    if len(x) * len(other) <= len(mine) * GROUP_PAIRS:  # too little to save by it
+        groups = [(np.arange(len(x)), np.arange(len(other)))]
+    else:
+        order2, theirs, at2 = (order, mine, at) if y is None else _refined(y, parts)
+        sizes = np.diff(at2)
+
+        def near(g: int) -> np.ndarray:
+            close = np.abs(theirs - mine[g]).sum(axis=1) <= radius
+            if y is None:
+                close[:g] = False
+            return order2[np.repeat(close, sizes)]
+
+        groups = ((order[at[g] : at[g + 1]], near(g)) for g in range(len(mine)))
+    for i, j in groups:
+        step = max(1, pairs // max(1, len(j)))
+        for lo in range(0, len(i) if len(j) else 0, step):
+            yield i[lo : lo + step], j
+
+
+def _tile_links(x: np.ndarray, y: np.ndarray | None, radius: int, parts: int = 4, pairs: int = 1 << 21) -> list[tuple[int, int]]:
     """Spanning forest of the links between two tiles (``y`` None: within one).
 
-    Positions in y follow those of x. Every pair is compared; a pair is only
-    looked at again while its two ends are in different trees. At most about
-    ``pairs`` pairs are held at a time.
+    Positions in y follow those of x. Every pair that the counts of ``parts``
+    parts don't tell apart is compared; a pair is only looked at again while its
+    two ends are in different trees.
     """
-    nx = len(x)
     other = x if y is None else y
-    base = 0 if y is None else nx
-    forest, links = _Forest(nx + (0 if y is None else len(y))), []
+    base = 0 if y is None else len(x)
+    forest, links = _Forest(len(x) + (0 if y is None else len(y))), []
     label = np.arange(len(forest.up))
-    block = max(1, pairs // max(1, len(other)))
-    for lo in range(0, nx, block):
-        part = x[lo : lo + block]
-        near = np.bitwise_count(part[:, None] ^ other[None, :]) <= radius
+    for left_at, right_at in _blocks(x, y, radius, parts, pairs):
+        near = np.bitwise_count(x[left_at][:, None] ^ other[right_at][None, :]) <= radius
         if y is None:
-            near[:, : lo] = False
-            near[np.arange(len(part)), lo + np.arange(len(part))] = False
+            near &= left_at[:, None] != right_at[None, :]
         while True:
             rows = np.flatnonzero(near.any(axis=1))
             if not len(rows):
                 break
-            cross = near[rows] & (label[lo + rows][:, None] != label[base : base + len(other)][None, :])
+            cross = near[rows] & (label[left_at[rows]][:, None] != label[base + right_at][None, :])
             left, right = np.flatnonzero(cross.any(axis=1)), np.flatnonzero(cross.any(axis=0))
             if not len(left):
                 break
             # the first open link of every row, and of every column
-            i = np.concatenate((rows[left], rows[cross[:, right].argmax(axis=0)])) + lo
-            j = np.concatenate((cross[left].argmax(axis=1), right)) + base
+            i = left_at[np.concatenate((rows[left], rows[cross[:, right].argmax(axis=0)]))]
+            j = right_at[np.concatenate((cross[left].argmax(axis=1), right))] + base
             gone = []
             for i, j in zip(i.tolist(), j.tolist()):
                 if (old := forest.join(i, j)) is not None:
@@ -141,46 +178,91 @@ def _tile_links(x: np.ndarray, y: np.ndarray | None, radius: int, pairs: int = 1
     return links
 
 
-def links(fps: DataFrame, radius: int = 4, tile_rows: int = 65_536) -> DataFrame:
+class Grid:
+    """Cells of fingerprints by the bit counts of their 2 or 4 equal parts, large cells in several tiles.
+
+    ``size``: fingerprints in each cell, an array with an axis for each part.
+    """
+
+    def __init__(self, size: np.ndarray, radius: int, tile_rows: int):
+        self.parts, self.width, self.radius = size.ndim, size.shape[0], radius
+        self.size, self.tiles = size, -(-size // tile_rows)
+        steps = np.indices((2 * radius + 1,) * self.parts).reshape(self.parts, -1).T - radius
+        self.ball = steps[np.abs(steps).sum(axis=1) <= radius]
+
+    def costs(self) -> tuple[int, int]:
+        """Fingerprints sent to tile pairs, and pairs of fingerprints in these."""
+        sent = pairs = 0
+        for step in self.ball.tolist():
+            here = tuple(slice(max(0, -d), self.width - max(0, d)) for d in step)
+            there = tuple(slice(max(0, d), self.width - max(0, -d)) for d in step)
+            sent += int((self.size[here] * self.tiles[there]).sum())
+            pairs += int((self.size[here].astype(float) * self.size[there]).sum())
+        return sent, (pairs + int(self.size.sum())) // 2
+
+    def cell(self, fps: np.ndarray) -> np.ndarray:
+        """Counts of the parts, a row for each fingerprint."""
+        return np.bitwise_count(np.ascontiguousarray(fps).view(f"<u{8 // self.parts}").reshape(-1, self.parts)).astype(np.int64)
+
+
+def grids(fps: DataFrame, radius: int, tile_rows: int) -> list[Grid]:
+    """The grids of 2 and of 4 parts, from one count of at most 17**4 cells."""
+    part = lambda k: F.bit_count(F.shiftrightunsigned("fp", 16 * k).bitwiseAND(F.lit(0xFFFF).cast("long")))
+    code = sum((part(k) * 17 ** (3 - k) for k in range(4)), F.lit(0))
+    counted = fps.groupBy(code.cast("int").alias("c")).agg(F.count("*").alias("n")).toArrow()
+    size = np.zeros(17**4, np.int64)
+    size[counted["c"].to_numpy()] = counted["n"].to_numpy()
+    four = size.reshape((17,) * 4)
+    two = np.zeros((33, 33), np.int64)
+    a, b, c, d = np.indices(four.shape)
+    np.add.at(two, (a + b, c + d), four)
+    return [Grid(two, radius, tile_rows), Grid(four, radius, tile_rows)]
+
+
+def links(fps: DataFrame, radius: int = 4, tile_rows: int = 65_536, grid: Grid | None = None) -> DataFrame:
     """(a, b): a spanning set of the links of the distinct fingerprints in ``fps`` (column fp).
 
-    Tiles: cell (bits of the high half, bits of the low half), and in large
-    cells a hash of the fingerprint. A fingerprint is sent once to every tile
-    pair its tile is in; a task holds two tiles of about ``tile_rows`` rows.
+    A fingerprint is sent once to every tile pair its tile is in; a task holds
+    two tiles of about ``tile_rows`` rows. Of the two grids that one is taken
+    that sends less: cells by two parts while these fit a tile, by four when
+    they would be many tiles each. All pairs that a grid leaves out are
+    further apart than the radius, so the links are the same.
     """
     spark = fps.sparkSession
-    half = F.lit(0xFFFFFFFF).cast("long")
-    cells = fps.select("fp", F.bit_count(F.shiftrightunsigned("fp", 32)).alias("p"), F.bit_count(F.col("fp").bitwiseAND(half)).alias("q"))
-    # at most 33 x 33 counts, whatever the input
-    size = {(r.p, r.q): r.n for r in cells.groupBy("p", "q").agg(F.count("*").alias("n")).collect()}
-    parts = {c: -(-n // tile_rows) for c, n in size.items()}
-    plan = [
-        (p, q, parts[p, q], u, v, parts[u, v])
-        for (p, q) in size
-        for (u, v) in size
-        if (p, q) <= (u, v) and abs(p - u) + abs(q - v) <= radius
-    ]
-    if not plan:
-        return spark.createDataFrame([], "a long, b long")
-    pairs = spark.createDataFrame(plan, "p int, q int, s int, u int, v int, t int")
-    # both sides of each tile pair, named by its first and second tile
-    first = pairs.select("p", "q", "s", F.lit(False).alias("second"), "u", "v", "t", F.col("s").alias("own"), F.col("t").alias("other"))
-    second = pairs.where("p != u or q != v").select(
-        F.col("u").alias("p"), F.col("v").alias("q"), "s", F.lit(True).alias("second"),
-        F.col("p").alias("u"), F.col("q").alias("v"), "t", F.col("t").alias("own"), F.col("s").alias("other"),
-    )
-    sides = F.broadcast(first.unionByName(second))  # at most 1,089 x 42 rows
-    sent = cells.join(sides, ["p", "q"]).withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("own")).cast("int"))
-    same = (F.col("p") == F.col("u")) & (F.col("q") == F.col("v"))
-    sent = sent.withColumn("theirs", F.explode(F.sequence(F.lit(0), F.col("other") - 1)))
-    cell, mate = F.col("p") * 64 + F.col("q"), F.col("u") * 64 + F.col("v")
-    # a tile pair within one cell is named by its smaller tile; the larger is second
-    flip = F.col("second") | (same & (F.col("mine") > F.col("theirs")))
-    sent = sent.select(
-        F.when(flip, mate).otherwise(cell).alias("c1"), F.when(flip, F.col("theirs")).otherwise(F.col("mine")).alias("t1"),
-        F.when(flip, cell).otherwise(mate).alias("c2"), F.when(flip, F.col("mine")).otherwise(F.col("theirs")).alias("t2"),
-        flip.alias("second"), "fp",
-    )
+    grid = grid or min(grids(fps, radius, tile_rows), key=lambda g: g.costs()[0])
+    # at most 17**4 numbers, whatever the input
+    tiles, ball, width = grid.tiles.reshape(-1).astype(np.int32), grid.ball, grid.width
+    places = width ** np.arange(grid.parts - 1, -1, -1)
+
+    def deal(batches):
+        for batch in batches:
+            fp = batch.column(0).to_numpy().view(np.uint64)
+            counts = grid.cell(fp)
+            cell = counts @ places
+            own = (mix(fp) % np.maximum(tiles[cell], 1).astype(np.uint64)).astype(np.int64)
+            for step in ball:
+                there = counts + step
+                mate = there @ places
+                inside = ((there >= 0) & (there < width)).all(axis=1)
+                times = np.where(inside, tiles[np.where(inside, mate, 0)], 0).astype(np.int64)
+                ends = np.cumsum(times)
+                lo = 0
+                while lo < len(fp):  # about a million rows at a time
+                    hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + (1 << 20), "right")))
+                    at = np.repeat(np.arange(lo, hi), times[lo:hi])
+                    theirs = np.arange(len(at)) - np.repeat(ends[lo:hi] - times[lo:hi] - (ends[lo - 1] if lo else 0), times[lo:hi])
+                    lo = hi
+                    if not len(at):
+                        continue
+                    mine, c, m = own[at], cell[at], mate[at]
+                    # a tile pair is named by its smaller tile first
+                    second = (c > m) | ((c == m) & (mine > theirs))
+                    cols = [np.where(second, m, c), np.where(second, theirs, mine), np.where(second, c, m), np.where(second, mine, theirs)]
+                    arrays = [*(pa.array(x.astype(np.int32)) for x in cols), pa.array(second), pa.array(fp[at].view(np.int64))]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["c1", "t1", "c2", "t2", "second", "fp"])
+
+    sent = fps.select("fp").mapInArrow(deal, "c1 int, t1 int, c2 int, t2 int, second boolean, fp long")
+    finer = 2 * grid.parts
 
     def run(batches):
         held: list[np.ndarray] = []
@@ -191,9 +273,9 @@ def links(fps: DataFrame, radius: int = 4, tile_rows: int = 65_536) -> DataFrame
             values, flags = both["fp"], both["second"]
             x, y = values[~flags], values[flags]
             if key[0] == key[2] and key[1] == key[3]:
-                nodes, found = x, _tile_links(x, None, radius)
+                nodes, found = x, _tile_links(x, None, radius, finer)
             else:
-                nodes, found = np.concatenate((x, y)), _tile_links(x, y, radius)
+                nodes, found = np.concatenate((x, y)), _tile_links(x, y, radius, finer)
             if found:
                 at = np.array(found)
                 return pa.RecordBatch.from_arrays([pa.array(nodes[at[:, k]].view(np.int64)) for k in (0, 1)], names=["a", "b"])

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from brute import lines as plain_lines
 from brute import rows, simhash, substring
@@ -111,3 +112,62 @@ def test_lines_equal_brute_force(spark):
     counted = lines.drop_boilerplate(df, F.col("host"), counts=True)
     assert counted.where("n_dropped > 0").count() > 0 and counted.where("n_dropped > n_lines").count() == 0
     assert lines.drop_boilerplate(df.limit(0), F.col("host")).count() == 0
+
+
+def _near_random(n, seed):
+    """Random fingerprints, a third of them within six bits of another."""
+    g = np.random.default_rng(seed)
+    fps = g.integers(0, 1 << 64, n, np.uint64)
+    for i in range(0, n, 3):
+        fps[i] = fps[int(g.integers(n))]
+        for bit in g.integers(0, 64, int(g.integers(1, 7))):
+            fps[i] ^= np.uint64(1) << np.uint64(bit)
+    return np.unique(fps)
+
+
+def _trees(n, found):
+    forest = S._Forest(n)
+    for i, j in found:
+        forest.join(i, j)
+    return [forest.root(i) for i in range(n)]
+
+
+@pytest.mark.parametrize("parts", [4, 8])
+@pytest.mark.parametrize("worth", [0, 1 << 40])
+def test_refined_tiles_lose_no_link(parts, worth, monkeypatch):
+    both = _near_random(6000, parts)
+    monkeypatch.setattr(S, "GROUP_PAIRS", worth)
+    for a, b in ((both[::2], both[1::2]), (both, None)):
+        other, base = (a, 0) if b is None else (b, len(a))
+        nodes = a if b is None else np.concatenate((a, b))
+        plain = [(i, j + base) for i in range(len(a)) for j in np.flatnonzero(np.bitwise_count(a[i] ^ other) <= 4).tolist()]
+        got = S._tile_links(a, b, 4, parts)
+        assert _trees(len(nodes), got) == _trees(len(nodes), plain)
+        compared = sum(len(i) * len(j) for i, j in S._blocks(a, b, 4, parts, 1 << 21)) / (len(a) * len(other))
+        assert compared == 1 if worth else compared < {4: 0.1, 8: 0.01}[parts]
+
+
+@pytest.mark.parametrize("which", [0, 1])
+def test_both_grids_find_the_same_links(spark, which):
+    fps = _near_random(3000, 5)
+    frame_ = spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "fp long").repartition(6)
+    index = {int(f): i for i, f in enumerate(fps.view(np.int64))}
+    plain = [(i, j) for i in range(len(fps)) for j in np.flatnonzero(np.bitwise_count(fps[i] ^ fps) <= 4).tolist()]
+    for tile_rows in (65_536, 7):
+        grid = S.grids(frame_, 4, tile_rows)[which]
+        found = S.links(frame_, 4, tile_rows, grid).collect()
+        assert _trees(len(fps), [(index[r.a], index[r.b]) for r in found]) == _trees(len(fps), plain)
+    assert int(grid.size.sum()) == len(fps)
+    # a pair the grid leaves out is further apart than the radius: the share it keeps, on random values
+    _, pairs = grid.costs()
+    assert pairs / (len(fps) ** 2 / 2) < (0.4, 0.1)[which]
+
+
+def test_the_grid_that_sends_less_is_taken():
+    g = np.random.default_rng(1)
+    fps = g.integers(0, 1 << 64, 100_000, np.uint64)
+    sizes = [np.zeros((33, 33), np.int64), np.zeros((17,) * 4, np.int64)]
+    for size, kind in zip(sizes, ("<u4", "<u2")):
+        np.add.at(size, tuple(np.bitwise_count(fps.view(kind).reshape(-1, size.ndim)).T), 1)
+    small, large = ([S.Grid(size, 4, t).costs()[0] for size in sizes] for t in (65_536, 2))
+    assert small[0] < small[1] and large[1] < large[0]
