@@ -216,17 +216,31 @@ def disclosing(
 
 
 def _everywhere(docs: DataFrame, found: DataFrame, told: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, mark, start, end, kind) of all places of disclosing terms: removed ones in any row, others where their entity is."""
+    """(doc, mark, start, end, kind) of all places of disclosing terms: removed ones in any row, others where their entity is.
+
+    Whether a document holds an entity that a general term tells of is asked from
+    the side that has fewer: the entities of the document, or those of the term.
+    So a term of many entities, or a document of many, multiplies nothing by them.
+    """
     rows = _rows(docs, id_col, text_col)
     words = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), lambda w: F.lower(w)))
-    kinds = told.groupBy("term").agg(F.max("kind").alias("kind"))
+    kinds = told.groupBy("term").agg(F.max("kind").alias("kind"), F.count("*").alias("told_of"))
     # only words that tell something of some entity go on
     hits = materialize(rows.select("doc", "mark", F.explode(words).alias("term")).join(kinds, "term"), "hits")
     removed = F.col("kind") == KINDS.index("removed")
-    held = found.select(F.col("doc").alias("tdoc"), F.col("mark").alias("tmark"), F.explode(_named()).alias("tentity"))
     same = F.col("doc").eqNullSafe(F.col("tdoc")) & (F.col("mark") == F.col("tmark"))
-    beside = hits.where(~removed).join(told.select("term", "entity"), "term").join(held, same & (F.col("entity") == F.col("tentity")), "left_semi")
-    hits = hits.where(removed).unionByName(beside.drop("entity")).groupBy("doc", "mark").agg(F.collect_set(F.struct("term", "kind")).alias("kinds"))
+    holders = found.where(F.size("spans") > 0).select(F.col("doc").alias("tdoc"), F.col("mark").alias("tmark"), _named().alias("named"))
+    held = holders.select("tdoc", "tmark", F.explode("named").alias("tentity")).distinct()
+    count = holders.select("tdoc", "tmark", F.size("named").alias("holds")).distinct()
+    general = materialize(hits.where(~removed).join(count, same).select("doc", "mark", "term", "kind", "told_of", "holds"), "general")
+    pairs = told.select("term", "entity")
+    few = general.where(F.col("holds") <= F.col("told_of")).join(held, same).withColumn("entity", F.col("tentity"))
+    few = few.select("doc", "mark", "term", "kind", "entity").join(pairs, ["term", "entity"], "left_semi")
+    many = general.where(F.col("holds") > F.col("told_of")).join(pairs, "term")
+    many = many.join(held, same & (F.col("entity") == F.col("tentity")), "left_semi")
+    hits = hits.select("doc", "mark", "term", "kind")
+    beside = few.select(*hits.columns).unionByName(many.select(*hits.columns))
+    hits = hits.where(removed).unionByName(beside).groupBy("doc", "mark").agg(F.collect_set(F.struct("term", "kind")).alias("kinds"))
     hits = materialize(hits, "told").select(F.col("doc").alias("tdoc"), F.col("mark").alias("tmark"), F.map_from_entries("kinds").alias("kinds"))
     placed = lambda x: F.struct(x["start"], x["end"], F.try_element_at("kinds", x["term"]).alias("kind"))
     places = F.filter(F.transform(_terms(F.col("text")), placed), lambda x: x["kind"].isNotNull())

@@ -54,3 +54,30 @@ def test_windows_hold_other_matches_and_whole_words(spark):
     marked = {term for found in got.values() for kind, _, term in found if kind in ("generalised", "removed")}
     assert marked == {"Falken", "Amsel", "Zander", "Kranich", "Lerche"}
     assert got[20] == {("email", 253, "a@edge.org"), *places(edge, "kranich")}
+
+
+def test_terms_of_many_entities_and_documents_of_many(spark):
+    """A general term that ten cards share, one card's term, and documents that hold one of the cards or all."""
+    far = "x " * 60
+    cards = ["4111 1111 1111 1111", "5500 0000 0000 0004", "3400 0000 0000 009", "6011 0000 0000 0004"]
+    docs, i = [], 0
+    for card in cards:
+        for _ in range(5):
+            docs.append((i, f"Amber {card} {far} and Amber"))
+            i += 1
+    docs += [(100 + j, f"Coral {cards[0]} {far} Amber, coral") for j in range(5)]
+    docs += [(200, far.join(cards) + far + " amber coral"), (201, f"a@b.co 1.2.3.4 {far} amber"), (202, "amber coral"), (None, f"{cards[1]} {far} AMBER coral")]
+    docs += [(300 + j, "amber coral stone") for j in range(12)] + [(400 + j, f"Nothing at all {j}") for j in range(4000)]
+    df = spark.createDataFrame(docs, DOCS).repartition(4)
+    kinds = pii.disclosing(df, pii.entities(df)).collect()
+    # told by several entities, and by one, both only in general
+    assert {r.term: sum(x.term == r.term for x in kinds) for r in kinds} == {"amber": 4, "coral": 1}
+    assert {r.kind for r in kinds} == {pii.KINDS.index("generalised")}
+    got = spans(spark, docs)
+    text = dict(docs)
+    marked = {d: {s for s in found if s[0] == "generalised"} for d, found in got.items()}
+    assert marked[0] == places(text[0], "amber", "generalised") and marked[19] == places(text[19], "amber", "generalised")
+    both = lambda d: places(text[d], "amber", "generalised") | places(text[d], "coral", "generalised")
+    assert marked[100] == both(100) and marked[200] == both(200)
+    assert marked[None] == places(text[None], "amber", "generalised")
+    assert not any(marked[d] for d in (201, 202, 300, 400))
