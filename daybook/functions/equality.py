@@ -85,6 +85,11 @@ def content_json(fields: list[T.StructField], source: str | None = None) -> Colu
     return F.to_json(_normalize(content_struct(fields, source), dtype, for_hash=True), HASH_JSON_OPTIONS)
 
 
+def value_json(c: Column, dtype: T.DataType) -> Column:
+    """Canonical JSON of one value, whatever its column is called."""
+    return F.to_json(F.struct(_normalize(c, dtype, for_hash=True).alias("v")), HASH_JSON_OPTIONS)
+
+
 def content_hash(fields: list[T.StructField], source: str | None = None) -> Column:
     """SHA-256 (hex) of :func:`content_json`."""
     return F.sha2(content_json(fields, source), 256)

@@ -35,6 +35,7 @@ def daily_integration(
     key_aliases=("id",),
     max_rejects: float | None = None,
     rejects_dir: str | None = None,
+    renames=None,
     **store_options,
 ) -> dict:
     """Integrate one CSV dump as the table on ``day``; returns the day's counts.
@@ -43,17 +44,18 @@ def daily_integration(
     allows a share of such lines: these are left out, counted (``rejected``, at
     the cost of one more pass over the dump) and written to ``rejects_dir``, if
     given, before the day is integrated. Over that share nothing is stored.
+    ``renames`` goes to :meth:`Store.integrate`.
     """
     ks = as_keys(keys)
     key = ks[0] if len(ks) == 1 else None
     store = Store(spark, store_root, ks, **store_options)
     if max_rejects is None:
-        return store.integrate(read_dump_csv(spark, csv_path, schema, key=key, key_aliases=key_aliases), day)
+        return store.integrate(read_dump_csv(spark, csv_path, schema, key=key, key_aliases=key_aliases), day, renames=renames)
     split = split_dump_csv(spark, csv_path, schema, key=key, key_aliases=key_aliases)
     _, rejected = split.require(max_rejects)
     if rejects_dir is not None:
         write_parquet(split.rejects, rejects_dir)
-    return {**store.integrate(split.accepted, day), "rejected": rejected}
+    return {**store.integrate(split.accepted, day, renames=renames), "rejected": rejected}
 
 
 def recompute_at_date(

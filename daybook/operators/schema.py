@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -66,14 +66,22 @@ def align_columns(
     target: T.StructType | DataFrame,
     on_extra: str = "drop",
     cast: bool = False,
+    renames: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Give ``df`` exactly the target's columns, in the target's order.
 
     Missing columns become typed nulls. Extra columns are dropped
     (``on_extra="drop"``), appended (``"keep"``) or rejected (``"error"``).
     A column whose type differs raises unless ``cast=True``, which casts it to
-    the target type. Everything happens in a single projection.
+    the target type. ``renames`` (``{old: new}``) gives columns of ``df`` the
+    names of the target first, so that their values are kept. Everything happens
+    in a single projection.
     """
+    if renames:
+        require_columns(df, list(renames), "frame")
+        df = df.withColumnsRenamed(dict(renames))
+        if len(set(df.columns)) < len(df.columns):
+            raise ValueError(f"renames {dict(renames)} give two columns one name")
     schema = target.schema if isinstance(target, DataFrame) else target
     have = {f.name: f.dataType for f in df.schema.fields}
     extra = [c for c in df.columns if c not in {f.name for f in schema.fields}]

@@ -6,6 +6,7 @@ Layout under ``root`` (any Hadoop-compatible shared path)::
     changes/day=YYYY-MM-DD/v=A/    that day's change rows (keys, op, before, after)
     commits/YYYY-MM-DD_A_KIND_S    one empty file per committed day
     schemas/S.json                 the table's schema on the days that name it
+    renames/YYYY-MM-DD_A.json      columns that got new names on a day, {old: new}
     sums/day=YYYY-MM-DD/v=A/n=N/   checksums of a kept version by key bucket (compare)
     counts/day=YYYY-MM-DD/v=A/c=C/ the day's count deltas of a reported column (group_count)
     merged/level=J/block=I/v=A/    net changes of 2**J days (compact_log)
@@ -38,7 +39,10 @@ and the last before each change of schema), so the newest day can be rerun.
 
 The columns may change from day to day. Each day's changes have the columns of
 that day's dump, time travel returns the columns of the day it travels to, and
-``read_log`` gives the union of all columns.
+``read_log`` gives the union of all columns. A column that goes on under a new
+name (``integrate(..., renames=)``) keeps its values: the day has no change where
+only the name is new, time travel carries the values over the day, and
+``read_log`` and the reports of counts give one column under its last name.
 
 With ``buckets=N`` every snapshot version is written bucketed by the key into
 ``N`` files. Two bucketed versions then diff with no shuffle at all, and the
@@ -58,7 +62,7 @@ import hashlib
 import json
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
@@ -74,6 +78,7 @@ from ..operators.counts import count_deltas, counts_from, top_n_from
 from ..operators.diff import DELETE, INSERT, UPDATE, change_log_schema, first_load, snapshot_diff
 from ..operators.keys import normalize_key, require_valid_key, require_valid_keys
 from ..operators.replay import apply_changes, build_change_log, stack_dumps, undo_to
+from ..operators.renames import check_renames, fitting_renames, renamed_columns
 from ..operators.schema import align_columns, as_keys, nullable
 from . import ladder
 from .io import day_dir, empty_frame, write_parquet
@@ -233,6 +238,7 @@ class Store:
         self.counts_root = f"{self.root}/counts"
         self.merged_root = f"{self.root}/merged"
         self.ladder_root = f"{self.root}/ladder"
+        self.renames_root = f"{self.root}/renames"
         self._fs = _Fs(spark)
         self._schemas: dict[str, T.StructType] = {}
 
@@ -298,6 +304,51 @@ class Store:
         self._schemas[sid] = nullable(schema)
         return sid
 
+    # -- renamed columns -------------------------------------------------------
+    def _renames_file(self, day: dt.date, attempt: str) -> str:
+        return f"{self.renames_root}/{day.isoformat()}_{attempt}.json"
+
+    def _renames(self, v: Version | None) -> dict[str, str]:
+        """``{old: new}`` of the columns that go on under new names on a committed day."""
+        file = v and self._renames_file(v.day, v.attempt)
+        if file is None or not self._fs.exists(file):
+            return {}
+        return json.loads(self.spark.read.text(file, wholetext=True).first()[0])
+
+    def _record_renames(self, day: dt.date, attempt: str, renames: Mapping[str, str]) -> None:
+        if renames:
+            self._fs.put(self._renames_file(day, attempt), json.dumps(dict(renames)))
+
+    def _resolve_renames(self, renames, prev: DataFrame | None, dump: DataFrame, recorded: Sequence[Version | None]) -> dict[str, str]:
+        """What :meth:`integrate` is given, finds (``"detect"``) or, with None, takes over from days that it replaces."""
+        if prev is None:
+            return {}
+        if renames == "detect":
+            return renamed_columns(prev, dump, self.keys)
+        if renames is not None:
+            return check_renames(renames, prev.schema, dump.schema, self.keys)
+        if set(prev.columns) == set(dump.columns):
+            return {}
+        return next((found for v in recorded if (found := fitting_renames(self._renames(v), prev.schema, dump.schema))), {})
+
+    def _last_names(self, ls: Listing) -> dict[dt.date, dict[str, str]]:
+        """For each committed day, the names under which its columns go on, where these differ.
+
+        Of two columns that would meet under one name the renamed one keeps its own.
+        """
+        out: dict[dt.date, dict[str, str]] = {}
+        onward: dict[str, str] = {}
+        for epoch in reversed(ls.epochs()):
+            names = self._schema(epoch[0].schema).fieldNames()
+            mine = {c: onward[c] for c in names if onward.get(c, c) != c}
+            taken = [mine.get(c, c) for c in names]
+            mine = {c: n for c, n in mine.items() if taken.count(n) == 1}
+            out.update({v.day: mine for v in epoch})
+            renames = self._renames(epoch[0])
+            # a column without a successor of its own name ends here, whatever has that name later
+            onward = {**{c: mine.get(c, c) for c in names}, **{old: mine.get(new, new) for old, new in renames.items()}}
+        return out
+
     # -- attempts ------------------------------------------------------------
     def _attempt(self, ls: Listing, days: Sequence[dt.date]) -> str:
         """A new attempt's name, above every committed attempt of ``days``."""
@@ -320,6 +371,7 @@ class Store:
             self._drop_snapshot(v)
         for root in (self.change_root, self.counts_root):
             self._fs.delete(self._folder(root, v.day, v.attempt))
+        self._fs.delete(self._renames_file(v.day, v.attempt))
 
     def _drop_snapshot(self, v: Version) -> None:
         for root in (self.snapshot_root, self.sums_root):
@@ -410,17 +462,19 @@ class Store:
 
         Days of one schema are read with that schema; over several the images
         have the union of the columns (the newest day's first, null where a day
-        lacks one; a column whose type changed is given as text).
+        lacks one; a column whose type changed is given as text). Renamed columns
+        have the last name they got on any committed day.
         """
         ls = listing or self.listing()
         lo, hi = (to_day(x) if x is not None else None for x in (after, until))
         days = [v for d, v in ls.versions.items() if (lo is None or d > lo) and (hi is None or d <= hi)]
         if not days:
             return empty_frame(self.spark, self.log_schema(ls))
-        groups: dict[str, list[Version]] = {}
+        last = self._last_names(ls) if len(ls.epochs()) > 1 else {}
+        groups: dict[tuple, list[Version]] = {}
         for v in reversed(days):  # the newest schema first
-            groups.setdefault(v.schema, []).append(v)
-        frames = [self._changes(vs) for vs in groups.values()]
+            groups.setdefault((v.schema, *sorted(last.get(v.day, {}).items())), []).append(v)
+        frames = [self._named(self._changes(vs), last.get(vs[0].day)) for vs in groups.values()]
         if len(frames) == 1:
             return frames[0]
         fields: dict[str, T.DataType] = {}
@@ -439,6 +493,15 @@ class Store:
         ]
         return functools.reduce(lambda a, b: a.unionByName(b), wide)
 
+    @staticmethod
+    def _named(changes: DataFrame, names: Mapping[str, str] | None) -> DataFrame:
+        """Change rows whose images have other names of columns."""
+        if not names:
+            return changes
+        fields = changes.schema["after"].dataType.fields
+        dtype = T.StructType([T.StructField(names.get(f.name, f.name), f.dataType) for f in fields])
+        return changes.withColumns({side: F.col(side).cast(dtype) for side in ("before", "after")})  # by position
+
     # -- daily integration -------------------------------------------------
     def integrate(
         self,
@@ -449,6 +512,7 @@ class Store:
         on_extra: str = "drop",
         cast: bool = False,
         late: str = "error",
+        renames: Mapping[str, str] | str | None = None,
     ) -> dict:
         """Record ``dump`` as the table on ``day``.
 
@@ -468,6 +532,12 @@ class Store:
         as a diff of its table and this dump, and one marker switches both days;
         the counts then name that day as ``next``. An older day that is stored
         already is corrected so.
+
+        ``renames`` (``{old: new}``) names columns of the day before that go on
+        under new names; ``"detect"`` finds them (:func:`renamed_columns`, one more
+        join where columns come and go). By default a day that is corrected keeps
+        its renames, and one inserted before a day with renames has them if they
+        fit its columns (``{}``: none). The counts then name them as ``renames``.
         """
         if late not in ("error", "insert"):
             raise ValueError(f"late must be error or insert, not {late!r}")
@@ -480,17 +550,20 @@ class Store:
             raise ValueError(f"{d} is before already integrated day {follower.day}; insert it or rebuild from there instead")
         base = ls.before(d)
         prev = self._table(ls, base.day) if base else None
+        renames = self._resolve_renames(renames, prev, dump, [ls.versions.get(d), follower])
         if prev is not None:
-            aligned = align_columns(prev, dump.schema, on_extra=on_extra, cast=cast)
+            aligned = align_columns(prev, dump.schema, on_extra=on_extra, cast=cast, renames=renames)
             if on_extra == "keep":
                 dump = align_columns(dump, aligned.schema)
-            prev = align_columns(prev, dump.schema, cast=cast)
+            prev = align_columns(prev, dump.schema, cast=cast, renames=renames)
         following = self._table(ls, follower.day) if follower else None
+        next_renames: dict[str, str] = {}
         if following is not None:
-            align_columns(dump, following.schema, cast=cast)  # refused here if it can't be compared
+            next_renames = fitting_renames(self._renames(follower), dump.schema, following.schema)
+            align_columns(dump, following.schema, cast=cast, renames=next_renames)  # refused here if it can't be compared
         attempt = self._attempt(ls, [d, *([follower.day] if follower else [])])
         snap_dir, change_dir = (self._folder(root, d, attempt) for root in (self.snapshot_root, self.change_root))
-        written = [snap_dir, change_dir]
+        written = [snap_dir, change_dir, *[self._renames_file(v, attempt) for v in (d, *([follower.day] if follower else []))]]
         snap_obs, chg_obs, next_obs = Observation("snapshot"), Observation("changes"), Observation("next")
         try:
             self._write_snapshot(dump.observe(snap_obs, F.count(F.lit(1)).alias("rows")), snap_dir)
@@ -499,10 +572,13 @@ class Store:
                 require_valid_key(new, self.keys, f"dump of {d}")
             self._write_changes(prev, new, d, change_dir, chg_obs, strategy)
             versions = [Version(d, attempt, f"s{self.buckets or 0}", self._record(dump.schema))]
+            self._record_renames(d, attempt, renames)
             if follower:
                 next_dir = self._folder(self.change_root, follower.day, attempt)
                 written.append(next_dir)
-                self._write_changes(align_columns(new, following.schema, cast=cast), following, follower.day, next_dir, next_obs, strategy)
+                before = align_columns(new, following.schema, cast=cast, renames=next_renames)
+                self._write_changes(before, following, follower.day, next_dir, next_obs, strategy)
+                self._record_renames(follower.day, attempt, next_renames)
                 kind = f"s{follower.buckets}.{follower.snapshot}" if follower.kept else "log"
                 versions.append(Version(follower.day, attempt, kind, follower.schema))
         except BaseException:
@@ -521,6 +597,8 @@ class Store:
         counts = {"day": d, "rows": 0, **self._counts(snap_obs), **none, **self._counts(chg_obs)}
         if follower:
             counts["next"] = {"day": follower.day, **none, **self._counts(next_obs)}
+        if renames:
+            counts["renames"] = renames
         return counts
 
     def _write_changes(self, prev: DataFrame | None, new: DataFrame, day: dt.date, path: str, seen: Observation, strategy: str | None) -> None:
@@ -574,7 +652,12 @@ class Store:
 
     # -- many days at once -------------------------------------------------
     def backfill(
-        self, dumps: Sequence[tuple[object, DataFrame]], chunk_days: int = 7, validate: bool = True, cast: bool = False
+        self,
+        dumps: Sequence[tuple[object, DataFrame]],
+        chunk_days: int = 7,
+        validate: bool = True,
+        cast: bool = False,
+        renames: Mapping[object, Mapping[str, str]] | str | None = None,
     ) -> list[dt.date]:
         """A05 into the store: integrate many dated dumps, ``chunk_days`` per pass.
 
@@ -584,6 +667,8 @@ class Store:
         as a snapshot version (earlier days are reached by replay). Chunking
         bounds what one job shuffles -- 30 years of full dumps never go through
         one exchange. Days must all be later than the store's latest day.
+        ``renames`` gives, by day, the columns that go on under new names that
+        day, or is ``"detect"`` (see :meth:`integrate`).
         """
         if chunk_days < 1:
             raise ValueError("chunk_days must be at least 1")
@@ -593,6 +678,7 @@ class Store:
         days = [d for d, _ in items]
         if len(set(days)) != len(days):
             raise ValueError("two dumps for the same day")
+        named = {} if renames is None or renames == "detect" else {to_day(d): r for d, r in renames.items()}
         done = self.listing().changes
         if done and days and days[0] <= done[-1]:
             raise ValueError(f"backfill must start after the latest complete day {done[-1]}")
@@ -601,16 +687,22 @@ class Store:
             if not chunks or len(chunks[-1]) == chunk_days or schema_id(chunks[-1][0][1].schema) != schema_id(df.schema):
                 chunks.append([])
             chunks[-1].append((d, df))
+        stray = {d: r for d, r in named.items() if r and d not in {c[0][0] for c in chunks}}
+        if stray:
+            raise ValueError(f"renames on days whose dumps have the columns of the day before, or on none: {stray}")
         for chunk in chunks:
-            self._backfill_chunk(chunk, validate, cast)
+            self._backfill_chunk(chunk, validate, cast, "detect" if renames == "detect" else named.get(chunk[0][0]))
         return days
 
-    def _backfill_chunk(self, chunk: list[tuple[dt.date, DataFrame]], validate: bool, cast: bool) -> None:
+    def _backfill_chunk(self, chunk: list[tuple[dt.date, DataFrame]], validate: bool, cast: bool, renames=None) -> None:
         chunk_days = [d for d, _ in chunk]
         stacked = stack_dumps(chunk, "_dump_day")
         ls = self.listing()
         before = ls.before(chunk_days[0])
-        base = align_columns(self._table(ls, before.day), chunk[0][1].schema, cast=cast) if before else None
+        base = self._table(ls, before.day) if before else None
+        renames = self._resolve_renames(renames, base, chunk[0][1], [])
+        if base is not None:
+            base = align_columns(base, chunk[0][1].schema, cast=cast, renames=renames)
         if validate:  # unique per day; the stored base was checked on its own day
             require_valid_keys({f"dumps {chunk_days[0]}..{chunk_days[-1]}": stacked}, self.keys, within=["_dump_day"])
         log = build_change_log(
@@ -625,8 +717,9 @@ class Store:
             log.withColumn("v", F.lit(attempt)).hint("rebalance", "day").write.mode("append").partitionBy("day", "v").parquet(self.change_root)
             self._write_snapshot(chunk[-1][1], self._folder(self.snapshot_root, chunk_days[-1], attempt))
             sid = self._record(chunk[0][1].schema)
+            self._record_renames(chunk_days[0], attempt, renames)
         except BaseException:
-            for path in folders:
+            for path in [*folders, self._renames_file(chunk_days[0], attempt)]:
                 self._fs.delete(path)
             raise
         for d in chunk_days:
@@ -658,8 +751,9 @@ class Store:
         else:
             base = [v for v in epochs[start] if v.kept][-1]
             table, since = self._version_frame(base), base.day
-        for epoch in epochs[start : at + 1]:
-            table = align_columns(table, self._schema(epoch[0].schema), cast=True)
+        for i, epoch in enumerate(epochs[start : at + 1]):
+            renames = self._renames(epoch[0]) if i else None
+            table = align_columns(table, self._schema(epoch[0].schema), cast=True, renames=renames)
             table = self._forward(table, [v for v in epoch if (since is None or v.day > since) and v.day <= day], ls)
         return table
 
@@ -752,10 +846,11 @@ class Store:
             raise FileNotFoundError(f"no committed day up to {d} under {self.root}")
         state: DataFrame | None = None
         has = False
-        for epoch in ls.epochs():
-            days = [v for v in epoch if v.day <= d]
-            if not days:
-                break
+        epochs = [days for epoch in ls.epochs() if (days := [v for v in epoch if v.day <= d])]
+        names = [column]  # of the column in each run of days
+        for epoch in reversed(epochs[1:]):
+            names.insert(0, {new: old for old, new in self._renames(epoch[0]).items()}.get(names[0], names[0]))
+        for days, column in zip(epochs, names):
             fields = {f.name: f.dataType for f in self._schema(days[0].schema)}
             has = column in fields
             # without the column only the number of rows goes on, counted by the first key's deltas
