@@ -8,6 +8,7 @@ images is what makes a change reversible (forward and reverse replay).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -133,14 +134,40 @@ def snapshot_diff(
 # No changed-key set above this is broadcast, whatever the limit given.
 MAX_BROADCAST = 1 << 30
 
-_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
 
 
 def session_broadcast_limit(spark) -> int:
     """Bytes a broadcast side may hold: the session's broadcast threshold."""
-    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
-    digits = raw.rstrip("kmgb")
-    return int(digits) * _UNITS.get(raw[len(digits):] or "b", 1)
+    return _bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"), "b")
+
+
+def _bytes(raw, unit: str) -> int:
+    """Bytes of a size setting such as ``10m``; a bare number is in ``unit``."""
+    raw = str(raw).strip().lower()
+    digits = raw.rstrip("kmgtb")
+    return int(digits) * _UNITS.get(raw[len(digits):] or unit, 1)
+
+
+# A set is collected, hashed and serialized to be broadcast: several times its
+# key_bytes are held at once, beside whatever else the memory is for.
+MEMORY_SHARE = 16
+
+
+def least_memory(spark) -> int:
+    """Bytes of the smallest heap that a broadcast has to fit: the driver's or an executor's."""
+    sc = spark.sparkContext
+    heap = sc._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    if re.fullmatch(r"local(\[.*\])?", sc.master):  # no executors beside the driver
+        return heap
+    return min(heap, _bytes(sc.getConf().get("spark.executor.memory", "1g"), "m"))
+
+
+def broadcast_room(spark, limit: int | None = None) -> int:
+    """Most ``key_bytes`` of a set that is broadcast: ``limit`` (default: the
+    session's threshold), as far as the driver and the executors can hold it."""
+    wanted = limit if limit is not None else session_broadcast_limit(spark)
+    return min(wanted, MAX_BROADCAST, least_memory(spark) // MEMORY_SHARE)
 
 
 def key_bytes(df: DataFrame, ks: list[str]) -> Column:

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from ..functions.dates import day_lit, to_day
 from ..functions.equality import content_digest, content_struct, same_content
 from ..session import shared_root
-from .diff import DELETE, INSERT, MAX_BROADCAST, UPDATE, key_bytes, session_broadcast_limit
+from .diff import DELETE, INSERT, UPDATE, broadcast_room, key_bytes
 from .keys import require_valid_keys
 from .schema import as_keys, content_fields, require_columns
 
@@ -180,8 +180,8 @@ def build_change_log(
     of whole rows, writes the events it finds to the shared checkpoint folder,
     and then looks up the images of the changed rows only, by a broadcast of
     their ``(key, day)`` if its measured size is at most ``broadcast_limit``
-    (as in ``snapshot_diff``); a larger set goes through the window of whole
-    rows, with the same result.
+    and fits the driver's and the executors' memory (as in ``snapshot_diff``);
+    a larger set goes through the window of whole rows, with the same result.
     """
     ks = as_keys(keys)
     if strategy not in ("struct", "hash"):
@@ -289,7 +289,7 @@ def _log_by_digest(rows: DataFrame, ks: list[str], fields: list[T.StructField],
     found = found.checkpoint(eager=True)
     wanted = found.select(*_kcols(ks), F.explode(F.array_compact(F.array("before", "after"))).alias("_i")).distinct()
     size = wanted.agg(F.coalesce(F.sum(key_bytes(wanted, ks) + 16), F.lit(0))).first()[0]
-    if size > min(limit if limit is not None else session_broadcast_limit(spark), MAX_BROADCAST):
+    if size > broadcast_room(spark, limit):
         return None
     images = rows.select(*_kcols(ks), "_i", "_row").join(F.broadcast(wanted), on=[*ks, "_i"])
     for side in ("before", "after"):

@@ -119,3 +119,15 @@ def test_backfill_by_digest_shuffles_no_whole_unchanged_rows(spark):
     log = build_change_log(dumps[1:], KEY, base=dumps[0][1], strategy="hash", broadcast_limit=1 << 30)
     text = log._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in text and "BroadcastHashJoin" in text, text
+
+
+def test_backfill_broadcasts_no_more_than_memory_holds(spark, monkeypatch):
+    """A limit far over what the driver can hold: the changed rows come by a shuffle, all of them."""
+    from daybook.operators import diff
+
+    dumps = snapshots(spark, SF001)
+    monkeypatch.setattr(diff, "least_memory", lambda spark: 1 << 14, raising=False)
+    log = build_change_log(dumps[1:], KEY, base=dumps[0][1], strategy="hash", broadcast_limit=1 << 30)
+    text = log._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in text, text  # the window of whole rows
+    assert same_bag(log, build_change_log(dumps[1:], KEY, base=dumps[0][1]))
