@@ -113,9 +113,9 @@ def snapshot_diff(
     rows of the changed keys alone; cheaper for wide rows and low change
     rates. Its changed-key set is broadcast only when its measured size is
     at most ``broadcast_limit`` bytes (default: the session's
-    ``spark.sql.autoBroadcastJoinThreshold``; never over 1 GiB). A larger set
-    is not broadcast: both sides then go through the ``struct`` join, with the
-    same result.
+    ``spark.sql.autoBroadcastJoinThreshold``; never over 1 GiB or a sixteenth
+    of the driver's or an executor's heap). A larger set is not broadcast: both
+    sides then go through the ``struct`` join, with the same result.
     """
     ks = as_keys(keys)
     prev = align_columns(prev, new.schema, on_extra=on_extra, cast=cast)
@@ -185,7 +185,7 @@ def _diff_by_digest(prev: DataFrame, new: DataFrame, ks: list[str], day, broadca
     """Phase 1 joins ``(key, digest)`` only and keeps the keys whose digest
     differs or is missing on a side; that key set is checkpointed (shared
     checkpoint dir) and measured exactly. Phase 2 classifies only those keys:
-    if the set fits the broadcast threshold both sides are semi-joined
+    if the set fits the limit and the memory both sides are semi-joined
     against its broadcast (no shuffle of whole rows but the changed ones);
     otherwise the change rate is high and phase 2 is the plain one-join
     classification of the full sides."""
@@ -203,8 +203,7 @@ def _diff_by_digest(prev: DataFrame, new: DataFrame, ks: list[str], day, broadca
     shared_root(spark)  # the checkpoint dir must be the shared one
     changed = changed.checkpoint(eager=True)
     size = changed.agg(F.coalesce(F.sum(key_bytes(changed, ks)), F.lit(0))).first()[0]
-    limit = broadcast_limit if broadcast_limit is not None else session_broadcast_limit(spark)
-    if size <= min(limit, MAX_BROADCAST):
+    if size <= broadcast_room(spark, broadcast_limit):
         keyset = F.broadcast(changed)
         prev = prev.join(keyset, on=ks, how="left_semi")
         new = new.join(keyset, on=ks, how="left_semi")

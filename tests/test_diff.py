@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import SF01, rows
+from conftest import SF01, rows, same_bag
 from pyspark.sql import functions as F
 
 from daybook import (
@@ -228,3 +228,27 @@ def test_column_presence(spark):  # P08
     assert has_column(df, "a") and not has_column(df, "c")
     with pytest.raises(ValueError, match="c"):
         require_columns(df, ["a", "c"])
+
+
+def test_digest_diff_broadcasts_no_more_than_memory_holds(spark, snaps, monkeypatch):
+    """A limit far over what the driver can hold: no broadcast, and every change is there."""
+    from daybook.operators import diff
+
+    prev, new = snaps[1][1], snaps[2][1]
+    options = {"strategy": "hash", "broadcast_limit": 1 << 30}
+    held = snapshot_diff(prev, new, KEY, D, **options)
+    assert "BroadcastHashJoin" in held._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(diff, "least_memory", lambda spark: 1 << 14, raising=False)
+    got = snapshot_diff(prev, new, KEY, D, **options)
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" not in text, text
+    assert same_bag(got, held) and not got.isEmpty()
+
+
+def test_room_for_a_broadcast_is_a_share_of_the_memory(spark):
+    from daybook.operators import diff
+
+    heap = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    assert diff.broadcast_room(spark, 1 << 40) == min(diff.MAX_BROADCAST, heap // 16)
+    assert diff.broadcast_room(spark, -1) == -1 and diff.broadcast_room(spark, 5) == 5
+    assert [diff._bytes(x, "m") for x in ("7", "7b", "2k", "1g", "1tb")] == [7 << 20, 7, 2 << 10, 1 << 30, 1 << 40]
