@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import scratch_path
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,13 +21,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 @contextmanager
-def _shuffle_cleanup(spark: SparkSession):
-    old = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+def setting(spark: SparkSession, name: str, value: str, default: str | None = None):
+    """``name`` is ``value`` inside; after it what it was, or ``default`` where it wasn't set."""
+    old = spark.conf.get(name, default) if default is not None else spark.conf.get(name)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(CLEANUP, old)
+        spark.conf.set(name, old)
+
+
+def _shuffle_cleanup(spark: SparkSession):
+    return setting(spark, CLEANUP, "true", "false")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

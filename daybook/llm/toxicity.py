@@ -26,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, mix, slices, utf8
+from .common import BATCH_ROWS, Words, mix, setting, slices, utf8
 
-SLICE = 2 << 20
+SLICE = 256 << 10  # bytes of text at a time: what is made of them takes some forty times as much
 
 _KEEP = np.zeros(256, bool)
 _KEEP[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -106,6 +106,14 @@ def _passes(
     return weights(np.arange(size + 1))
 
 
+def _common(lists: list[np.ndarray], least: int) -> np.ndarray:
+    """The numbers that ``least`` of the lists hold, in order; each list has a number once."""
+    every = np.concatenate([*lists, np.zeros(0, np.uint64)])
+    every.sort()
+    last = len(every) - max(least, 1) + 1
+    return np.unique(every[:last][every[:last] == every[len(every) - last :]]) if last > 0 else every[:0]
+
+
 def ftrl(
     examples: list[tuple[np.ndarray, int]],
     epochs: int,
@@ -123,11 +131,7 @@ def ftrl(
     chosen features alone give these their full weights. Features of fewer than
     ``min_rows`` examples are left out.
     """
-    everything = np.concatenate([f for f, _ in examples]) if examples else np.zeros(0, np.uint64)
-    everything.sort()
-    starts = np.flatnonzero(np.concatenate(([True], everything[1:] != everything[:-1]))[: len(everything)])
-    names = everything[starts[np.diff(np.append(starts, len(everything))) >= min_rows]]
-    del everything, starts
+    names = np.concatenate([_common([f[f >> np.uint64(61) == part] for f, _ in examples], min_rows) for part in range(8)])
     places, labels = [], [label for _, label in examples]
     for f, _ in examples:
         at = np.searchsorted(names, f)
@@ -169,7 +173,7 @@ def train(
     )
     # at most sample_rows ids; of rows that share an id one is trained on
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
-    lists = _feature_lists(texts.select("key", "label", "text")).dropDuplicates(["key"])
+    lists = _feature_lists(texts.select("key", "label", "text").dropDuplicates(["key"]))
 
     def fit(batches):
         examples, room = [], sample_features
@@ -184,8 +188,9 @@ def train(
             {"features": [names.astype("<u8").tobytes()], "weights": [weights.astype("<f8").tobytes()], "bias": [bias]}
         )
 
-    # the bounded sample in one task, in the order of its keys
-    rows = lists.repartition(1).sortWithinPartitions("key").mapInArrow(fit, "features binary, weights binary, bias double").collect()
+    # the bounded sample in one task, in the order of its keys, few rows at a time
+    with setting(docs.sparkSession, BATCH_ROWS, "512"):
+        rows = lists.repartition(1).sortWithinPartitions("key").mapInArrow(fit, "features binary, weights binary, bias double").collect()
     if not rows:
         return Model(*_NOTHING)
     return Model(np.frombuffer(rows[0].features, "<u8"), np.frombuffer(rows[0].weights, "<f8"), rows[0].bias)

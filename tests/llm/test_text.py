@@ -64,6 +64,20 @@ def test_toxicity_without_labels(spark):
     assert toxicity.scored(df.limit(0), none).count() == 0
 
 
+def test_training_holds_little_beside_its_examples():
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    examples = [(np.unique(rng.integers(0, 1 << 63, 600).astype(np.uint64) * np.uint64(2)), k % 2) for k in range(2000)]
+    tracemalloc.start()
+    try:
+        toxicity.ftrl(examples, 1, 2.0, 1.0, 20.0, 0.0, 5)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < sum(f.nbytes for f, _ in examples)
+
+
 def test_ftrl_is_sparse():
     r = np.random.default_rng(1)
     noise = [np.unique(r.integers(0, 500, 30).astype(np.uint64)) for _ in range(400)]
