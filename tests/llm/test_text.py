@@ -3,6 +3,7 @@
 import hashlib
 import json
 import random
+import re
 import zlib
 
 import numpy as np
@@ -182,6 +183,54 @@ def test_pieces_encode_as_the_whole_text(name, drops_space):
     assert len(fresh("<|endoftext|>")) == 1 and len(plain._encode(["<|endoftext|>"])[0]) > 1
 
 
+def test_cuts_of_many_texts():
+    white = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+    cut = re.compile(f" ?[^{white[1:]}+|{white}+(?![^{white[1:]})|{white}+").findall
+    r = random.Random(9)
+    bits = re.findall(white, "".join(map(chr, range(0x3001)))) + list("ab,é가\x1c\u200b\u2027\u2060\u3001\U0001f600 \u0085") + [" ", "  ", "\n", "word", " Word"] * 8
+    texts = ["".join(r.choices(bits, k=r.randint(0, 9))) for _ in range(4000)]
+    for name, drops_space, parts in (("byte_bpe_50k.json", False, cut), ("word_bpe_49k.json", True, lambda t: [p.decode() for p in t.encode().split()])):
+        own = PieceEncoder(vocabulary_path(name), drops_space)
+        for some in (texts, texts[:1], ["", "\n", "", "a", " "], [""], []):
+            pieces, which, first = own._cut([t.encode() for t in some])
+            got = [[pieces[k] for k in which[a:b]] for a, b in zip(first[:-1], first[1:])]
+            assert got == [parts(t) for t in some] and len(set(pieces)) == len(pieces)
+            assert len(own.ids([t.encode() for t in some])) == len(some)
+
+
+class Counted(dict):
+    """A dictionary that counts how often it is asked."""
+
+    asked = 0
+
+    def __getitem__(self, key):
+        self.asked += 1
+        return super().__getitem__(key)
+
+    def get(self, key, default=None):
+        self.asked += 1
+        return super().get(key, default)
+
+    def __contains__(self, key):
+        self.asked += 1
+        return super().__contains__(key)
+
+
+@pytest.mark.parametrize("name,drops_space", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_a_piece_is_looked_up_once_a_call_and_kept_while_it_is_met(name, drops_space):
+    own, fresh = PieceEncoder(vocabulary_path(name), drops_space, memory=30), library(vocabulary_path(name))
+    own.known = asked = Counted()
+    text = " of the, words" * 20_000
+    assert own.ids([text.encode()] * 3) == [np.array(fresh(text), "<u4").tobytes()] * 3
+    assert asked.asked < 100
+    new, encode = [], own._encode
+    own._encode = lambda texts: new.extend(texts) or encode(texts)
+    for k in range(40):  # new words fill the memory again and again
+        own.ids([" of the, words {}".format(" ".join(a + chr(97 + k % 26) * (k + 1) for a in "abcdefghij")).encode()])
+    assert len(own.known) <= 60 and len(own.older) <= 60
+    assert "words" not in " ".join(new)
+
+
 TEXTS = [(10**6, None), (10**6 + 1, ""), (-5, "a\x00b \x00 c\n\n d <|endoftext|>"), (4, "x  y\n z\t q 's"), (None, "null id"), (-5, "dup id"), (4, "x  y\n z\t q 's"),
          (11, "Long words repeat " * 3000)]
 
